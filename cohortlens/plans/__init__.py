@@ -5,3 +5,4 @@ Importing this package registers every query module.
 
 from cohortlens.plans import registry  # noqa: F401
 from cohortlens.plans import q_metrics  # noqa: F401
+from cohortlens.plans import q_tidy  # noqa: F401
