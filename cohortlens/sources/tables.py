@@ -140,13 +140,13 @@ def roi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(
         F.col("p_partkey").alias("roi"),
         ((F.col("p_size") % 7) + 1).cast("int").alias("x"),
-        F.col("p_size").cast("int").alias("y"),
+        (F.col("p_size") * 2).cast("int").alias("y"),
         (F.col("p_partkey") % 11).cast("int").alias("z"),
     )
 
 
 ROI_SQL = """
-SELECT p_partkey AS roi, CAST(p_size % 7 + 1 AS INTEGER) AS x, CAST(p_size AS INTEGER) AS y,
+SELECT p_partkey AS roi, CAST(p_size % 7 + 1 AS INTEGER) AS x, CAST(p_size * 2 AS INTEGER) AS y,
        CAST(p_partkey % 11 AS INTEGER) AS z
 FROM part"""
 
@@ -259,4 +259,7 @@ VIEWS = {
 def with_views(sql: str, *names: str) -> str:
     """Prefix ``sql`` with CTEs for the named views (oracle side)."""
     ctes = ",\n".join(f"{n} AS ({VIEW_SQL[n]})" for n in names)
+    body = sql.lstrip()
+    if body[:5].upper() == "WITH ":
+        return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{sql}"
