@@ -7,3 +7,4 @@ from cohortlens.plans import registry  # noqa: F401
 from cohortlens.plans import q_metrics  # noqa: F401
 from cohortlens.plans import q_tidy  # noqa: F401
 from cohortlens.plans import q_signal  # noqa: F401
+from cohortlens.plans import q_splits  # noqa: F401
