@@ -9,3 +9,4 @@ from cohortlens.plans import q_tidy  # noqa: F401
 from cohortlens.plans import q_signal  # noqa: F401
 from cohortlens.plans import q_splits  # noqa: F401
 from cohortlens.plans import q_sources  # noqa: F401
+from cohortlens.plans import q_models  # noqa: F401

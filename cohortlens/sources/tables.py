@@ -205,6 +205,35 @@ FROM customer c LEFT JOIN (
   FROM orders GROUP BY o_custkey) p ON c.c_custkey = p.o_custkey"""
 
 
+def learn_x(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model inputs per customer: average price (gaps) and order count per status."""
+    c = table(spark, sf_dir, "customer")
+    o = table(spark, sf_dir, "orders")
+    per = o.groupBy("o_custkey").agg(*[
+        F.avg(F.when(F.col("o_orderstatus") == s, F.col("o_totalprice"))).alias(f"price_{s}")
+        for s in ORDER_STATUSES], *[
+        F.count(F.when(F.col("o_orderstatus") == s, 1)).cast("double").alias(f"n_{s}")
+        for s in ORDER_STATUSES])
+    return c.join(per, c.c_custkey == per.o_custkey).select(
+        F.col("c_custkey").cast("string").alias("subject"),
+        *[F.col(f"price_{s}") for s in ORDER_STATUSES], *[F.col(f"n_{s}") for s in ORDER_STATUSES])
+
+
+LEARN_X_SQL = """
+SELECT CAST(c.c_custkey AS VARCHAR) AS subject, p.price_F, p.price_O, p.price_P, p.n_F, p.n_O, p.n_P
+FROM customer c JOIN (
+  SELECT o_custkey,
+         avg(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS price_F,
+         avg(CASE WHEN o_orderstatus = 'O' THEN o_totalprice END) AS price_O,
+         avg(CASE WHEN o_orderstatus = 'P' THEN o_totalprice END) AS price_P,
+         CAST(count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS DOUBLE) AS n_F,
+         CAST(count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS DOUBLE) AS n_O,
+         CAST(count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS DOUBLE) AS n_P
+  FROM orders GROUP BY o_custkey) p ON c.c_custkey = p.o_custkey"""
+
+LEARN_FEATURES = [f"price_{s}" for s in ORDER_STATUSES] + [f"n_{s}" for s in ORDER_STATUSES]
+
+
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two targets per subject: account balance and total order price."""
     c = table(spark, sf_dir, "customer")
@@ -247,12 +276,13 @@ FILES_SQL = "SELECT page_id, url AS path FROM pages"
 VIEW_SQL = {
     "pred": PRED_SQL, "cls": CLS_SQL, "series": SERIES_SQL, "signal": SIGNAL_SQL,
     "voxel": VOXEL_SQL, "roi": ROI_SQL, "stats": STATS_SQL, "features_wide": FEATURES_WIDE_SQL,
-    "targets": TARGETS_SQL, "idmap": IDMAP_SQL, "files": FILES_SQL,
+    "targets": TARGETS_SQL, "idmap": IDMAP_SQL, "files": FILES_SQL, "learn_x": LEARN_X_SQL,
 }
 
 VIEWS = {
     "pred": pred, "cls": cls, "series": series, "signal": signal, "voxel": voxel, "roi": roi,
     "stats": stats, "features_wide": features_wide, "targets": targets, "idmap": idmap, "files": files,
+    "learn_x": learn_x,
 }
 
 
