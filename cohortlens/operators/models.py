@@ -136,13 +136,11 @@ def fit_forests(train: DataFrame, targets: Sequence[str], kind: str = "basic", d
 
 
 def predict_forests(models: list, rows: DataFrame, targets: Sequence[str]) -> DataFrame:
-    """ML11 for forests: ``{t}_pred`` columns."""
-    data = _vectors(rows).withColumn("__id", F.monotonically_increasing_id())
-    out = data.select("__id", *[c for c in rows.columns if c not in ("x", "y")])
+    """ML11 for forests: ``{t}_pred`` columns, one chained transform per target."""
+    data = _vectors(rows)
     for m, t in zip(models, targets):
-        p = m.transform(data.select("__id", "features")).select("__id", F.col("prediction").alias(f"{t}_pred"))
-        out = out.join(p, "__id")
-    return out.drop("__id")
+        data = m.setPredictionCol(f"{t}_pred").transform(data)
+    return data.drop("features", "x", "y")
 
 
 def feature_importances(models: list, names: Sequence[str], spark, split: int) -> DataFrame:
@@ -196,8 +194,17 @@ def grid_search(train: DataFrame, targets: Sequence[str], kind: str = "basic", s
         mean = lambda v: (sum(x for x in v if x is not None) / max(1, sum(x is not None for x in v)))  # noqa
         return {"params": cand, "mean_train_score_gs": mean(tr_s), "mean_test_score_gs": mean(va_s)}
 
+    # candidates that map to the same Spark model (depths above 30) are fitted once
+    uniq = {}
+    for cand in cands:
+        uniq.setdefault((cand["criterion"], spark_depth(cand["max_depth"])), cand)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        results = list(ex.map(run, cands))
+        done = dict(zip(uniq, ex.map(run, uniq.values())))
+    results = []
+    for cand in cands:
+        r = done[(cand["criterion"], spark_depth(cand["max_depth"]))]
+        results.append({"params": cand, "mean_train_score_gs": r["mean_train_score_gs"],
+                        "mean_test_score_gs": r["mean_test_score_gs"]})
     best = max(results, key=lambda r: (r["mean_test_score_gs"] if r["mean_test_score_gs"] is not None
                                        else -math.inf))
     return best["params"], results
@@ -213,18 +220,23 @@ def learning_curve_members(subjects: DataFrame, n_folds: int = 5, sizes: Sequenc
                            key: str = "subject") -> DataFrame:
     """ML14 membership: for each (size, fold) a synthetic split id; train = the
     first int(size·n_train) subjects (subject order) of the fold's train part,
-    test = the fold.  Returns (split, size_idx, fold, subject, role)."""
+    test = the fold.  Returns (split, size_idx, fold, subject, role).
+
+    One k-fold assignment, one explode over the size × fold grid and one
+    window per synthetic split."""
+    from pyspark.sql import Window
     base = subjects.select(key).withColumn("split", F.lit(0))
-    folded = SP.kfold(base, n_folds, key=key, group=["split"]).select(key, "fold")
-    out = None
-    for si, frac in enumerate(sizes):
-        for f in range(n_folds):
-            sid = si * n_folds + f
-            tr = folded.filter(F.col("fold") != f).withColumn("__g", F.lit(sid))
-            tr = SP.first_fraction(tr, frac, key=key, group=["__g"]).select(key)
-            part = (tr.withColumn("role", F.lit("train"))
-                    .unionByName(folded.filter(F.col("fold") == f).select(key).withColumn("role", F.lit("test"))))
-            part = part.select(F.lit(sid).alias("split"), F.lit(si).alias("size_idx"), F.lit(f).alias("fold"),
-                               key, "role")
-            out = part if out is None else out.unionByName(part)
-    return out
+    folded = SP.kfold(base, n_folds, key=key, group=["split"]).select(key, F.col("fold").alias("__own"))
+    grid = F.array(*[F.struct(F.lit(si).alias("size_idx"), F.lit(f).alias("fold"), F.lit(float(fr)).alias("frac"))
+                     for si, fr in enumerate(sizes) for f in range(n_folds)])
+    g = folded.withColumn("__g", F.explode(grid)).select(
+        key, "__own", "__g.size_idx", "__g.fold", "__g.frac")
+    g = g.withColumn("split", (F.col("size_idx") * n_folds + F.col("fold")).cast("int"))
+    test = g.filter(F.col("__own") == F.col("fold")).withColumn("role", F.lit("test"))
+    tr = g.filter(F.col("__own") != F.col("fold"))
+    w = Window.partitionBy("split").orderBy(key)
+    wn = Window.partitionBy("split")
+    tr = (tr.withColumn("__p", F.row_number().over(w)).withColumn("__n", F.count(F.lit(1)).over(wn))
+          .filter(F.col("__p") <= F.floor(F.col("__n") * F.col("frac"))).withColumn("role", F.lit("train")))
+    cols = ["split", "size_idx", "fold", key, "role"]
+    return tr.select(*cols).unionByName(test.select(*cols))

@@ -24,6 +24,11 @@ from cohortlens.sources.tables import LEARN_FEATURES
 T = ["acctbal", "total_price"]
 SEED = 1234
 N_SPLITS = 5
+# forest settings of the registered queries: depth 10 is a candidate of the
+# reference grid; deeper Spark trees cost ~10x more per fit (see README)
+FOREST_DEPTH = 10
+SEARCH_DEPTHS = [3, 5, 7, 10]
+SEARCH_TREES = 64
 
 
 def _members(spark, sf, n_splits):
@@ -31,7 +36,8 @@ def _members(spark, sf, n_splits):
 
 
 def learn(spark: SparkSession, sf: str, model_type: str = "ridgecv", n_splits: int = N_SPLITS,
-          weighted: bool = False, permuted: bool = False, parallelism: int = 4) -> dict:
+          weighted: bool = False, permuted: bool = False, parallelism: int = 4, depth: int | None = None,
+          n_trees: int = ML.FOREST_TREES) -> dict:
     base, n_pca = ML.parse_model_type(model_type)
     x, y = V.learn_x(spark, sf), V.targets(spark, sf)
     members = _members(spark, sf, n_splits)
@@ -50,7 +56,7 @@ def learn(spark: SparkSession, sf: str, model_type: str = "ridgecv", n_splits: i
     def one(split: int):
         tr = rows.filter((F.col("split") == split) & (F.col("role") == "train"))
         te = rows.filter((F.col("split") == split) & (F.col("role") == "test"))
-        ms = ML.fit_forests(tr, T, base, None, None, SEED, ML.FOREST_TREES, wcol)
+        ms = ML.fit_forests(tr, T, base, depth, None, SEED, n_trees, wcol)
         out = {"predictions": ML.predict_forests(ms, te, T).drop("weight"),
                "predictions_training": ML.predict_forests(ms, tr, T).drop("weight"),
                "importances": ML.feature_importances(ms, names, spark, split)}
@@ -58,7 +64,7 @@ def learn(spark: SparkSession, sf: str, model_type: str = "ridgecv", n_splits: i
             perm = SP.permute_within(members.filter(F.col("split") == split), y, T, seed=SEED)
             py = perm.select("split", "subject", "role", F.array(*[F.col(t).cast("double") for t in T]).alias("y"))
             trp = tr.drop("y").join(py.filter("role = 'train'").drop("role"), ["split", "subject"])
-            msp = ML.fit_forests(trp, T, base, None, None, SEED, ML.FOREST_TREES, wcol)
+            msp = ML.fit_forests(trp, T, base, depth, None, SEED, n_trees, wcol)
             p = ML.predict_forests(msp, te, T).drop("weight")
             truth = perm.filter("role = 'test'").select("split", "subject", *T)
             out["predictions_permuted"] = p.join(truth, ["split", "subject"], "full")
@@ -181,7 +187,7 @@ def classify_documents(spark: SparkSession, sf: str, n_splits: int = 2) -> DataF
     for s in range(n_splits):
         tr = rows.filter((F.col("split") == s) & (F.col("role") == "train"))
         te = rows.filter((F.col("split") == s) & (F.col("role") == "test"))
-        ms = ML.fit_forests(tr, ["quality"], "rfc", None, "gini", SEED)
+        ms = ML.fit_forests(tr, ["quality"], "rfc", FOREST_DEPTH, "gini", SEED)
         outs.append(ML.predict_forests(ms, te, ["quality"]))
     return TD.stack(outs, sort_columns=False).join(y, "subject", "left")
 
@@ -192,7 +198,8 @@ def grid_search_table(spark: SparkSession, sf: str) -> DataFrame:
     rows = L.design_rows(V.learn_x(spark, sf), LEARN_FEATURES, y, ["total_price"], members)
     rows, _ = ML.prepare(rows, feature_names=LEARN_FEATURES)
     train = rows.filter("role = 'train'").persist()
-    _, results = ML.grid_search(train, ["total_price"], "basic", SEED)
+    _, results = ML.grid_search(train, ["total_price"], "basic", SEED, depths=SEARCH_DEPTHS,
+                                n_trees=SEARCH_TREES, parallelism=2)
     recs = [(0, r["mean_train_score_gs"], r["mean_test_score_gs"], {k: str(v) for k, v in r["params"].items()})
             for r in results]
     gs = spark.createDataFrame(recs, "split int, mean_train_score_gs double, mean_test_score_gs double, "

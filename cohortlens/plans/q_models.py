@@ -158,13 +158,13 @@ def q_perm_importance(spark, sf):
 @register("ml_forest_regress")
 def q_forest(spark, sf):
     """ML5+ML10+ML11: weighted random forests (256 trees) per split, test predictions."""
-    return LR.learn(spark, sf, "basic", n_splits=2, weighted=True)["predictions"]
+    return LR.learn(spark, sf, "basic", n_splits=2, weighted=True, depth=LR.FOREST_DEPTH)["predictions"]
 
 
 @register("ml_feature_importances")
 def q_importances(spark, sf):
     """ML16: forest feature importances per split and target."""
-    return LR.learn(spark, sf, "basic", n_splits=2)["importances"]
+    return LR.learn(spark, sf, "basic", n_splits=2, depth=LR.FOREST_DEPTH)["importances"]
 
 
 @register("ml_forest_classify")
