@@ -9,42 +9,46 @@ Written naively this needs all n² pairs.  Instead (fast Gauss transform):
 
 1. rows are put into grid cells of side ``cell`` (in bandwidth units); each
    cell gets the Hermite moments M_a = Σ_j Π_k s_jk^a_k / a_k!, with
-   s = (y - centre)/(h·√2) — one wide aggregate, partial + final;
-2. each row meets only the populated cells within 40 bandwidths (beyond that
-   every kernel value underflows to 0 in double precision) through a
-   cell-level neighbour table built with a coarse grid equi-join;
-3. Σ_j exp(-|x - s_j|²) = Σ_a M_a Π_k h_{a_k}(x_k), h_n(x) = H_n(x)·e^{-x²},
-   truncated at order ``order`` per axis.  With cell = 1 and order 20 the
-   truncation error is below 1e-15 per unit weight, i.e. the result equals the
-   pairwise sum to double precision.
-
-Rows per task never depend on group sizes: a cell holding a third of all rows
-is just one row of moments.
+   s = (y - centre)/(h·√2).  Every partition computes partial moments per cell
+   (numpy, ``mapInPandas``); partials of a cell — at most one per partition —
+   are summed per cell.  A cell holding a third of all rows is still one row.
+2. The moment table has one row per populated cell: its size depends on the
+   spread of y in bandwidth units, not on n.  It is size-checked and broadcast.
+3. Each partition of rows evaluates Σ_j exp(-|x - s_j|²) = Σ_a M_a Π_k h_{a_k}(x_k),
+   h_n(x) = H_n(x)·e^{-x²}, over the populated cells within 40 bandwidths
+   (beyond that every kernel value underflows to 0 in double precision).
+   With cell = 1 and order 20 the truncation error is below 1e-15 per unit
+   weight, i.e. the result equals the pairwise sum to double precision.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from itertools import product
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CUTOFF = 40.0  # bandwidths; exp(-40²/2) underflows double precision
+MAX_MOMENT_BYTES = 256 * 1024 * 1024
 
 
-def _hermite_functions(x: Column, order: int) -> Column:
-    """array(h_0(x) .. h_order(x)), h_n = H_n·e^{-x²}, by the three-term recurrence
-    h_{n+1} = 2x·h_n − 2n·h_{n−1} (JVM-side higher-order function)."""
-    h0 = F.exp(-x * x)
-    init = F.struct(h0.alias("a"), (2.0 * x * h0).alias("b"), F.array(h0, 2.0 * x * h0).alias("hs"))
+def hermite_functions(x: np.ndarray, order: int) -> np.ndarray:
+    """(len(x), order+1) array of h_n(x) = H_n(x)·e^{-x²} by the recurrence
+    h_{n+1} = 2x·h_n − 2n·h_{n−1}."""
+    h = np.empty((x.shape[0], order + 1))
+    h[:, 0] = np.exp(-x * x)
+    if order >= 1:
+        h[:, 1] = 2.0 * x * h[:, 0]
+    for n in range(1, order):
+        h[:, n + 1] = 2.0 * x * h[:, n] - 2.0 * n * h[:, n - 1]
+    return h
 
-    def step(acc, n):
-        nxt = 2.0 * x * acc["b"] - 2.0 * n.cast("double") * acc["a"]
-        return F.struct(acc["b"].alias("a"), nxt.alias("b"), F.concat(acc["hs"], F.array(nxt)).alias("hs"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(order - 1)), init, step)["hs"]
+def _cells(u: np.ndarray, cell: float) -> np.ndarray:
+    return np.floor(u / cell).astype(np.int64)
 
 
 def density_weights(y: DataFrame, targets: Sequence[str], key: str = "subject", bandwidth: float = 1.0,
@@ -54,62 +58,76 @@ def density_weights(y: DataFrame, targets: Sequence[str], key: str = "subject",
     if d == 0 or d > 3:
         raise ValueError("density weights support 1 to 3 target columns")
     p = order
-    u = [F.col(t) / F.lit(bandwidth) for t in targets]          # bandwidth units
-    pts = y.select(F.col(key).alias("__key"), *[c.alias(f"u{k}") for k, c in enumerate(u)])
-    pts = pts.select("*", *[F.floor(F.col(f"u{k}") / cell).cast("bigint").alias(f"c{k}") for k in range(d)])
-    cell_cols = [f"c{k}" for k in range(d)]
-    centre = [(F.col(f"c{k}") + 0.5) * cell for k in range(d)]
-    s = [((F.col(f"u{k}") - centre[k]) / math.sqrt(2.0)) for k in range(d)]
-
-    # 1. Hermite moments per populated cell
-    multi = list(product(range(p + 1), repeat=d))
-    fact = [math.factorial(a) for a in range(p + 1)]
-    src = pts.select(*cell_cols, *[sk.alias(f"s{k}") for k, sk in enumerate(s)])
-    aggs = []
-    for idx, a in enumerate(multi):
-        term = F.lit(1.0 / math.prod(fact[ak] for ak in a))
-        for k, ak in enumerate(a):
-            if ak:
-                term = term * F.pow(F.col(f"s{k}"), F.lit(float(ak)))
-        aggs.append(F.sum(term).alias(f"m{idx}"))
-    moments = src.groupBy(*cell_cols).agg(*aggs)
-    moments = moments.select(*[F.col(c).alias(f"src_{c}") for c in cell_cols],
-                             F.array(*[F.col(f"m{i}") for i in range(len(multi))]).alias("M"))
-
-    # 2. neighbour table between populated cells (coarse grid equi-join)
-    reach = int(math.ceil(CUTOFF / cell)) + 1
-    coarse = 2 * reach + 1
-    tgt_cells = pts.select(*cell_cols).distinct()
-    tc = tgt_cells.select(*cell_cols, *[F.floor(F.col(c) / coarse).alias(f"g{k}") for k, c in enumerate(cell_cols)])
-    offs = F.array(*[F.lit(v) for v in (-1, 0, 1)])
-    for k in range(d):
-        tc = tc.withColumn(f"o{k}", F.explode(offs))
-    tc = tc.select(*cell_cols, *[(F.col(f"g{k}") + F.col(f"o{k}")).alias(f"g{k}") for k in range(d)])
-    sc = moments.select(*[f"src_{c}" for c in cell_cols],
-                        *[F.floor(F.col(f"src_{c}") / coarse).alias(f"g{k}") for k, c in enumerate(cell_cols)])
-    dist2 = sum(((F.col(f"src_{c}") - F.col(c)) * cell) ** 2 for c in cell_cols)
-    limit = (CUTOFF + cell * math.sqrt(d)) ** 2
-    nb = tc.join(sc, [f"g{k}" for k in range(d)]).filter(dist2 <= limit).select(
-        *cell_cols, *[f"src_{c}" for c in cell_cols])
-
-    # 3. evaluate the expansion at every row for every neighbouring populated cell
-    pairs = pts.join(nb, cell_cols).join(moments, [f"src_{c}" for c in cell_cols])
-    xs = [((F.col(f"u{k}") - (F.col(f"src_c{k}") + 0.5) * cell) / math.sqrt(2.0)) for k in range(d)]
-    hs = [_hermite_functions(xk, p) for xk in xs]
-    pairs = pairs.select("__key", "M", *[h.alias(f"h{k}") for k, h in enumerate(hs)])
-    n1 = p + 1
-
-    def term(acc, i):
-        t = F.get(F.col("M"), i)
-        rest = i
-        for k in reversed(range(d)):
-            t = t * F.get(F.col(f"h{k}"), rest % n1)
-            rest = F.floor(rest / n1).cast("int")
-        return acc + t
-
-    contrib = F.aggregate(F.sequence(F.lit(0), F.lit(len(multi) - 1)), F.lit(0.0), term)
-    sums = pairs.groupBy("__key").agg(F.sum(contrib).alias("ksum"))
-    n = F.lit(1.0) * y.count()
-    log_norm = F.lit(-(d / 2.0) * math.log(2.0 * math.pi) - d * math.log(bandwidth))
-    return sums.select(F.col("__key").alias(key),
-                       (-(F.log("ksum") - F.log(n) + log_norm)).alias("weight"))
+    spark = y.sparkSession
+    pts = y.select(F.col(key).cast("string").alias("key"),
+                   F.array(*[(F.col(t) / F.lit(bandwidth)).cast("double") for t in targets]).alias("u"))
+    fact = np.array([math.factorial(a) for a in range(p + 1)], dtype=float)
+
+    # 1. partial Hermite moments per cell and partition
+    def moments(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc: dict[tuple, np.ndarray] = {}
+        for pdf in it:
+            if pdf.empty:
+                continue
+            U = np.stack(pdf["u"].to_numpy())
+            C = _cells(U, cell)
+            S = (U - (C + 0.5) * cell) / math.sqrt(2.0)
+            P = S[:, :, None] ** np.arange(p + 1)[None, None, :] / fact[None, None, :]   # rows x d x (p+1)
+            for c in np.unique(C, axis=0):
+                sel = np.all(C == c, axis=1)
+                Pm = P[sel]
+                if d == 1:
+                    m = Pm[:, 0, :].sum(0)
+                elif d == 2:
+                    m = np.einsum("ra,rb->ab", Pm[:, 0, :], Pm[:, 1, :])
+                else:
+                    m = np.einsum("ra,rb,rc->abc", Pm[:, 0, :], Pm[:, 1, :], Pm[:, 2, :])
+                k = tuple(int(v) for v in c)
+                acc[k] = acc[k] + m if k in acc else m
+        yield pd.DataFrame({"cell": [list(k) for k in acc], "m": [v.ravel().tolist() for v in acc.values()]})
+
+    parts = pts.mapInPandas(moments, "cell array<bigint>, m array<double>")
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        tot = np.sum(np.stack(pdf["m"].to_numpy()), axis=0)
+        return pd.DataFrame({"cell": [pdf["cell"].iloc[0]], "m": [tot.tolist()]})
+
+    mom = parts.groupBy("cell").applyInPandas(merge, "cell array<bigint>, m array<double>").collect()
+    size = len(mom) * (p + 1) ** d * 8
+    if size > MAX_MOMENT_BYTES:
+        raise MemoryError(f"density_weights: {len(mom)} populated cells need {size} bytes; increase cell size")
+    cells = np.array([r["cell"] for r in mom], dtype=np.int64).reshape(len(mom), d)
+    M = np.stack([np.asarray(r["m"]).reshape((p + 1,) * d) for r in mom])
+    bc = spark.sparkContext.broadcast((cells, M))
+    n = y.count()
+    log_norm = -(d / 2.0) * math.log(2.0 * math.pi) - d * math.log(bandwidth)
+    reach = CUTOFF + cell * math.sqrt(d)
+
+    # 3. evaluate the expansion for every row against nearby populated cells
+    def evaluate(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cells_, M_ = bc.value
+        centres = (cells_ + 0.5) * cell
+        for pdf in it:
+            if pdf.empty:
+                continue
+            U = np.stack(pdf["u"].to_numpy())
+            C = _cells(U, cell)
+            ksum = np.zeros(U.shape[0])
+            for c in np.unique(C, axis=0):
+                sel = np.where(np.all(C == c, axis=1))[0]
+                ctr = (c + 0.5) * cell
+                near = np.where(np.sqrt(((centres - ctr) ** 2).sum(1)) <= reach)[0]
+                X = U[sel]
+                for s_idx in near:
+                    xs = (X - centres[s_idx]) / math.sqrt(2.0)
+                    H = [hermite_functions(xs[:, k], p) for k in range(d)]
+                    if d == 1:
+                        ksum[sel] += H[0] @ M_[s_idx]
+                    elif d == 2:
+                        ksum[sel] += np.einsum("ra,ab,rb->r", H[0], M_[s_idx], H[1])
+                    else:
+                        ksum[sel] += np.einsum("ra,rb,rc,abc->r", H[0], H[1], H[2], M_[s_idx])
+            w = -(np.log(ksum) - math.log(n) + log_norm)
+            yield pd.DataFrame({key: pdf["key"], "weight": w})
+
+    return pts.mapInPandas(evaluate, f"{key} string, weight double")
