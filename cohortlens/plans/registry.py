@@ -38,11 +38,16 @@ def register(name: str, sql: str | None = None):
 
 
 def finish(df: DataFrame) -> DataFrame:
-    """Round double columns to 6 decimals (and fold -0.0 into 0.0)."""
+    """Round double columns to 6 decimals (and fold -0.0 into 0.0).
+
+    Rounded as round(x·1e6)/1e6: a tie of the scaled value is exactly
+    representable, so Spark and DuckDB both round it away from zero and give
+    the same double."""
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append((F.round(F.col(f.name).cast("double"), 6) + F.lit(0.0)).alias(f.name))
+            scaled = F.round(F.col(f.name).cast("double") * F.lit(1e6), 0)
+            out.append((scaled / F.lit(1e6) + F.lit(0.0)).alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
@@ -52,5 +57,5 @@ def rounded(sql: str, double_cols: Sequence[str]) -> str:
     """Wrap oracle SQL so that the listed double columns are rounded like ``finish``."""
     if not double_cols:
         return sql
-    rep = ", ".join(f"round(CAST({c} AS DOUBLE), 6) + 0.0 AS {c}" for c in double_cols)
+    rep = ", ".join(f"round(CAST({c} AS DOUBLE) * 1000000.0) / 1000000.0 + 0.0 AS {c}" for c in double_cols)
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) __q"

@@ -125,13 +125,15 @@ def voxel(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").cast("int").alias("x"),
         F.col("l_quantity").cast("int").alias("y"),
         F.round(F.col("l_discount") * 100).cast("int").alias("z"),
-        F.col("l_extendedprice").alias("value"),
+        # prices carry 2 decimals: exact decimal sums make the ROI means
+        # independent of summation order
+        F.col("l_extendedprice").cast("decimal(15,2)").alias("value"),
     )
 
 
 VOXEL_SQL = """
 SELECT CAST(l_linenumber AS INTEGER) AS x, CAST(l_quantity AS INTEGER) AS y,
-       CAST(round(l_discount * 100) AS INTEGER) AS z, l_extendedprice AS value
+       CAST(round(l_discount * 100) AS INTEGER) AS z, CAST(l_extendedprice AS DECIMAL(15, 2)) AS value
 FROM lineitem"""
 
 
