@@ -78,7 +78,8 @@ def learn_ridge(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Se
     ``predictions_permuted`` (fit on md5-permuted train targets, evaluated
     against md5-permuted test targets) and ``coefficients``.
     """
-    rows = L.design_rows(x, features, y, targets, members)
+    members = members.persist()          # read by the design rows and the permutation
+    rows = L.design_rows(x, features, y, targets, members).persist()
     rows, names = prepare(rows, pca_block, n_components, features)
     rows = rows.persist()
     train, test = rows.filter("role = 'train'"), rows.filter("role = 'test'")

@@ -190,6 +190,7 @@ def stratified_shuffle_splits(strata: DataFrame, n_splits: int, test_size: float
     largest remainder; inside (split, stratum) subjects are ordered by
     md5(seed:split:subject) and the first ``quota`` are train.
     """
+    strata = strata.select(key, stratum).persist()   # counted, then ranked
     counts = {r[stratum]: r["n"] for r in strata.groupBy(stratum).agg(F.count(F.lit(1)).alias("n")).collect()}
     n = sum(counts.values())
     n_test = math.ceil(test_size * n)
