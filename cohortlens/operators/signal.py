@@ -16,6 +16,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -348,3 +350,62 @@ def weighted_roi_signal(weights: DataFrame, voxels: DataFrame, keys: Sequence[st
     """AGG17 with smoothing: Σ_u W(r,u)·img(u) per (keys, roi); outside the image counts as 0."""
     j = voxels.join(weights, list(coords))
     return j.groupBy(*keys, "roi").agg(F.sum(F.col("w") * F.col(value)).alias(value))
+
+
+# ---------------------------------------------------------------- confound regression (SIG3)
+
+def regress_confounds(signal: DataFrame, confounds: DataFrame, run_keys: Sequence[str],
+                      confound_cols: Sequence[str], t: str = "t", roi: str = "roi",
+                      value: str = "value") -> DataFrame:
+    """SIG3: residual of every ROI series after least squares on the run's
+    confounds (with intercept), all runs in one job.
+
+    Confounds are detrended and standardised per run first.  Per run the
+    moments (XᵀX, XᵀY over ROIs) are map-side partials merged per run (see
+    ``linear.moments``); coefficients (k x R per run, size-checked) are
+    broadcast and the residual y − ȳ − (x − x̄)·B is taken per row.
+    """
+    from cohortlens.operators import linear as L
+    keys = list(run_keys)
+    conf = confounds.select(*keys, t, *confound_cols)
+    long = conf.unpivot(keys + [t], list(confound_cols), "__c", "__v")
+    long = standardize(detrend(long, keys + ["__c"], t=t, value="__v"), keys + ["__c"], value="__v")
+    cw = long.groupBy(*keys, t).pivot("__c", list(confound_cols)).agg(F.first("__v"))
+    rois = sorted(r[0] for r in signal.select(roi).distinct().collect())   # atlas size, bounded
+    sw = signal.groupBy(*keys, t).pivot(roi, rois).agg(F.first(value))
+    run_ids = signal.select(*keys).distinct().withColumn(
+        "split", F.dense_rank().over(Window.orderBy(*keys)).cast("int") - 1)
+    rows = (sw.join(cw, keys + [t]).join(F.broadcast(run_ids), keys)
+            .select("split", *keys, t, F.array(*[F.col(c).cast("double") for c in confound_cols]).alias("x"),
+                    F.array(*[F.col(str(r)).cast("double") for r in rois]).alias("y")))
+    mo = L.moments(rows).collect()
+    k, R = len(confound_cols), len(rois)
+    L._check_size(len(mo), k, R, "regress_confounds")
+    coef = {}
+    for m in mo:
+        cxx = np.asarray(m["cxx"]).reshape(k, k)
+        cxy = np.asarray(m["cxy"]).reshape(k, R)
+        coef[int(m["split"])] = (np.asarray(m["mx"]), np.asarray(m["my"]), np.linalg.lstsq(cxx, cxy, rcond=None)[0])
+    bc = rows.sparkSession.sparkContext.broadcast(coef)
+    key_fields = [f.simpleString() for f in rows.schema.fields if f.name in keys]
+
+    def residual(it):
+        import pandas as pd
+        P = bc.value
+        for pdf in it:
+            if pdf.empty:
+                continue
+            parts = []
+            for s_, g in pdf.groupby("split"):
+                mx, my, B = P[int(s_)]
+                X = np.stack(g["x"].to_numpy())
+                Y = np.stack(g["y"].to_numpy())
+                E = (Y - my) - (X - mx) @ B
+                out = g[keys + [t]].loc[g.index.repeat(R)].reset_index(drop=True)
+                out[roi] = np.tile(np.asarray(rois), len(g))
+                out[value] = E.ravel()
+                parts.append(out)
+            yield pd.concat(parts, ignore_index=True)
+
+    schema = ", ".join(key_fields + [f"{t} bigint", f"{roi} int", f"{value} double"])
+    return rows.select("split", *keys, F.col(t).cast("bigint").alias(t), "x", "y").mapInPandas(residual, schema)

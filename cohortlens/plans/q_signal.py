@@ -173,3 +173,19 @@ SELECT roi, x, y, z FROM roi WHERE roi NOT IN (SELECT roi FROM ({_MEMBERS_SQL}))
 def q_empty_rois(spark, sf):
     """SIG6: ROIs whose sphere contains no voxel."""
     return S.empty_rois(V.roi(spark, sf), V.voxel(spark, sf), R)
+
+
+# ---------------------------------------------------------------- SIG3
+
+def _global_signal_confounds(sig):
+    gs = sig.groupBy("subject", "run", "t").agg(F.avg("value").alias("gs"))
+    c = S.confounds_36p(gs, ["subject", "run"], ["t"], base_cols=["gs"])
+    return c
+
+
+@register("sig_regress_confounds")
+def q_regress_confounds(spark, sf):
+    """SIG3: ROI series residualised on global-signal confounds (gs, derivative, squares) per run."""
+    sig = V.signal(spark, sf)
+    conf = _global_signal_confounds(sig)
+    return S.regress_confounds(sig, conf, ["subject", "run"], ["gs", "gs_der", "gs_2", "gs_der_2"])

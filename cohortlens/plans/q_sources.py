@@ -21,6 +21,9 @@ from cohortlens.session import scratch_path
 from cohortlens.sources import files as SRC
 from cohortlens.sources import tables as V
 from cohortlens.sources.tables import with_views
+from cohortlens.plans import connectome as CN
+from cohortlens.plans.q_signal import _MEMBERS_SQL
+from cohortlens.plans.q_splits import _SPLIT_CTES, N_SPLITS as _N_SPLITS, SEED as _SEED, T as _T
 
 
 def _scratch(spark, name):
@@ -215,3 +218,153 @@ def q_expected_outputs(spark, sf):
     found = inv.select("path").distinct().withColumn("found", F.lit(True))
     return exp.join(found, "path", "left").select("subject", "session", "path",
                                                   F.coalesce("found", F.lit(False)).alias("found"))
+
+
+# ---------------------------------------------------------------- sinks and Parquet stores (SNK, SRC7-12, V3)
+
+from cohortlens.sources import sinks as SNK  # noqa: E402
+
+
+def _features_long(spark, sf):
+    st = V.stats(spark, sf)
+    return st.select("subject", F.lit("s1").alias("session"), F.lit("fs").alias("kind"),
+                     F.concat(F.lit("fs__vol__"), "struct").alias("name"), "value")
+
+
+_REQ_SUPP = "SELECT CAST(s_suppkey AS VARCHAR) AS subject FROM supplier WHERE s_nationkey < 10"
+
+
+@register("snk_features_roundtrip", rounded(with_views(f"""
+SELECT subject, 'fs__vol__' || struct AS name, value, 's1' AS session, 'fs' AS kind FROM stats
+WHERE subject IN ({_REQ_SUPP})""", "stats"), ["value"]))
+def q_features_roundtrip(spark, sf):
+    """SNK1+SRC7: long features written by kind/session, loaded for requested subjects."""
+    out = _scratch(spark, "features")
+    SNK.write_features(_features_long(spark, sf), out)
+    req = V.table(spark, sf, "supplier").filter("s_nationkey < 10").select(
+        F.col("s_suppkey").cast("string").alias("subject"))
+    return SRC.load_features(spark, out, "fs", req).select("subject", "name", "value", "session", "kind")
+
+
+def _pred_store(spark, sf):
+    p = V.pred(spark, sf)
+    out = _scratch(spark, "predictions")
+    SNK.write_predictions(p.select("subject", "split", "price_pred", "price", F.lit("m1").alias("model"),
+                                   "modality"), out)
+    return out
+
+
+@register("snk_predictions_roundtrip", rounded(with_views(
+    "SELECT subject, split, price_pred, price, 'm1' AS model, modality FROM pred WHERE modality IN ('A', 'R')",
+    "pred"), ["price_pred", "price"]))
+def q_predictions_roundtrip(spark, sf):
+    """SNK4+SRC10: predictions stored by model/modality, loaded with partition pruning."""
+    return SRC.load_predictions(spark, _pred_store(spark, sf), "m1", ["A", "R"]).select(
+        "subject", "split", "price_pred", "price", "model", "modality")
+
+
+@register("chk_prediction_nulls", rounded(with_views(
+    "SELECT subject, split, CASE WHEN price > 100000 THEN NULL ELSE price_pred END AS price_pred, price "
+    "FROM pred WHERE modality = 'N' AND price > 100000", "pred"), ["price_pred", "price"]))
+def q_prediction_nulls(spark, sf):
+    """V3: loaded predictions with a missing value (planted where price > 100000)."""
+    p = SRC.load_predictions(spark, _pred_store(spark, sf), "m1", ["N"])
+    p = p.select("subject", "split", F.when(F.col("price") > 100000, F.lit(None)).otherwise(
+        F.col("price_pred")).alias("price_pred"), "price")
+    return C.rows_with_null(p)
+
+
+_CV = ", ".join(f"avg(CASE WHEN round(tax * 100) = {k} THEN price END) AS cv_{k}" for k in range(5))
+
+
+@register("snk_learning_scores_roundtrip", rounded(with_views(f"""
+SELECT modality, train_size, kind, cv_split, score FROM (
+  SELECT modality, split AS train_size, 'validation' AS kind, {_CV} FROM pred GROUP BY modality, split) w
+UNPIVOT (score FOR cv_split IN ({", ".join(f"cv_{k}" for k in range(5))}))""".replace(
+    "SELECT modality, train_size, kind, cv_split, score FROM", "SELECT modality, train_size, kind, "
+    "regexp_replace(cv_split, '^cv_', '') AS cv_split, score FROM"), "pred"), ["score"]))
+def q_scores_roundtrip(spark, sf):
+    """SNK7+SRC12+RSH3: wide cv_* scores stored, loaded and unpivoted."""
+    p = V.pred(spark, sf)
+    wide = p.groupBy("modality", F.col("split").alias("train_size")).agg(*[
+        F.avg(F.when(F.round(F.col("tax") * 100) == k, F.col("price"))).alias(f"cv_{k}") for k in range(5)])
+    wide = wide.withColumn("kind", F.lit("validation"))
+    out = _scratch(spark, "learning_scores")
+    SNK.write_scores(wide, out)
+    return SRC.load_learning_curves(spark, out).select("modality", "train_size", "kind", "cv_split", "score")
+
+
+@register("src_gs_roundtrip", rounded(with_views("""
+SELECT 'rf' AS model, modality, split, avg(price_pred) AS mean_test_score_gs,
+       CAST(CASE WHEN split > 5 THEN 0 ELSE split * 5 END AS BIGINT) AS max_depth
+FROM pred GROUP BY modality, split""", "pred"), ["mean_test_score_gs"]))
+def q_gs_roundtrip(spark, sf):
+    """SRC11: search results stored with unlimited depth as NULL, loaded with NULL -> 0."""
+    p = V.pred(spark, sf)
+    gs = p.groupBy("modality", "split").agg(F.avg("price_pred").alias("mean_test_score_gs")).select(
+        F.lit("rf").alias("model"), "modality", "split", "mean_test_score_gs",
+        F.when(F.col("split") > 5, F.lit(None)).otherwise(F.col("split") * 5).cast("bigint").alias("max_depth"))
+    out = _scratch(spark, "gs")
+    SNK.write_predictions(gs, out)
+    return SRC.load_gs(spark, out, "rf", ["A", "N", "R"]).select(
+        "model", "modality", "split", "mean_test_score_gs", "max_depth")
+
+
+_EMPTY_SQL = f"SELECT roi, x, y, z FROM roi WHERE roi NOT IN (SELECT roi FROM ({_MEMBERS_SQL}))"
+
+
+@register("snk_excluded_rois_json", with_views(f"""
+SELECT 'all' AS subject, 's1' AS session, CAST(x AS VARCHAR) AS run, CAST(roi AS VARCHAR) AS roi, x, y, z
+FROM ({_EMPTY_SQL}) e""", "voxel", "roi"))
+def q_excluded_json(spark, sf):
+    """SNK3: empty ROIs as nested JSON {run: {roi: [x, y, z]}}, read back and flattened."""
+    e = S.empty_rois(V.roi(spark, sf), V.voxel(spark, sf), 5.0)
+    ex = e.select(F.lit("all").alias("subject"), F.lit("s1").alias("session"), F.col("x").alias("run"),
+                  "roi", "x", "y", "z")
+    out = _scratch(spark, "excluded_rois")
+    SNK.write_excluded_rois(ex, out)
+    js = spark.read.schema("subject string, session string, excluded_rois map<string, map<string, array<int>>>"
+                           ).json(out)
+    runs = js.select("subject", "session", F.explode("excluded_rois").alias("run", "rois"))
+    flat = runs.select("subject", "session", "run", F.explode("rois").alias("roi", "xyz"))
+    return flat.select("subject", "session", "run", "roi", F.get("xyz", 0).alias("x"), F.get("xyz", 1).alias("y"),
+                       F.get("xyz", 2).alias("z"))
+
+
+@register("snk_split_members_roundtrip", with_views(
+    "WITH " + _SPLIT_CTES + "\nSELECT split, subject, role FROM __sp", "targets"))
+def q_members_roundtrip(spark, sf):
+    """SNK5: split membership written and read back."""
+    from cohortlens.operators import splits as SP
+    m = SP.stratified_shuffle_splits(SP.stratify(V.targets(spark, sf), _T), _N_SPLITS, seed=_SEED)
+    out = _scratch(spark, "split_members")
+    SNK.write_split_members(m, out)
+    return spark.read.parquet(out).select("split", "subject", "role")
+
+
+@register("snk_edges_roundtrip", rounded(with_views(CN.corr_sql("signal"), "signal"), ["r"]))
+def q_edges_roundtrip(spark, sf):
+    """SNK2: per-run correlation edges written by subject and read back."""
+    e = S.correlation_edges(V.signal(spark, sf), ["subject", "run"])
+    out = _scratch(spark, "edges")
+    SNK.write_edges(e, out)
+    # explicit schema: the partition folder value 'subject=2' must stay a string
+    return spark.read.schema(e.schema).parquet(out).select("subject", "run", "i", "j", "r")
+
+
+@register("src_load_table_weights", rounded(with_views("""
+SELECT t.subject, t.acctbal, t.total_price, CASE WHEN t.acctbal > 0 THEN 2.0 ELSE 1.0 END AS weight
+FROM targets t JOIN customer c ON t.subject = CAST(c.c_custkey AS VARCHAR)
+WHERE c.c_mktsegment = 'MACHINERY'""", "targets"), ["acctbal", "total_price", "weight"]))
+def q_load_table(spark, sf):
+    """SRC8+SRC9: target table and sample weights stored, loaded for requested subjects, left-aligned."""
+    y = V.targets(spark, sf)
+    out_y, out_w = _scratch(spark, "targets"), _scratch(spark, "weights")
+    y.write.mode("overwrite").parquet(out_y)
+    y.select("subject", F.when(F.col("acctbal") > 0, 2.0).otherwise(1.0).alias("weight")).write.mode(
+        "overwrite").parquet(out_w)
+    req = V.table(spark, sf, "customer").filter("c_mktsegment = 'MACHINERY'").select(
+        F.col("c_custkey").cast("string").alias("subject"))
+    yt = SRC.load_table(spark, out_y, req)
+    return yt.join(SRC.read_sample_weights(spark, out_w, yt), "subject").select(
+        "subject", "acctbal", "total_price", "weight")

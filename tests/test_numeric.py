@@ -137,3 +137,30 @@ def test_weighted_r2_and_f1(spark):
     f1 = M.calc_metrics(c, ["t"], ["f1"]).first().f1_t
     # class 0: tp1 fp1 fn0 -> 2/3; class 1: tp1 fp1 fn1 -> 1/2; class 2: 0
     assert math.isclose(f1, (2 / 3 + 1 / 2 + 0) / 3)
+
+
+def test_regress_confounds_matches_lstsq(spark):
+    rng = np.random.default_rng(17)
+    T, R, k = 40, 5, 3
+    rows, crow = [], []
+    want = {}
+    for run in range(2):
+        X = rng.normal(size=(T, k)) + np.arange(T)[:, None] * 0.01
+        Y = X @ rng.normal(size=(k, R)) + rng.normal(size=(T, R)) + 3.0
+        # confounds are detrended and standardised per run before the regression
+        A = np.c_[np.ones(T), np.arange(T)]
+        Xd = X - A @ np.linalg.lstsq(A, X, rcond=None)[0]
+        Xs = (Xd - Xd.mean(0)) / Xd.std(0)
+        D = np.c_[np.ones(T), Xs]
+        res = Y - D @ np.linalg.lstsq(D, Y, rcond=None)[0]
+        for t in range(T):
+            crow.append(("s", run, t, *map(float, X[t])))
+            for r in range(R):
+                rows.append(("s", run, t, r, float(Y[t, r])))
+                want[(run, t, r)] = res[t, r]
+    sig = spark.createDataFrame(rows, "subject string, run int, t long, roi int, value double")
+    conf = spark.createDataFrame(crow, "subject string, run int, t long, c0 double, c1 double, c2 double")
+    got = S.regress_confounds(sig, conf, ["subject", "run"], ["c0", "c1", "c2"]).collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert math.isclose(r.value, want[(r.run, r.t, r.roi)], rel_tol=1e-8, abs_tol=1e-9)
