@@ -298,3 +298,31 @@ def sorted_columns(df: DataFrame, first: Iterable[str] = ()) -> DataFrame:
     """SRT2: columns in sorted order (optionally some first)."""
     first = list(first)
     return df.select(*first, *sorted(c for c in df.columns if c not in first))
+
+
+# ---------------------------------------------------------------- user-defined per-group functions (UDF1)
+
+def apply_per_group(df: DataFrame, keys: Sequence[str], fn, schema: str) -> DataFrame:
+    """UDF1: run a pandas function on every group (``applyInPandas``).
+
+    ``fn(pdf) -> scalar | dict | DataFrame``: a scalar becomes one column
+    ``value``, a dict one row with several columns.  Built-in metrics should be
+    preferred (they are partial aggregates); a group is handed to ``fn`` whole,
+    so use this only for groups of bounded size.
+    """
+    import pandas as pd
+    keys = list(keys)
+
+    def run(pdf):
+        out = fn(pdf)
+        if isinstance(out, pd.DataFrame):
+            res = out
+        elif isinstance(out, dict):
+            res = pd.DataFrame([out])
+        else:
+            res = pd.DataFrame({"value": [out]})
+        for k in keys:
+            res.insert(0, k, pdf[k].iloc[0]) if k not in res.columns else None
+        return res
+
+    return df.groupBy(*keys).applyInPandas(run, schema)

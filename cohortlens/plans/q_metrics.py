@@ -192,3 +192,44 @@ def q_compare(spark, sf):
     """AGG12: per modality, how often R² beats squared correlation over splits."""
     wide = M.calc_metrics(V.pred(spark, sf), Y, ["r2", "pearsonr2"], kind="test")
     return M.compare_distributions(wide, "r2_price", "pearsonr2_price", ["modality"])
+
+
+# ---------------------------------------------------------------- counts, first splits, per-group UDF
+
+@register("agg_counts", """
+SELECT modality, count(DISTINCT split) AS n_splits, count(DISTINCT subject) AS n_subjects, count(*) AS n_rows
+FROM (""" + V.PRED_SQL + """) p GROUP BY modality""")
+def q_counts(spark, sf):
+    """AGG15: number of splits, subjects and prediction rows per modality."""
+    p = V.pred(spark, sf)
+    return p.groupBy("modality").agg(F.countDistinct("split").alias("n_splits"),
+                                     F.countDistinct("subject").alias("n_subjects"),
+                                     F.count(F.lit(1)).alias("n_rows"))
+
+
+_FIRST_INNER, _ = _metrics_sql(False, ["r2"], False, "test")
+
+
+@register("win_first_splits", rounded(f"""
+WITH pred AS ({V.PRED_SQL}), {_means_cte('pred', Y)}
+SELECT * FROM ({_FIRST_INNER}) w WHERE split < 4""", ["r2_price", "r2_tax"]))
+def q_first_splits(spark, sf):
+    """WIN9: keep the first n (=4) splits of a metrics table (numeric split order)."""
+    wide = M.calc_metrics(V.pred(spark, sf), Y, ["r2"], kind="test")
+    return wide.filter(F.col("split") < 4)
+
+
+@register("udf_apply_per_group", rounded(f"""
+WITH pred AS ({V.PRED_SQL}), {_means_cte('pred', Y)}
+SELECT modality, split, r2_price AS value FROM ({_FIRST_INNER}) w""", ["value"]))
+def q_udf(spark, sf):
+    """UDF1: a pandas closure (R² of price) applied per (modality, split) group."""
+    from cohortlens.operators.tidy import apply_per_group
+
+    def r2(pdf):
+        y, p = pdf["price"].to_numpy(), pdf["price_pred"].to_numpy()
+        ss = ((y - y.mean()) ** 2).sum()
+        return float(1.0 - ((y - p) ** 2).sum() / ss) if ss > 0 else 0.0
+
+    d = V.pred(spark, sf).select("modality", "split", "price", "price_pred")
+    return apply_per_group(d, ["modality", "split"], r2, "modality string, split int, value double")

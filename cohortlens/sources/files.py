@@ -164,11 +164,16 @@ def file_inventory(spark: SparkSession, root: str, glob: str = "*") -> DataFrame
 
 # ---------------------------------------------------------------- SRC7 - SRC13 (Parquet stores)
 
+FEATURE_SCHEMA = "subject string, name string, value double, kind string, session string"
+
+
 def load_features(spark: SparkSession, base: str, kind: str, subjects: DataFrame | None = None) -> DataFrame:
     """SRC7: long features of one kind from a store partitioned by kind/session.
 
-    Partition pruning on ``kind``; optional left-semi join on requested subjects."""
-    df = spark.read.parquet(base).filter(F.col("kind") == kind)
+    Explicit schema (a session folder like 'ses-0129' must not become an
+    integer); partition pruning on ``kind``; optional left-semi join on the
+    requested subjects."""
+    df = spark.read.schema(FEATURE_SCHEMA).parquet(base).filter(F.col("kind") == kind)
     if subjects is not None:
         df = df.join(subjects.select("subject"), "subject", "left_semi")
     return df
