@@ -368,3 +368,24 @@ def q_load_table(spark, sf):
     yt = SRC.load_table(spark, out_y, req)
     return yt.join(SRC.read_sample_weights(spark, out_w, yt), "subject").select(
         "subject", "acctbal", "total_price", "weight")
+
+
+@register("stream_incremental_features", rounded(with_views(
+    "SELECT s.subject, 'fs__vol__' || s.struct AS name, s.value / nullif(e.value, 0) AS value "
+    "FROM stats s JOIN (SELECT subject, value FROM stats WHERE struct = 'eTIV') e ON s.subject = e.subject "
+    "WHERE s.struct <> 'eTIV'", "stats"), ["value"]))
+def q_incremental(spark, sf):
+    """Streaming (availableNow): statistics files picked up incrementally, features stored per subject."""
+    from cohortlens.streaming.incremental import run_incremental_features
+    st = V.stats(spark, sf)
+    lines = st.select("subject", F.when(F.col("struct") == "eTIV", F.concat(
+        F.lit("# Measure EstimatedTotalIntraCranialVol, eTIV, Estimated Total Intracranial Volume, "),
+        F.col("value").cast("string"), F.lit(", mm^3"))).otherwise(F.concat_ws(
+            " ", F.lit(" 1"), F.lit("4"), F.lit("100"), F.col("value").cast("string"), "struct",
+            F.lit("0.0"), F.lit("0.0"), F.lit("0.0"), F.lit("0.0"), F.lit("0.0"))).alias("line"))
+    src, out = _scratch(spark, "stream-stats"), _scratch(spark, "stream-features")
+    (lines.select(F.concat(F.lit("sub-"), "subject").alias("d"), "line").repartition("d")
+     .write.mode("overwrite").partitionBy("d").text(src))
+    run_incremental_features(spark, src + "/*/*.txt", out, checkpoint=_scratch(spark, "stream-ckpt"), kind="aseg")
+    schema = "name string, value double, kind string, session string, subject string"
+    return spark.read.schema(schema).parquet(out).select("subject", "name", "value")

@@ -125,6 +125,12 @@ def read_stats_text(spark: SparkSession, path: str, kind: str | None = None) ->
     lh/rh (or NULL).
     """
     lines = spark.read.text(path).select(path_col().alias("path"), F.col("value").alias("line"))
+    return parse_stats_lines(lines, kind)
+
+
+def parse_stats_lines(lines: DataFrame, kind: str | None = None) -> DataFrame:
+    """SRC4/SRC5 parser over (path, line) rows — shared by the batch reader and
+    the incremental (streaming) job."""
     fname = F.regexp_extract("path", r"([^/]+)$", 1)
     lines = lines.select(
         "path", "line",
