@@ -409,3 +409,87 @@ def regress_confounds(signal: DataFrame, confounds: DataFrame, run_keys: Sequenc
 
     schema = ", ".join(key_fields + [f"{t} bigint", f"{roi} int", f"{value} double"])
     return rows.select("split", *keys, F.col(t).cast("bigint").alias(t), "x", "y").mapInPandas(residual, schema)
+
+
+# ---------------------------------------------------------------- Gram path for complete signals (AGG1, AGG2)
+
+def _wide_by_time(signal: DataFrame, run_keys: Sequence[str], t: str, roi: str, value: str) -> DataFrame:
+    """(run keys, t, rois array, values array) — one row per time point; the
+    group of a (run, t) is one atlas (bounded)."""
+    packed = signal.groupBy(*run_keys, t).agg(F.array_sort(F.collect_list(F.struct(
+        F.col(roi).alias("r"), F.col(value).cast("double").alias("v")))).alias("__p"))
+    return packed.select(*run_keys, t, F.col("__p.r").alias("__rois"), F.col("__p.v").alias("__x"),
+                         F.xxhash64(*run_keys).alias("__run"))
+
+
+def _gram_edges(signal: DataFrame, run_keys: Sequence[str], shrink: bool, t: str, roi: str,
+                value: str) -> DataFrame:
+    keys = list(run_keys)
+    sig = center(signal.select(*keys, t, roi, value), keys + [roi], value)
+    wide = _wide_by_time(sig, keys, t, roi, value)
+
+    def part(it):
+        import pandas as pd
+        acc = {}
+        for pdf in it:
+            for rid, g in pdf.groupby("__run"):
+                X = np.stack(g["__x"].to_numpy())
+                q = (X * X).sum(1)
+                cur = [X.shape[0], X.T @ X, float((q * q).sum()), list(g["__rois"].iloc[0])]
+                if rid in acc:
+                    a = acc[rid]
+                    a[0] += cur[0]
+                    a[1] += cur[1]
+                    a[2] += cur[2]
+                else:
+                    acc[rid] = cur
+        yield pd.DataFrame({"__run": list(acc), "n": [v[0] for v in acc.values()],
+                            "sxx": [v[1].ravel().tolist() for v in acc.values()],
+                            "b": [v[2] for v in acc.values()], "rois": [v[3] for v in acc.values()]})
+
+    parts = wide.select("__run", "__rois", "__x").mapInPandas(
+        part, "__run long, n long, sxx array<double>, b double, rois array<int>")
+
+    def merge(pdf):
+        import pandas as pd
+        rois = list(pdf["rois"].iloc[0])
+        p = len(rois)
+        n = float(pdf["n"].sum())
+        sxx = np.sum(np.stack(pdf["sxx"].to_numpy()), axis=0).reshape(p, p)
+        S_ = sxx / n
+        if shrink:
+            mu = np.trace(S_) / p
+            ss = (S_ * S_).sum()
+            beta = (float(pdf["b"].sum()) / n - ss) / (p * n)
+            delta = (ss - 2.0 * mu * np.trace(S_) + p * mu * mu) / p
+            beta = min(beta, delta)
+            s = 0.0 if beta == 0 else beta / delta
+            S_ = (1.0 - s) * S_ + s * mu * np.eye(p)
+        d = np.sqrt(np.diag(S_))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            R = S_ / np.outer(d, d)
+        iu, ju = np.triu_indices(p, 1)
+        r = R[iu, ju]
+        r = np.where(np.isfinite(r), r, np.nan)
+        return pd.DataFrame({"__run": int(pdf["__run"].iloc[0]), "i": np.asarray(rois)[iu],
+                             "j": np.asarray(rois)[ju], "r": r})
+
+    edges = parts.groupBy("__run").applyInPandas(merge, "__run long, i int, j int, r double")
+    runs = F.broadcast(wide.select("__run", *keys).distinct())   # one row per run
+    out = edges.join(runs, "__run").select(*keys, "i", "j", "r")
+    return out.withColumn("r", F.when(~F.isnan("r"), F.col("r")))
+
+
+def correlation_edges_gram(signal: DataFrame, run_keys: Sequence[str], t: str = "t", roi: str = "roi",
+                           value: str = "value") -> DataFrame:
+    """AGG1 for complete signals (every ROI at every time point): per-run
+    centred XᵀX from map-side partials — T·R values per run are read once
+    instead of T·R²/2 joined pairs.  Edges i < j; constant ROI -> NULL."""
+    return _gram_edges(signal, run_keys, False, t, roi, value)
+
+
+def shrunk_correlation_edges_gram(signal: DataFrame, run_keys: Sequence[str], t: str = "t", roi: str = "roi",
+                                  value: str = "value") -> DataFrame:
+    """AGG2 (Ledoit–Wolf) on the Gram path: the same three aggregates as
+    ``shrunk_correlation_edges`` (S, Σ_t(Σ_i x²)², trace) from map-side partials."""
+    return _gram_edges(signal, run_keys, True, t, roi, value)

@@ -31,7 +31,7 @@ def clean_signal(signal: DataFrame) -> DataFrame:
 
 def run_mean_z(signal: DataFrame, clean: bool) -> DataFrame:
     sig = clean_signal(signal) if clean else signal
-    z = S.to_fisher_z(S.correlation_edges(sig, RUN))
+    z = S.to_fisher_z(S.correlation_edges_gram(sig, RUN))
     return S.mean_over_runs(z, ["subject"])
 
 
@@ -67,12 +67,13 @@ def excluded_rois(signal: DataFrame) -> DataFrame:
 
 
 def excluded_edges(signal: DataFrame) -> DataFrame:
-    e = S.correlation_edges(signal, RUN)
+    e = S.correlation_edges_gram(signal, RUN)
     return S.exclude_rois(e, excluded_rois(signal)).select("subject", "run", "i", "j", "r")
 
 
 def symmetry_check(signal: DataFrame) -> DataFrame:
-    e = S.correlation_edges(signal, RUN, both_directions=True)
+    up = S.correlation_edges_gram(signal, RUN)
+    e = up.unionByName(up.select(*RUN, F.col("j").alias("i"), F.col("i").alias("j"), "r"))
     e = e.withColumn("r", F.when((F.col("i") == 0) & (F.col("j") == 1), F.lit(999.0)).otherwise(F.col("r")))
     return S.symmetry_violations(e, RUN)
 

@@ -95,13 +95,13 @@ def q_band_pass(spark, sf):
 @register("agg_correlation", rounded(with_views(CN.corr_sql("signal"), "signal"), ["r"]))
 def q_correlation(spark, sf):
     """JOIN12+AGG1: Pearson r per (subject, run) and ROI pair i < j."""
-    return S.correlation_edges(V.signal(spark, sf), ["subject", "run"])
+    return S.correlation_edges_gram(V.signal(spark, sf), ["subject", "run"])
 
 
 @register("agg_shrunk_correlation", rounded(with_views(CN.shrunk_sql("signal"), "signal"), ["r"]))
 def q_shrunk(spark, sf):
     """AGG2: Ledoit-Wolf shrunk correlation per (subject, run), i < j."""
-    return S.shrunk_correlation_edges(V.signal(spark, sf), ["subject", "run"])
+    return S.shrunk_correlation_edges_gram(V.signal(spark, sf), ["subject", "run"])
 
 
 @register("agg_network_means", rounded(with_views(CN.network_means_sql("signal", clean=False), "signal"), ["z"]))

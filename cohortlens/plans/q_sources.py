@@ -345,7 +345,7 @@ def q_members_roundtrip(spark, sf):
 @register("snk_edges_roundtrip", rounded(with_views(CN.corr_sql("signal"), "signal"), ["r"]))
 def q_edges_roundtrip(spark, sf):
     """SNK2: per-run correlation edges written by subject and read back."""
-    e = S.correlation_edges(V.signal(spark, sf), ["subject", "run"])
+    e = S.correlation_edges_gram(V.signal(spark, sf), ["subject", "run"])
     out = _scratch(spark, "edges")
     SNK.write_edges(e, out)
     # explicit schema: the partition folder value 'subject=2' must stay a string
