@@ -41,6 +41,24 @@ def align_polarity(y: DataFrame, targets: Sequence[str], key: Sequence[str] = ("
     return y.select(*key, *[(F.lit(sign[t]) * F.col(t)).alias(t) for t in targets])
 
 
+def aligned_zscore(y: DataFrame, targets: Sequence[str], key: Sequence[str] = ("subject",)) -> DataFrame:
+    """PRJ14 then WIN3 from one global aggregate: correlations, means and sds
+    of the raw targets (negating a column negates its mean, keeps its sd)."""
+    first = targets[0]
+    row = y.agg(*[safe_corr(first, t).alias(f"c_{t}") for t in targets],
+                *[F.avg(t).alias(f"m_{t}") for t in targets],
+                *[F.stddev_pop(t).alias(f"s_{t}") for t in targets]).first()
+    out = []
+    for t in targets:
+        c, m, s = row[f"c_{t}"], row[f"m_{t}"], row[f"s_{t}"]
+        sign = -1.0 if (c is not None and c < 0) else 1.0
+        if m is None or not s:
+            out.append(F.lit(None).cast("double").alias(t))
+        else:
+            out.append(((F.lit(sign) * F.col(t) - F.lit(sign * m)) / F.lit(s)).alias(t))
+    return y.select(*key, *out)
+
+
 def zscore(y: DataFrame, targets: Sequence[str], key: Sequence[str] = ("subject",)) -> DataFrame:
     """WIN3: (y - mean) / population sd over all rows; constant -> NULL.
 
@@ -61,81 +79,95 @@ def zscore(y: DataFrame, targets: Sequence[str], key: Sequence[str] = ("subject"
 # ---------------------------------------------------------------- exact quantiles
 
 def exact_percentiles(df: DataFrame, c: str, probs: Sequence[float], accuracy: int = 20000,
-                      max_bracket: int = 2_000_000) -> list[float | None]:
+                      max_bracket: int = 1_000_000) -> list[float | None]:
     """Exact linear-interpolation percentiles of column ``c`` (NULLs ignored).
 
-    Two passes, distributed: ``percentile_approx`` gives brackets around the
-    needed order statistics; one more aggregate counts values below each
-    bracket; only the values inside the brackets (about n/accuracy each) reach
-    the driver, where the exact order statistics are read off.  Brackets that
-    miss are widened and retried.
+    Distributed and skew-safe:
+
+    1. one aggregate: count and ``percentile_approx`` at p ± eps (brackets);
+    2. one aggregate: per bracket, values below / inside;
+    3. the order statistic of a rank inside a bracket is read from the values
+       of that bracket — known without collecting when the bracket is a single
+       (tied) value, else gathered by a filter when at most ``max_bracket``
+       values fall inside (about n·2·eps), else taken with Spark's exact
+       ``percentile`` restricted to the bracket.
+    Brackets that miss their rank are widened and retried.
     """
-    x = F.col(c)
-    base = df.select(x.alias("v")).filter(F.col("v").isNotNull())
+    base = df.select(F.col(c).alias("v")).filter(F.col("v").isNotNull())
     eps = 2.0 / accuracy
-    qs = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-4 * eps, -eps, eps, 4 * eps)})
-    first = base.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("v", qs, accuracy).alias("e")).first()
+    first = base.agg(F.count(F.lit(1)).alias("n"),
+                     F.percentile_approx("v", sorted({min(1.0, max(0.0, p + d)) for p in probs
+                                                      for d in (-eps, eps)}), accuracy).alias("e")).first()
     n = first["n"]
     if n == 0:
         return [None] * len(probs)
     ranks = sorted({r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))})
-    approx = dict(zip(qs, first["e"]))
-    for _ in range(6):
+    stat: dict[int, float] = {}
+    for attempt in range(6):
         qs = sorted({min(1.0, max(0.0, r / max(n - 1, 1) + d)) for r in ranks for d in (-eps, eps)})
-        if not all(q in approx for q in qs):
-            edges = base.agg(F.percentile_approx("v", qs, accuracy).alias("e")).first()["e"]
-            approx.update(zip(qs, edges))
-        bounds = approx
-        brackets = []
-        for r in ranks:
-            p = r / max(n - 1, 1)
-            lo = bounds[min(1.0, max(0.0, p - eps))]
-            hi = bounds[min(1.0, max(0.0, p + eps))]
-            brackets.append((r, lo, hi))
-        # merge overlapping brackets into intervals
-        ivs = []
-        for _, lo, hi in sorted(brackets, key=lambda b: b[1]):
-            if ivs and lo <= ivs[-1][1]:
-                ivs[-1][1] = max(ivs[-1][1], hi)
-            else:
-                ivs.append([lo, hi])
+        e = base.agg(F.percentile_approx("v", qs, accuracy).alias("e")).first()["e"] if attempt else None
+        bounds = dict(zip(qs, e)) if e is not None else None
+        if bounds is None:  # first attempt: brackets around the probabilities themselves
+            qs0 = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
+            b0 = dict(zip(qs0, first["e"]))
+            rank_p = {r: min((p for p in probs if r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))))
+                      for r in ranks}
+            br = {r: (b0[min(1.0, max(0.0, rank_p[r] - eps))], b0[min(1.0, max(0.0, rank_p[r] + eps))])
+                  for r in ranks}
+        else:
+            br = {r: (bounds[min(1.0, max(0.0, r / max(n - 1, 1) - eps))],
+                      bounds[min(1.0, max(0.0, r / max(n - 1, 1) + eps))]) for r in ranks}
+        ivs = sorted({v for v in br.values()})
         aggs = []
         for k, (lo, hi) in enumerate(ivs):
             aggs.append(F.count(F.when(F.col("v") < lo, 1)).alias(f"b{k}"))
             aggs.append(F.count(F.when((F.col("v") >= lo) & (F.col("v") <= hi), 1)).alias(f"i{k}"))
         cnt = base.agg(*aggs).first()
-        ok = True
-        need = {}
+        missing = []
         for r in ranks:
-            for k, (lo, hi) in enumerate(ivs):
-                below, inside = cnt[f"b{k}"], cnt[f"i{k}"]
-                if below <= r < below + inside:
-                    need[r] = k
-                    break
-            else:
-                ok = False
-        if ok and all(cnt[f"i{k}"] <= max_bracket for k in range(len(ivs))):
+            k = ivs.index(br[r])
+            lo, hi = ivs[k]
+            below, inside = cnt[f"b{k}"], cnt[f"i{k}"]
+            if not (below <= r < below + inside):
+                missing.append(r)
+            elif lo == hi:
+                stat[r] = lo                                   # a tie: the value is known
+        todo = [r for r in ranks if r not in stat and r not in missing]
+        small = [r for r in todo if cnt[f"i{ivs.index(br[r])}"] <= max_bracket]
+        if small:
+            used = sorted({ivs.index(br[r]) for r in small})
             cond = None
-            for lo, hi in ivs:
+            for k in used:
+                lo, hi = ivs[k]
                 cc = (F.col("v") >= lo) & (F.col("v") <= hi)
                 cond = cc if cond is None else (cond | cc)
-            vals = sorted(r["v"] for r in base.filter(cond).collect())
-            # position of interval k's first element within the sorted collected values
-            starts, acc = [], 0
-            for k in range(len(ivs)):
-                starts.append(acc)
-                acc += cnt[f"i{k}"]
-            stat = {r: vals[starts[need[r]] + r - cnt[f"b{need[r]}"]] for r in ranks}
-            out = []
-            for p in probs:
-                h = p * (n - 1)
-                lo_r, hi_r = math.floor(h), math.ceil(h)
-                a, b = stat[lo_r], stat[hi_r]
-                out.append(a + (b - a) * (h - lo_r))
-            return out
+            got = sorted(r0["v"] for r0 in base.filter(cond).collect())
+            for r in small:
+                k = ivs.index(br[r])
+                lo, hi = ivs[k]
+                inside_vals = [v for v in got if lo <= v <= hi]
+                stat[r] = inside_vals[r - cnt[f"b{k}"]]
+        for r in todo:
+            if r in stat:
+                continue
+            k = ivs.index(br[r])
+            lo, hi = ivs[k]
+            frac = (r - cnt[f"b{k}"]) / max(cnt[f"i{k}"] - 1, 1)
+            stat[r] = base.filter((F.col("v") >= lo) & (F.col("v") <= hi)).agg(
+                F.percentile("v", F.lit(float(frac)))).first()[0]
+        if not missing:
+            break
+        ranks = missing
         eps *= 4
-    # fall back to Spark's exact percentile (single aggregation buffer)
-    return list(base.agg(F.percentile("v", F.array(*[F.lit(float(p)) for p in probs]))).first()[0])
+    else:
+        raise RuntimeError("exact_percentiles: brackets did not converge")
+    out = []
+    for p in probs:
+        h = p * (n - 1)
+        lo_r, hi_r = math.floor(h), math.ceil(h)
+        a, b = stat[lo_r], stat[hi_r]
+        out.append(a + (b - a) * (h - lo_r))
+    return out
 
 
 # fixed values: 20 quantile bins -> 21 equally spaced probabilities
@@ -157,10 +189,8 @@ def quantile_bins(df: DataFrame, c: str, probs: Sequence[float] = QUANTILE_PROBS
 
 def stratify(y: DataFrame, targets: Sequence[str], key: Sequence[str] = ("subject",)) -> DataFrame:
     """WIN6: polarity -> z-score -> row mean -> 20 quantile bins."""
-    y = y.select(*key, *targets).persist()  # several small global aggregates read it
-    al = align_polarity(y, targets, key)
-    z = zscore(al, targets, key)
-    zm = z.select(*key, row_mean(list(targets)).alias("z")).persist()
+    z = aligned_zscore(y.select(*key, *targets), targets, key)
+    zm = z.select(*key, row_mean(list(targets)).alias("z")).persist()   # read by the quantile passes
     return quantile_bins(zm, "z")
 
 

@@ -180,3 +180,24 @@ def q_grid(spark, sf):
 
 
 _ = (TD,)
+
+
+@register("snk_coefficients_roundtrip")
+def q_coefficients_roundtrip(spark, sf):
+    """SNK6+SRC13: ridge coefficients stored per (model, modality, split, feature), loaded for the first 3 splits."""
+    import uuid
+
+    from cohortlens.session import scratch_path
+    from cohortlens.sources import files as SRC
+    from cohortlens.sources import sinks as SNK
+    rows, names = ML.prepare(_rows(spark, sf), feature_names=FX)
+    coef, _ = L.ridge_cv(rows.filter("role = 'train'"))
+    nm = F.array(*[F.lit(n) for n in names])
+    long = coef.select("split", F.posexplode("w").alias("idx", "fi")).select(
+        F.lit("ridgecv").alias("model"), F.lit("orders").alias("modality"), "split",
+        F.element_at(nm, (F.floor(F.col("idx") / len(T)) + 1).cast("int")).alias("feature_name"),
+        (F.col("idx") % len(T)).cast("int").alias("target"), "fi")
+    out = scratch_path(spark, f"coefficients-{uuid.uuid4().hex[:12]}")
+    SNK.write_coefficients(long, out)
+    return SRC.load_feature_importances(spark, out, n_splits=3).select(
+        "model", "modality", "split", "feature_name", "target", "fi")

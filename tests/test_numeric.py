@@ -164,3 +164,10 @@ def test_regress_confounds_matches_lstsq(spark):
     assert len(got) == len(want)
     for r in got:
         assert math.isclose(r.value, want[(r.run, r.t, r.roi)], rel_tol=1e-8, abs_tol=1e-9)
+
+
+def test_exact_percentiles_heavy_tie(spark):
+    v = np.r_[np.full(4000, 7.0), np.arange(2000, dtype=float)]
+    df = spark.createDataFrame([(float(a),) for a in v], "z double")
+    got = SP.exact_percentiles(df, "z", SP.QUANTILE_PROBS, accuracy=200, max_bracket=50)
+    assert np.allclose(got, np.percentile(v, np.array(SP.QUANTILE_PROBS) * 100), rtol=0, atol=1e-12)
