@@ -84,7 +84,8 @@ def density_weights(y: DataFrame, targets: Sequence[str], key: str = "subject",
                     m = np.einsum("ra,rb,rc->abc", Pm[:, 0, :], Pm[:, 1, :], Pm[:, 2, :])
                 k = tuple(int(v) for v in c)
                 acc[k] = acc[k] + m if k in acc else m
-        yield pd.DataFrame({"cell": [list(k) for k in acc], "m": [v.ravel().tolist() for v in acc.values()]})
+        if acc:
+            yield pd.DataFrame({"cell": [list(k) for k in acc], "m": [v.ravel().tolist() for v in acc.values()]})
 
     parts = pts.mapInPandas(moments, "cell array<bigint>, m array<double>")
 

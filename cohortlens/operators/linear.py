@@ -59,8 +59,9 @@ def column_means(rows: DataFrame, x_col: str = "x") -> DataFrame:
                 a[0] += np.where(ok, X, 0.0).sum(0)
                 a[1] += ok.sum(0)
                 a[2] += X.shape[0]
-        yield pd.DataFrame({"split": list(acc), "s": [v[0].tolist() for v in acc.values()],
-                            "c": [v[1].tolist() for v in acc.values()], "n": [v[2] for v in acc.values()]})
+        if acc:
+            yield pd.DataFrame({"split": list(acc), "s": [v[0].tolist() for v in acc.values()],
+                                "c": [v[1].tolist() for v in acc.values()], "n": [v[2] for v in acc.values()]})
 
     parts = rows.select("split", x_col).mapInPandas(part, "split int, s array<double>, c array<double>, n long")
 
@@ -107,7 +108,8 @@ def moments(rows: DataFrame, x_col: str = "x", y_col: str = "y") -> DataFrame:
         out = []
         for s, (n, mx, my, cxx, cxy, cyy) in acc.items():
             out.append((s, n, mx.tolist(), my.tolist(), cxx.ravel().tolist(), cxy.ravel().tolist(), cyy.tolist()))
-        yield pd.DataFrame(out, columns=["split", "n", "mx", "my", "cxx", "cxy", "cyy"])
+        if out:   # an empty partition yields nothing
+            yield pd.DataFrame(out, columns=["split", "n", "mx", "my", "cxx", "cxy", "cyy"])
 
     parts = rows.select("split", x_col, y_col).mapInPandas(part, MOMENTS_SCHEMA)
 
@@ -212,8 +214,9 @@ def ridge_cv(train_rows: DataFrame, alphas: Sequence[float] = RIDGE_ALPHAS, x_co
                 e = (Y[:, None, :] - yhat) / (1.0 - h)[:, :, None]
                 sse = (e * e).sum(axis=(0, 2))                   # per alpha
                 acc[int(s)] = acc.get(int(s), 0.0) + sse
-        yield pd.DataFrame([(s, i, float(v)) for s, a in acc.items() for i, v in enumerate(a)],
-                           columns=["split", "a", "sse"])
+        if acc:
+            yield pd.DataFrame([(s, i, float(v)) for s, a in acc.items() for i, v in enumerate(a)],
+                               columns=["split", "a", "sse"])
 
     sse = (train_rows.select("split", x_col, y_col).mapInPandas(loo, "split int, a int, sse double")
            .groupBy("split", "a").agg(F.sum("sse").alias("sse")).collect())
@@ -287,3 +290,96 @@ def pca_transform(rows: DataFrame, fitted: dict[int, tuple], x_col: str = "x", o
         dot = F.aggregate(F.zip_with(F.col(x_col), wc, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
         proj.append(F.get(F.col("__b"), ci) + dot)
     return j.withColumn(out_col, F.array(*proj)).drop("__W", "__b")
+
+
+# ---------------------------------------------------------------- iterative imputation (ML2)
+
+def bayesian_ridge(n: float, cxx: np.ndarray, cxy: np.ndarray, cyy: float, max_iter: int = 300,
+                   tol: float = 1e-3, a1: float = 1e-6, a2: float = 1e-6, l1: float = 1e-6,
+                   l2: float = 1e-6) -> np.ndarray:
+    """Bayesian ridge (evidence maximisation of the noise and weight
+    precisions) on centred statistics only: XᵀX, Xᵀy, yᵀy, n."""
+    eig, V = np.linalg.eigh(cxx)
+    eig = np.maximum(eig, 0.0)
+    xty = V.T @ cxy
+    alpha = 1.0 / (cyy / n + np.finfo(float).eps)
+    lam = 1.0
+    old = None
+    for it in range(max_iter):
+        coef = V @ (xty / (eig + lam / alpha))
+        rmse = cyy - 2.0 * coef @ cxy + coef @ cxx @ coef
+        gamma = np.sum(alpha * eig / (lam + alpha * eig))
+        lam = (gamma + 2 * l1) / (coef @ coef + 2 * l2)
+        alpha = (n - gamma + 2 * a1) / (max(rmse, 0.0) + 2 * a2)
+        if it and np.abs(old - coef).sum() < tol:
+            break
+        old = coef
+    return V @ (xty / (eig + lam / alpha))
+
+
+def iterative_impute(rows: DataFrame, k: int, max_iter: int = 10, tol: float = 1e-3, n_nearest: int = 50,
+                     x_col: str = "x") -> DataFrame:
+    """ML2: round-robin imputation fitted on each split's train rows.
+
+    Start from train means; then per round and per column with gaps (fewest
+    missing first) fit a Bayesian ridge of the column on the other columns
+    (the ``n_nearest`` most correlated ones) over train rows where it is
+    observed, and replace its missing entries in train and test rows.  Stops
+    when the largest row-wise absolute change of the train rows falls below
+    tol·max|observed|.  Every step is one moments job for all splits; the
+    table is checkpointed after each round to cut the lineage.
+    """
+    spark = rows.sparkSession
+    means = column_means(rows.filter("role = 'train'"))
+    m = F.broadcast(means.select("split", F.col("mean").alias("__mean")))
+    base = rows.join(m, "split").withColumn("__orig", F.col(x_col)).withColumn(
+        x_col, F.zip_with(F.col(x_col), F.col("__mean"), lambda a, b: F.coalesce(a, b, F.lit(0.0)))).drop("__mean")
+    stats = rows.select(*[F.count(F.when(F.get(F.col(x_col), j).isNull(), 1)).alias(f"m{j}") for j in range(k)],
+                        F.max(F.array_max(F.transform(F.col(x_col), lambda v: F.abs(v)))).alias("amax")).first()
+    gaps = sorted([j for j in range(k) if stats[f"m{j}"] > 0], key=lambda j: (stats[f"m{j}"], j))
+    if not gaps:
+        return rows
+    norm_tol = tol * (stats["amax"] or 0.0)
+    cur = base.checkpoint()
+    for _ in range(max_iter):
+        prev = cur
+        for c in gaps:
+            others = [j for j in range(k) if j != c]
+            fit_rows = cur.filter((F.col("role") == "train") & F.get(F.col("__orig"), c).isNotNull()).select(
+                "split", F.array(*[F.get(F.col(x_col), j) for j in others]).alias("__xo"),
+                F.array(F.get(F.col(x_col), c)).alias("__yc"))
+            mo = moments(fit_rows, "__xo", "__yc").collect()
+            tab = []
+            for r in mo:
+                kk = len(others)
+                cxx = np.asarray(r["cxx"]).reshape(kk, kk)
+                cxy = np.asarray(r["cxy"]).reshape(kk, 1)[:, 0]
+                use = np.arange(kk)
+                if kk > n_nearest:   # the n_nearest most correlated predictors
+                    sd = np.sqrt(np.maximum(np.diag(cxx), 1e-300))
+                    corr = np.abs(cxy / sd / np.sqrt(max(r["cyy"][0], 1e-300)))
+                    use = np.sort(np.argsort(-corr, kind="stable")[:n_nearest])
+                w = np.zeros(kk)
+                w[use] = bayesian_ridge(float(r["n"]), cxx[np.ix_(use, use)], cxy[use], float(r["cyy"][0]))
+                b = float(r["my"][0] - np.asarray(r["mx"]) @ w)
+                full = np.zeros(k)
+                full[others] = w
+                tab.append((int(r["split"]), full.tolist(), b))
+            coef = F.broadcast(spark.createDataFrame(tab, "split int, __w array<double>, __b double"))
+            dot = F.aggregate(F.zip_with(F.col(x_col), F.col("__w"), lambda a, b: a * b), F.lit(0.0),
+                              lambda acc, v: acc + v)
+            pred = F.col("__b") + dot
+            cur = cur.join(coef, "split", "left").withColumn(
+                x_col, F.transform(F.col(x_col), lambda v, i: F.when(
+                    (i == c) & F.get(F.col("__orig"), c).isNull() & F.col("__b").isNotNull(), pred).otherwise(v))
+            ).drop("__w", "__b")
+        cur = cur.checkpoint()
+        delta = (cur.filter("role = 'train'").select("split", "subject", F.col(x_col).alias("__new"))
+                 .join(prev.filter("role = 'train'").select("split", "subject", F.col(x_col).alias("__old")),
+                       ["split", "subject"])
+                 .select(F.aggregate(F.zip_with("__new", "__old", lambda a, b: F.abs(a - b)), F.lit(0.0),
+                                     lambda acc, v: acc + v).alias("d"))
+                 .agg(F.max("d")).first()[0])
+        if delta is not None and delta < norm_tol:
+            break
+    return cur.drop("__orig")

@@ -43,9 +43,10 @@ def spark_depth(d: int | None) -> int:
 # ---------------------------------------------------------------- preprocessing
 
 def prepare(rows: DataFrame, pca_block: Sequence[int] | None = None, n_components: int | None = None,
-            feature_names: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
-    """PCA on a column block (ML4), then mean imputation with missing
-    indicators (ML2) fitted on each split's train rows.
+            feature_names: Sequence[str] = (), imputer: str = "mean") -> tuple[DataFrame, list[str]]:
+    """PCA on a column block (ML4), then imputation with missing indicators
+    (ML2) fitted on each split's train rows: ``imputer`` 'mean' (the initial
+    strategy) or 'iterative' (round-robin Bayesian ridge, as the pipelines use).
 
     Returns the prepared rows and the model-input feature names:
     ``{p}pca_0..`` first, then the remaining columns, then ``{c}_missing``."""
@@ -63,7 +64,16 @@ def prepare(rows: DataFrame, pca_block: Sequence[int] | None = None, n_component
     means = L.column_means(rows.filter("role = 'train'"))
     flags = [r["any_missing"] for r in means.select("any_missing").collect()]
     ind = sorted({i for f in flags for i, v in enumerate(f) if v})
-    rows = L.impute_with_indicators(rows, means, ind)
+    indicators = [F.when(F.get(F.col("x"), i).isNull(), F.lit(1.0)).otherwise(F.lit(0.0)) for i in ind]
+    if imputer == "iterative":
+        rows = rows.withColumn("__ind", F.array(*indicators)) if ind else rows
+        rows = L.iterative_impute(rows, len(names))
+        if ind:
+            rows = rows.withColumn("x", F.concat("x", "__ind")).drop("__ind")
+    elif imputer == "mean":
+        rows = L.impute_with_indicators(rows, means, ind)
+    else:
+        raise ValueError(imputer)
     return rows, names + [f"{names[i]}_missing" for i in ind]
 
 
@@ -71,7 +81,8 @@ def prepare(rows: DataFrame, pca_block: Sequence[int] | None = None, n_component
 
 def learn_ridge(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Sequence[str],
                 members: DataFrame, seed: int = 1234, alphas=L.RIDGE_ALPHAS,
-                pca_block: Sequence[int] | None = None, n_components: int | None = None) -> dict:
+                pca_block: Sequence[int] | None = None, n_components: int | None = None,
+                imputer: str = "iterative") -> dict:
     """ML7+ML11+ML12+ML13: all splits at once.
 
     Returns DataFrames ``predictions`` (test), ``predictions_training``,
@@ -80,7 +91,7 @@ def learn_ridge(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Se
     """
     members = members.persist()          # read by the design rows and the permutation
     rows = L.design_rows(x, features, y, targets, members).persist()
-    rows, names = prepare(rows, pca_block, n_components, features)
+    rows, names = prepare(rows, pca_block, n_components, features, imputer=imputer)
     rows = rows.persist()
     train, test = rows.filter("role = 'train'"), rows.filter("role = 'test'")
     coef, _ = L.ridge_cv(train, alphas)
@@ -95,7 +106,7 @@ def learn_ridge(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Se
     truth_p = perm.filter("role = 'test'").select("split", "subject", *targets)
     pred_p = pred_p.join(truth_p, ["split", "subject"], "full")
     return {"predictions": _with_truth(pred, y, targets), "predictions_training": _with_truth(pred_train, y, targets),
-            "predictions_permuted": pred_p, "coefficients": coef, "feature_names": names}
+            "predictions_permuted": pred_p, "coefficients": coef, "feature_names": names, "rows": rows}
 
 
 def _with_truth(pred: DataFrame, y: DataFrame, targets: Sequence[str]) -> DataFrame:

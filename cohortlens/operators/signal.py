@@ -443,6 +443,8 @@ def _gram_edges(signal: DataFrame, run_keys: Sequence[str], shrink: bool, t: str
                     a[2] += cur[2]
                 else:
                     acc[rid] = cur
+        if not acc:
+            return
         yield pd.DataFrame({"__run": list(acc), "n": [v[0] for v in acc.values()],
                             "sxx": [v[1].ravel().tolist() for v in acc.values()],
                             "b": [v[2] for v in acc.values()], "rois": [v[3] for v in acc.values()]})

@@ -45,7 +45,7 @@ def learn(spark: SparkSession, sf: str, model_type: str = "ridgecv", n_splits: i
     if base == "ridgecv":
         return ML.learn_ridge(x, LEARN_FEATURES, y, T, members, SEED, pca_block=pca_block, n_components=n_pca)
     rows = L.design_rows(x, LEARN_FEATURES, y, T, members)
-    rows, names = ML.prepare(rows, pca_block, n_pca, LEARN_FEATURES)
+    rows, names = ML.prepare(rows, pca_block, n_pca, LEARN_FEATURES, imputer="iterative")
     wcol = None
     if weighted:
         z = SP.zscore(SP.align_polarity(y, T), T)
@@ -90,7 +90,7 @@ def learning_curve(spark: SparkSession, sf: str, modality: str = "orders") -> Da
     y = V.targets(spark, sf)
     members = ML.learning_curve_members(y.select("subject"))
     rows = L.design_rows(V.learn_x(spark, sf), LEARN_FEATURES, y, T, members.drop("size_idx", "fold"))
-    rows, _ = ML.prepare(rows, feature_names=LEARN_FEATURES)
+    rows, _ = ML.prepare(rows, feature_names=LEARN_FEATURES, imputer="iterative")
     rows = rows.persist()
     coef, _ = L.ridge_cv(rows.filter("role = 'train'"))
     pred = L.predict_linear(rows, coef, len(T), T).join(y.select("subject", *T), "subject")
@@ -128,10 +128,7 @@ def permutation_importance(spark: SparkSession, sf: str, n_repeats: int = 5, mod
     names = res["feature_names"]
     coef = res["coefficients"]
     k, t = len(names), len(T)
-    rows = L.design_rows(V.learn_x(spark, sf), LEARN_FEATURES, V.targets(spark, sf), T,
-                         _members(spark, sf, N_SPLITS))
-    rows, _ = ML.prepare(rows, feature_names=LEARN_FEATURES)
-    test = rows.filter("role = 'test'")
+    test = res["rows"].filter("role = 'test'")     # exactly the prepared rows the model saw
     pred = L.predict_linear(test.select("split", "subject", "role", "x", "y"), coef, t, T)
     base = test.select("split", "subject", "x", *[F.get(F.col("y"), i).alias(n) for i, n in enumerate(T)]).join(
         pred.select("split", "subject", *[f"{n}_pred" for n in T]), ["split", "subject"])
@@ -181,7 +178,7 @@ def classify_documents(spark: SparkSession, sf: str, n_splits: int = 2) -> DataF
     x, y = document_features(spark, sf)
     members = SP.stratified_shuffle_splits(y.withColumn("stratum", F.col("quality").cast("int")), n_splits, seed=SEED)
     rows = L.design_rows(x, DOC_FEATURES, y, ["quality"], members)
-    rows, _ = ML.prepare(rows, feature_names=DOC_FEATURES)
+    rows, _ = ML.prepare(rows, feature_names=DOC_FEATURES, imputer="iterative")
     rows = rows.persist()
     outs = []
     for s in range(n_splits):
@@ -196,7 +193,7 @@ def grid_search_table(spark: SparkSession, sf: str) -> DataFrame:
     y = V.targets(spark, sf)
     members = _members(spark, sf, 1)
     rows = L.design_rows(V.learn_x(spark, sf), LEARN_FEATURES, y, ["total_price"], members)
-    rows, _ = ML.prepare(rows, feature_names=LEARN_FEATURES)
+    rows, _ = ML.prepare(rows, feature_names=LEARN_FEATURES, imputer="iterative")
     train = rows.filter("role = 'train'").persist()
     _, results = ML.grid_search(train, ["total_price"], "basic", SEED, depths=SEARCH_DEPTHS,
                                 n_trees=SEARCH_TREES, parallelism=2)

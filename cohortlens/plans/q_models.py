@@ -103,7 +103,7 @@ def q_ridge_one(spark, sf):
 @register("ml_ridge_cv")
 def q_ridge_cv(spark, sf):
     """ML7: chosen alpha and coefficients per split (100 alphas, exact LOO)."""
-    rows, names = ML.prepare(_rows(spark, sf), feature_names=FX)
+    rows, names = ML.prepare(_rows(spark, sf), feature_names=FX, imputer="iterative")
     coef, _ = L.ridge_cv(rows.filter("role = 'train'"))
     return coef.select("split", "alpha", F.posexplode("w").alias("j", "w"))
 
@@ -131,6 +131,15 @@ def q_evaluate(spark, sf):
     return M.box_summary(M.metrics_to_long(wide, "r2", T, includes_average=True), "r2")
 
 
+@register("ml_iterative_impute")
+def q_iterative_impute(spark, sf):
+    """ML2: round-robin Bayesian-ridge imputation per split (fit on train rows), long form."""
+    rows, names = ML.prepare(_rows(spark, sf), feature_names=FX, imputer="iterative")
+    nm = F.array(*[F.lit(n) for n in names])
+    return rows.select("split", "subject", F.posexplode("x").alias("j", "value")).select(
+        "split", "subject", F.element_at(nm, F.col("j") + 1).alias("feature"), "value")
+
+
 @register("ml_pca")
 def q_pca(spark, sf):
     """ML4: scale + PCA(2) of the price block per split; the rest passes through."""

@@ -171,3 +171,63 @@ def test_exact_percentiles_heavy_tie(spark):
     df = spark.createDataFrame([(float(a),) for a in v], "z double")
     got = SP.exact_percentiles(df, "z", SP.QUANTILE_PROBS, accuracy=200, max_bracket=50)
     assert np.allclose(got, np.percentile(v, np.array(SP.QUANTILE_PROBS) * 100), rtol=0, atol=1e-12)
+
+
+def _bayes_ridge_svd(X, y, max_iter=300, tol=1e-3, e=1e-6):
+    Xc, yc = X - X.mean(0), y - y.mean()
+    U, Sv, Vh = np.linalg.svd(Xc, full_matrices=False)
+    eig = Sv ** 2
+    xty = Xc.T @ yc
+    alpha, lam, old = 1.0 / (np.var(yc) + np.finfo(float).eps), 1.0, None
+    n = len(y)
+    for it in range(max_iter):
+        coef = Vh.T @ (Vh @ xty / (eig + lam / alpha))
+        rmse = ((yc - Xc @ coef) ** 2).sum()
+        gamma = np.sum(alpha * eig / (lam + alpha * eig))
+        lam = (gamma + 2 * e) / (coef @ coef + 2 * e)
+        alpha = (n - gamma + 2 * e) / (rmse + 2 * e)
+        if it and np.abs(old - coef).sum() < tol:
+            break
+        old = coef
+    return Vh.T @ (Vh @ xty / (eig + lam / alpha))
+
+
+def test_bayesian_ridge_from_moments():
+    rng = np.random.default_rng(23)
+    X = rng.normal(size=(80, 4)) * [1, 5, 0.2, 3] + 10
+    y = X @ [0.3, -0.1, 2.0, 0.0] + rng.normal(size=80)
+    Xc, yc = X - X.mean(0), y - y.mean()
+    got = L.bayesian_ridge(80.0, Xc.T @ Xc, Xc.T @ yc, float(yc @ yc))
+    assert np.allclose(got, _bayes_ridge_svd(X, y), rtol=1e-8, atol=1e-10)
+
+
+def test_iterative_impute_matches_numpy(spark):
+    rng = np.random.default_rng(29)
+    n, k = 60, 4
+    X = rng.normal(size=(n, k)) @ rng.normal(size=(k, k)) + 5
+    miss = rng.random(size=(n, k)) < 0.15
+    miss[:, 3] = False
+    Xm = np.where(miss, np.nan, X)
+    role = np.array(["train"] * 45 + ["test"] * 15)
+    rows = spark.createDataFrame(
+        [(0, f"s{i:02d}", role[i], [None if np.isnan(v) else float(v) for v in Xm[i]], [0.0]) for i in range(n)],
+        "split int, subject string, role string, x array<double>, y array<double>")
+    got = {r.subject: r.x for r in L.iterative_impute(rows, k, max_iter=10).collect()}
+    # numpy version of the same algorithm
+    tr = role == "train"
+    F_ = np.where(np.isnan(Xm), np.nanmean(Xm[tr], axis=0), Xm)
+    gaps = sorted([j for j in range(k) if np.isnan(Xm[:, j]).any()], key=lambda j: (np.isnan(Xm[:, j]).sum(), j))
+    tol = 1e-3 * np.nanmax(np.abs(Xm))
+    for _ in range(10):
+        prev = F_.copy()
+        for c in gaps:
+            o = [j for j in range(k) if j != c]
+            fit = tr & ~np.isnan(Xm[:, c])
+            w = _bayes_ridge_svd(F_[fit][:, o], F_[fit][:, c])
+            b = F_[fit][:, c].mean() - F_[fit][:, o].mean(0) @ w
+            m = np.isnan(Xm[:, c])
+            F_[m, c] = b + F_[m][:, o] @ w
+        if np.abs(F_[tr] - prev[tr]).sum(1).max() < tol:
+            break
+    for i in range(n):
+        assert np.allclose(got[f"s{i:02d}"], F_[i], rtol=1e-7, atol=1e-7)
