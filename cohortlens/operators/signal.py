@@ -82,6 +82,28 @@ def standardize(df: DataFrame, series_keys: Sequence[str], value: str = "value")
     return df.join(st, list(series_keys)).withColumn(value, z).drop("__m", "__s")
 
 
+def detrend_standardize(df: DataFrame, series_keys: Sequence[str], t: str = "t", value: str = "value") -> DataFrame:
+    """SIG1 then SIG2 with one aggregate and one join per series.
+
+    The residual of the least-squares line has mean 0 and population variance
+    (Syy − Sxy²/Sxx)/n, so the z-scored residual needs only the built-in
+    regression aggregates (``regr_sxx``/``regr_syy``/``regr_sxy``, merged
+    stably); a series whose residual is constant becomes 0."""
+    tt = F.col(t).cast("double")
+    v = F.col(value)
+    fit = df.groupBy(*series_keys).agg(
+        F.regr_slope(v, tt).alias("__b"), F.regr_intercept(v, tt).alias("__a"),
+        F.regr_syy(v, tt).alias("__syy"), F.regr_sxy(v, tt).alias("__sxy"), F.regr_sxx(v, tt).alias("__sxx"),
+        F.regr_count(v, tt).alias("__n"))
+    ssr = F.col("__syy") - F.coalesce(safe_div(F.col("__sxy") * F.col("__sxy"), F.col("__sxx")), F.lit(0.0))
+    sd = F.sqrt(F.greatest(ssr, F.lit(0.0)) / F.col("__n"))
+    res = v - (F.coalesce("__a", F.lit(0.0)) + F.coalesce("__b", F.lit(0.0)) * F.col(t))
+    return (df.join(fit, list(series_keys))
+            .withColumn(value, F.when(sd > 1e-12 * F.sqrt(F.col("__syy") / F.col("__n") + 1e-300), res / sd)
+                        .otherwise(F.lit(0.0)))
+            .drop("__a", "__b", "__syy", "__sxy", "__sxx", "__n"))
+
+
 def center(df: DataFrame, series_keys: Sequence[str], value: str = "value") -> DataFrame:
     st = df.groupBy(*series_keys).agg(F.avg(value).alias("__m"))
     return df.join(st, list(series_keys)).withColumn(value, F.col(value) - F.col("__m")).drop("__m")

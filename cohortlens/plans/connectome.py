@@ -24,9 +24,8 @@ def network_pair_names(labels=NETWORKS) -> list[str]:
 # ---------------------------------------------------------------- Spark side
 
 def clean_signal(signal: DataFrame) -> DataFrame:
-    """SIG1 then SIG2 per (subject, run, roi)."""
-    keys = RUN + ["roi"]
-    return S.standardize(S.detrend(signal, keys), keys)
+    """SIG1 then SIG2 per (subject, run, roi), fused into one aggregate + join."""
+    return S.detrend_standardize(signal, RUN + ["roi"])
 
 
 def run_mean_z(signal: DataFrame, clean: bool) -> DataFrame:

@@ -231,3 +231,17 @@ def test_iterative_impute_matches_numpy(spark):
             break
     for i in range(n):
         assert np.allclose(got[f"s{i:02d}"], F_[i], rtol=1e-7, atol=1e-7)
+
+
+def test_fused_detrend_standardize(spark):
+    rng = np.random.default_rng(31)
+    rows = [(s, t, float(v)) for s in ("a", "b") for t, v in enumerate(rng.normal(size=30) + np.arange(30) * 0.3 + 50)]
+    rows += [("c", t, 2.0 + 0.5 * t) for t in range(10)]          # exact line: residual 0 -> 0
+    df = spark.createDataFrame(rows, "subject string, t long, value double")
+    a = {(r.subject, r.t): r.value for r in S.standardize(S.detrend(df, ["subject"]), ["subject"]).collect()}
+    b = {(r.subject, r.t): r.value for r in S.detrend_standardize(df, ["subject"]).collect()}
+    for k in a:
+        if k[0] == "c":
+            assert b[k] == 0.0
+        else:
+            assert math.isclose(a[k], b[k], rel_tol=1e-9, abs_tol=1e-9)
