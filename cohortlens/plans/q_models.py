@@ -210,3 +210,38 @@ def q_coefficients_roundtrip(spark, sf):
     SNK.write_coefficients(long, out)
     return SRC.load_feature_importances(spark, out, n_splits=3).select(
         "model", "modality", "split", "feature_name", "target", "fi")
+
+
+_PERM_ONE_SQL = rounded(with_views(f"""WITH {_SPLIT_CTES},
+__m0 AS (SELECT sp.split, sp.role, sp.subject, t.total_price FROM __sp sp JOIN targets t ON sp.subject = t.subject),
+__ll AS (SELECT split, role, subject, row_number() OVER (PARTITION BY split, role ORDER BY subject) AS rk FROM __m0),
+__rr AS (SELECT split, role, total_price, row_number() OVER (
+          PARTITION BY split, role ORDER BY md5('{SEED}:' || CAST(split AS VARCHAR) || ':' || role || ':' || subject),
+                                             subject) AS rk FROM __m0),
+__py AS (SELECT l.split, l.role, l.subject, r.total_price AS y FROM __ll l JOIN __rr r
+           ON l.split = r.split AND l.role = r.role AND l.rk = r.rk),
+__d AS (SELECT p.split, p.subject, p.role, x.n_O AS x, p.y FROM __py p JOIN learn_x x ON p.subject = x.subject),
+__st AS (SELECT split, avg(x) AS mx, CASE WHEN stddev_pop(x) > 0 THEN stddev_pop(x) ELSE 1.0 END AS sx, avg(y) AS my
+         FROM __d WHERE role = 'train' GROUP BY split),
+__st2 AS (SELECT d.split, sum(((d.x - s.mx) / s.sx) * (d.y - s.my)) AS sxy,
+                 sum(((d.x - s.mx) / s.sx) * ((d.x - s.mx) / s.sx)) AS sxx
+          FROM __d d JOIN __st s ON d.split = s.split WHERE d.role = 'train' GROUP BY d.split)
+SELECT d.split, d.subject, s.my + (s2.sxy / (s2.sxx + 1.0)) * (d.x - s.mx) / s.sx AS total_price_pred,
+       d.y AS total_price
+FROM __d d JOIN __st s ON d.split = s.split JOIN __st2 s2 ON d.split = s2.split WHERE d.role = 'test'""",
+                                   "learn_x", "targets"), ["total_price_pred", "total_price"])
+
+
+@register("ml_permuted_one_feature", _PERM_ONE_SQL)
+def q_permuted_one(spark, sf):
+    """ML12 checkable in SQL: one-feature ridge (alpha 1) fitted on md5-permuted train targets,
+    predictions on test rows against the permuted test targets."""
+    members = _members(spark, sf).persist()
+    perm = SP.permute_within(members, V.targets(spark, sf), ["total_price"], seed=SEED)
+    py = perm.select("split", "subject", "role", F.array(F.col("total_price").cast("double")).alias("y"))
+    xa = V.learn_x(spark, sf).select("subject", F.array(F.col("n_O").cast("double")).alias("x"))
+    rows = py.join(xa, "subject").persist()
+    coef, _ = L.ridge_cv(rows.filter("role = 'train'"), [1.0])
+    pred = L.predict_linear(rows.filter("role = 'test'"), coef, 1, ["total_price"])
+    truth = perm.filter("role = 'test'").select("split", "subject", "total_price")
+    return pred.join(truth, ["split", "subject"]).select("split", "subject", "total_price_pred", "total_price")

@@ -189,3 +189,32 @@ def q_regress_confounds(spark, sf):
     sig = V.signal(spark, sf)
     conf = _global_signal_confounds(sig)
     return S.regress_confounds(sig, conf, ["subject", "run"], ["gs", "gs_der", "gs_2", "gs_der_2"])
+
+
+_SIG3_ONE_SQL = rounded(with_views("""
+WITH __gs AS (SELECT subject, run, t, avg(value) AS gs FROM signal GROUP BY subject, run, t),
+__fit AS (SELECT subject, run, regr_slope(gs, CAST(t AS DOUBLE)) AS b, regr_intercept(gs, CAST(t AS DOUBLE)) AS a
+          FROM __gs GROUP BY subject, run),
+__det AS (SELECT g.subject, g.run, g.t, g.gs - (coalesce(f.a, 0.0) + coalesce(f.b, 0.0) * g.t) AS d
+          FROM __gs g JOIN __fit f ON g.subject = f.subject AND g.run = f.run),
+__st AS (SELECT subject, run, avg(d) AS m, stddev_pop(d) AS s FROM __det GROUP BY subject, run),
+__z AS (SELECT d.subject, d.run, d.t, CASE WHEN s.s > 0 THEN (d.d - s.m) / s.s ELSE 0.0 END AS z
+        FROM __det d JOIN __st s ON d.subject = s.subject AND d.run = s.run),
+__j AS (SELECT s.subject, s.run, s.t, s.roi, s.value AS y, z.z FROM signal s
+        JOIN __z z ON s.subject = z.subject AND s.run = z.run AND s.t = z.t),
+__mm AS (SELECT subject, run, roi, avg(y) AS my, avg(z) AS mz FROM __j GROUP BY subject, run, roi),
+__bb AS (SELECT j.subject, j.run, j.roi,
+                sum((j.z - m.mz) * (j.y - m.my)) / nullif(sum((j.z - m.mz) * (j.z - m.mz)), 0) AS b
+         FROM __j j JOIN __mm m ON j.subject = m.subject AND j.run = m.run AND j.roi = m.roi
+         GROUP BY j.subject, j.run, j.roi)
+SELECT j.subject, j.run, j.t, j.roi, (j.y - m.my) - (j.z - m.mz) * b.b AS value
+FROM __j j JOIN __mm m ON j.subject = m.subject AND j.run = m.run AND j.roi = m.roi
+JOIN __bb b ON j.subject = b.subject AND j.run = b.run AND j.roi = b.roi""", "signal"), ["value"])
+
+
+@register("sig_regress_one_confound", _SIG3_ONE_SQL)
+def q_regress_one(spark, sf):
+    """SIG3 with one confound (the detrended, standardised global signal): residuals per ROI series."""
+    sig = V.signal(spark, sf)
+    gs = sig.groupBy("subject", "run", "t").agg(F.avg("value").alias("gs"))
+    return S.regress_confounds(sig, gs, ["subject", "run"], ["gs"])
