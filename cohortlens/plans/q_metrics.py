@@ -38,8 +38,7 @@ def _metrics_sql(weighted: bool, metrics: list[str], average: bool, kind: str) -
     sel, dbl = [], []
     for y in Y:
         if "r2" in metrics:
-            sel.append(_r2_sql(f"p.{y}", w, f"__m.{'wm' if weighted else 'm'}_{y}").replace(f"p.{y}_pred", f"p.{y}_pred")
-                       + f" AS r2_{y}")
+            sel.append(_r2_sql(f"p.{y}", w, f"__m.{'wm' if weighted else 'm'}_{y}") + f" AS r2_{y}")
             dbl.append(f"r2_{y}")
         if "pearsonr2" in metrics:
             sel.append(f"power({_corr_sql(f'p.{y}', f'p.{y}_pred')}, 2) AS pearsonr2_{y}")

@@ -9,7 +9,6 @@ from cohortlens.operators import linear as L
 from cohortlens.operators import metrics as M
 from cohortlens.operators import models as ML
 from cohortlens.operators import splits as SP
-from cohortlens.operators import tidy as TD
 from cohortlens.plans import learning as LR
 from cohortlens.plans.q_splits import N_SPLITS, SEED, T, _SPLIT_CTES
 from cohortlens.plans.registry import register, rounded
@@ -188,8 +187,6 @@ def q_grid(spark, sf):
     return LR.grid_search_table(spark, sf)
 
 
-_ = (TD,)
-
 
 @register("snk_coefficients_roundtrip")
 def q_coefficients_roundtrip(spark, sf):
