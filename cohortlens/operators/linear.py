@@ -329,7 +329,9 @@ def iterative_impute(rows: DataFrame, k: int, max_iter: int = 10, tol: float = 1
     tol·max|observed|.  Every step is one moments job for all splits; the
     table is checkpointed after each round to cut the lineage.
     """
+    from cohortlens.session import ensure_checkpoint_dir
     spark = rows.sparkSession
+    ensure_checkpoint_dir(spark)          # checkpoint() below writes to spark.checkpoint.dir
     means = column_means(rows.filter("role = 'train'"))
     m = F.broadcast(means.select("split", F.col("mean").alias("__mean")))
     base = rows.join(m, "split").withColumn("__orig", F.col(x_col)).withColumn(

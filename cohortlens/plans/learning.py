@@ -202,3 +202,58 @@ def grid_search_table(spark: SparkSession, sf: str) -> DataFrame:
     gs = spark.createDataFrame(recs, "split int, mean_train_score_gs double, mean_test_score_gs double, "
                                      "params map<string,string>")
     return TD.params_to_columns(gs, ["criterion", "max_depth", "n_estimators", "max_features"])
+
+
+# ---------------------------------------------------------------- ML15, any model
+
+def permuted_copies(test: DataFrame, k: int, n_repeats: int = 5, seed: int = SEED) -> DataFrame:
+    """Test rows repeated for every (feature j, repeat r) with x[j] replaced by
+    the x[j] of the row at the same md5-order position (one shuffle of the
+    column within the split's test rows).  Adds columns j, r."""
+    base = test.select("split", "subject", "x", "y")
+    long = base.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).withColumn(
+        "r", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))))
+    g = ["split", "j", "r"]
+    w1 = Window.partitionBy(*g).orderBy("subject")
+    w2 = Window.partitionBy(*g).orderBy(SP.md5_key(F.lit(seed), "split", "j", "r", "subject"), "subject")
+    left = long.withColumn("__rk", F.row_number().over(w1))
+    right = long.select(*g, F.get(F.col("x"), F.col("j")).alias("__xp"), F.row_number().over(w2).alias("__rk"))
+    pair = left.join(right, g + ["__rk"])
+    return pair.withColumn("x", F.transform("x", lambda v, i: F.when(i == F.col("j"), F.col("__xp")).otherwise(v))
+                           ).drop("__rk", "__xp")
+
+
+def permutation_importance_any(test: DataFrame, predict, names, targets, n_repeats: int = 5,
+                               modality: str = "orders") -> DataFrame:
+    """ML15 for any fitted model: ``predict(df) -> df + {t}_pred`` is applied
+    once to the baseline rows and once to all permuted copies (one job, no
+    per-feature loop); importance = baseline R² - mean permuted R²."""
+    truth = lambda d: d.select("*", *[F.get(F.col("y"), i).alias(t) for i, t in enumerate(targets)])
+    base = predict(truth(test.select("split", "subject", "x", "y")))
+    perm = predict(truth(permuted_copies(test, len(names), n_repeats)))
+    b = _r2_by_group(base, ["split"], targets).withColumnRenamed("score", "base_score")
+    p = _r2_by_group(perm, ["split", "j", "r"], targets).groupBy("split", "j").agg(F.avg("score").alias("perm_score"))
+    nm = F.array(*[F.lit(n) for n in names])
+    return p.join(b, "split").select(F.lit(modality).alias("modality"), "split",
+                                     F.element_at(nm, F.col("j") + 1).alias("feature"),
+                                     (F.col("base_score") - F.col("perm_score")).alias("permutation_importance"))
+
+
+def forest_permutation_importance(spark: SparkSession, sf: str, n_splits: int = 1, n_repeats: int = 5) -> DataFrame:
+    """ML15 on random forests (the reference's use): per split the fitted
+    forests predict the baseline and all permuted copies of its test rows."""
+    x, y = V.learn_x(spark, sf), V.targets(spark, sf)
+    members = _members(spark, sf, n_splits)
+    rows = L.design_rows(x, LEARN_FEATURES, y, T, members)
+    rows, names = ML.prepare(rows, None, None, LEARN_FEATURES, imputer="iterative")
+    rows = rows.persist()
+    models = {}
+    for s in range(n_splits):
+        tr = rows.filter((F.col("split") == s) & (F.col("role") == "train"))
+        models[s] = ML.fit_forests(tr, T, "basic", FOREST_DEPTH, None, SEED)
+
+    def predict(df):
+        parts = [ML.predict_forests(models[s], df.filter(F.col("split") == s), T) for s in range(n_splits)]
+        return TD.stack(parts, sort_columns=False)
+
+    return permutation_importance_any(rows.filter("role = 'test'"), predict, names, T, n_repeats)

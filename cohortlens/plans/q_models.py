@@ -242,3 +242,9 @@ def q_permuted_one(spark, sf):
     pred = L.predict_linear(rows.filter("role = 'test'"), coef, 1, ["total_price"])
     truth = perm.filter("role = 'test'").select("split", "subject", "total_price")
     return pred.join(truth, ["split", "subject"]).select("split", "subject", "total_price_pred", "total_price")
+
+
+@register("ml_forest_permutation_importance")
+def q_forest_perm_importance(spark, sf):
+    """ML15 on forests: R² drop per feature over 5 md5-ordered shuffles of the test rows (one split)."""
+    return LR.forest_permutation_importance(spark, sf)

@@ -245,3 +245,34 @@ def test_fused_detrend_standardize(spark):
             assert b[k] == 0.0
         else:
             assert math.isclose(a[k], b[k], rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_generic_permutation_importance_equals_linear_shortcut(spark):
+    from cohortlens.plans import learning as LR
+    rng = np.random.default_rng(37)
+    n, k = 50, 3
+    X = rng.normal(size=(n, k))
+    Y = np.c_[X @ [1.0, 0.2, 0.0] + rng.normal(size=n) * 0.1, X @ [0.0, 1.0, 0.5]]
+    rows = spark.createDataFrame([(0, f"s{i:02d}", "test", X[i].tolist(), Y[i].tolist()) for i in range(n)],
+                                 "split int, subject string, role string, x array<double>, y array<double>")
+    coef = spark.createDataFrame([(0, 1.0, [1.0, 0.0, 0.2, 1.0, 0.0, 0.5], [0.0, 0.0])],
+                                 "split int, alpha double, w array<double>, b array<double>")
+    pred = lambda d: L.predict_linear(d, coef, 2, ["ta", "tb"])
+    got = {r.feature: r.permutation_importance for r in
+           LR.permutation_importance_any(rows, pred, ["f0", "f1", "f2"], ["ta", "tb"]).collect()}
+    # brute force with the same md5 pairing
+    import hashlib
+    subj = [f"s{i:02d}" for i in range(n)]
+
+    def r2(yv, p):
+        return 1 - ((yv - p) ** 2).sum() / ((yv - yv.mean()) ** 2).sum()
+    W = np.array([[1.0, 0.0], [0.2, 1.0], [0.0, 0.5]])
+    base = np.mean([r2(Y[:, t], (X @ W)[:, t]) for t in range(2)])
+    for j in range(3):
+        sc = []
+        for r in range(5):
+            order = sorted(range(n), key=lambda i: (hashlib.md5(f"1234:0:{j}:{r}:{subj[i]}".encode()).hexdigest(), subj[i]))
+            Xp = X.copy()
+            Xp[:, j] = X[order, j]
+            sc.append(np.mean([r2(Y[:, t], (Xp @ W)[:, t]) for t in range(2)]))
+        assert math.isclose(got[f"f{j}"], base - np.mean(sc), rel_tol=1e-9, abs_tol=1e-12)
