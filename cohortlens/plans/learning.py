@@ -37,7 +37,11 @@ def _members(spark, sf, n_splits):
 
 def learn(spark: SparkSession, sf: str, model_type: str = "ridgecv", n_splits: int = N_SPLITS,
           weighted: bool = False, permuted: bool = False, parallelism: int = 4, depth: int | None = None,
-          n_trees: int = ML.FOREST_TREES) -> dict:
+          n_trees: int = ML.FOREST_TREES, out_path: str | None = None) -> dict:
+    """Group-level learning.  Forests with ``out_path``: every split's outputs
+    are written to ``{out_path}/{output}`` (partition ``split``) as soon as the
+    split is done, and splits already stored are skipped on a re-run — a long
+    run that loses executors or the driver resumes instead of restarting."""
     base, n_pca = ML.parse_model_type(model_type)
     x, y = V.learn_x(spark, sf), V.targets(spark, sf)
     members = _members(spark, sf, n_splits)
@@ -70,6 +74,8 @@ def learn(spark: SparkSession, sf: str, model_type: str = "ridgecv", n_splits: i
             out["predictions_permuted"] = p.join(truth, ["split", "subject"], "full")
         return out
 
+    if out_path:
+        return _learn_to_store(spark, one, n_splits, out_path, parallelism, y, names)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         parts = list(ex.map(one, range(n_splits)))
     res = {}
@@ -257,3 +263,31 @@ def forest_permutation_importance(spark: SparkSession, sf: str, n_splits: int =
         return TD.stack(parts, sort_columns=False)
 
     return permutation_importance_any(rows.filter("role = 'test'"), predict, names, T, n_repeats)
+
+
+def _learn_to_store(spark, fit_split, n_splits, out_path, parallelism, y, names) -> dict:
+    import os
+    done_path = os.path.join(out_path, "predictions")
+    try:
+        done = {r[0] for r in spark.read.parquet(done_path).select("split").distinct().collect()}
+    except Exception:  # noqa: BLE001  (no store yet)
+        done = set()
+    todo = [s for s in range(n_splits) if s not in done]
+
+    def run(split):
+        outs = fit_split(split)
+        for key, df in outs.items():
+            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("split").parquet(os.path.join(out_path, key)))
+        return split
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        list(ex.map(run, todo))
+    truth = y.select("subject", *T)
+    res = {key: spark.read.parquet(os.path.join(out_path, key))
+           for key in ("predictions", "predictions_training", "importances")}
+    res["predictions"] = res["predictions"].join(truth, "subject", "left")
+    res["predictions_training"] = res["predictions_training"].join(truth, "subject", "left")
+    res["feature_names"] = names
+    res["skipped_splits"] = sorted(done)
+    return res

@@ -79,3 +79,14 @@ def test_small_reshapes(spark):
                                "split int, tr double, te double, params map<string,string>")
     out = TD.params_to_columns(gs, ["criterion", "max_depth"])
     assert out.columns == ["split", "tr", "te", "criterion", "max_depth"]
+
+
+def test_forest_learning_resumes_from_store(spark, tmp_path):
+    from cohortlens.plans import learning as LR
+    sf = "/root/testdata/sf0.001"
+    out = str(tmp_path / "store")
+    first = LR.learn(spark, sf, "basic", n_splits=2, depth=3, n_trees=8, out_path=out)
+    n1 = first["predictions"].count()
+    again = LR.learn(spark, sf, "basic", n_splits=2, depth=3, n_trees=8, out_path=out)
+    assert again["skipped_splits"] == [0, 1]
+    assert again["predictions"].count() == n1 > 0
