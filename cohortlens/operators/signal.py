@@ -384,8 +384,8 @@ def regress_confounds(signal: DataFrame, confounds: DataFrame, run_keys: Sequenc
 
     Confounds are detrended and standardised per run first.  Per run the
     moments (XᵀX, XᵀY over ROIs) are map-side partials merged per run (see
-    ``linear.moments``); coefficients (k x R per run, size-checked) are
-    broadcast and the residual y − ȳ − (x − x̄)·B is taken per row.
+    ``linear.moments``) and solved per run; the residual y − ȳ − (x − x̄)·B
+    is taken by a cogrouped pandas step, one run's rows with its own B.
     """
     from cohortlens.operators import linear as L
     keys = list(run_keys)
@@ -400,37 +400,40 @@ def regress_confounds(signal: DataFrame, confounds: DataFrame, run_keys: Sequenc
     rows = (sw.join(cw, keys + [t]).join(F.broadcast(run_ids), keys)
             .select("split", *keys, t, F.array(*[F.col(c).cast("double") for c in confound_cols]).alias("x"),
                     F.array(*[F.col(str(r)).cast("double") for r in rois]).alias("y")))
-    mo = L.moments(rows).collect()
     k, R = len(confound_cols), len(rois)
-    L._check_size(len(mo), k, R, "regress_confounds")
-    coef = {}
-    for m in mo:
-        cxx = np.asarray(m["cxx"]).reshape(k, k)
-        cxy = np.asarray(m["cxy"]).reshape(k, R)
-        coef[int(m["split"])] = (np.asarray(m["mx"]), np.asarray(m["my"]), np.linalg.lstsq(cxx, cxy, rcond=None)[0])
-    bc = rows.sparkSession.sparkContext.broadcast(coef)
+
+    def solve(pdf):
+        import pandas as pd
+        r = pdf.iloc[0]
+        cxx = np.asarray(r["cxx"]).reshape(k, k)
+        cxy = np.asarray(r["cxy"]).reshape(k, R)
+        B = np.linalg.lstsq(cxx, cxy, rcond=None)[0]
+        return pd.DataFrame({"split": [int(r["split"])], "mx": [list(r["mx"])], "my": [list(r["my"])],
+                             "B": [B.ravel().tolist()]})
+
+    # one row of moments per run -> one small solve per run, no driver round trip
+    coef = L.moments(rows).groupBy("split").applyInPandas(
+        solve, "split int, mx array<double>, my array<double>, B array<double>")
     key_fields = [f.simpleString() for f in rows.schema.fields if f.name in keys]
 
-    def residual(it):
+    def residual(g, c):
         import pandas as pd
-        P = bc.value
-        for pdf in it:
-            if pdf.empty:
-                continue
-            parts = []
-            for s_, g in pdf.groupby("split"):
-                mx, my, B = P[int(s_)]
-                X = np.stack(g["x"].to_numpy())
-                Y = np.stack(g["y"].to_numpy())
-                E = (Y - my) - (X - mx) @ B
-                out = g[keys + [t]].loc[g.index.repeat(R)].reset_index(drop=True)
-                out[roi] = np.tile(np.asarray(rois), len(g))
-                out[value] = E.ravel()
-                parts.append(out)
-            yield pd.concat(parts, ignore_index=True)
+        if g.empty or c.empty:
+            return pd.DataFrame(columns=keys + [t, roi, value])
+        mx, my = np.asarray(c["mx"].iloc[0]), np.asarray(c["my"].iloc[0])
+        B = np.asarray(c["B"].iloc[0]).reshape(k, R)
+        X = np.stack(g["x"].to_numpy())
+        Y = np.stack(g["y"].to_numpy())
+        E = (Y - my) - (X - mx) @ B
+        out = g[keys + [t]].loc[g.index.repeat(R)].reset_index(drop=True)
+        out[roi] = np.tile(np.asarray(rois, dtype=np.int32), len(g))
+        out[value] = E.ravel()
+        return out
 
     schema = ", ".join(key_fields + [f"{t} bigint", f"{roi} int", f"{value} double"])
-    return rows.select("split", *keys, F.col(t).cast("bigint").alias(t), "x", "y").mapInPandas(residual, schema)
+    # a group is one run's own time points (bounded by the acquisition) and its coefficients
+    data = rows.select("split", *keys, F.col(t).cast("bigint").alias(t), "x", "y")
+    return data.groupBy("split").cogroup(coef.groupBy("split")).applyInPandas(residual, schema)
 
 
 # ---------------------------------------------------------------- Gram path for complete signals (AGG1, AGG2)
