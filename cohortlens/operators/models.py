@@ -236,7 +236,6 @@ def learning_curve_members(subjects: DataFrame, n_folds: int = 5, sizes: Sequenc
 
     One k-fold assignment, one explode over the size × fold grid and one
     window per synthetic split."""
-    from pyspark.sql import Window
     base = subjects.select(key).withColumn("split", F.lit(0))
     folded = SP.kfold(base, n_folds, key=key, group=["split"]).select(key, F.col("fold").alias("__own"))
     grid = F.array(*[F.struct(F.lit(si).alias("size_idx"), F.lit(f).alias("fold"), F.lit(float(fr)).alias("frac"))
@@ -246,9 +245,8 @@ def learning_curve_members(subjects: DataFrame, n_folds: int = 5, sizes: Sequenc
     g = g.withColumn("split", (F.col("size_idx") * n_folds + F.col("fold")).cast("int"))
     test = g.filter(F.col("__own") == F.col("fold")).withColumn("role", F.lit("test"))
     tr = g.filter(F.col("__own") != F.col("fold"))
-    w = Window.partitionBy("split").orderBy(key)
-    wn = Window.partitionBy("split")
-    tr = (tr.withColumn("__p", F.row_number().over(w)).withColumn("__n", F.count(F.lit(1)).over(wn))
+    n = tr.groupBy("split").agg(F.count(F.lit(1)).alias("__n"))
+    tr = (SP.rank_within(tr.join(n, "split"), ["split"], [F.col(key)], "__p")
           .filter(F.col("__p") <= F.floor(F.col("__n") * F.col("frac"))).withColumn("role", F.lit("train")))
     cols = ["split", "size_idx", "fold", key, "role"]
     return tr.select(*cols).unionByName(test.select(*cols))

@@ -36,9 +36,10 @@ def difference(df: DataFrame, cols: Sequence[str], series_keys: Sequence[str],
                order_cols: Sequence[str], suffix: str = "_der") -> DataFrame:
     """WIN1: first difference per series; the first value (and any NULL
     operand) becomes 0."""
-    w = Window.partitionBy(*series_keys).orderBy(*order_cols)
-    return df.select("*", *[F.coalesce(F.col(c) - F.lag(c).over(w), F.lit(0.0)).alias(c + suffix)
-                            for c in cols])
+    from cohortlens.operators.ranking import lag_within
+    lagged = lag_within(df, series_keys, order_cols, cols, suffix="__lag")
+    return lagged.select(*df.columns, *[F.coalesce(F.col(c) - F.col(c + "__lag"), F.lit(0.0)).alias(c + suffix)
+                                        for c in cols])
 
 
 def square_terms(df: DataFrame, cols: Sequence[str], suffix: str = "_2") -> DataFrame:
@@ -60,8 +61,9 @@ def confounds_36p(df: DataFrame, series_keys: Sequence[str], order_cols: Sequenc
 def with_time_index(df: DataFrame, series_keys: Sequence[str], order_cols: Sequence[str],
                     name: str = "t") -> DataFrame:
     """Materialise a 0-based time index per series from its order columns."""
-    w = Window.partitionBy(*series_keys).orderBy(*order_cols)
-    return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
+    from cohortlens.operators.ranking import rank_within
+    return (rank_within(df, series_keys, order_cols, "__rn")
+            .withColumn(name, (F.col("__rn") - 1).cast("bigint")).drop("__rn"))
 
 
 def detrend(df: DataFrame, series_keys: Sequence[str], t: str = "t", value: str = "value") -> DataFrame:

@@ -15,10 +15,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import row_mean, safe_corr
+from cohortlens.operators.ranking import rank_within
 
 
 # ---------------------------------------------------------------- global stats
@@ -230,8 +231,7 @@ def stratified_shuffle_splits(strata: DataFrame, n_splits: int, test_size: float
     for s, v in quota.items():
         q = F.when(F.col(stratum) == F.lit(s), F.lit(v)) if q is None else q.when(F.col(stratum) == F.lit(s), F.lit(v))
     rows = strata.select(key, stratum, F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("split"))
-    w = Window.partitionBy("split", stratum).orderBy(md5_key(F.lit(seed), "split", key), key)
-    ranked = rows.withColumn("__rk", F.row_number().over(w))
+    ranked = rank_within(rows, ["split", stratum], [md5_key(F.lit(seed), "split", key), F.col(key)], "__rk")
     return ranked.select("split", key, F.when(F.col("__rk") <= q, F.lit("train")).otherwise(F.lit("test"))
                          .alias("role"))
 
@@ -245,11 +245,9 @@ def permute_within(members: DataFrame, values: DataFrame, value_cols: Sequence[s
     """
     group = list(group)
     m = members.join(values.select(key, *value_cols), key)
-    w_key = Window.partitionBy(*group).orderBy(key)
-    w_rnd = Window.partitionBy(*group).orderBy(md5_key(F.lit(seed), *group, key), key)
-    left = m.select(*group, key, F.row_number().over(w_key).alias("__rk"))
-    right = m.select(*group, *[F.col(c).alias(f"__v_{c}") for c in value_cols],
-                     F.row_number().over(w_rnd).alias("__rk"))
+    left = rank_within(m.select(*group, key), group, [F.col(key)], "__rk")
+    right = rank_within(m.select(*group, key, *[F.col(c).alias(f"__v_{c}") for c in value_cols]), group,
+                        [md5_key(F.lit(seed), *group, key), F.col(key)], "__rk").drop(key)
     j = left.join(right, group + ["__rk"])
     return j.select(*group, key, *[F.col(f"__v_{c}").alias(c) for c in value_cols])
 
@@ -259,9 +257,9 @@ def kfold(members: DataFrame, k: int = 5, key: str = "subject", group: Sequence[
     """WIN10: contiguous k-fold over subject order within each group; the
     first n % k folds hold one extra row."""
     group = list(group)
-    w = Window.partitionBy(*group).orderBy(key)
     n = members.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
-    r = members.join(n, group).withColumn("__p", F.row_number().over(w) - 1)
+    r = rank_within(members.join(n, group), group, [F.col(key)], "__p1").withColumn("__p", F.col("__p1") - 1)
+    r = r.drop("__p1")
     q = F.floor(F.col("__n") / k)
     rr = F.col("__n") % k
     big = rr * (q + 1)
@@ -275,7 +273,6 @@ def first_fraction(members: DataFrame, fraction: float, key: str = "subject",
     """Learning-curve sizes: the first ceil-free int(fraction·n) rows of each
     group in subject order (the training part of a fold)."""
     group = list(group)
-    w = Window.partitionBy(*group).orderBy(key)
     n = members.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
-    r = members.join(n, group).withColumn("__p", F.row_number().over(w))
+    r = rank_within(members.join(n, group), group, [F.col(key)], "__p")
     return r.filter(F.col("__p") <= F.floor(F.col("__n") * fraction)).drop("__n", "__p")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.operators import density as D
@@ -142,10 +142,10 @@ def permutation_importance(spark: SparkSession, sf: str, n_repeats: int = 5, mod
     long = base.select("split", "subject", *T, *[f"{n}_pred" for n in T], F.posexplode("x").alias("j", "xj"))
     long = long.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))))
     g = ["split", "j", "r"]
-    w1 = Window.partitionBy(*g).orderBy("subject")
-    w2 = Window.partitionBy(*g).orderBy(SP.md5_key(F.lit(SEED), "split", "j", "r", "subject"), "subject")
-    left = long.withColumn("__rk", F.row_number().over(w1))
-    right = long.select(*g, F.col("xj").alias("xp"), F.row_number().over(w2).alias("__rk"))
+    left = SP.rank_within(long, g, [F.col("subject")], "__rk")
+    right = SP.rank_within(long.select(*g, "subject", F.col("xj").alias("xp")), g,
+                           [SP.md5_key(F.lit(SEED), "split", "j", "r", "subject"), F.col("subject")],
+                           "__rk").drop("subject")
     perm = left.join(right, g + ["__rk"])
     wl = coef.select("split", F.posexplode("w").alias("idx", "w")).select(
         "split", F.floor(F.col("idx") / t).cast("int").alias("j"), (F.col("idx") % t).cast("int").alias("ti"), "w")
@@ -220,10 +220,10 @@ def permuted_copies(test: DataFrame, k: int, n_repeats: int = 5, seed: int = SEE
     long = base.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).withColumn(
         "r", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))))
     g = ["split", "j", "r"]
-    w1 = Window.partitionBy(*g).orderBy("subject")
-    w2 = Window.partitionBy(*g).orderBy(SP.md5_key(F.lit(seed), "split", "j", "r", "subject"), "subject")
-    left = long.withColumn("__rk", F.row_number().over(w1))
-    right = long.select(*g, F.get(F.col("x"), F.col("j")).alias("__xp"), F.row_number().over(w2).alias("__rk"))
+    left = SP.rank_within(long, g, [F.col("subject")], "__rk")
+    right = SP.rank_within(long.select(*g, "subject", F.get(F.col("x"), F.col("j")).alias("__xp")), g,
+                           [SP.md5_key(F.lit(seed), "split", "j", "r", "subject"), F.col("subject")],
+                           "__rk").drop("subject")
     pair = left.join(right, g + ["__rk"])
     return pair.withColumn("x", F.transform("x", lambda v, i: F.when(i == F.col("j"), F.col("__xp")).otherwise(v))
                            ).drop("__rk", "__xp")
