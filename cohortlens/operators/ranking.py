@@ -43,12 +43,14 @@ def _slices(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
 
 
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], name: str = "rn",
-                limit: int | None = None, n_parts: int | None = None) -> DataFrame:
+                limit: int | None = None, n_parts: int | None = None, max_group: int | None = None) -> DataFrame:
     """1-based row_number over (group ordered by order); ``order`` must be a
-    total order within the group (add a unique tiebreak)."""
+    total order within the group (add a unique tiebreak).  ``max_group``: a
+    known bound on the group size (skips the measuring aggregate)."""
     group = list(group)
     limit = WINDOW_GROUP_LIMIT if limit is None else limit
-    if largest_group(df, group) <= limit:
+    biggest = max_group if max_group is not None else largest_group(df, group)
+    if biggest <= limit:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*_cols(order))))
     r = _slices(df, group, order, n_parts)
     r = r.withColumn("__lr", F.row_number().over(Window.partitionBy("__pid", *group).orderBy(*_cols(order))))

@@ -231,7 +231,8 @@ def stratified_shuffle_splits(strata: DataFrame, n_splits: int, test_size: float
     for s, v in quota.items():
         q = F.when(F.col(stratum) == F.lit(s), F.lit(v)) if q is None else q.when(F.col(stratum) == F.lit(s), F.lit(v))
     rows = strata.select(key, stratum, F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("split"))
-    ranked = rank_within(rows, ["split", stratum], [md5_key(F.lit(seed), "split", key), F.col(key)], "__rk")
+    ranked = rank_within(rows, ["split", stratum], [md5_key(F.lit(seed), "split", key), F.col(key)], "__rk",
+                         max_group=max(counts.values()))   # a (split, stratum) group is one stratum
     return ranked.select("split", key, F.when(F.col("__rk") <= q, F.lit("train")).otherwise(F.lit("test"))
                          .alias("role"))
 
