@@ -20,6 +20,8 @@ from cohortlens.functions import safe_corr, safe_div
 # prefixes are removed from column names ("pearsonr2_" before "r2_")
 ALLOWED_METRICS = ["pearsonr2", "r2", "f1", "mae"]
 
+MODEL_KEYS = {"model", "modality", "split", "kind", "target", "train_size", "fold"}
+
 
 def _w(weight_col: str | None) -> Column:
     return F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
@@ -52,7 +54,7 @@ def _group_means(df: DataFrame, group_cols: Sequence[str], y_cols: Sequence[str]
 def calc_metrics(df: DataFrame, y_cols: Sequence[str], metric_names: Sequence[str] = ("r2", "mae"),
                  group_cols: Sequence[str] = ("modality", "split"), kind: str = "",
                  weight_col: str | None = None, return_average: bool = False,
-                 groups_bounded: bool = True) -> DataFrame:
+                 groups_bounded: bool | None = None) -> DataFrame:
     """Per-group metrics for predictions ``{y}_pred`` against truth ``{y}``.
 
     Output columns: group columns, then per target ``r2_{y}``, ``pearsonr2_{y}``,
@@ -63,6 +65,10 @@ def calc_metrics(df: DataFrame, y_cols: Sequence[str], metric_names: Sequence[st
     y_cols = list(y_cols)
     group_cols = list(group_cols)
     metric_names = list(metric_names)
+    if groups_bounded is None:
+        # groups made of model-level keys number at most the fitted models (a job
+        # parameter); any other grouping is left to AQE's runtime size check
+        groups_bounded = set(group_cols) <= MODEL_KEYS
     for m in metric_names:
         if m not in ALLOWED_METRICS:
             raise ValueError(f"unknown metric {m}")
