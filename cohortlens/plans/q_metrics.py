@@ -232,3 +232,17 @@ def q_udf(spark, sf):
 
     d = V.pred(spark, sf).select("modality", "split", "price", "price_pred")
     return apply_per_group(d, ["modality", "split"], r2, "modality string, split int, value double")
+
+
+_REN_INNER, _ = _metrics_sql(False, ["r2", "mae"], False, "test")
+
+
+@register("prj_rename_columns", rounded(f"""
+WITH pred AS ({V.PRED_SQL}), {_means_cte('pred', Y)}
+SELECT modality, split, r2_price AS R2_extprice, r2_tax AS R2_tax, mae_price AS mae_extprice, mae_tax, kind
+FROM ({_REN_INNER}) w""", ["R2_extprice", "R2_tax", "mae_extprice", "mae_tax"]))
+def q_rename(spark, sf):
+    """PRJ9: substring renames applied to every column name, in order ('price'->'extprice', 'r2_'->'R2_')."""
+    from cohortlens.operators.tidy import rename_substrings
+    wide = M.calc_metrics(V.pred(spark, sf), Y, ["r2", "mae"], kind="test")
+    return rename_substrings(wide, {"price": "extprice", "r2_": "R2_"})

@@ -233,3 +233,27 @@ WHERE x.subject IS NULL OR y.subject IS NULL""", "features_wide"))
 def q_unaligned(spark, sf):
     """V7: subjects present in X (features) but not in y (targets), or vice versa."""
     return C.unaligned_keys(V.features_wide(spark, sf), _status_table(spark, sf, "P"))
+
+
+# ---------------------------------------------------------------- PRJ9, PRJ19 on table-derived inputs
+
+_ORDER = ["A", "N", "R", "F", "O"]
+
+
+def _modalities(spark, sf):
+    li = V.table(spark, sf, "lineitem")
+    from cohortlens.operators.ranking import rank_within
+    mods = li.select(F.concat_ws(" + ", "l_returnflag", "l_linestatus").alias("modality")).distinct()
+    # position in sorted order; the checked rank spreads the set if it were ever large
+    ranked = rank_within(mods.withColumn("__g", F.lit(0)), ["__g"], [F.col("modality")], "__rn")
+    return ranked.select((F.col("__rn") - 1).cast("int").alias("pos"), "modality")
+
+
+@register("prj_modality_membership", f"""
+WITH m AS (SELECT DISTINCT l_returnflag || ' + ' || l_linestatus AS modality FROM lineitem),
+p AS (SELECT CAST(row_number() OVER (ORDER BY modality) - 1 AS INTEGER) AS pos, modality FROM m)
+SELECT pos, modality, {", ".join(f"CASE WHEN list_contains(string_split(modality, ' + '), '{o}') THEN pos + 1 ELSE 0 END AS {o}" for o in _ORDER)}
+FROM p""")
+def q_membership(spark, sf):
+    """PRJ19: per modality string (sorted position i) and part: i+1 if a member, else 0."""
+    return TD.modality_membership(_modalities(spark, sf), _ORDER)
