@@ -397,8 +397,10 @@ def regress_confounds(signal: DataFrame, confounds: DataFrame, run_keys: Sequenc
     cw = long.groupBy(*keys, t).pivot("__c", list(confound_cols)).agg(F.first("__v"))
     rois = sorted(r[0] for r in signal.select(roi).distinct().collect())   # atlas size, bounded
     sw = signal.groupBy(*keys, t).pivot(roi, rois).agg(F.first(value))
-    run_ids = signal.select(*keys).distinct().withColumn(
-        "split", F.dense_rank().over(Window.orderBy(*keys)).cast("int") - 1)
+    from cohortlens.operators.ranking import rank_within
+    runs = signal.select(*keys).distinct().withColumn("__g", F.lit(0))
+    run_ids = rank_within(runs, ["__g"], [F.col(k) for k in keys], "__rn").select(
+        *keys, (F.col("__rn") - 1).cast("int").alias("split"))
     rows = (sw.join(cw, keys + [t]).join(F.broadcast(run_ids), keys)
             .select("split", *keys, t, F.array(*[F.col(c).cast("double") for c in confound_cols]).alias("x"),
                     F.array(*[F.col(str(r)).cast("double") for r in rois]).alias("y")))
