@@ -36,7 +36,7 @@ def brute_suffix(rows, length=50):
 
 @pytest.mark.parametrize("bucket", [2_000, 8 << 20])
 def test_suffix_dedup_awkward(spark, bucket):
-    got = suffix_dedup.suffix_dedup(frame(spark), bucket_bytes=bucket)
+    got = suffix_dedup.suffix_dedup(frame(spark), bucket_bytes=bucket, shard_bytes=bucket)
     rows = [tuple(r)[:5] for r in got.collect()]
     assert sorted(rows, key=repr) == brute_suffix([(r[0], r[1]) for r in awkward()])
     for r in got.collect():
@@ -45,7 +45,7 @@ def test_suffix_dedup_awkward(spark, bucket):
 
 def test_suffix_dedup_documents(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
-    got = suffix_dedup.suffix_dedup(docs, bucket_bytes=60_000)
+    got = suffix_dedup.suffix_dedup(docs, bucket_bytes=60_000, shard_bytes=20_000)
     assert sorted((tuple(r)[:5] for r in got.collect()), key=repr) == brute_suffix(
         [(r["doc_id"], r["text"]) for r in docs.collect()])
 
