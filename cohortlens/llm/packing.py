@@ -12,10 +12,10 @@ histogram of lengths.
    length in earlier tasks) gives the pattern, the copy of the pattern and the
    slot that hold it.
 
-Tokens are cached by word for this tokenizer: its normalizer maps single
-characters and runs of white space and its splitter never joins over white
-space, so a text's ids are those of its words, one after the other (tested
-against whole texts).
+Tokens are cached by word and part of a word for this tokenizer: its normalizer
+maps single characters and runs of white space, its splitter never joins over
+white space and cuts between letters and punctuation, so a text's ids are those
+of its parts, one after the other (tested against whole texts).
 
 Edge cases: NULL and empty texts are one piece with the end id only; very long
 texts give many full pieces; repeated rows are packed like any other; empty
@@ -25,6 +25,7 @@ tables give empty results.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections import defaultdict
@@ -41,7 +42,7 @@ from .common import expand, small_batches, stored
 
 LONGEST = 2048
 END = 1
-_CACHE = 300_000
+_CACHE = 1_000_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json", folder: str | None = None) -> str:
@@ -55,54 +56,111 @@ def tokenizer_path(name: str = "word_bpe_49k.json", folder: str | None = None) -
     return public_tokenizers.path(name)
 
 
+class _Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __init__(self):
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
+#: The parts that the tokenizer's splitter makes of a lower-case word of printable ASCII.
+_PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+_PRINTABLE = bytes(range(33, 127))
+_EDGES = bytes(set(_PRINTABLE) - set(b"'") - set(b"abcdefghijklmnopqrstuvwxyz0123456789"))
+
+
 class WordTokens:
-    """The ids of texts, word by word; words seen lately are kept (the cache is emptied when full)."""
+    """The ids of texts, word by word.
+
+    Words seen lately are kept, and so are the parts of words (letters, punctuation),
+    as the splitter cuts between them; both are emptied when full.  Parts of printable
+    ASCII go to the vocabulary's merges directly, all others through the whole
+    tokenizer."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, int] = {}
-        self.ids, self.starts = array("I"), [0]
+        self.merges = self.tokenizer.model
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known, self.parts = _Numbers(), {}
+        self.ids, self.starts = array("I"), array("q", [0])
+
+    def _whole(self, texts: list[bytes]) -> list[list[int]]:
+        plain = [t.decode("utf-8", "replace") for t in texts]
+        return [x.ids for i in range(0, len(plain), 10_000)
+                for x in self.tokenizer.encode_batch_fast(plain[i:i + 10_000], add_special_tokens=False)]
+
+    def _split(self, word: bytes) -> list[bytes]:
+        """Parts of a word (A-Z in lower case) whose ids are independent of each other."""
+        if b"<|" in word:                                   # may hold a special token
+            return [word]
+        word = word.lower()
+        if not word.translate(None, _PRINTABLE):
+            return _PARTS.findall(word)
+        core = word.strip(_EDGES)
+        if core != word and core.decode("utf-8", "replace").isalpha():
+            at = word.index(core)
+            return [x for x in (word[:at], core, word[at + len(core):]) if x]
+        return [word]
+
+    def _learn(self, words: list[bytes]) -> None:
+        split, parts = [self._split(w) for w in words], self.parts
+        new = list({p for x in split for p in x if p not in parts})
+        direct = [p for p in new if b"<|" not in p and not p.translate(None, _PRINTABLE) and len(_PARTS.findall(p)) == 1]
+        for p in direct:
+            parts[p] = array("I", [t.id for t in self.merges.tokenize(p.decode())])
+        rest = [p for p in new if p not in parts]
+        parts.update((p, array("I", ids)) for p, ids in zip(rest, self._whole(rest)))
+        for x in split:
+            for p in x:
+                self.ids.extend(parts[p])
+            self.starts.append(len(self.ids))
 
     def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, each with ``end`` behind it, and the n + 1 text offsets."""
         if len(self.known) > _CACHE:
-            self.known, self.ids, self.starts = {}, array("I"), [0]
-        split = [t.split() for t in texts]          # bytes: exactly space and U+0009 to U+000D
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        for i in range(0, len(new), 10_000):
-            part = new[i:i + 10_000]
-            plain = [w.decode("utf-8", "replace") for w in part]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)):
-                known[word] = len(self.starts) - 1
-                self.ids.extend(found.ids)
-                self.starts.append(len(self.ids))
-        if b"" not in known:          # stands for the end id
-            known[b""] = len(self.starts) - 1
+            self._clear()
+        numbers, counts, number = array("I"), [], self.known.__getitem__
+        end_number = number(b"")                                # stands for the end id
+        if len(self.starts) == 1:
+            self.known.new.clear()
             self.ids.append(end)
-            self.starts.append(len(self.ids))
-        numbers = array("I")
-        counts = []
-        for words in split:
-            numbers.extend(map(known.__getitem__, words))
-            numbers.append(known[b""])
+            self.starts.append(1)
+        for text in texts:
+            words = text.split()                                # bytes: exactly space and U+0009 to U+000D
+            numbers.extend(map(number, words))
+            numbers.append(end_number)
             counts.append(len(words) + 1)
+        self._learn(self.known.new)
+        self.known.new.clear()
         numbers = np.frombuffer(numbers, np.uint32).astype(np.int64)
-        ids, starts = np.frombuffer(self.ids, np.uint32), np.array(self.starts)
+        ids, starts = np.array(self.ids, np.uint32), np.array(self.starts)
         lengths = np.diff(starts)[numbers]
         out = ids[expand(starts[:-1][numbers], lengths)]
         edges = np.concatenate([[0], np.cumsum(lengths)])
         return out, edges[np.concatenate([[0], np.cumsum(counts)])]
 
 
+#: One for each vocabulary in a Python worker, so that later tasks find the words of earlier ones.
+_IN_WORKER: dict[tuple[str, int], WordTokens] = {}
+
+
 _PIECES = ("doc_id long, start long, length int, ids array<int>, ids_crc32 long, doc_tokens long, task int, place long")
 
 
 def _pieces(path: str, longest: int, end: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokens, task = WordTokens(path), TaskContext.get().partitionId()
+        if (path, end) not in _IN_WORKER:
+            _IN_WORKER[path, end] = WordTokens(path)
+        tokens, task = _IN_WORKER[path, end], TaskContext.get().partitionId()
         places = np.zeros(longest + 1, np.int64)
         for whole in batches:
             for batch in small_batches([whole], "text", 4 << 20):

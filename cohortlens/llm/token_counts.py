@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_CACHE = 300_000
+_CACHE = 1_000_000
 _START = "▁"
 #: Entries below this score stand in the file but are not pieces to choose (runs of white space).
 _UNUSED = -1e8
@@ -97,9 +97,18 @@ class Counter:
         return len(words), pieces, math.fsum(scores)
 
 
+#: The counter of the last vocabulary used in a Python worker, so that later tasks find the words of earlier ones.
+_IN_WORKER: dict[int, Counter] = {}
+
+
 def _count(vocabulary: list[tuple[str, float]]):
+    key = hash(tuple(vocabulary))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(vocabulary)
+        if key not in _IN_WORKER:
+            _IN_WORKER.clear()
+            _IN_WORKER[key] = Counter(vocabulary)
+        counter = _IN_WORKER[key]
         for batch in batches:
             rows = [counter.text(x.as_buffer().to_pybytes()) for x in batch.column(1)]
             columns = list(zip(*rows)) if rows else [[]] * 3

@@ -133,7 +133,8 @@ def test_patterns_hold_the_histogram():
 def test_word_tokens_equal_whole_texts():
     tokenizer = Tokenizer.from_file(packing.tokenizer_path())
     texts = ["It's 3.14 o'clock now x", "é ́a\ń", "ÀÉ ΣΑΣ İstanbul ǅ", "<|endoftext|> a<|startoftext|>b", "a\x1cb\x85c　d",
-             "I'LL we're 'S 'T", "漢字 かな 12345", "", " ", "\x00 a\x00"]
+             "I'LL we're 'S 'T", "漢字 かな 12345", "", " ", "\x00 a\x00",
+             "Don't 's-it,we'll. A1b22C «Là», (éa) é'a ÉTÉ. -é- a.b,c ...x É\u0301. \u0301x. ª² x'S, x<|endoftext|>y ß."]
     ids, edges = packing.WordTokens(packing.tokenizer_path()).encode([t.encode() for t in texts], 1)
     for i, t in enumerate(texts):
         assert ids[edges[i]:edges[i + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [1], t
