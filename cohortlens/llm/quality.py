@@ -51,8 +51,8 @@ RULES = (
 def repeat_words(words: Column) -> Column:
     """How many words of an array lie in a window of three that occurs twice or more.
 
-    Windows are compared by a 64-bit hash, their texts deciding among equal
-    hashes.  Arrays used twice are bound as lambda variables, so that they are
+    Windows are sorted by a 64-bit hash; neighbours with equal hashes are the same
+    only if their words are.  Arrays used twice are bound as lambda variables, so that they are
     computed once."""
     def bound(value: Column, use) -> Column:
         return F.element_at(F.transform(F.array(value), use), 1)
@@ -64,8 +64,12 @@ def repeat_words(words: Column) -> Column:
     def covered(hashes: Column) -> Column:
         indexed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
+        def same(x: Column, y: Column) -> Column:
+            equal = [F.get(words, x["i"] + k) == F.get(words, y["i"] + k) for k in range(3)]
+            return (x["h"] == y["h"]) & equal[0] & equal[1] & equal[2]
+
         def starts(s: Column) -> Column:
-            return F.filter(s, lambda x, j: (F.get(s, j - 1)["h"] == x["h"]) | (F.get(s, j + 1)["h"] == x["h"]))
+            return F.filter(s, lambda x, j: same(x, F.get(s, j - 1)) | same(x, F.get(s, j + 1)))
         ordered = F.sort_array(F.transform(bound(indexed, starts), lambda x: x["i"]))
         zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
         return F.aggregate(ordered, zero, lambda acc, i: F.struct(
@@ -129,10 +133,8 @@ def cutoffs(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_co
     counts = [F.sum(_rejects(r, F.lit(c)).cast("long")).alias(f"k{i}_{j}")
               for i, r in enumerate(rules) for j, c in enumerate(r.cutoffs)]
     each = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *counts)
-    strata = each.agg(F.count(F.lit(1)).alias("strata"))
-    tests = sum(len(r.cutoffs) for r in rules)
-    each = each.crossJoin(F.broadcast(strata))      # one row
-    level = F.lit(delta) / (F.col("strata") * tests)
+    each = stored(each, "quality-strata")
+    level = F.lit(delta / max(1, each.count() * sum(len(r.cutoffs) for r in rules)))
     return each.select(F.col("stratum").alias("of_stratum"), *(
         F.coalesce(*(F.when(below_risk(F.col(f"k{i}_{j}"), F.col("n"), risk / len(rules), level), F.lit(c))
                      for j, c in enumerate(r.cutoffs))).alias(f"cutoff{i}") for i, r in enumerate(rules)))
