@@ -20,9 +20,6 @@ from cohortlens.functions import safe_corr, safe_div
 # prefixes are removed from column names ("pearsonr2_" before "r2_")
 ALLOWED_METRICS = ["pearsonr2", "r2", "f1", "mae"]
 
-MODEL_KEYS = {"model", "modality", "split", "kind", "target", "train_size", "fold"}
-
-
 def _w(weight_col: str | None) -> Column:
     return F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
 
@@ -39,22 +36,18 @@ def _r2_from_sums(ss_res: Column, ss_tot: Column, n: Column) -> Column:
 
 
 def _group_means(df: DataFrame, group_cols: Sequence[str], y_cols: Sequence[str],
-                 weight_col: str | None, groups_bounded: bool) -> DataFrame:
+                 weight_col: str | None) -> DataFrame:
     w = _w(weight_col)
     aggs = [F.sum(w).alias("__sw")]
     for y in y_cols:
         aggs.append(safe_div(F.sum(w * F.col(y)), F.sum(w)).alias(f"__wm_{y}"))
         aggs.append(F.avg(F.col(y)).alias(f"__m_{y}"))
-    means = df.groupBy(*group_cols).agg(*aggs)
-    # one row per group; with the default grouping (modality, split) the number
-    # of groups is the number of fitted models, a job parameter -> broadcast.
-    return F.broadcast(means) if groups_bounded else means
+    return df.groupBy(*group_cols).agg(*aggs)
 
 
 def calc_metrics(df: DataFrame, y_cols: Sequence[str], metric_names: Sequence[str] = ("r2", "mae"),
                  group_cols: Sequence[str] = ("modality", "split"), kind: str = "",
-                 weight_col: str | None = None, return_average: bool = False,
-                 groups_bounded: bool | None = None) -> DataFrame:
+                 weight_col: str | None = None, return_average: bool = False) -> DataFrame:
     """Per-group metrics for predictions ``{y}_pred`` against truth ``{y}``.
 
     Output columns: group columns, then per target ``r2_{y}``, ``pearsonr2_{y}``,
@@ -65,10 +58,6 @@ def calc_metrics(df: DataFrame, y_cols: Sequence[str], metric_names: Sequence[st
     y_cols = list(y_cols)
     group_cols = list(group_cols)
     metric_names = list(metric_names)
-    if groups_bounded is None:
-        # groups made of model-level keys number at most the fitted models (a job
-        # parameter); any other grouping is left to AQE's runtime size check
-        groups_bounded = set(group_cols) <= MODEL_KEYS
     for m in metric_names:
         if m not in ALLOWED_METRICS:
             raise ValueError(f"unknown metric {m}")
@@ -80,7 +69,7 @@ def calc_metrics(df: DataFrame, y_cols: Sequence[str], metric_names: Sequence[st
     w = _w(weight_col)
     need_r2 = "r2" in metric_names
     if need_r2:
-        base = df.join(_group_means(df, group_cols, y_cols, weight_col, groups_bounded), group_cols)
+        base = df.join(_group_means(df, group_cols, y_cols, weight_col), group_cols)
     else:
         base = df
     aggs: list[Column] = [F.count(F.lit(1)).alias("__n")]
@@ -223,7 +212,7 @@ def box_summary(df: DataFrame, value_col: str, group_cols: Sequence[str] = ("tar
     quart = quart.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_f = F.col("q1") - whisker * F.col("iqr")
     hi_f = F.col("q3") + whisker * F.col("iqr")
-    joined = df.select(*group_cols, v.alias("__v")).join(F.broadcast(quart), group_cols)
+    joined = df.select(*group_cols, v.alias("__v")).join(quart, group_cols)
     x = F.col("__v")
     wk = joined.groupBy(*group_cols).agg(
         F.min(F.when(x >= lo_f, x)).alias("whisker_lo"),

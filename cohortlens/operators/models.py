@@ -245,8 +245,9 @@ def learning_curve_members(subjects: DataFrame, n_folds: int = 5, sizes: Sequenc
     g = g.withColumn("split", (F.col("size_idx") * n_folds + F.col("fold")).cast("int"))
     test = g.filter(F.col("__own") == F.col("fold")).withColumn("role", F.lit("test"))
     tr = g.filter(F.col("__own") != F.col("fold"))
-    n = tr.groupBy("split").agg(F.count(F.lit(1)).alias("__n"))
-    tr = (SP.rank_within(tr.join(n, "split"), ["split"], [F.col(key)], "__p")
+    # sizes are fractions of the first fold's training rows, the same for all folds
+    n = tr.filter(F.col("fold") == 0).groupBy("size_idx").agg(F.count(F.lit(1)).alias("__n"))
+    tr = (SP.rank_within(tr.join(n, "size_idx"), ["split"], [F.col(key)], "__p")
           .filter(F.col("__p") <= F.floor(F.col("__n") * F.col("frac"))).withColumn("role", F.lit("train")))
     cols = ["split", "size_idx", "fold", key, "role"]
     return tr.select(*cols).unionByName(test.select(*cols))

@@ -334,7 +334,7 @@ def check_empty_rois(empty: DataFrame, max_empty: int = 10) -> int:
     """SIG6: at most ``max_empty`` empty ROIs are tolerated; more raise."""
     n = empty.count()
     if n > max_empty:
-        raise RuntimeError(f"More than {max_empty} are empty. Stopping.")
+        raise RuntimeError(f"{n} regions hold no voxel; at most {max_empty} are allowed")
     return n
 
 
@@ -440,87 +440,74 @@ def regress_confounds(signal: DataFrame, confounds: DataFrame, run_keys: Sequenc
     return data.groupBy("split").cogroup(coef.groupBy("split")).applyInPandas(residual, schema)
 
 
-# ---------------------------------------------------------------- Gram path for complete signals (AGG1, AGG2)
-
-def _wide_by_time(signal: DataFrame, run_keys: Sequence[str], t: str, roi: str, value: str) -> DataFrame:
-    """(run keys, t, rois array, values array) — one row per time point; the
-    group of a (run, t) is one atlas (bounded)."""
-    packed = signal.groupBy(*run_keys, t).agg(F.array_sort(F.collect_list(F.struct(
-        F.col(roi).alias("r"), F.col(value).cast("double").alias("v")))).alias("__p"))
-    return packed.select(*run_keys, t, F.col("__p.r").alias("__rois"), F.col("__p.v").alias("__x"),
-                         F.xxhash64(*run_keys).alias("__run"))
+# ---------------------------------------------------------------- Gram path (AGG1, AGG2)
+
+def _correlations(x: np.ndarray) -> np.ndarray:
+    """Pearson r of all column pairs over the rows where both have a value."""
+    mask = ~np.isnan(x)
+    filled = np.where(mask, x - np.nanmean(np.where(mask.any(0), x, 0.0), axis=0), 0.0)
+    m = mask.astype(float)
+    n, sxy = m.T @ m, filled.T @ filled
+    sx, sxx = filled.T @ m, (filled * filled).T @ m        # of column i over the rows that j has
+    with np.errstate(divide="ignore", invalid="ignore"):
+        var = sxx - sx * sx / n
+        var[var <= 1e-12 * sxx] = 0.0                      # constant up to rounding
+        return (sxy - sx * sx.T / n) / np.sqrt(var * var.T)
+
+
+def _shrunk_correlations(x: np.ndarray) -> np.ndarray:
+    """Ledoit-Wolf shrunk covariance as correlations; needs complete rows."""
+    if np.isnan(x).any():
+        raise ValueError("shrunk correlation needs a value of every region at every time point")
+    x = x - x.mean(axis=0)
+    n, p = x.shape
+    cov = x.T @ x / n
+    mu, squares, q = np.trace(cov) / p, (cov * cov).sum(), (x * x).sum(axis=1)
+    beta = ((q * q).sum() / n - squares) / (p * n)
+    delta = (squares - 2.0 * mu * np.trace(cov) + p * mu * mu) / p
+    beta = min(beta, delta)
+    s = 0.0 if beta == 0 else beta / delta
+    cov = (1.0 - s) * cov + s * mu * np.eye(p)
+    d = np.sqrt(np.diag(cov))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return cov / np.outer(d, d)
 
 
 def _gram_edges(signal: DataFrame, run_keys: Sequence[str], shrink: bool, t: str, roi: str,
                 value: str) -> DataFrame:
+    """One Gram matrix per run: its rows meet by the run's keys in one exchange and are
+    laid out by time point and region id, absent cells as gaps.  A run is one
+    recording (time points x atlas), the unit of work of the operator."""
     keys = list(run_keys)
-    sig = center(signal.select(*keys, t, roi, value), keys + [roi], value)
-    wide = _wide_by_time(sig, keys, t, roi, value)
 
-    def part(it):
-        import pandas as pd
-        acc = {}
-        for pdf in it:
-            for rid, g in pdf.groupby("__run"):
-                X = np.stack(g["__x"].to_numpy())
-                q = (X * X).sum(1)
-                cur = [X.shape[0], X.T @ X, float((q * q).sum()), list(g["__rois"].iloc[0])]
-                if rid in acc:
-                    a = acc[rid]
-                    a[0] += cur[0]
-                    a[1] += cur[1]
-                    a[2] += cur[2]
-                else:
-                    acc[rid] = cur
-        if not acc:
-            return
-        yield pd.DataFrame({"__run": list(acc), "n": [v[0] for v in acc.values()],
-                            "sxx": [v[1].ravel().tolist() for v in acc.values()],
-                            "b": [v[2] for v in acc.values()], "rois": [v[3] for v in acc.values()]})
-
-    parts = wide.select("__run", "__rois", "__x").mapInPandas(
-        part, "__run long, n long, sxx array<double>, b double, rois array<int>")
-
-    def merge(pdf):
+    def edges(key, pdf):
         import pandas as pd
-        rois = list(pdf["rois"].iloc[0])
-        p = len(rois)
-        n = float(pdf["n"].sum())
-        sxx = np.sum(np.stack(pdf["sxx"].to_numpy()), axis=0).reshape(p, p)
-        S_ = sxx / n
-        if shrink:
-            mu = np.trace(S_) / p
-            ss = (S_ * S_).sum()
-            beta = (float(pdf["b"].sum()) / n - ss) / (p * n)
-            delta = (ss - 2.0 * mu * np.trace(S_) + p * mu * mu) / p
-            beta = min(beta, delta)
-            s = 0.0 if beta == 0 else beta / delta
-            S_ = (1.0 - s) * S_ + s * mu * np.eye(p)
-        d = np.sqrt(np.diag(S_))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            R = S_ / np.outer(d, d)
-        iu, ju = np.triu_indices(p, 1)
-        r = R[iu, ju]
-        r = np.where(np.isfinite(r), r, np.nan)
-        return pd.DataFrame({"__run": int(pdf["__run"].iloc[0]), "i": np.asarray(rois)[iu],
-                             "j": np.asarray(rois)[ju], "r": r})
-
-    edges = parts.groupBy("__run").applyInPandas(merge, "__run long, i int, j int, r double")
-    runs = F.broadcast(wide.select("__run", *keys).distinct())   # one row per run
-    out = edges.join(runs, "__run").select(*keys, "i", "j", "r")
+        times, at = np.unique(pdf[t].to_numpy(), return_inverse=True)
+        rois, of = np.unique(pdf[roi].to_numpy(), return_inverse=True)
+        x = np.full((len(times), len(rois)), np.nan)
+        x[at, of] = pdf[value].to_numpy(dtype=float)
+        r = _shrunk_correlations(x) if shrink else _correlations(x)
+        i, j = np.triu_indices(len(rois), 1)
+        found = np.where(np.isfinite(r[i, j]), r[i, j], np.nan)
+        return pd.DataFrame({**{k: [v] * len(i) for k, v in zip(keys, key)}, "i": rois[i], "j": rois[j], "r": found})
+
+    kinds = dict(signal.dtypes)
+    schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), f"i {kinds[roi]}", f"j {kinds[roi]}", "r double"])
+    rows = signal.select(*keys, t, roi, F.col(value).cast("double").alias(value))
+    out = rows.groupBy(*keys).applyInPandas(edges, schema)
     return out.withColumn("r", F.when(~F.isnan("r"), F.col("r")))
 
 
 def correlation_edges_gram(signal: DataFrame, run_keys: Sequence[str], t: str = "t", roi: str = "roi",
                            value: str = "value") -> DataFrame:
-    """AGG1 for complete signals (every ROI at every time point): per-run
-    centred XᵀX from map-side partials — T·R values per run are read once
-    instead of T·R²/2 joined pairs.  Edges i < j; constant ROI -> NULL."""
+    """AGG1 from one Gram matrix per run: T·R values per run are read once instead
+    of T·R²/2 joined pairs.  Gaps are left out pair by pair.  Edges i < j;
+    constant ROI -> NULL."""
     return _gram_edges(signal, run_keys, False, t, roi, value)
 
 
 def shrunk_correlation_edges_gram(signal: DataFrame, run_keys: Sequence[str], t: str = "t", roi: str = "roi",
                                   value: str = "value") -> DataFrame:
     """AGG2 (Ledoit–Wolf) on the Gram path: the same three aggregates as
-    ``shrunk_correlation_edges`` (S, Σ_t(Σ_i x²)², trace) from map-side partials."""
+    ``shrunk_correlation_edges`` (S, Σ_t(Σ_i x²)², trace); gaps are an error."""
     return _gram_edges(signal, run_keys, True, t, roi, value)

@@ -208,7 +208,7 @@ def largest_remainder(counts: dict, total: int, n: int) -> dict:
     base = {k: (c * total) // n for k, c in counts.items()}
     rem = {k: (c * total) % n for k, c in counts.items()}
     short = total - sum(base.values())
-    for k in sorted(counts, key=lambda k: (-rem[k], k))[:short]:
+    for k in sorted(counts, key=lambda k: (-rem[k], k is None, 0 if k is None else k))[:short]:
         base[k] += 1
     return base
 
@@ -219,7 +219,8 @@ def stratified_shuffle_splits(strata: DataFrame, n_splits: int, test_size: float
 
     test = ceil(test_size·n), train = n - test; per-stratum train quota by
     largest remainder; inside (split, stratum) subjects are ordered by
-    md5(seed:split:subject) and the first ``quota`` are train.
+    md5(seed:split:subject) and the first ``quota`` are train.  Subjects without
+    a stratum (NULL) are a stratum of their own.
     """
     strata = strata.select(key, stratum).persist()   # counted, then ranked
     counts = {r[stratum]: r["n"] for r in strata.groupBy(stratum).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -229,7 +230,8 @@ def stratified_shuffle_splits(strata: DataFrame, n_splits: int, test_size: float
     quota = largest_remainder(counts, n_train, n)
     q = None
     for s, v in quota.items():
-        q = F.when(F.col(stratum) == F.lit(s), F.lit(v)) if q is None else q.when(F.col(stratum) == F.lit(s), F.lit(v))
+        same = F.col(stratum).eqNullSafe(F.lit(s))
+        q = F.when(same, F.lit(v)) if q is None else q.when(same, F.lit(v))
     rows = strata.select(key, stratum, F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("split"))
     ranked = rank_within(rows, ["split", stratum], [md5_key(F.lit(seed), "split", key), F.col(key)], "__rk",
                          max_group=max(counts.values()))   # a (split, stratum) group is one stratum

@@ -113,7 +113,7 @@ def learning_curve(spark: SparkSession, sf: str, modality: str = "orders") -> Da
 def _r2_by_group(pred: DataFrame, group, targets) -> DataFrame:
     """Mean over targets of (unweighted) R² per group — the search/curve score."""
     means = pred.groupBy(*group).agg(*[F.avg(t).alias(f"__m_{t}") for t in targets])
-    j = pred.join(F.broadcast(means), list(group))
+    j = pred.join(means, list(group))
     aggs = []
     for t in targets:
         yv, p, m = F.col(t), F.col(f"{t}_pred"), F.col(f"__m_{t}")

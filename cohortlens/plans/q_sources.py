@@ -240,7 +240,7 @@ WHERE subject IN ({_REQ_SUPP})""", "stats"), ["value"]))
 def q_features_roundtrip(spark, sf):
     """SNK1+SRC7: long features written by kind/session, loaded for requested subjects."""
     out = _scratch(spark, "features")
-    SNK.write_features(_features_long(spark, sf), out)
+    SNK.write_features(_features_long(spark, sf), out, batch="all")
     req = V.table(spark, sf, "supplier").filter("s_nationkey < 10").select(
         F.col("s_suppkey").cast("string").alias("subject"))
     return SRC.load_features(spark, out, "fs", req).select("subject", "name", "value", "session", "kind")

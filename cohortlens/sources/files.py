@@ -203,7 +203,10 @@ def load_predictions(spark: SparkSession, base: str, model: str, modalities: Seq
                      permuted: bool = False) -> DataFrame:
     """SRC10: predictions of one model for some modalities (partition pruning)."""
     df = spark.read.parquet(base).filter((F.col("model") == model) & F.col("modality").isin(list(modalities)))
-    df = df.filter(F.col("permuted") == F.lit(permuted)) if "permuted" in df.columns else df
+    if "permuted" in df.columns:
+        return df.filter(F.col("permuted") == F.lit(permuted))
+    if permuted:
+        raise ValueError(f"{base} has no column 'permuted', so no permuted predictions")
     return df
 
 

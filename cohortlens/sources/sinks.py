@@ -17,9 +17,18 @@ def _writer(df: DataFrame, partition_by: Sequence[str]):
     return w.partitionBy(*partition_by) if partition_by else w
 
 
-def write_features(features: DataFrame, path: str) -> None:
-    """SNK1: long features (subject, session, kind, name, value) by kind/session."""
-    _writer(features.repartition("kind", "session"), ["kind", "session"]).parquet(path)
+def _own(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    return [k for k in keys if k in df.columns]
+
+
+def write_features(features: DataFrame, path: str, batch: str) -> None:
+    """SNK1: long features (subject, session, kind, name, value) by kind, session and batch.
+
+    ``batch`` names the set of subjects written: a repeated run of a batch
+    replaces it and leaves the subjects of other batches alone.  The rebalanced
+    exchange splits a large kind or session over several tasks."""
+    rows = features.withColumn("batch", F.lit(batch)).hint("rebalance", "kind", "session")
+    _writer(rows, ["kind", "session", "batch"]).parquet(path)
 
 
 def write_edges(edges: DataFrame, path: str) -> None:
@@ -43,8 +52,9 @@ def write_predictions(pred: DataFrame, path: str) -> None:
 
 
 def write_split_members(members: DataFrame, path: str) -> None:
-    """SNK5: split membership (split, subject, role)."""
-    _writer(members, []).parquet(path)
+    """SNK5: split membership (split, subject, role); with model and modality
+    columns only the written ones are replaced."""
+    _writer(members, _own(members, ("model", "modality"))).parquet(path)
 
 
 def write_coefficients(coef: DataFrame, path: str) -> None:
@@ -58,5 +68,6 @@ def save_model(model, path: str) -> None:
 
 
 def write_scores(scores: DataFrame, path: str) -> None:
-    """SNK7: learning-curve scores / permutation importances."""
-    _writer(scores, []).parquet(path)
+    """SNK7: learning-curve scores / permutation importances; with model and
+    modality columns only the written ones are replaced."""
+    _writer(scores, _own(scores, ("model", "modality"))).parquet(path)

@@ -276,3 +276,60 @@ def test_generic_permutation_importance_equals_linear_shortcut(spark):
             Xp[:, j] = X[order, j]
             sc.append(np.mean([r2(Y[:, t], (Xp @ W)[:, t]) for t in range(2)]))
         assert math.isclose(got[f"f{j}"], base - np.mean(sc), rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_gram_correlation_with_gaps_matches_self_join(spark):
+    from cohortlens.operators import signal as S
+    rng = np.random.default_rng(3)
+    rows = []
+    for run in range(2):
+        for t in range(30):
+            for r in range(4):
+                if (t + r + run) % 7 == 0:
+                    continue                                   # another set of regions at each time point
+                rows.append((run, t, r, None if (t + 2 * r) % 11 == 0 else float(rng.normal()) + 0.4 * t * (r < 2)))
+    df = spark.createDataFrame(rows, "run int, t int, roi int, value double")
+    got = {(x["run"], x["i"], x["j"]): x["r"] for x in S.correlation_edges_gram(df, ["run"]).collect()}
+    pdf = df.toPandas()
+    for run in range(2):
+        wide = pdf[pdf.run == run].pivot(index="t", columns="roi", values="value")
+        expected = wide.corr()
+        for i in range(4):
+            for j in range(i + 1, 4):
+                assert abs(got[run, i, j] - expected.loc[i, j]) < 1e-9
+    with pytest.raises(Exception, match="every region"):
+        S.shrunk_correlation_edges_gram(df, ["run"]).collect()
+
+
+def test_learning_curve_sizes_follow_the_first_fold(spark):
+    from cohortlens.operators import models as ML
+    base = spark.createDataFrame([(f"s{i:03d}",) for i in range(62)], "subject string")
+    m = ML.learning_curve_members(base).filter("role = 'train'")
+    sizes = {(r["size_idx"], r["n"]) for r in m.groupBy("split", "size_idx").count().selectExpr("size_idx", "`count` n").collect()}
+    assert len(sizes) == len({s for s, _ in sizes})            # one size for all folds
+
+
+def test_null_stratum_is_a_stratum(spark):
+    from cohortlens.operators import splits as SP
+    rows = [(f"s{i:03d}", None if i < 20 else i % 2) for i in range(60)]
+    m = SP.stratified_shuffle_splits(spark.createDataFrame(rows, "subject string, stratum int"), 1)
+    roles = [r["role"] for r in m.filter("subject < 's020'").collect()]
+    assert roles.count("train") == 16 and roles.count("test") == 4
+
+
+def test_feature_batches_are_kept(spark, tmp_path):
+    from cohortlens.sources import sinks as SNK
+    out = str(tmp_path / "features")
+    for batch, subject in (("a", "s1"), ("b", "s2"), ("b", "s2")):
+        rows = [(subject, "t1", "fs", "f", 1.0)]
+        SNK.write_features(spark.createDataFrame(rows, "subject string, session string, kind string, name string, value double"), out, batch)
+    assert sorted(r["subject"] for r in spark.read.parquet(out).collect()) == ["s1", "s2"]
+
+
+def test_permuted_predictions_need_their_column(spark, tmp_path):
+    from cohortlens.sources import files as SRC
+    out = str(tmp_path / "pred")
+    spark.createDataFrame([("m", "A", "s1", 1.0)], "model string, modality string, subject string, p double").write.parquet(out)
+    assert SRC.load_predictions(spark, out, "m", ["A"]).count() == 1
+    with pytest.raises(ValueError, match="permuted"):
+        SRC.load_predictions(spark, out, "m", ["A"], permuted=True)
