@@ -8,7 +8,7 @@ summarises its rows per split (count, means, centred cross-products) with
 numpy (``mapInPandas``); the partials of one split — at most one per
 partition, so the group size is bounded by the partition count, never by the
 data — are merged with the parallel-variance formula (numerically stable)
-in ``applyInPandas``, where the k×k eigen-solve also happens.  Per-row passes
+in ``applyInPandas``; the k×k eigen-solves happen on the driver.  Per-row passes
 (leave-one-out errors, predictions) read the per-split parameters from a
 broadcast variable whose size, n_splits·k², is checked before it is sent.
 """
