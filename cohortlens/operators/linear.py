@@ -3,14 +3,13 @@ alpha choice, PCA and linear predictions — all splits in one Spark job.
 
 Rows are ``(split, subject, role, x array<double>, y array<double>)``.
 
-Sufficient statistics are computed as map-side partials: every partition
-summarises its rows per split (count, means, centred cross-products) with
-numpy (``mapInPandas``); the partials of one split — at most one per
-partition, so the group size is bounded by the partition count, never by the
-data — are merged with the parallel-variance formula (numerically stable)
-in ``applyInPandas``; the k×k eigen-solves happen on the driver.  Per-row passes
-(leave-one-out errors, predictions) read the per-split parameters from a
-broadcast variable whose size, n_splits·k², is checked before it is sent.
+Sufficient statistics (count, means, centred cross-products) are taken with
+numpy over pieces of a split (``mapInPandas`` after an exchange on split and
+piece, so a split has at most ``PIECES`` partial results however many
+partitions the input has) and merged with the parallel-variance formula.
+Eigen-problems are solved on the executors, one row per split; fitted
+parameters stay DataFrames and meet the rows by (split, piece), so neither the
+driver nor a broadcast holds the parameters of all splits.
 """
 
 from __future__ import annotations
@@ -22,10 +21,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.session import ensure_checkpoint_dir
+
 # fixed values: 100 ridge penalties, log-spaced from 1e-3 to 1e5
 RIDGE_ALPHAS = np.logspace(-3, 5, 100)
 
-MAX_BROADCAST_BYTES = 512 * 1024 * 1024
+PIECES = 32                 # pieces of a split that are summarised or joined apart
+ROWS_PER_PIECE = 20_000     # rows of a split in one grouped step of the leave-one-out errors
 
 MOMENTS_SCHEMA = ("split int, n long, mx array<double>, my array<double>, cxx array<double>, "
                   "cxy array<double>, cyy array<double>")
@@ -36,7 +38,24 @@ def design_rows(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Se
     """(split, subject, role, x, y) from subject tables and split membership."""
     xa = x.select(key, F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
     ya = y.select(key, F.array(*[F.col(c).cast("double") for c in targets]).alias("y"))
-    return members.select("split", key, "role").join(xa, key).join(ya, key)
+    rows = members.select("split", key, "role").join(xa, key, "left").join(ya, key, "left")
+    # V7 inside the plan: a member without features or targets is an error, not a lost row
+    found = [F.coalesce(c, F.raise_error(F.concat(F.lit(f"no {what} for "), F.col(key).cast("string")))
+                        .cast("array<double>")).alias(c) for c, what in (("x", "features"), ("y", "targets"))]
+    return rows.select(key, "split", "role", *found)
+
+
+def _piece(rows: DataFrame, n, x_col: str = "x"):
+    """Piece number 0..n-1 of a row, the same in every run."""
+    return F.pmod(F.xxhash64("subject" if "subject" in rows.columns else x_col), n).cast("int")
+
+
+def join_by_split(rows: DataFrame, values: DataFrame, how: str = "inner", x_col: str = "x") -> DataFrame:
+    """Join one row of values per split; every split is met in ``PIECES`` pieces,
+    so a split that holds most rows does not end in one task."""
+    pieces = values.withColumn("__piece", F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))))
+    return (rows.withColumn("__piece", _piece(rows, F.lit(PIECES), x_col))
+            .join(pieces, ["split", "__piece"], how).drop("__piece"))
 
 
 def _stack(col: pd.Series) -> np.ndarray:
@@ -63,7 +82,8 @@ def column_means(rows: DataFrame, x_col: str = "x") -> DataFrame:
             yield pd.DataFrame({"split": list(acc), "s": [v[0].tolist() for v in acc.values()],
                                 "c": [v[1].tolist() for v in acc.values()], "n": [v[2] for v in acc.values()]})
 
-    parts = rows.select("split", x_col).mapInPandas(part, "split int, s array<double>, c array<double>, n long")
+    pieces = rows.withColumn("__piece", _piece(rows, F.lit(PIECES), x_col)).repartition("split", "__piece")
+    parts = pieces.select("split", x_col).mapInPandas(part, "split int, s array<double>, c array<double>, n long")
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         s = _stack(pdf["s"]).sum(0)
@@ -81,25 +101,27 @@ def column_means(rows: DataFrame, x_col: str = "x") -> DataFrame:
 def impute_with_indicators(rows: DataFrame, means: DataFrame, indicator_cols: Sequence[int],
                            x_col: str = "x") -> DataFrame:
     """Fill NULLs with the split's train means and append 0/1 missing
-    indicators for ``indicator_cols`` (positions).  ``means`` has one row per
-    split (k doubles), so it is broadcast."""
-    m = F.broadcast(means.select("split", F.col("mean").alias("__mean")))
+    indicators for ``indicator_cols`` (positions).  ``means`` has one row per split."""
     filled = F.zip_with(F.col(x_col), F.col("__mean"), lambda a, b: F.coalesce(a, b, F.lit(0.0)))
     ind = [F.when(F.get(F.col(x_col), i).isNull(), F.lit(1.0)).otherwise(F.lit(0.0)) for i in indicator_cols]
     out = F.concat(filled, F.array(*ind)) if ind else filled
-    return rows.join(m, "split").withColumn(x_col, out).drop("__mean")
+    m = means.select("split", F.col("mean").alias("__mean"))
+    return join_by_split(rows, m, x_col=x_col).withColumn(x_col, out).drop("__mean")
 
 
 # ---------------------------------------------------------------- moments
 
 def moments(rows: DataFrame, x_col: str = "x", y_col: str = "y") -> DataFrame:
-    """Per split: n, means of x and y, centred Xᵀ X, Xᵀ y, yᵀ y (flattened)."""
+    """Per split: n, means of x and y, centred Xᵀ X, Xᵀ y, yᵀ y (flattened).
+    A gap in x or y is an error: it would spread over the whole split."""
 
     def part(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         acc: dict[int, tuple] = {}
         for pdf in it:
             for s, g in pdf.groupby("split"):
                 X, Y = _stack(g[x_col]), _stack(g[y_col])
+                if np.isnan(X).any() or np.isnan(Y).any():
+                    raise ValueError(f"split {s}: missing values, impute the columns first")
                 n = X.shape[0]
                 mx, my = X.mean(0), Y.mean(0)
                 Xc, Yc = X - mx, Y - my
@@ -111,7 +133,8 @@ def moments(rows: DataFrame, x_col: str = "x", y_col: str = "y") -> DataFrame:
         if out:   # an empty partition yields nothing
             yield pd.DataFrame(out, columns=["split", "n", "mx", "my", "cxx", "cxy", "cyy"])
 
-    parts = rows.select("split", x_col, y_col).mapInPandas(part, MOMENTS_SCHEMA)
+    pieces = rows.withColumn("__piece", _piece(rows, F.lit(PIECES), x_col)).repartition("split", "__piece")
+    parts = pieces.select("split", x_col, y_col).mapInPandas(part, MOMENTS_SCHEMA)
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         acc = None
@@ -158,90 +181,92 @@ class SplitParams:
         self.lam = np.maximum(lam, 0.0)
         self.V = V
         self.q = V.T @ (cxy / self.sd[:, None])                # k x t
-        self.cyy = np.asarray(cyy)
 
-    def coef(self, alpha: float) -> np.ndarray:
-        """Ridge weights on the standardised scale (k x t)."""
-        return self.V @ (self.q / (self.lam + alpha)[:, None])
 
-    def raw_coef(self, alpha: float) -> tuple[np.ndarray, np.ndarray]:
-        """Weights and intercept on the original x scale."""
-        w = self.coef(alpha) / self.sd[:, None]
-        b = self.my - self.mx @ w
-        return w, b
+PARAMS_SCHEMA = ("split int, n long, mx array<double>, my array<double>, sd array<double>, lam array<double>, "
+                 "v array<double>, q array<double>")
 
 
-def _params(moment_rows: list) -> dict[int, SplitParams]:
-    return {r["split"]: SplitParams(r["n"], r["mx"], r["my"], r["cxx"], r["cxy"], r["cyy"]) for r in moment_rows}
+def solve_splits(moment_rows: DataFrame) -> DataFrame:
+    """One eigen-decomposition of the scaled Gram per split, on the executors."""
 
+    def solve(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            for r in pdf.itertuples(index=False):
+                p = SplitParams(r.n, r.mx, r.my, r.cxx, r.cxy, r.cyy)
+                yield pd.DataFrame([(int(r.split), int(r.n), p.mx.tolist(), p.my.tolist(), p.sd.tolist(),
+                                     p.lam.tolist(), p.V.ravel().tolist(), p.q.ravel().tolist())],
+                                   columns=["split", "n", "mx", "my", "sd", "lam", "v", "q"])
+
+    return moment_rows.mapInPandas(solve, PARAMS_SCHEMA)
 
-def _check_size(n_splits: int, k: int, t: int, what: str) -> None:
-    size = n_splits * (k * k + 3 * k + k * t + 2 * t) * 8
-    if size > MAX_BROADCAST_BYTES:
-        raise MemoryError(f"{what}: per-split parameters need {size} bytes (> {MAX_BROADCAST_BYTES}); "
-                          "run the splits in batches")
+
+def _unpack(r) -> tuple:
+    """(mx, my, sd, lam, V, q) of one row of ``solve_splits``."""
+    mx, my, sd, lam = (np.asarray(v, dtype=float) for v in (r.mx, r.my, r.sd, r.lam))
+    k, t = len(mx), len(my)
+    return mx, my, sd, lam, np.asarray(r.v).reshape(k, k), np.asarray(r.q).reshape(k, t)
 
 
 def ridge_cv(train_rows: DataFrame, alphas: Sequence[float] = RIDGE_ALPHAS, x_col: str = "x",
-             y_col: str = "y") -> tuple[DataFrame, dict]:
+             y_col: str = "y") -> DataFrame:
     """ML7: ridge on standardised x with one alpha per split (shared by all
     targets) chosen by exact leave-one-out error:
     e_i = (y_i - ŷ_i)/(1 - h_i), h_i = 1/n + Σ_k u_ik²/(λ_k + α), u = Vᵀ x̃_i.
 
-    Returns (coefficients DataFrame, {split: SplitParams}).  The coefficient
-    table holds (split, alpha, w array (k·t, row-major), b array (t))."""
-    spark = train_rows.sparkSession
-    mrows = moments(train_rows, x_col, y_col).collect()
-    if not mrows:
-        raise ValueError("no training rows")
-    params = _params(mrows)
-    k, t = len(mrows[0]["mx"]), len(mrows[0]["my"])
-    _check_size(len(params), k, t, "ridge_cv")
+    Returns the coefficients (split, alpha, w array (k·t, row-major), b array
+    (t)).  The errors are summed over pieces of at most about
+    ``ROWS_PER_PIECE`` rows, each next to its split's parameters; ties of the
+    error take the smaller alpha.  Parameters and coefficients are checkpointed
+    because later steps read them several times."""
+    ensure_checkpoint_dir(train_rows.sparkSession)
     alphas = np.asarray(alphas, dtype=float)
-    bc = spark.sparkContext.broadcast({s: (p.n, p.mx, p.my, p.sd, p.V, p.lam, p.q) for s, p in params.items()})
-
-    def loo(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        P = bc.value
-        acc: dict[int, np.ndarray] = {}
+    params = solve_splits(moments(train_rows, x_col, y_col)).checkpoint()
+    counts = F.broadcast(params.select("split", F.ceil(F.col("n") / ROWS_PER_PIECE).alias("__pieces")))  # ints per split
+    rows = train_rows.select("split", *(["subject"] if "subject" in train_rows.columns else []), x_col, y_col)
+    rows = rows.join(counts, "split")
+    rows = rows.select("split", _piece(rows, F.col("__pieces"), x_col).alias("piece"), x_col, y_col)
+    pieces = params.withColumn("piece", F.explode(F.sequence(
+        F.lit(0), (F.ceil(F.col("n") / ROWS_PER_PIECE) - 1).cast("int"))))
+
+    def loo(g: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
+        if g.empty or p.empty:
+            return pd.DataFrame({"split": [], "a": [], "sse": []})
+        n = int(p["n"].iloc[0])
+        mx, my, sd, lam, V, q = _unpack(p.iloc[0])
+        X, Y = _stack(g[x_col]), _stack(g[y_col])
+        U = ((X - mx) / sd) @ V                         # rows x k
+        sse = np.empty(len(alphas))
+        for i, alpha in enumerate(alphas):              # rows x t at a time
+            den = lam + alpha
+            h = 1.0 / n + (U * U) @ (1.0 / den)
+            e = (Y - my - (U / den) @ q) / (1.0 - h)[:, None]
+            sse[i] = (e * e).sum()
+        return pd.DataFrame({"split": int(p["split"].iloc[0]), "a": np.arange(len(alphas)), "sse": sse})
+
+    sse = (rows.groupBy("split", "piece").cogroup(pieces.groupBy("split", "piece"))
+           .applyInPandas(loo, "split int, a int, sse double").groupBy("split", "a").agg(F.sum("sse").alias("sse")))
+    best = sse.groupBy("split").agg(F.min(F.struct("sse", "a")).alias("m")).select("split", F.col("m.a").alias("a"))
+
+    def weights(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            for s, g in pdf.groupby("split"):
-                n, mx, my, sd, V, lam, q = P[int(s)]
-                X, Y = _stack(g[x_col]), _stack(g[y_col])
-                U = ((X - mx) / sd) @ V                         # rows x k
-                den = lam[None, :] + alphas[:, None]            # alphas x k
-                h = 1.0 / n + (U * U) @ (1.0 / den).T           # rows x alphas
-                yhat = my[None, None, :] + np.einsum("rk,ak,kt->rat", U, 1.0 / den, q)
-                e = (Y[:, None, :] - yhat) / (1.0 - h)[:, :, None]
-                sse = (e * e).sum(axis=(0, 2))                   # per alpha
-                acc[int(s)] = acc.get(int(s), 0.0) + sse
-        if acc:
-            yield pd.DataFrame([(s, i, float(v)) for s, a in acc.items() for i, v in enumerate(a)],
-                               columns=["split", "a", "sse"])
-
-    sse = (train_rows.select("split", x_col, y_col).mapInPandas(loo, "split int, a int, sse double")
-           .groupBy("split", "a").agg(F.sum("sse").alias("sse")).collect())
-    best: dict[int, tuple[float, int]] = {}
-    for r in sse:
-        cur = best.get(r["split"])
-        if cur is None or r["sse"] < cur[0] or (r["sse"] == cur[0] and r["a"] < cur[1]):
-            best[r["split"]] = (r["sse"], r["a"])
-    rows = []
-    for s, p in params.items():
-        a = float(alphas[best[s][1]])
-        w, b = p.raw_coef(a)
-        rows.append((int(s), a, w.ravel().tolist(), b.tolist()))
-    coef = spark.createDataFrame(rows, "split int, alpha double, w array<double>, b array<double>")
-    return coef, params
+            for r in pdf.itertuples(index=False):
+                mx, my, sd, lam, V, q = _unpack(r)
+                alpha = float(alphas[int(r.a)])
+                w = (V @ (q / (lam + alpha)[:, None])) / sd[:, None]      # on the original x scale
+                yield pd.DataFrame([(int(r.split), alpha, w.ravel().tolist(), (my - mx @ w).tolist())],
+                                   columns=["split", "alpha", "w", "b"])
+
+    return params.join(best, "split").mapInPandas(
+        weights, "split int, alpha double, w array<double>, b array<double>").checkpoint()
 
 
 def predict_linear(rows: DataFrame, coef: DataFrame, n_targets: int, target_names: Sequence[str],
                    x_col: str = "x") -> DataFrame:
     """ML11: ŷ_t = b_t + Σ_j x_j·w_jt per row, with the split's coefficients.
 
-    The coefficient table (n_splits · k · t doubles) is broadcast; the dot
-    products are JVM-side array expressions."""
-    c = F.broadcast(coef.select("split", "w", "b"))
-    j = rows.join(c, "split")
+    The dot products are JVM-side array expressions."""
+    j = join_by_split(rows, coef.select("split", "w", "b"), x_col=x_col)
     preds = []
     for ti, name in enumerate(target_names):
         wt = F.filter(F.col("w"), lambda v, i: (i % n_targets) == ti)
@@ -252,44 +277,35 @@ def predict_linear(rows: DataFrame, coef: DataFrame, n_targets: int, target_name
 
 # ---------------------------------------------------------------- PCA (ML4)
 
-def pca_fit(train_rows: DataFrame, n_components: int, x_col: str = "x") -> dict[int, tuple]:
+def pca_fit(train_rows: DataFrame, n_components: int, x_col: str = "x") -> DataFrame:
     """Per split: standardise (population sd) then principal axes of the block.
 
-    Returns {split: (mean, sd, components k x c)}; each axis' sign makes its
-    largest-magnitude loading positive."""
-    dummy = train_rows.withColumn("__y", F.array(F.lit(0.0)))
-    mrows = moments(dummy, x_col, "__y").collect()
-    out = {}
-    for r in mrows:
-        p = SplitParams(r["n"], r["mx"], r["my"], r["cxx"], r["cxy"], r["cyy"])
-        order = np.argsort(p.lam)[::-1][:n_components]
-        comp = p.V[:, order]
-        sign = np.sign(comp[np.argmax(np.abs(comp), axis=0), np.arange(comp.shape[1])])
-        comp = comp * np.where(sign == 0, 1.0, sign)
-        out[int(r["split"])] = (p.mx, p.sd, comp)
-    return out
-
-
-def pca_transform(rows: DataFrame, fitted: dict[int, tuple], x_col: str = "x", out_col: str = "x") -> DataFrame:
-    """Project the block on the split's components (broadcast table of
-    n_splits·k·c doubles, size-checked)."""
-    spark = rows.sparkSession
-    k = len(next(iter(fitted.values()))[0])
-    c = next(iter(fitted.values()))[2].shape[1]
-    _check_size(len(fitted), k, c, "pca_transform")
-    # projection p_c = Σ_j ((x_j - m_j)/sd_j)·C_jc  = Σ_j x_j·(C_jc/sd_j) - Σ_j m_j C_jc/sd_j
-    rows_ = []
-    for s, (m, sd, comp) in fitted.items():
-        W = comp / sd[:, None]
-        rows_.append((int(s), W.T.ravel().tolist(), (-(m @ W)).tolist()))
-    tab = F.broadcast(spark.createDataFrame(rows_, "split int, __W array<double>, __b array<double>"))
-    j = rows.join(tab, "split")
-    proj = []
-    for ci in range(c):
-        wc = F.slice(F.col("__W"), ci * k + 1, k)
-        dot = F.aggregate(F.zip_with(F.col(x_col), wc, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-        proj.append(F.get(F.col("__b"), ci) + dot)
-    return j.withColumn(out_col, F.array(*proj)).drop("__W", "__b")
+    Returns (split, pw array (component after component, k each), pb array):
+    component c of x is pb_c + Σ_j x_j·pw_cj.  The sign makes the loading of
+    largest magnitude positive."""
+    fitted = solve_splits(moments(train_rows.withColumn("__y", F.array(F.lit(0.0))), x_col, "__y"))
+
+    def axes(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            for r in pdf.itertuples(index=False):
+                mx, _, sd, lam, V, _ = _unpack(r)
+                comp = V[:, np.argsort(lam)[::-1][:n_components]]
+                sign = np.sign(comp[np.argmax(np.abs(comp), axis=0), np.arange(comp.shape[1])])
+                w = comp * np.where(sign == 0, 1.0, sign) / sd[:, None]
+                yield pd.DataFrame([(int(r.split), w.T.ravel().tolist(), (-(mx @ w)).tolist())],
+                                   columns=["split", "pw", "pb"])
+
+    return fitted.mapInPandas(axes, "split int, pw array<double>, pb array<double>")
+
+
+def pca_transform(rows: DataFrame, fitted: DataFrame, x_col: str = "x", out_col: str = "x") -> DataFrame:
+    """Project the block on the components of the row's split."""
+    j = join_by_split(rows, fitted, x_col=x_col)
+    k = F.size(x_col)
+    dot = lambda b, i: b + F.aggregate(
+        F.zip_with(F.col(x_col), F.slice(F.col("pw"), i * k + 1, k), lambda x, w: x * w),
+        F.lit(0.0), lambda acc, v: acc + v)
+    return j.withColumn(out_col, F.transform("pb", dot)).drop("pw", "pb")
 
 
 # ---------------------------------------------------------------- iterative imputation (ML2)
@@ -317,24 +333,22 @@ def bayesian_ridge(n: float, cxx: np.ndarray, cxy: np.ndarray, cyy: float, max_i
     return V @ (xty / (eig + lam / alpha))
 
 
-def iterative_impute(rows: DataFrame, k: int, max_iter: int = 10, tol: float = 1e-3, n_nearest: int = 50,
+def iterative_impute(rows: DataFrame, k: int, max_iter: int = 10, tol: float = 1e-3, n_nearest: int | None = None,
                      x_col: str = "x") -> DataFrame:
     """ML2: round-robin imputation fitted on each split's train rows.
 
     Start from train means; then per round and per column with gaps (fewest
     missing first) fit a Bayesian ridge of the column on the other columns
-    (the ``n_nearest`` most correlated ones) over train rows where it is
-    observed, and replace its missing entries in train and test rows.  Stops
-    when the largest row-wise absolute change of the train rows falls below
-    tol·max|observed|.  Every step is one moments job for all splits; the
-    table is checkpointed after each round to cut the lineage.
+    over train rows where it is observed, and replace its missing entries in
+    train and test rows.  Stops when the largest row-wise absolute change of
+    the train rows falls below tol·max|observed|.  ``n_nearest`` fits on that
+    many most correlated columns only (a cheaper model with other values);
+    None takes all.  Every step is one job for all splits, solved on the
+    executors and checkpointed, so no step replays an earlier one.
     """
-    from cohortlens.session import ensure_checkpoint_dir
-    spark = rows.sparkSession
-    ensure_checkpoint_dir(spark)          # checkpoint() below writes to spark.checkpoint.dir
-    means = column_means(rows.filter("role = 'train'"))
-    m = F.broadcast(means.select("split", F.col("mean").alias("__mean")))
-    base = rows.join(m, "split").withColumn("__orig", F.col(x_col)).withColumn(
+    ensure_checkpoint_dir(rows.sparkSession)
+    means = column_means(rows.filter("role = 'train'"), x_col).select("split", F.col("mean").alias("__mean"))
+    base = join_by_split(rows, means, x_col=x_col).withColumn("__orig", F.col(x_col)).withColumn(
         x_col, F.zip_with(F.col(x_col), F.col("__mean"), lambda a, b: F.coalesce(a, b, F.lit(0.0)))).drop("__mean")
     stats = rows.select(*[F.count(F.when(F.get(F.col(x_col), j).isNull(), 1)).alias(f"m{j}") for j in range(k)],
                         F.max(F.array_max(F.transform(F.col(x_col), lambda v: F.abs(v)))).alias("amax")).first()
@@ -348,34 +362,16 @@ def iterative_impute(rows: DataFrame, k: int, max_iter: int = 10, tol: float = 1
         for c in gaps:
             others = [j for j in range(k) if j != c]
             fit_rows = cur.filter((F.col("role") == "train") & F.get(F.col("__orig"), c).isNotNull()).select(
-                "split", F.array(*[F.get(F.col(x_col), j) for j in others]).alias("__xo"),
+                "split", "subject", F.array(*[F.get(F.col(x_col), j) for j in others]).alias("__xo"),
                 F.array(F.get(F.col(x_col), c)).alias("__yc"))
-            mo = moments(fit_rows, "__xo", "__yc").collect()
-            tab = []
-            for r in mo:
-                kk = len(others)
-                cxx = np.asarray(r["cxx"]).reshape(kk, kk)
-                cxy = np.asarray(r["cxy"]).reshape(kk, 1)[:, 0]
-                use = np.arange(kk)
-                if kk > n_nearest:   # the n_nearest most correlated predictors
-                    sd = np.sqrt(np.maximum(np.diag(cxx), 1e-300))
-                    corr = np.abs(cxy / sd / np.sqrt(max(r["cyy"][0], 1e-300)))
-                    use = np.sort(np.argsort(-corr, kind="stable")[:n_nearest])
-                w = np.zeros(kk)
-                w[use] = bayesian_ridge(float(r["n"]), cxx[np.ix_(use, use)], cxy[use], float(r["cyy"][0]))
-                b = float(r["my"][0] - np.asarray(r["mx"]) @ w)
-                full = np.zeros(k)
-                full[others] = w
-                tab.append((int(r["split"]), full.tolist(), b))
-            coef = F.broadcast(spark.createDataFrame(tab, "split int, __w array<double>, __b double"))
+            coef = moments(fit_rows, "__xo", "__yc").mapInPandas(_column_fit(others, k, n_nearest),
+                                                                 "split int, __w array<double>, __b double")
             dot = F.aggregate(F.zip_with(F.col(x_col), F.col("__w"), lambda a, b: a * b), F.lit(0.0),
                               lambda acc, v: acc + v)
-            pred = F.col("__b") + dot
-            cur = cur.join(coef, "split", "left").withColumn(
+            gap = F.get(F.col("__orig"), c).isNull() & F.col("__b").isNotNull()
+            cur = join_by_split(cur, coef, "left", x_col).withColumn(
                 x_col, F.transform(F.col(x_col), lambda v, i: F.when(
-                    (i == c) & F.get(F.col("__orig"), c).isNull() & F.col("__b").isNotNull(), pred).otherwise(v))
-            ).drop("__w", "__b")
-        cur = cur.checkpoint()
+                    (i == c) & gap, F.col("__b") + dot).otherwise(v))).drop("__w", "__b").checkpoint()
         delta = (cur.filter("role = 'train'").select("split", "subject", F.col(x_col).alias("__new"))
                  .join(prev.filter("role = 'train'").select("split", "subject", F.col(x_col).alias("__old")),
                        ["split", "subject"])
@@ -385,3 +381,26 @@ def iterative_impute(rows: DataFrame, k: int, max_iter: int = 10, tol: float = 1
         if delta is not None and delta < norm_tol:
             break
     return cur.drop("__orig")
+
+
+def _column_fit(others: Sequence[int], k: int, n_nearest: int | None):
+    """Moments of one column on the ``others`` -> weights over all k columns and intercept."""
+
+    def fit(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kk = len(others)
+        for pdf in it:
+            for r in pdf.itertuples(index=False):
+                cxx, cxy = np.asarray(r.cxx).reshape(kk, kk), np.asarray(r.cxy).reshape(kk)
+                use = np.arange(kk)
+                if n_nearest is not None and kk > n_nearest:
+                    sd = np.sqrt(np.maximum(np.diag(cxx), 1e-300))
+                    corr = np.abs(cxy / sd / np.sqrt(max(r.cyy[0], 1e-300)))
+                    use = np.sort(np.argsort(-corr, kind="stable")[:n_nearest])
+                w = np.zeros(kk)
+                w[use] = bayesian_ridge(float(r.n), cxx[np.ix_(use, use)], cxy[use], float(r.cyy[0]))
+                full = np.zeros(k)
+                full[list(others)] = w
+                yield pd.DataFrame([(int(r.split), full.tolist(), float(r.my[0] - np.asarray(r.mx) @ w))],
+                                   columns=["split", "__w", "__b"])
+
+    return fit

@@ -56,14 +56,15 @@ def prepare(rows: DataFrame, pca_block: Sequence[int] | None = None, n_component
         blk = [i for i in pca_block]
         rest = [i for i in range(len(names)) if i not in blk]
         sel = lambda idx: F.array(*[F.get(F.col("x"), i) for i in idx])
-        # PCA is fitted on complete block rows of the train part (block columns are gap-free features)
+        # block columns must be gap-free: a NULL in the train part raises in ``moments``
         fitted = L.pca_fit(train.withColumn("x", sel(blk)), n_components)
         proj = L.pca_transform(rows.withColumn("__blk", sel(blk)), fitted, "__blk", "__pc")
         rows = proj.withColumn("x", F.concat(F.col("__pc"), sel(rest))).drop("__blk", "__pc")
         names = [f"fmri__pca_{i}" for i in range(n_components)] + [names[i] for i in rest]
     means = L.column_means(rows.filter("role = 'train'"))
-    flags = [r["any_missing"] for r in means.select("any_missing").collect()]
-    ind = sorted({i for f in flags for i, v in enumerate(f) if v})
+    # positions of the columns with gaps: at most one number per column
+    ind = sorted(r["j"] for r in means.select(F.posexplode("any_missing").alias("j", "gap"))
+                 .filter("gap").select("j").distinct().collect())
     indicators = [F.when(F.get(F.col("x"), i).isNull(), F.lit(1.0)).otherwise(F.lit(0.0)) for i in ind]
     if imputer == "iterative":
         rows = rows.withColumn("__ind", F.array(*indicators)) if ind else rows
@@ -94,14 +95,14 @@ def learn_ridge(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Se
     rows, names = prepare(rows, pca_block, n_components, features, imputer=imputer)
     rows = rows.persist()
     train, test = rows.filter("role = 'train'"), rows.filter("role = 'test'")
-    coef, _ = L.ridge_cv(train, alphas)
+    coef = L.ridge_cv(train, alphas)
     pred = L.predict_linear(test, coef, len(targets), targets)
     pred_train = L.predict_linear(train, coef, len(targets), targets)
     # permuted targets: one md5-ordered shuffle within train and within test
     perm = SP.permute_within(members, y, list(targets), seed=seed)
     perm_y = perm.select("split", "subject", F.array(*[F.col(t).cast("double") for t in targets]).alias("y"))
     rows_p = rows.drop("y").join(perm_y, ["split", "subject"])
-    coef_p, _ = L.ridge_cv(rows_p.filter("role = 'train'"), alphas)
+    coef_p = L.ridge_cv(rows_p.filter("role = 'train'"), alphas)
     pred_p = L.predict_linear(rows_p.filter("role = 'test'"), coef_p, len(targets), targets)
     truth_p = perm.filter("role = 'test'").select("split", "subject", *targets)
     pred_p = pred_p.join(truth_p, ["split", "subject"], "full")

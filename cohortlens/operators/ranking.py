@@ -1,9 +1,7 @@
-"""Ranks and lags within groups that may be huge.
+"""Ranks and lags within groups of any size.
 
 ``row_number`` / ``lag`` over ``Window.partitionBy(group)`` sort a whole group
-in one task.  That is fine for bounded groups (one series, one split of a
-cohort) and is what runs by default; but a group is checked first: if the
-largest one exceeds ``WINDOW_GROUP_LIMIT`` rows the distributed form runs:
+in one task, which a group with a third of all rows does not survive.  So:
 
 1. range-partition on (group, order) — a big group is spread over many
    contiguous partitions — and checkpoint, so partition ids are fixed even if
@@ -20,19 +18,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-WINDOW_GROUP_LIMIT = 5_000_000
-
 
 def _cols(xs: Sequence[str | Column]) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Rows of the largest group (one partial aggregate)."""
-    g = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")) if group else df.select(F.count(F.lit(1)).alias("__n"))
-    return g.agg(F.max("__n")).first()[0] or 0
-
-
 def _slices(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n_parts: int | None) -> DataFrame:
     from cohortlens.session import ensure_checkpoint_dir
     spark = df.sparkSession
@@ -43,15 +33,10 @@ def _slices(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
 
 
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], name: str = "rn",
-                limit: int | None = None, n_parts: int | None = None, max_group: int | None = None) -> DataFrame:
+                n_parts: int | None = None) -> DataFrame:
     """1-based row_number over (group ordered by order); ``order`` must be a
-    total order within the group (add a unique tiebreak).  ``max_group``: a
-    known bound on the group size (skips the measuring aggregate)."""
+    total order within the group (add a unique tiebreak)."""
     group = list(group)
-    limit = WINDOW_GROUP_LIMIT if limit is None else limit
-    biggest = max_group if max_group is not None else largest_group(df, group)
-    if biggest <= limit:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*_cols(order))))
     r = _slices(df, group, order, n_parts)
     r = r.withColumn("__lr", F.row_number().over(Window.partitionBy("__pid", *group).orderBy(*_cols(order))))
     cnt = r.groupBy("__pid", *group).agg(F.max("__lr").alias("__c"))
@@ -62,14 +47,10 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Colum
 
 
 def lag_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], values: Sequence[str],
-               suffix: str = "__lag", limit: int | None = None, n_parts: int | None = None) -> DataFrame:
+               suffix: str = "__lag", n_parts: int | None = None) -> DataFrame:
     """Previous value of each column in ``values`` in the group's order, as
     ``{value}{suffix}`` (NULL for the first row of a group)."""
     group, values = list(group), list(values)
-    limit = WINDOW_GROUP_LIMIT if limit is None else limit
-    if largest_group(df, group) <= limit:
-        w = Window.partitionBy(*group).orderBy(*_cols(order))
-        return df.select("*", *[F.lag(v).over(w).alias(v + suffix) for v in values])
     r = _slices(df, group, order, n_parts)
     w = Window.partitionBy("__pid", *group).orderBy(*_cols(order))
     r = r.select("*", F.row_number().over(w).alias("__lr"), *[F.lag(v).over(w).alias(v + suffix) for v in values])

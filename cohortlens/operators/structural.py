@@ -53,36 +53,35 @@ def etiv_normalise(long: DataFrame, keys: Sequence[str] = ("subject",), value: s
     return body.join(etiv, keys).withColumn(value, safe_div(F.col(value), F.col("etiv"))).drop("etiv")
 
 
-def collect_tables(stats: DataFrame) -> DataFrame:
-    """FS2: the four structural tables in long form (subject, table, name, value).
+def collect_tables(stats: DataFrame, keys: Sequence[str] = ("subject",)) -> DataFrame:
+    """FS2: the four structural tables in long form (keys, table, name, value).
 
     subcortVolume : 14 aseg structures / eTIV
     globalVolume  : 2 mean thicknesses (not scaled) + 19 aseg measures / eTIV
     cortThickness : lh/rh parcel ThickAvg, '{hemi}_{parcel}_thickness'
     cortVolume    : lh/rh parcel GrayVol / eTIV, '{hemi}_{parcel}_volume'
-    '&' in names becomes '_'.
+    '&' in names becomes '_'.  JOIN2/JOIN3 are one pass over the rows, which
+    are told apart by a CASE; scaled values need the eTIV of their keys.
     """
-    etiv = (stats.filter((F.col("kind") == "aseg") & (F.col("measure") == "measure") & (F.col("struct") == ETIV))
-            .groupBy("subject").agg(F.first("value").alias("etiv")))
-    aseg = stats.filter(F.col("kind") == "aseg").join(etiv, "subject")
-    aseg_v = aseg.select("subject", "struct", safe_div(F.col("value"), F.col("etiv")).alias("value"))
-    sub = aseg_v.filter(F.col("struct").isin(SUBCORTICAL)).select(
-        "subject", F.lit("subcortVolume").alias("table"), F.col("struct").alias("name"), "value")
-    glob_aseg = aseg_v.filter(F.col("struct").isin(GLOBAL)).select(
-        "subject", F.lit("globalVolume").alias("table"), F.col("struct").alias("name"), "value")
-    aparc = stats.filter(F.col("kind") == "aparc")
-    mean_thk = aparc.filter((F.col("measure") == "measure") & (F.col("struct") == "MeanThickness")).select(
-        "subject", F.lit("globalVolume").alias("table"),
-        F.concat("hemi", F.lit("_MeanThickness_thickness")).alias("name"), "value")
-    thick = aparc.filter(F.col("measure") == "ThickAvg").select(
-        "subject", F.lit("cortThickness").alias("table"),
-        F.concat("hemi", F.lit("_"), F.translate("struct", "&", "_"), F.lit("_thickness")).alias("name"), "value")
-    vol = aparc.filter(F.col("measure") == "GrayVol").join(etiv, "subject").select(
-        "subject", F.lit("cortVolume").alias("table"),
-        F.concat("hemi", F.lit("_"), F.translate("struct", "&", "_"), F.lit("_volume")).alias("name"),
-        safe_div(F.col("value"), F.col("etiv")).alias("value"))
-    out = sub.unionByName(glob_aseg).unionByName(mean_thk).unionByName(thick).unionByName(vol)
-    return out.withColumn("name", F.concat(F.lit("fs__"), "table", F.lit("__"), "name"))
+    keys = list(keys)
+    kind, measure, struct = F.col("kind"), F.col("measure"), F.col("struct")
+    etiv = (stats.filter((kind == "aseg") & (measure == "measure") & (struct == ETIV))
+            .groupBy(*keys).agg(F.first("value").alias("etiv")))
+    thickness = (kind == "aparc") & (measure == "measure") & (struct == "MeanThickness")
+    table = (F.when((kind == "aseg") & struct.isin(SUBCORTICAL), "subcortVolume")
+             .when(((kind == "aseg") & struct.isin(GLOBAL)) | thickness, "globalVolume")
+             .when((kind == "aparc") & (measure == "ThickAvg"), "cortThickness")
+             .when((kind == "aparc") & (measure == "GrayVol"), "cortVolume"))
+    parcel = F.translate("struct", "&", "_")
+    name = (F.when(kind == "aseg", struct)
+            .when(thickness, F.concat("hemi", F.lit("_MeanThickness_thickness")))
+            .otherwise(F.concat("hemi", F.lit("_"), parcel,
+                                F.when(measure == "ThickAvg", "_thickness").otherwise("_volume"))))
+    plain = thickness | (F.col("table") == "cortThickness")
+    rows = stats.withColumn("table", table).filter("table IS NOT NULL").join(etiv, keys, "left")
+    rows = rows.filter(plain | F.col("etiv").isNotNull())
+    return rows.select(*keys, "table", F.concat(F.lit("fs__"), "table", F.lit("__"), name).alias("name"),
+                       F.when(plain, F.col("value")).otherwise(safe_div(F.col("value"), F.col("etiv"))).alias("value"))
 
 
 def struct_features(tables: DataFrame, names: Sequence[str] | None = None) -> DataFrame:

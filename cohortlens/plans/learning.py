@@ -8,8 +8,10 @@ per split through a bounded thread pool.
 
 from __future__ import annotations
 
+import os
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,7 +77,7 @@ def learn(spark: SparkSession, sf: str, model_type: str = "ridgecv", n_splits: i
         return out
 
     if out_path:
-        return _learn_to_store(spark, one, n_splits, out_path, parallelism, y, names)
+        return _learn_to_store(spark, one, n_splits, out_path, parallelism, y, names, permuted)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         parts = list(ex.map(one, range(n_splits)))
     res = {}
@@ -98,7 +100,7 @@ def learning_curve(spark: SparkSession, sf: str, modality: str = "orders") -> Da
     rows = L.design_rows(V.learn_x(spark, sf), LEARN_FEATURES, y, T, members.drop("size_idx", "fold"))
     rows, _ = ML.prepare(rows, feature_names=LEARN_FEATURES, imputer="iterative")
     rows = rows.persist()
-    coef, _ = L.ridge_cv(rows.filter("role = 'train'"))
+    coef = L.ridge_cv(rows.filter("role = 'train'"))
     pred = L.predict_linear(rows, coef, len(T), T).join(y.select("subject", *T), "subject")
     sizes = members.filter("role = 'train'").groupBy("split").agg(F.count(F.lit(1)).alias("train_size"))
     ids = members.select("split", "fold").distinct()
@@ -150,7 +152,7 @@ def permutation_importance(spark: SparkSession, sf: str, n_repeats: int = 5, mod
     wl = coef.select("split", F.posexplode("w").alias("idx", "w")).select(
         "split", F.floor(F.col("idx") / t).cast("int").alias("j"), (F.col("idx") % t).cast("int").alias("ti"), "w")
     wl = wl.groupBy("split", "j").pivot("ti", list(range(t))).agg(F.first("w"))
-    wl = F.broadcast(wl.select("split", "j", *[F.col(str(i)).alias(f"__w{i}") for i in range(t)]))
+    wl = wl.select("split", "j", *[F.col(str(i)).alias(f"__w{i}") for i in range(t)])
     perm = perm.join(wl, ["split", "j"])
     for i, n in enumerate(T):
         perm = perm.withColumn(f"{n}_pred", F.col(f"{n}_pred") + F.col(f"__w{i}") * (F.col("xp") - F.col("xj")))
@@ -265,13 +267,21 @@ def forest_permutation_importance(spark: SparkSession, sf: str, n_splits: int =
     return permutation_importance_any(rows.filter("role = 'test'"), predict, names, T, n_repeats)
 
 
-def _learn_to_store(spark, fit_split, n_splits, out_path, parallelism, y, names) -> dict:
-    import os
-    done_path = os.path.join(out_path, "predictions")
+def _stored_splits(spark, path: str) -> set[int]:
     try:
-        done = {r[0] for r in spark.read.parquet(done_path).select("split").distinct().collect()}
-    except Exception:  # noqa: BLE001  (no store yet)
-        done = set()
+        return {r[0] for r in spark.read.schema("split int").parquet(path).select("split").distinct().collect()}
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return set()                                     # no store yet
+
+
+def _learn_to_store(spark, fit_split, n_splits, out_path, parallelism, y, names, permuted) -> dict:
+    """Fit the splits that have no completion mark.  The mark is written after
+    all outputs of a split, so a run that ends between two outputs fits the
+    split again; dynamic overwrite replaces what it had left."""
+    done_path = os.path.join(out_path, "done")
+    done = _stored_splits(spark, done_path)
     todo = [s for s in range(n_splits) if s not in done]
 
     def run(split):
@@ -279,13 +289,13 @@ def _learn_to_store(spark, fit_split, n_splits, out_path, parallelism, y, names)
         for key, df in outs.items():
             (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("split").parquet(os.path.join(out_path, key)))
-        return split
+        spark.range(1).select(F.lit(split).alias("split")).write.mode("append").parquet(done_path)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         list(ex.map(run, todo))
+    wanted = ["predictions", "predictions_training", "importances"] + ["predictions_permuted"] * permuted
     truth = y.select("subject", *T)
-    res = {key: spark.read.parquet(os.path.join(out_path, key))
-           for key in ("predictions", "predictions_training", "importances")}
+    res = {key: spark.read.parquet(os.path.join(out_path, key)) for key in wanted}
     res["predictions"] = res["predictions"].join(truth, "subject", "left")
     res["predictions_training"] = res["predictions_training"].join(truth, "subject", "left")
     res["feature_names"] = names

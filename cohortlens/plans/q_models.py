@@ -92,7 +92,7 @@ FROM __d d JOIN __st s ON d.split = s.split JOIN __st2 s2 ON d.split = s2.split
 def q_ridge_one(spark, sf):
     """ML3+ML7+ML11: standardised one-feature ridge (alpha 1) per split, test predictions."""
     rows = _rows(spark, sf, ["n_O"], ["total_price"]).persist()
-    coef, _ = L.ridge_cv(rows.filter("role = 'train'"), [1.0])
+    coef = L.ridge_cv(rows.filter("role = 'train'"), [1.0])
     pred = L.predict_linear(rows.filter("role = 'test'"), coef, 1, ["total_price"])
     return pred.select("split", "subject", "total_price_pred")
 
@@ -103,7 +103,7 @@ def q_ridge_one(spark, sf):
 def q_ridge_cv(spark, sf):
     """ML7: chosen alpha and coefficients per split (100 alphas, exact LOO)."""
     rows, names = ML.prepare(_rows(spark, sf), feature_names=FX, imputer="iterative")
-    coef, _ = L.ridge_cv(rows.filter("role = 'train'"))
+    coef = L.ridge_cv(rows.filter("role = 'train'"))
     return coef.select("split", "alpha", F.posexplode("w").alias("j", "w"))
 
 
@@ -197,7 +197,7 @@ def q_coefficients_roundtrip(spark, sf):
     from cohortlens.sources import files as SRC
     from cohortlens.sources import sinks as SNK
     rows, names = ML.prepare(_rows(spark, sf), feature_names=FX)
-    coef, _ = L.ridge_cv(rows.filter("role = 'train'"))
+    coef = L.ridge_cv(rows.filter("role = 'train'"))
     nm = F.array(*[F.lit(n) for n in names])
     long = coef.select("split", F.posexplode("w").alias("idx", "fi")).select(
         F.lit("ridgecv").alias("model"), F.lit("orders").alias("modality"), "split",
@@ -238,7 +238,7 @@ def q_permuted_one(spark, sf):
     py = perm.select("split", "subject", "role", F.array(F.col("total_price").cast("double")).alias("y"))
     xa = V.learn_x(spark, sf).select("subject", F.array(F.col("n_O").cast("double")).alias("x"))
     rows = py.join(xa, "subject").persist()
-    coef, _ = L.ridge_cv(rows.filter("role = 'train'"), [1.0])
+    coef = L.ridge_cv(rows.filter("role = 'train'"), [1.0])
     pred = L.predict_linear(rows.filter("role = 'test'"), coef, 1, ["total_price"])
     truth = perm.filter("role = 'test'").select("split", "subject", "total_price")
     return pred.join(truth, ["split", "subject"]).select("split", "subject", "total_price_pred", "total_price")

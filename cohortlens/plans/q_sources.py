@@ -376,7 +376,7 @@ def q_load_table(spark, sf):
     "WHERE s.struct <> 'eTIV'", "stats"), ["value"]))
 def q_incremental(spark, sf):
     """Streaming (availableNow): statistics files picked up incrementally, features stored per subject."""
-    from cohortlens.streaming.incremental import run_incremental_features
+    from cohortlens.streaming.incremental import incremental_features, run_incremental_features
     st = V.stats(spark, sf)
     lines = st.select("subject", F.when(F.col("struct") == "eTIV", F.concat(
         F.lit("# Measure EstimatedTotalIntraCranialVol, eTIV, Estimated Total Intracranial Volume, "),
@@ -387,5 +387,4 @@ def q_incremental(spark, sf):
     (lines.select(F.concat(F.lit("sub-"), "subject").alias("d"), "line").repartition("d")
      .write.mode("overwrite").partitionBy("d").text(src))
     run_incremental_features(spark, src + "/*/*.txt", out, checkpoint=_scratch(spark, "stream-ckpt"), kind="aseg")
-    schema = "name string, value double, kind string, session string, subject string"
-    return spark.read.schema(schema).parquet(out).select("subject", "name", "value")
+    return incremental_features(spark, out).select("subject", "name", "value")

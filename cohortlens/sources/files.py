@@ -91,9 +91,9 @@ def read_confounds(spark: SparkSession, path: str, columns: Sequence[str], null_
     the 0-based line index after the header.  ``null_value`` and NaN -> NULL.
     """
     files = spark.read.text(path, wholetext=True).select(path_col().alias("path"), "value")
-    lines = files.select("path", F.posexplode(F.split(F.regexp_replace("value", r"\r", ""), "\n")).alias("ln", "line"))
-    header = lines.filter("ln = 0").select("path", F.split("line", "\t").alias("hdr"))
-    body = lines.filter((F.col("ln") > 0) & (F.length("line") > 0)).join(header, "path")
+    rows = files.select("path", F.split(F.regexp_replace("value", r"\r", ""), "\n").alias("ls"))
+    body = rows.select("path", F.split(F.get("ls", 0), "\t").alias("hdr"), F.posexplode("ls").alias("ln", "line"))
+    body = body.filter((F.col("ln") > 0) & (F.length("line") > 0))
     cells = F.split("line", "\t")
     cols = []
     for c in columns:
@@ -130,33 +130,33 @@ def read_stats_text(spark: SparkSession, path: str, kind: str | None = None) ->
 
 def parse_stats_lines(lines: DataFrame, kind: str | None = None) -> DataFrame:
     """SRC4/SRC5 parser over (path, line) rows — shared by the batch reader and
-    the incremental (streaming) job."""
+    the incremental (streaming) job.  Further columns are passed through.  Each
+    line is looked at once."""
+    further = [c for c in lines.columns if c not in ("path", "line")]
     fname = F.regexp_extract("path", r"([^/]+)$", 1)
     lines = lines.select(
-        "path", "line",
+        *further, "line", F.split(F.trim("line"), r"\s+").alias("f"),
         (F.lit(kind) if kind else F.when(fname.startswith("aseg"), F.lit("aseg")).otherwise(F.lit("aparc")))
         .alias("kind"),
         F.nullif(F.regexp_extract(fname, r"^(lh|rh)\.", 1), F.lit("")).alias("hemi"),
         F.coalesce(F.nullif(F.regexp_extract("path", ENTITY_PATTERNS["subject"], 1), F.lit("")),
                    F.nullif(F.regexp_extract("path", r"/subject=([^/]+)", 1), F.lit(""))).alias("subject"))
-    meas = lines.filter(F.col("line").rlike(MEASURE_PATTERN)).select(
-        "subject", "hemi", "kind",
-        F.regexp_extract("line", MEASURE_PATTERN, 1).alias("struct"),
-        F.lit("measure").alias("measure"),
-        F.regexp_extract("line", MEASURE_PATTERN, 2).cast("double").alias("value"))
-    rows = lines.filter(~F.col("line").startswith("#") & (F.length(F.trim("line")) > 0)).select(
-        "subject", "hemi", "kind", F.split(F.trim("line"), r"\s+").alias("f"))
-    aseg = rows.filter("kind = 'aseg'").select(
-        "subject", "hemi", "kind", F.get("f", ASEG_COLUMNS["struct"]).alias("struct"),
-        F.lit("Volume_mm3").alias("measure"), F.get("f", ASEG_COLUMNS["Volume_mm3"]).cast("double").alias("value"))
-    aparc = rows.filter("kind = 'aparc'").select(
-        "subject", "hemi", "kind", F.get("f", APARC_COLUMNS["struct"]).alias("struct"),
-        F.explode(F.array(
-            F.struct(F.lit("GrayVol").alias("m"), F.get("f", APARC_COLUMNS["GrayVol"]).cast("double").alias("v")),
-            F.struct(F.lit("ThickAvg").alias("m"), F.get("f", APARC_COLUMNS["ThickAvg"]).cast("double").alias("v")),
-        )).alias("mv")).select("subject", "hemi", "kind", "struct", F.col("mv.m").alias("measure"),
-                               F.col("mv.v").alias("value"))
-    return meas.unionByName(aseg).unionByName(aparc)
+
+    def item(struct, measure, value):
+        return F.struct(struct.alias("struct"), F.lit(measure).alias("measure"), value.cast("double").alias("value"))
+
+    def cell(columns, name):
+        return F.get("f", columns[name])
+
+    found = (F.when(F.col("line").rlike(MEASURE_PATTERN), F.array(
+                 item(F.regexp_extract("line", MEASURE_PATTERN, 1), "measure",
+                      F.regexp_extract("line", MEASURE_PATTERN, 2))))
+             .when(F.col("line").startswith("#") | (F.length(F.trim("line")) == 0), F.lit(None))
+             .when(F.col("kind") == "aseg", F.array(
+                 item(cell(ASEG_COLUMNS, "struct"), "Volume_mm3", cell(ASEG_COLUMNS, "Volume_mm3"))))
+             .otherwise(F.array(*[item(cell(APARC_COLUMNS, "struct"), m, cell(APARC_COLUMNS, m))
+                                  for m in ("GrayVol", "ThickAvg")])))
+    return lines.select("subject", *further, "hemi", "kind", F.inline(found))
 
 
 # ---------------------------------------------------------------- SRC6
