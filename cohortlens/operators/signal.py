@@ -123,40 +123,31 @@ def min_duration(df: DataFrame, run_keys: Sequence[str], tr: float | str, min_se
                     (F.col("n_volumes") * F.col("tr") > min_seconds).alias("long_enough"))
 
 
-def band_pass_basis(spark, lengths: DataFrame, tr: float, low: float, high: float,
-                    length_col: str = "n") -> DataFrame:
-    """SIG5 support: orthonormal DCT-II basis restricted to the pass band.
-
-    For each series length T in ``lengths`` (distinct, small) returns rows
-    (n, t, k, phi) with frequency k/(2·T·TR) inside [low, high]; k = 0 (the
-    mean) is never in the band since high-pass > 0.
-    """
-    ts = lengths.select(F.col(length_col).alias("n")).distinct()
-    rows = ts.select("n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("t"))
-    rows = rows.select("n", "t", F.explode(F.sequence(F.lit(1), F.col("n") - 1)).alias("k"))
-    freq = F.col("k") / (2.0 * F.col("n") * F.lit(tr))
-    rows = rows.filter((freq >= low) & (freq <= high))
-    phi = F.sqrt(F.lit(2.0) / F.col("n")) * F.cos(F.lit(math.pi) * F.col("k") * (F.col("t") + 0.5) / F.col("n"))
-    return rows.select("n", "t", "k", phi.alias("phi"))
+def _in_band(x: np.ndarray, tr: float, low: float, high: float) -> np.ndarray:
+    """Columns of x (time x series) projected onto the cosines of frequency k/(2·T·TR)
+    in [low, high]: the transform of the mirrored series with all other bins cleared."""
+    n = len(x)
+    spectrum = np.fft.rfft(np.concatenate([x, x[::-1]]), axis=0)
+    freq = np.arange(n + 1) / (2.0 * n * tr)
+    spectrum[(freq < low) | (freq > high)] = 0.0
+    spectrum[[0, n]] = 0.0                              # the mean is never in the band
+    return np.fft.irfft(spectrum, 2 * n, axis=0)[:n]
 
 
 def band_pass(df: DataFrame, series_keys: Sequence[str], tr: float, low: float = 0.01, high: float = 0.1,
-              value: str = "value") -> DataFrame:
-    """SIG5: keep only DCT components with frequency in [low, high] Hz.
+              value: str = "value", t: str = "t") -> DataFrame:
+    """SIG5: keep only the cosine (DCT) components with frequency in [low, high] Hz.
 
-    Projection form of a band-pass filter, written as two joins with a static
-    basis table (one per distinct series length; broadcast, since its size is
-    the sum of T·K over the few distinct lengths).  Needs ``t`` = 0..T-1.
-    """
-    keys = list(series_keys)
-    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    x = df.join(n, keys)
-    basis = F.broadcast(band_pass_basis(df.sparkSession, n, tr, low, high))
-    coef = (x.join(basis, ["n", "t"])
-            .groupBy(*keys, "n", "k").agg(F.sum(F.col(value) * F.col("phi")).alias("c")))
-    back = coef.join(basis, ["n", "k"]).groupBy(*keys, "t").agg(F.sum(F.col("c") * F.col("phi")).alias("__f"))
-    return (df.join(back, keys + ["t"], "left")
-            .withColumn(value, F.coalesce("__f", F.lit(0.0))).drop("__f"))
+    Projection form of a band-pass filter: one transform per series in a grouped
+    step, T·log T and no basis table.  The time points of a series are taken as
+    equally spaced in the order of ``t``; a missing value counts as 0."""
+
+    def run(pdf):
+        pdf = pdf.sort_values(t)
+        x = np.nan_to_num(pdf[value].to_numpy(dtype=float))
+        return pdf.assign(**{value: _in_band(x[:, None], tr, low, high)[:, 0]})
+
+    return df.groupBy(*series_keys).applyInPandas(run, df.schema)
 
 
 # ---------------------------------------------------------------- correlation
@@ -263,9 +254,9 @@ def network_means(edges: DataFrame, keys: Sequence[str], value: str = "z") -> Da
 def exclude_rois(edges: DataFrame, excluded: DataFrame, keys: Sequence[str] = (), value: str = "r") -> DataFrame:
     """RSH7: set the whole row and column of excluded ROIs to NULL."""
     ex = excluded.select(*keys, F.col("roi").alias("__x")).withColumn("__hit", F.lit(True))
-    e = edges.join(F.broadcast(ex.withColumnRenamed("__x", "i").withColumnRenamed("__hit", "__hi")),
+    e = edges.join(ex.withColumnRenamed("__x", "i").withColumnRenamed("__hit", "__hi"),
                    list(keys) + ["i"], "left")
-    e = e.join(F.broadcast(ex.withColumnRenamed("__x", "j").withColumnRenamed("__hit", "__hj")),
+    e = e.join(ex.withColumnRenamed("__x", "j").withColumnRenamed("__hit", "__hj"),
                list(keys) + ["j"], "left")
     return e.withColumn(value, F.when(F.col("__hi").isNull() & F.col("__hj").isNull(), F.col(value))).drop(
         "__hi", "__hj")
@@ -378,66 +369,81 @@ def weighted_roi_signal(weights: DataFrame, voxels: DataFrame, keys: Sequence[st
 
 # ---------------------------------------------------------------- confound regression (SIG3)
 
+NEGLIGIBLE = 1e-10   # share of a column's sum of squares that counts as rounding
+
+
+def _standard_confounds(x: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Columns without their least-squares line, divided by their sd (constant: 0)."""
+    t = times - times.mean()
+    x = x - x.mean(axis=0)
+    total = (x * x).sum(axis=0)
+    if t.any():
+        x = x - np.outer(t, t @ x) / (t @ t)
+    ss = (x * x).sum(axis=0)
+    sd = np.where(ss > NEGLIGIBLE * total, np.sqrt(ss / len(x)), np.inf)
+    return x / sd
+
+
+def _residuals(y: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """y - ȳ without its least-squares part in x; confounds are made orthogonal one
+    after another, and one that adds nothing but rounding is left out."""
+    y = y - y.mean(axis=0)
+    total = (y * y).sum(axis=0)
+    used = []
+    for c in (x - x.mean(axis=0)).T:
+        before = c @ c
+        for _ in range(2):                              # twice is enough for rounding
+            for q in used:
+                c = c - q * (q @ c)
+        if c @ c > NEGLIGIBLE * before:
+            used.append(c / np.sqrt(c @ c))
+    for q in used:
+        y = y - np.outer(q, q @ y)
+    return np.where((y * y).sum(axis=0) > NEGLIGIBLE * total, y, 0.0)
+
+
 def regress_confounds(signal: DataFrame, confounds: DataFrame, run_keys: Sequence[str],
                       confound_cols: Sequence[str], t: str = "t", roi: str = "roi",
-                      value: str = "value") -> DataFrame:
+                      value: str = "value", band: tuple[float, float, float] | None = None) -> DataFrame:
     """SIG3: residual of every ROI series after least squares on the run's
     confounds (with intercept), all runs in one job.
 
-    Confounds are detrended and standardised per run first.  Per run the
-    moments (XᵀX, XᵀY over ROIs) are map-side partials merged per run (see
-    ``linear.moments``) and solved per run; the residual y − ȳ − (x − x̄)·B
-    is taken by a cogrouped pandas step, one run's rows with its own B.
-    """
-    from cohortlens.operators import linear as L
+    Confounds are detrended and standardised per run first and, with ``band``
+    = (tr, low, high), limited to the band their signal was limited to.  The
+    rows of a run meet its confounds by the run's keys; a run (time points x
+    atlas) is the unit of work.  A time point without confounds and a gap in
+    either table are errors."""
     keys = list(run_keys)
-    conf = confounds.select(*keys, t, *confound_cols)
-    long = conf.unpivot(keys + [t], list(confound_cols), "__c", "__v")
-    long = standardize(detrend(long, keys + ["__c"], t=t, value="__v"), keys + ["__c"], value="__v")
-    cw = long.groupBy(*keys, t).pivot("__c", list(confound_cols)).agg(F.first("__v"))
-    rois = sorted(r[0] for r in signal.select(roi).distinct().collect())   # atlas size, bounded
-    sw = signal.groupBy(*keys, t).pivot(roi, rois).agg(F.first(value))
-    from cohortlens.operators.ranking import rank_within
-    runs = signal.select(*keys).distinct().withColumn("__g", F.lit(0))
-    run_ids = rank_within(runs, ["__g"], [F.col(k) for k in keys], "__rn").select(
-        *keys, (F.col("__rn") - 1).cast("int").alias("split"))
-    rows = (sw.join(cw, keys + [t]).join(F.broadcast(run_ids), keys)
-            .select("split", *keys, t, F.array(*[F.col(c).cast("double") for c in confound_cols]).alias("x"),
-                    F.array(*[F.col(str(r)).cast("double") for r in rois]).alias("y")))
-    k, R = len(confound_cols), len(rois)
-
-    def solve(pdf):
-        import pandas as pd
-        r = pdf.iloc[0]
-        cxx = np.asarray(r["cxx"]).reshape(k, k)
-        cxy = np.asarray(r["cxy"]).reshape(k, R)
-        B = np.linalg.lstsq(cxx, cxy, rcond=None)[0]
-        return pd.DataFrame({"split": [int(r["split"])], "mx": [list(r["mx"])], "my": [list(r["my"])],
-                             "B": [B.ravel().tolist()]})
-
-    # one row of moments per run -> one small solve per run, no driver round trip
-    coef = L.moments(rows).groupBy("split").applyInPandas(
-        solve, "split int, mx array<double>, my array<double>, B array<double>")
-    key_fields = [f.simpleString() for f in rows.schema.fields if f.name in keys]
-
-    def residual(g, c):
+    cols = list(confound_cols)
+
+    def residual(key, g, c):
         import pandas as pd
-        if g.empty or c.empty:
+        if g.empty:
             return pd.DataFrame(columns=keys + [t, roi, value])
-        mx, my = np.asarray(c["mx"].iloc[0]), np.asarray(c["my"].iloc[0])
-        B = np.asarray(c["B"].iloc[0]).reshape(k, R)
-        X = np.stack(g["x"].to_numpy())
-        Y = np.stack(g["y"].to_numpy())
-        E = (Y - my) - (X - mx) @ B
-        out = g[keys + [t]].loc[g.index.repeat(R)].reset_index(drop=True)
-        out[roi] = np.tile(np.asarray(rois, dtype=np.int32), len(g))
-        out[value] = E.ravel()
+        times, at = np.unique(g[t].to_numpy(), return_inverse=True)
+        rois, of = np.unique(g[roi].to_numpy(), return_inverse=True)
+        y = np.full((len(times), len(rois)), np.nan)
+        y[at, of] = g[value].to_numpy(dtype=float)
+        x = np.full((len(times), len(cols)), np.nan)
+        if len(c):
+            x = c.set_index("__t")[cols].reindex(times).to_numpy(dtype=float)
+        if np.isnan(y).any() or np.isnan(x).any():
+            raise ValueError(f"run {key}: signal and confounds need a value at every time point")
+        x = _standard_confounds(x, times.astype(float))
+        if band is not None:
+            x = _in_band(x, *band)
+        e = _residuals(y, x)
+        out = g[keys + [t, roi]].copy()
+        out[value] = e[at, of]
         return out
 
-    schema = ", ".join(key_fields + [f"{t} bigint", f"{roi} int", f"{value} double"])
-    # a group is one run's own time points (bounded by the acquisition) and its coefficients
-    data = rows.select("split", *keys, F.col(t).cast("bigint").alias(t), "x", "y")
-    return data.groupBy("split").cogroup(coef.groupBy("split")).applyInPandas(residual, schema)
+    kinds = dict(signal.dtypes)
+    schema = ", ".join([f"`{k}` {kinds[k]}" for k in keys + [t, roi]] + [f"`{value}` double"])
+    left = signal.select(*keys, t, roi, F.col(value).cast("double").alias(value)).groupBy(*keys)
+    # names of their own: both tables may come from one and the same signal
+    right = confounds.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(t).alias("__t"),
+                             *[F.col(c).cast("double").alias(c) for c in cols]).groupBy(*[f"__{k}" for k in keys])
+    return left.cogroup(right).applyInPandas(residual, schema)
 
 
 # ---------------------------------------------------------------- Gram path (AGG1, AGG2)

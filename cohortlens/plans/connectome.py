@@ -23,15 +23,29 @@ def network_pair_names(labels=NETWORKS) -> list[str]:
 
 # ---------------------------------------------------------------- Spark side
 
+TR, LOW, HIGH = 2.0, 0.01, 0.1    # seconds per volume, pass band in Hz
+CONFOUNDS = ["gs", "gs_der", "gs_2", "gs_der_2"]
+
+
+def global_signal_confounds(signal: DataFrame) -> DataFrame:
+    """Global signal per time point with its difference and the squares of both."""
+    gs = signal.groupBy(*RUN, "t").agg(F.avg("value").alias("gs"))
+    return S.confounds_36p(gs, RUN, ["t"], base_cols=["gs"])
+
+
 def clean_signal(signal: DataFrame) -> DataFrame:
-    """SIG1 then SIG2 per (subject, run, roi), fused into one aggregate + join."""
-    return S.detrend_standardize(signal, RUN + ["roi"])
+    """SIG1 and SIG2 (fused) per ROI series, SIG5, then SIG3 on the global-signal
+    confounds limited to the same band."""
+    sig = S.band_pass(S.detrend_standardize(signal, RUN + ["roi"]), RUN + ["roi"], TR, LOW, HIGH)
+    return S.regress_confounds(sig, global_signal_confounds(signal), RUN, CONFOUNDS, band=(TR, LOW, HIGH))
 
 
 def run_mean_z(signal: DataFrame, clean: bool) -> DataFrame:
-    sig = clean_signal(signal) if clean else signal
-    z = S.to_fisher_z(S.correlation_edges_gram(sig, RUN))
-    return S.mean_over_runs(z, ["subject"])
+    """AGG2 per run (cleaned: also RSH7), PRJ11, AGG3."""
+    e = S.shrunk_correlation_edges_gram(clean_signal(signal) if clean else signal, RUN)
+    if clean:
+        e = S.exclude_rois(e, excluded_rois(signal)).select(*RUN, "i", "j", "r")
+    return S.mean_over_runs(S.to_fisher_z(e), ["subject"])
 
 
 def roi_labels(signal: DataFrame) -> DataFrame:
@@ -100,18 +114,94 @@ FROM ({det}) d JOIN (SELECT subject, run, roi, avg(value) AS m, stddev_pop(value
   ON d.subject = f.subject AND d.run = f.run AND d.roi = f.roi"""
 
 
-def _run_mean_z_sql(src: str) -> str:
+def regress_sql(src: str, band: bool = False) -> str:
+    """SIG3 on the global-signal confounds of ``signal``: the four confounds are
+    detrended, standardised (and limited to the band), then made orthogonal one
+    after another; residuals are taken on the rows of ``src``."""
+    dot = "sum({a} * {b}) OVER (PARTITION BY subject, run)"
+    ctes = ["""__gs AS (SELECT subject, run, t, avg(value) AS gs FROM signal GROUP BY subject, run, t)""",
+            """__d AS (SELECT subject, run, t, gs, coalesce(gs - lag(gs) OVER (PARTITION BY subject, run ORDER BY t), 0.0)
+           AS gd FROM __gs)""",
+            """__long AS (SELECT subject, run, t, unnest([0, 1, 2, 3]) AS c,
+              unnest([gs, gd, gs * gs, gd * gd]) AS value FROM __d)""",
+            """__fit AS (SELECT subject, run, c, regr_slope(value, CAST(t AS DOUBLE)) AS b,
+             regr_intercept(value, CAST(t AS DOUBLE)) AS a, var_pop(value) AS v FROM __long GROUP BY subject, run, c)""",
+            """__det AS (SELECT l.subject, l.run, l.c, l.t, f.v,
+             l.value - (coalesce(f.a, 0.0) + coalesce(f.b, 0.0) * l.t) AS value
+           FROM __long l JOIN __fit f ON l.subject = f.subject AND l.run = f.run AND l.c = f.c)""",
+            """__z0 AS (SELECT subject, run, c, t, CASE WHEN s2 > 1e-10 * v THEN (value - m) / sqrt(s2) ELSE 0.0 END AS value
+          FROM (SELECT *, avg(value) OVER w AS m, var_pop(value) OVER w AS s2 FROM __det
+                WINDOW w AS (PARTITION BY subject, run, c)) x)"""]
+    last = "__z0"
+    if band:
+        ctes.append(f"__z1 AS ({band_sql('__z0', 'c')})")
+        last = "__z1"
+    wide = ", ".join(f"max(CASE WHEN c = {k} THEN value END) AS x{k}" for k in range(4))
+    ctes.append(f"__w AS (SELECT subject, run, t, {wide} FROM {last} GROUP BY subject, run, t)")
+    cent = ", ".join(f"x{k} - avg(x{k}) OVER (PARTITION BY subject, run) AS x{k}" for k in range(4))
+    ctes.append(f"__o0 AS (SELECT subject, run, t, {cent} FROM __w)")
+    # step k keeps column k as it is (0 if only rounding is left of it) and takes its part out of the later ones
+    ss = ", ".join(f"{dot.format(a=f'x{k}', b=f'x{k}')} AS t{k}" for k in range(4))
+    ctes.append(f"__p0 AS (SELECT *, {ss} FROM __o0)")
+    for k in range(4):
+        qk = f"CASE WHEN {dot.format(a=f'x{k}', b=f'x{k}')} > 1e-10 * t{k} THEN x{k} ELSE 0.0 END"
+        ctes.append(f"__q{k} AS (SELECT * REPLACE ({qk} AS x{k}) FROM __p{k})")
+        rest = [f"x{j} - x{k} * coalesce({dot.format(a=f'x{k}', b=f'x{j}')} / "
+                f"nullif({dot.format(a=f'x{k}', b=f'x{k}')}, 0), 0.0) AS x{j}" for j in range(k + 1, 4)]
+        ctes.append(f"__p{k + 1} AS (SELECT * " + (f"REPLACE ({', '.join(rest)}) " if rest else "") + f"FROM __q{k})")
+    sums = ", ".join(f"sum(y * x{k}) OVER w / nullif(sum(x{k} * x{k}) OVER w, 0) AS b{k}" for k in range(4))
+    fit = " - ".join(f"x{k} * coalesce(b{k}, 0.0)" for k in range(4))
+    return f"""WITH {", ".join(ctes)},
+__y AS (SELECT s.subject, s.run, s.t, s.roi, s.value - avg(s.value) OVER (PARTITION BY s.subject, s.run, s.roi) AS y,
+               p.x0, p.x1, p.x2, p.x3
+        FROM {src} s JOIN __p4 p ON s.subject = p.subject AND s.run = p.run AND s.t = p.t),
+__e AS (SELECT subject, run, t, roi, y, y - {fit} AS e
+        FROM (SELECT *, {sums} FROM __y WINDOW w AS (PARTITION BY subject, run, roi)) x)
+SELECT subject, run, t, roi,
+       CASE WHEN sum(e * e) OVER w > 1e-10 * sum(y * y) OVER w THEN e ELSE 0.0 END AS value
+FROM __e WINDOW w AS (PARTITION BY subject, run, roi)"""
+
+
+def band_sql(src: str, col: str) -> str:
+    """SIG5 of the series (subject, run, col) of ``src`` by explicit cosines."""
+    return f"""WITH __s AS (
+  SELECT subject, run, {col}, t, coalesce(value, 0.0) AS value, count(*) OVER (PARTITION BY subject, run, {col}) AS n,
+         row_number() OVER (PARTITION BY subject, run, {col} ORDER BY t) - 1 AS p FROM {src}),
+__b AS (
+  SELECT n, p, k, sqrt(2.0 / n) * cos(pi() * k * (p + 0.5) / n) AS phi FROM (
+    SELECT n, p, unnest(generate_series(1, n - 1)) AS k FROM (
+      SELECT n, unnest(generate_series(0, n - 1)) AS p FROM (SELECT DISTINCT n FROM __s) a) b) c
+  WHERE k / (2.0 * n * {TR}) >= {LOW} AND k / (2.0 * n * {TR}) <= {HIGH}),
+__c AS (SELECT s.subject, s.run, s.{col}, b.n, b.k, sum(s.value * b.phi) AS amp
+        FROM __s s JOIN __b b ON s.n = b.n AND s.p = b.p GROUP BY s.subject, s.run, s.{col}, b.n, b.k),
+__f AS (SELECT c.subject, c.run, c.{col}, b.p, sum(c.amp * b.phi) AS f
+        FROM __c c JOIN __b b ON c.n = b.n AND c.k = b.k GROUP BY c.subject, c.run, c.{col}, b.p)
+SELECT s.subject, s.run, s.{col}, s.t, coalesce(f.f, 0.0) AS value
+FROM __s s LEFT JOIN __f f ON s.subject = f.subject AND s.run = f.run AND s.{col} = f.{col} AND s.p = f.p"""
+
+
+def _run_mean_z_sql(src: str, clean: bool = False) -> str:
+    r = "r"
+    if clean:
+        ex = "(SELECT roi FROM signal GROUP BY roi HAVING avg(value) < -0.02)"
+        r = f"CASE WHEN i IN {ex} OR j IN {ex} THEN NULL ELSE r END"
     return f"""SELECT subject, i, j, CASE WHEN count(z) = count(*) THEN avg(z) END AS z FROM (
   SELECT subject, run, i, j,
          CASE WHEN abs(r) < 1 THEN atanh(r) WHEN r = 1 THEN 'inf'::DOUBLE WHEN r = -1 THEN '-inf'::DOUBLE END AS z
-  FROM ({corr_sql(src)}) e) zz
+  FROM (SELECT subject, run, i, j, {r} AS r FROM ({shrunk_sql(src)}) e0) e) zz
 GROUP BY subject, i, j"""
 
 
 def network_means_sql(src: str, clean: bool) -> str:
-    sig = f"({clean_sql(src)})" if clean else src
-    return f"""WITH __lab AS (SELECT DISTINCT roi, network AS label FROM {src}),
-__m AS ({_run_mean_z_sql(sig)})
+    """``clean`` works on the view ``signal``, each step written once."""
+    steps = ""
+    sig = src
+    if clean:
+        steps = (f"__clean AS MATERIALIZED ({clean_sql(src)}), __band AS MATERIALIZED ({band_sql('__clean', 'roi')}), "
+                 f"__res AS MATERIALIZED ({regress_sql('__band', band=True)}),\n")
+        sig = "__res"
+    return f"""WITH {steps}__lab AS (SELECT DISTINCT roi, network AS label FROM {src}),
+__m AS ({_run_mean_z_sql(sig, clean)})
 SELECT subject, roi1, roi2, roi1 || '_' || roi2 AS name, avg(z) AS z FROM (
   SELECT m.subject, m.z, least(li.label, lj.label) AS roi1, greatest(li.label, lj.label) AS roi2
   FROM __m m JOIN __lab li ON li.roi = m.i JOIN __lab lj ON lj.roi = m.j) x
@@ -139,16 +229,14 @@ FROM ({corr_sql(src)}) e"""
 
 
 def symmetry_sql(src: str) -> str:
-    return f"""WITH __e AS (
-  SELECT subject, run, i, j, CASE WHEN i = 0 AND j = 1 THEN 999.0 ELSE r END AS r FROM ({corr_sql(src, True)}) x),
-__a AS (SELECT subject, run, i, j, coalesce(r, 0.0) AS a FROM __e),
-__b AS (SELECT subject, run, j AS i, i AS j, coalesce(r, 0.0) AS b FROM __e),
-__ab AS (SELECT coalesce(__a.subject, __b.subject) AS subject, coalesce(__a.run, __b.run) AS run,
-                coalesce(__a.i, __b.i) AS i, coalesce(__a.j, __b.j) AS j,
-                coalesce(__a.a, 0.0) AS a, coalesce(__b.b, 0.0) AS b
-         FROM __a FULL OUTER JOIN __b ON __a.subject = __b.subject AND __a.run = __b.run
-                                    AND __a.i = __b.i AND __a.j = __b.j)
-SELECT subject, run, i, j, a, b FROM __ab WHERE abs(a - b) > 1e-8 + 1e-5 * abs(b)"""
+    return f"""WITH __up AS MATERIALIZED ({corr_sql(src)}),
+__e AS MATERIALIZED (
+  SELECT subject, run, i, j, CASE WHEN i = 0 AND j = 1 THEN 999.0 ELSE r END AS r FROM (
+    SELECT subject, run, i, j, r FROM __up UNION ALL SELECT subject, run, j AS i, i AS j, r FROM __up) x)
+SELECT * FROM (
+  SELECT a.subject, a.run, a.i, a.j, coalesce(a.r, 0.0) AS a, coalesce(b.r, 0.0) AS b
+  FROM __e a JOIN __e b ON a.subject = b.subject AND a.run = b.run AND a.i = b.j AND a.j = b.i) ab
+WHERE abs(a - b) > 1e-8 + 1e-5 * abs(b)"""
 
 
 def shrunk_sql(src: str) -> str:

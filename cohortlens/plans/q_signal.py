@@ -113,7 +113,7 @@ def q_network_means(spark, sf):
 @register("sig_connectivity_features", rounded(with_views(CN.network_means_sql("signal", clean=True), "signal"),
                                                ["z"]))
 def q_connectivity_features(spark, sf):
-    """SIG7: detrend -> standardize -> correlation -> z -> run mean -> network means."""
+    """SIG7: SIG1 -> SIG2 -> SIG5 -> SIG3 -> AGG2 -> RSH7 -> PRJ11 -> AGG3 -> WIN7 -> AGG4."""
     return CN.network_means(V.signal(spark, sf), clean=True)
 
 
@@ -177,18 +177,11 @@ def q_empty_rois(spark, sf):
 
 # ---------------------------------------------------------------- SIG3
 
-def _global_signal_confounds(sig):
-    gs = sig.groupBy("subject", "run", "t").agg(F.avg("value").alias("gs"))
-    c = S.confounds_36p(gs, ["subject", "run"], ["t"], base_cols=["gs"])
-    return c
-
-
-@register("sig_regress_confounds")
+@register("sig_regress_confounds", rounded(with_views(CN.regress_sql("signal"), "signal"), ["value"]))
 def q_regress_confounds(spark, sf):
     """SIG3: ROI series residualised on global-signal confounds (gs, derivative, squares) per run."""
     sig = V.signal(spark, sf)
-    conf = _global_signal_confounds(sig)
-    return S.regress_confounds(sig, conf, ["subject", "run"], ["gs", "gs_der", "gs_2", "gs_der_2"])
+    return S.regress_confounds(sig, CN.global_signal_confounds(sig), ["subject", "run"], CN.CONFOUNDS)
 
 
 _SIG3_ONE_SQL = rounded(with_views("""
