@@ -122,6 +122,21 @@ def q_macro_f1(spark, sf):
     return M.calc_metrics(V.cls(spark, sf), ["quality"], ["f1"], weight_col="weight", kind="test")
 
 
+_F1_PART = ("coalesce(2 * sum(CASE WHEN {y} = 1 AND {p} = 1 THEN 1.0 ELSE 0.0 END) / nullif("
+            "sum(CASE WHEN {y} = 1 THEN 1.0 ELSE 0.0 END) + sum(CASE WHEN {p} = 1 THEN 1.0 ELSE 0.0 END), 0), 0.0)")
+
+
+@register("agg_f1_average", rounded(f"""
+SELECT modality, split, ({_F1_PART.format(y="quality", p="quality_pred")}
+                         + {_F1_PART.format(y="clean", p="clean_pred")}) / 2.0 AS f1_average
+FROM (SELECT *, quality_pred AS clean, quality AS clean_pred FROM ({V.CLS_SQL}) c0) c GROUP BY modality, split""",
+                                   ["f1_average"]))
+def q_f1_average(spark, sf):
+    """AGG10: mean F1 of the positive class over two binary targets per (source, split)."""
+    both = V.cls(spark, sf).select("*", F.col("quality_pred").alias("clean"), F.col("quality").alias("clean_pred"))
+    return M.macro_f1(both, ["quality", "clean"]).select("modality", "split", "f1_average")
+
+
 # long form, box summary, comparison ------------------------------------------
 
 _LONG_INNER, _ = _metrics_sql(False, ["r2"], True, "test")

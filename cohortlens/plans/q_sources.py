@@ -141,6 +141,75 @@ def q_stats_text(spark, sf):
     return ST.etiv_normalise(vol.select("subject", "struct", "value"), etiv=etiv)
 
 
+# ---------------------------------------------------------------- SRC5, FS2, FS3, JOIN2, JOIN3
+
+_PARCELS = 74                        # per hemisphere: 14 + 21 + 2 * 74 * 2 = 331 columns
+_ETIV = "(1000000.0 + s_suppkey * 10 + s_nationkey)"
+
+
+def _volume(k) -> str:
+    """Volume number k of a supplier, in quarters, so that its text form is exact."""
+    return f"(100.25 + (s_suppkey * 37 + ({k}) * 11) % 997)"
+
+
+def _thickness(k) -> str:
+    return f"(2.0 + (s_suppkey + ({k})) % 16 / 8.0)"
+
+
+def _structural_columns() -> dict[str, str]:
+    """Column name -> SQL over ``supplier``."""
+    cols = {}
+    for k, name in enumerate(ST.SUBCORTICAL + ST.GLOBAL):
+        table = "subcortVolume" if name in ST.SUBCORTICAL else "globalVolume"
+        cols[f"fs__{table}__{name}"] = f"{_volume(k)} / {_ETIV}"
+    for h, hemi in enumerate(("lh", "rh")):
+        cols[f"fs__globalVolume__{hemi}_MeanThickness_thickness"] = _thickness(h)
+        for k in range(_PARCELS):
+            parcel = f"{hemi}_G_S_{k}"
+            cols[f"fs__cortVolume__{parcel}_volume"] = f"{_volume(100 + h * _PARCELS + k)} / {_ETIV}"
+            cols[f"fs__cortThickness__{parcel}_thickness"] = _thickness(3 * h + k)
+    return cols
+
+
+_FS_COLUMNS = _structural_columns()
+
+
+@register("fs_structural_tables", rounded(
+    "SELECT CAST(s_suppkey AS VARCHAR) AS subject, " + ", ".join(f'{e} AS "{c}"' for c, e in _FS_COLUMNS.items())
+    + " FROM supplier", [f'"{c}"' for c in _FS_COLUMNS]))
+def q_structural_tables(spark, sf):
+    """SRC4+SRC5+JOIN2+JOIN3+FS2+FS3: aseg and lh/rh aparc text per supplier, read back to one row of 331 columns."""
+    s = V.table(spark, sf, "supplier")
+    text = lambda e: F.expr(f"CAST(CAST({e} AS DOUBLE) AS STRING)")
+    measure = lambda short, e: F.concat(F.lit(f"# Measure Region, {short}, Description, "), text(e),
+                                        F.lit(", mm^3"))
+    aseg = [measure(ST.ETIV, _ETIV)]
+    for k, name in enumerate(ST.SUBCORTICAL + ST.GLOBAL):
+        aseg.append(measure(name, _volume(k)) if name.endswith("Vol") else
+                    F.concat_ws(" ", F.lit(" 1 4 100"), text(_volume(k)), F.lit(name), F.lit("0 0 0 0 0")))
+    subject = F.concat(F.lit("sub-"), F.col("s_suppkey").cast("string")).alias("d")
+    out = _scratch(spark, "structural")
+    (s.select(subject, F.explode(F.array(*aseg)).alias("line"))
+     .write.mode("overwrite").partitionBy("d").text(out + "/aseg"))
+    hemis = s.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("h"))
+    parcels = hemis.select("*", F.explode(F.sequence(F.lit(0), F.lit(_PARCELS - 1))).alias("k"))
+    rows = parcels.select(subject, "h", F.concat_ws(
+        " ", F.concat(F.lit("G&S_"), F.col("k").cast("string")), F.lit("1 2"),
+        text(_volume(f"100 + h * {_PARCELS} + k")), text(_thickness("3 * h + k")), F.lit("0 0 0 0 0")).alias("line"))
+    (rows.unionByName(hemis.select(subject, "h", measure("MeanThickness", _thickness("h")).alias("line")))
+     .select("d", F.when(F.col("h") == 0, "lh").otherwise("rh").alias("hemi"), "line")
+     .write.mode("overwrite").partitionBy("d", "hemi").text(out + "/aparc"))
+    stats = SRC.read_stats_text(spark, out + "/aseg/*/*.txt", kind="aseg").unionByName(
+        SRC.read_stats_text(spark, out + "/aparc/*/*/*.txt", kind="aparc"))
+    return ST.struct_features(ST.collect_tables(stats), list(_FS_COLUMNS))
+
+
+@register("chk_not_positive", "SELECT c_custkey, c_acctbal FROM customer WHERE NOT coalesce(c_acctbal > 0, false)")
+def q_not_positive(spark, sf):
+    """V6: rows whose measure must be above zero and is not."""
+    return C.not_positive(V.table(spark, sf, "customer"), "c_acctbal", ["c_custkey"])
+
+
 # ---------------------------------------------------------------- SRC6, V4, V8, JOIN11
 
 _SITE = "regexp_extract(url, '//(?:m[.]|www[.]|blog[.])?([a-z]+)[.]', 1)"

@@ -257,3 +257,32 @@ FROM p""")
 def q_membership(spark, sf):
     """PRJ19: per modality string (sorted position i) and part: i+1 if a member, else 0."""
     return TD.modality_membership(_modalities(spark, sf), _ORDER)
+
+
+# ---------------------------------------------------------------- RSH6, RSH8
+
+_SIDE = 8      # an embedding of 64 values as an 8 x 8 matrix
+
+
+@register("rsh_matrix_to_long", rounded(f"""
+SELECT vec_id, CAST(k // {_SIDE} AS INTEGER) AS i, CAST(k % {_SIDE} AS INTEGER) AS j, value FROM (
+  SELECT vec_id, unnest(generate_series(0, len(embedding) - 1)) AS k, CAST(unnest(embedding) AS DOUBLE) AS value
+  FROM embeddings) x""", ["value"]))
+def q_matrix(spark, sf):
+    """RSH6: every embedding as a matrix of rows of 8, in long form."""
+    emb = V.table(spark, sf, "embeddings")
+    starts = F.sequence(F.lit(1), F.size("embedding"), F.lit(_SIDE))
+    rows = F.transform(starts, lambda at: F.slice(F.col("embedding"), at, F.lit(_SIDE)))
+    m = emb.select("vec_id", rows.cast("array<array<double>>").alias("matrix"))
+    return TD.matrix_to_long(m, keys=["vec_id"])
+
+
+@register("rsh_flatten_list", r"""
+SELECT doc_id, md5(array_to_string(flatten(list_transform(string_split(text, chr(10)),
+                                                          lambda x: string_split(x, ' '))), '|')) AS words
+FROM documents""")
+def q_flatten(spark, sf):
+    """RSH8: the words of every line of a text, flattened to one list (digest)."""
+    lines = F.transform(F.split("text", "\n"), lambda line: F.split(line, " "))
+    nested = V.table(spark, sf, "documents").select("doc_id", lines.alias("nested"))
+    return nested.select("doc_id", F.md5(F.array_join(TD.flatten_list("nested"), "|")).alias("words"))

@@ -138,7 +138,8 @@ def parse_stats_lines(lines: DataFrame, kind: str | None = None) -> DataFrame:
         *further, "line", F.split(F.trim("line"), r"\s+").alias("f"),
         (F.lit(kind) if kind else F.when(fname.startswith("aseg"), F.lit("aseg")).otherwise(F.lit("aparc")))
         .alias("kind"),
-        F.nullif(F.regexp_extract(fname, r"^(lh|rh)\.", 1), F.lit("")).alias("hemi"),
+        F.coalesce(F.nullif(F.regexp_extract(fname, r"^(lh|rh)\.", 1), F.lit("")),
+                   F.nullif(F.regexp_extract("path", r"/hemi=(lh|rh)/", 1), F.lit(""))).alias("hemi"),
         F.coalesce(F.nullif(F.regexp_extract("path", ENTITY_PATTERNS["subject"], 1), F.lit("")),
                    F.nullif(F.regexp_extract("path", r"/subject=([^/]+)", 1), F.lit(""))).alias("subject"))
 
