@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators import linear as L
 from cohortlens.operators import splits as SP
+from cohortlens.session import stored
 
 # fixed values: forest search grid (depth None = unlimited maps to Spark's maximum 30)
 FOREST_DEPTHS = [3, 5, 7, 10, 15, 20, 40, 50, None]
@@ -83,31 +84,33 @@ def prepare(rows: DataFrame, pca_block: Sequence[int] | None = None, n_component
 def learn_ridge(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Sequence[str],
                 members: DataFrame, seed: int = 1234, alphas=L.RIDGE_ALPHAS,
                 pca_block: Sequence[int] | None = None, n_components: int | None = None,
-                imputer: str = "iterative") -> dict:
+                imputer: str = "iterative", permuted: bool = False) -> dict:
     """ML7+ML11+ML12+ML13: all splits at once.
 
     Returns DataFrames ``predictions`` (test), ``predictions_training``,
-    ``predictions_permuted`` (fit on md5-permuted train targets, evaluated
-    against md5-permuted test targets) and ``coefficients``.
+    ``coefficients`` and, if asked for, ``predictions_permuted`` (fit on
+    md5-permuted train targets, evaluated against md5-permuted test targets).
     """
-    members = members.persist()          # read by the design rows and the permutation
-    rows = L.design_rows(x, features, y, targets, members).persist()
+    members = stored(members)          # read by the design rows and the permutation
+    rows = stored(L.design_rows(x, features, y, targets, members))
     rows, names = prepare(rows, pca_block, n_components, features, imputer=imputer)
-    rows = rows.persist()
+    rows = stored(rows)
     train, test = rows.filter("role = 'train'"), rows.filter("role = 'test'")
     coef = L.ridge_cv(train, alphas)
     pred = L.predict_linear(test, coef, len(targets), targets)
     pred_train = L.predict_linear(train, coef, len(targets), targets)
-    # permuted targets: one md5-ordered shuffle within train and within test
-    perm = SP.permute_within(members, y, list(targets), seed=seed)
-    perm_y = perm.select("split", "subject", F.array(*[F.col(t).cast("double") for t in targets]).alias("y"))
-    rows_p = rows.drop("y").join(perm_y, ["split", "subject"])
-    coef_p = L.ridge_cv(rows_p.filter("role = 'train'"), alphas)
-    pred_p = L.predict_linear(rows_p.filter("role = 'test'"), coef_p, len(targets), targets)
-    truth_p = perm.filter("role = 'test'").select("split", "subject", *targets)
-    pred_p = pred_p.join(truth_p, ["split", "subject"], "full")
-    return {"predictions": _with_truth(pred, y, targets), "predictions_training": _with_truth(pred_train, y, targets),
-            "predictions_permuted": pred_p, "coefficients": coef, "feature_names": names, "rows": rows}
+    out = {"predictions": _with_truth(pred, y, targets), "predictions_training": _with_truth(pred_train, y, targets),
+           "coefficients": coef, "feature_names": names, "rows": rows}
+    if permuted:
+        # one md5-ordered shuffle of the targets within train and within test
+        perm = SP.permute_within(members, y, list(targets), seed=seed)
+        perm_y = perm.select("split", "subject", F.array(*[F.col(t).cast("double") for t in targets]).alias("y"))
+        rows_p = rows.drop("y").join(perm_y, ["split", "subject"])
+        coef_p = L.ridge_cv(rows_p.filter("role = 'train'"), alphas)
+        pred_p = L.predict_linear(rows_p.filter("role = 'test'"), coef_p, len(targets), targets)
+        truth_p = perm.filter("role = 'test'").select("split", "subject", *targets)
+        out["predictions_permuted"] = pred_p.join(truth_p, ["split", "subject"], "full")
+    return out
 
 
 def _with_truth(pred: DataFrame, y: DataFrame, targets: Sequence[str]) -> DataFrame:
@@ -191,7 +194,7 @@ def grid_search(train: DataFrame, targets: Sequence[str], kind: str = "basic", s
     Returns (best params, one result dict per candidate with mean train and
     validation scores)."""
     criteria = list(criteria or (CLASSIFIER_CRITERIA if kind == "rfc" else REGRESSION_CRITERIA))
-    folds = SP.kfold(train, n_folds, group=["split"]).persist()
+    folds = stored(SP.kfold(train, n_folds, group=["split"]))
     cands = [{"criterion": c, "max_depth": d, "n_estimators": n_trees, "max_features": "sqrt"}
              for c in criteria for d in depths]
 

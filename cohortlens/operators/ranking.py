@@ -23,7 +23,8 @@ def _cols(xs: Sequence[str | Column]) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def _slices(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n_parts: int | None) -> DataFrame:
+def range_slices(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n_parts: int | None = None) -> DataFrame:
+    """``df`` range-partitioned on (group, order), with the partition as ``__pid``, checkpointed."""
     from cohortlens.session import ensure_checkpoint_dir
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -32,17 +33,27 @@ def _slices(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
     return r.checkpoint()
 
 
+def _join_slices(rows: DataFrame, per_slice: DataFrame, group: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join the table of slices to the rows; a NULL in a group column equals NULL."""
+    names = {g: f"__g{i}" for i, g in enumerate(group)}
+    other = per_slice.withColumnsRenamed({"__pid": "__p", **names})
+    same = F.col("__pid") == F.col("__p")
+    for g, name in names.items():
+        same = same & F.col(g).eqNullSafe(F.col(name))
+    return rows.join(other, same, how).drop("__p", *names.values())
+
+
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], name: str = "rn",
                 n_parts: int | None = None) -> DataFrame:
     """1-based row_number over (group ordered by order); ``order`` must be a
     total order within the group (add a unique tiebreak)."""
     group = list(group)
-    r = _slices(df, group, order, n_parts)
+    r = range_slices(df, group, order, n_parts)
     r = r.withColumn("__lr", F.row_number().over(Window.partitionBy("__pid", *group).orderBy(*_cols(order))))
     cnt = r.groupBy("__pid", *group).agg(F.max("__lr").alias("__c"))
     prev = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     off = cnt.withColumn("__off", F.coalesce(F.sum("__c").over(prev), F.lit(0))).drop("__c")
-    return (r.join(off, ["__pid", *group]).withColumn(name, F.col("__off") + F.col("__lr"))
+    return (_join_slices(r, off, group).withColumn(name, F.col("__off") + F.col("__lr"))
             .drop("__pid", "__lr", "__off"))
 
 
@@ -51,7 +62,7 @@ def lag_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Column
     """Previous value of each column in ``values`` in the group's order, as
     ``{value}{suffix}`` (NULL for the first row of a group)."""
     group, values = list(group), list(values)
-    r = _slices(df, group, order, n_parts)
+    r = range_slices(df, group, order, n_parts)
     w = Window.partitionBy("__pid", *group).orderBy(*_cols(order))
     r = r.select("*", F.row_number().over(w).alias("__lr"), *[F.lag(v).over(w).alias(v + suffix) for v in values])
     last = (r.withColumn("__mx", F.max("__lr").over(Window.partitionBy("__pid", *group)))
@@ -59,7 +70,7 @@ def lag_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Column
                                                                              for v in values]))
     prev = Window.partitionBy(*group).orderBy("__pid")
     carry = last.select("__pid", *group, *[F.lag(f"__last_{v}").over(prev).alias(f"__carry_{v}") for v in values])
-    out = r.join(carry, ["__pid", *group], "left")
+    out = _join_slices(r, carry, group, "left")
     for v in values:
         out = out.withColumn(v + suffix, F.when(F.col("__lr") == 1, F.col(f"__carry_{v}")).otherwise(
             F.col(v + suffix)))

@@ -15,11 +15,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions import row_mean, safe_corr
-from cohortlens.operators.ranking import rank_within
+from cohortlens.operators.ranking import range_slices, rank_within
+from cohortlens.session import stored
 
 
 # ---------------------------------------------------------------- global stats
@@ -79,95 +80,36 @@ def zscore(y: DataFrame, targets: Sequence[str], key: Sequence[str] = ("subject"
 
 # ---------------------------------------------------------------- exact quantiles
 
-def exact_percentiles(df: DataFrame, c: str, probs: Sequence[float], accuracy: int = 20000,
-                      max_bracket: int = 1_000_000) -> list[float | None]:
+def exact_percentiles(df: DataFrame, c: str, probs: Sequence[float]) -> list[float | None]:
     """Exact linear-interpolation percentiles of column ``c`` (NULLs ignored).
 
-    Distributed and skew-safe:
-
-    1. one aggregate: count and ``percentile_approx`` at p ± eps (brackets);
-    2. one aggregate: per bracket, values below / inside;
-    3. the order statistic of a rank inside a bracket is read from the values
-       of that bracket — known without collecting when the bracket is a single
-       (tied) value, else gathered by a filter when at most ``max_bracket``
-       values fall inside (about n·2·eps), else taken with Spark's exact
-       ``percentile`` restricted to the bracket.
-    Brackets that miss their rank are widened and retried.
-    """
-    base = df.select(F.col(c).alias("v")).filter(F.col("v").isNotNull())
-    eps = 2.0 / accuracy
-    first = base.agg(F.count(F.lit(1)).alias("n"),
-                     F.percentile_approx("v", sorted({min(1.0, max(0.0, p + d)) for p in probs
-                                                      for d in (-eps, eps)}), accuracy).alias("e")).first()
-    n = first["n"]
+    Equal values are first counted (map-side), so ties cost one row; the distinct
+    values are range-partitioned, and the running counts of the partitions that
+    hold a wanted rank give its value.  The driver sees one count per partition
+    and at most two values per percentile."""
+    counts = df.select(F.col(c).alias("v")).filter(F.col("v").isNotNull()).groupBy("v").agg(
+        F.count(F.lit(1)).alias("n"))
+    parts = range_slices(counts, [], ["v"])
+    first, n = {}, 0                        # rank of the first value of each partition
+    for r in sorted(parts.groupBy("__pid").agg(F.sum("n").alias("n")).collect()):
+        first[r["__pid"]], n = n, n + r["n"]
     if n == 0:
         return [None] * len(probs)
     ranks = sorted({r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))})
-    stat: dict[int, float] = {}
-    for attempt in range(6):
-        qs = sorted({min(1.0, max(0.0, r / max(n - 1, 1) + d)) for r in ranks for d in (-eps, eps)})
-        e = base.agg(F.percentile_approx("v", qs, accuracy).alias("e")).first()["e"] if attempt else None
-        bounds = dict(zip(qs, e)) if e is not None else None
-        if bounds is None:  # first attempt: brackets around the probabilities themselves
-            qs0 = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
-            b0 = dict(zip(qs0, first["e"]))
-            rank_p = {r: min((p for p in probs if r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))))
-                      for r in ranks}
-            br = {r: (b0[min(1.0, max(0.0, rank_p[r] - eps))], b0[min(1.0, max(0.0, rank_p[r] + eps))])
-                  for r in ranks}
-        else:
-            br = {r: (bounds[min(1.0, max(0.0, r / max(n - 1, 1) - eps))],
-                      bounds[min(1.0, max(0.0, r / max(n - 1, 1) + eps))]) for r in ranks}
-        ivs = sorted({v for v in br.values()})
-        aggs = []
-        for k, (lo, hi) in enumerate(ivs):
-            aggs.append(F.count(F.when(F.col("v") < lo, 1)).alias(f"b{k}"))
-            aggs.append(F.count(F.when((F.col("v") >= lo) & (F.col("v") <= hi), 1)).alias(f"i{k}"))
-        cnt = base.agg(*aggs).first()
-        missing = []
-        for r in ranks:
-            k = ivs.index(br[r])
-            lo, hi = ivs[k]
-            below, inside = cnt[f"b{k}"], cnt[f"i{k}"]
-            if not (below <= r < below + inside):
-                missing.append(r)
-            elif lo == hi:
-                stat[r] = lo                                   # a tie: the value is known
-        todo = [r for r in ranks if r not in stat and r not in missing]
-        small = [r for r in todo if cnt[f"i{ivs.index(br[r])}"] <= max_bracket]
-        if small:
-            used = sorted({ivs.index(br[r]) for r in small})
-            cond = None
-            for k in used:
-                lo, hi = ivs[k]
-                cc = (F.col("v") >= lo) & (F.col("v") <= hi)
-                cond = cc if cond is None else (cond | cc)
-            got = sorted(r0["v"] for r0 in base.filter(cond).collect())
-            for r in small:
-                k = ivs.index(br[r])
-                lo, hi = ivs[k]
-                inside_vals = [v for v in got if lo <= v <= hi]
-                stat[r] = inside_vals[r - cnt[f"b{k}"]]
-        for r in todo:
-            if r in stat:
-                continue
-            k = ivs.index(br[r])
-            lo, hi = ivs[k]
-            frac = (r - cnt[f"b{k}"]) / max(cnt[f"i{k}"] - 1, 1)
-            stat[r] = base.filter((F.col("v") >= lo) & (F.col("v") <= hi)).agg(
-                F.percentile("v", F.lit(float(frac)))).first()[0]
-        if not missing:
-            break
-        ranks = missing
-        eps *= 4
-    else:
-        raise RuntimeError("exact_percentiles: brackets did not converge")
+    home = {r: max(pid for pid, lo in first.items() if lo <= r) for r in ranks}
+    start = F.create_map(*[F.lit(x) for pid in sorted(set(home.values())) for x in (pid, first[pid])])
+    running = F.sum("n").over(Window.partitionBy("__pid").orderBy("v"))
+    upto = parts.filter(F.col("__pid").isin(sorted(set(home.values())))).select(
+        "v", "n", (F.try_element_at(start, F.col("__pid")) + running).alias("hi"))
+    wanted = F.exists(F.array(*[F.lit(r).cast("long") for r in ranks]),
+                      lambda r: (r < F.col("hi")) & (r >= F.col("hi") - F.col("n")))
+    got = sorted((r["hi"], r["v"]) for r in upto.filter(wanted).collect())
+    stat = {r: next(v for hi, v in got if r < hi) for r in ranks}
     out = []
     for p in probs:
         h = p * (n - 1)
-        lo_r, hi_r = math.floor(h), math.ceil(h)
-        a, b = stat[lo_r], stat[hi_r]
-        out.append(a + (b - a) * (h - lo_r))
+        lo, hi = stat[math.floor(h)], stat[math.ceil(h)]
+        out.append(lo + (hi - lo) * (h - math.floor(h)))
     return out
 
 
@@ -191,7 +133,7 @@ def quantile_bins(df: DataFrame, c: str, probs: Sequence[float] = QUANTILE_PROBS
 def stratify(y: DataFrame, targets: Sequence[str], key: Sequence[str] = ("subject",)) -> DataFrame:
     """WIN6: polarity -> z-score -> row mean -> 20 quantile bins."""
     z = aligned_zscore(y.select(*key, *targets), targets, key)
-    zm = z.select(*key, row_mean(list(targets)).alias("z")).persist()   # read by the quantile passes
+    zm = stored(z.select(*key, row_mean(list(targets)).alias("z")))   # read by the quantile passes
     return quantile_bins(zm, "z")
 
 
@@ -222,7 +164,7 @@ def stratified_shuffle_splits(strata: DataFrame, n_splits: int, test_size: float
     md5(seed:split:subject) and the first ``quota`` are train.  Subjects without
     a stratum (NULL) are a stratum of their own.
     """
-    strata = strata.select(key, stratum).persist()   # counted, then ranked
+    strata = stored(strata.select(key, stratum))   # counted, then ranked
     counts = {r[stratum]: r["n"] for r in strata.groupBy(stratum).agg(F.count(F.lit(1)).alias("n")).collect()}
     n = sum(counts.values())
     n_test = math.ceil(test_size * n)

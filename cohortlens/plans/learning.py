@@ -20,6 +20,7 @@ from cohortlens.operators import linear as L
 from cohortlens.operators import models as ML
 from cohortlens.operators import splits as SP
 from cohortlens.operators import tidy as TD
+from cohortlens.session import stored
 from cohortlens.sources import tables as V
 from cohortlens.sources.tables import LEARN_FEATURES
 
@@ -49,7 +50,8 @@ def learn(spark: SparkSession, sf: str, model_type: str = "ridgecv", n_splits: i
     members = _members(spark, sf, n_splits)
     pca_block = [LEARN_FEATURES.index(c) for c in ("n_F", "n_O", "n_P")] if n_pca else None
     if base == "ridgecv":
-        return ML.learn_ridge(x, LEARN_FEATURES, y, T, members, SEED, pca_block=pca_block, n_components=n_pca)
+        return ML.learn_ridge(x, LEARN_FEATURES, y, T, members, SEED, pca_block=pca_block, n_components=n_pca,
+                              permuted=permuted)
     rows = L.design_rows(x, LEARN_FEATURES, y, T, members)
     rows, names = ML.prepare(rows, pca_block, n_pca, LEARN_FEATURES, imputer="iterative")
     wcol = None
@@ -57,7 +59,7 @@ def learn(spark: SparkSession, sf: str, model_type: str = "ridgecv", n_splits: i
         z = SP.zscore(SP.align_polarity(y, T), T)
         rows = rows.join(D.density_weights(z, T), "subject", "left")
         wcol = "weight"
-    rows = rows.persist()
+    rows = stored(rows)
 
     def one(split: int):
         tr = rows.filter((F.col("split") == split) & (F.col("role") == "train"))
@@ -99,7 +101,7 @@ def learning_curve(spark: SparkSession, sf: str, modality: str = "orders") -> Da
     members = ML.learning_curve_members(y.select("subject"))
     rows = L.design_rows(V.learn_x(spark, sf), LEARN_FEATURES, y, T, members.drop("size_idx", "fold"))
     rows, _ = ML.prepare(rows, feature_names=LEARN_FEATURES, imputer="iterative")
-    rows = rows.persist()
+    rows = stored(rows)
     coef = L.ridge_cv(rows.filter("role = 'train'"))
     pred = L.predict_linear(rows, coef, len(T), T).join(y.select("subject", *T), "subject")
     sizes = members.filter("role = 'train'").groupBy("split").agg(F.count(F.lit(1)).alias("train_size"))
@@ -140,7 +142,7 @@ def permutation_importance(spark: SparkSession, sf: str, n_repeats: int = 5, mod
     pred = L.predict_linear(test.select("split", "subject", "role", "x", "y"), coef, t, T)
     base = test.select("split", "subject", "x", *[F.get(F.col("y"), i).alias(n) for i, n in enumerate(T)]).join(
         pred.select("split", "subject", *[f"{n}_pred" for n in T]), ["split", "subject"])
-    base = base.persist()
+    base = stored(base)
     long = base.select("split", "subject", *T, *[f"{n}_pred" for n in T], F.posexplode("x").alias("j", "xj"))
     long = long.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))))
     g = ["split", "j", "r"]
@@ -187,7 +189,7 @@ def classify_documents(spark: SparkSession, sf: str, n_splits: int = 2) -> DataF
     members = SP.stratified_shuffle_splits(y.withColumn("stratum", F.col("quality").cast("int")), n_splits, seed=SEED)
     rows = L.design_rows(x, DOC_FEATURES, y, ["quality"], members)
     rows, _ = ML.prepare(rows, feature_names=DOC_FEATURES, imputer="iterative")
-    rows = rows.persist()
+    rows = stored(rows)
     outs = []
     for s in range(n_splits):
         tr = rows.filter((F.col("split") == s) & (F.col("role") == "train"))
@@ -202,7 +204,7 @@ def grid_search_table(spark: SparkSession, sf: str) -> DataFrame:
     members = _members(spark, sf, 1)
     rows = L.design_rows(V.learn_x(spark, sf), LEARN_FEATURES, y, ["total_price"], members)
     rows, _ = ML.prepare(rows, feature_names=LEARN_FEATURES, imputer="iterative")
-    train = rows.filter("role = 'train'").persist()
+    train = stored(rows.filter("role = 'train'"))
     _, results = ML.grid_search(train, ["total_price"], "basic", SEED, depths=SEARCH_DEPTHS,
                                 n_trees=SEARCH_TREES, parallelism=2)
     recs = [(0, r["mean_train_score_gs"], r["mean_test_score_gs"], {k: str(v) for k, v in r["params"].items()})
@@ -254,7 +256,7 @@ def forest_permutation_importance(spark: SparkSession, sf: str, n_splits: int =
     members = _members(spark, sf, n_splits)
     rows = L.design_rows(x, LEARN_FEATURES, y, T, members)
     rows, names = ML.prepare(rows, None, None, LEARN_FEATURES, imputer="iterative")
-    rows = rows.persist()
+    rows = stored(rows)
     models = {}
     for s in range(n_splits):
         tr = rows.filter((F.col("split") == s) & (F.col("role") == "train"))

@@ -12,6 +12,7 @@ from cohortlens.operators import splits as SP
 from cohortlens.plans import learning as LR
 from cohortlens.plans.q_splits import N_SPLITS, SEED, T, _SPLIT_CTES
 from cohortlens.plans.registry import register, rounded
+from cohortlens.session import stored
 from cohortlens.sources import tables as V
 from cohortlens.sources.tables import LEARN_FEATURES, with_views
 
@@ -91,7 +92,7 @@ FROM __d d JOIN __st s ON d.split = s.split JOIN __st2 s2 ON d.split = s2.split
 @register("ml_ridge_one_feature", _ONE_SQL)
 def q_ridge_one(spark, sf):
     """ML3+ML7+ML11: standardised one-feature ridge (alpha 1) per split, test predictions."""
-    rows = _rows(spark, sf, ["n_O"], ["total_price"]).persist()
+    rows = stored(_rows(spark, sf, ["n_O"], ["total_price"]))
     coef = L.ridge_cv(rows.filter("role = 'train'"), [1.0])
     pred = L.predict_linear(rows.filter("role = 'test'"), coef, 1, ["total_price"])
     return pred.select("split", "subject", "total_price_pred")
@@ -117,7 +118,7 @@ def q_learn_ridge(spark, sf):
 @register("ml_permuted_ridge")
 def q_permuted(spark, sf):
     """ML12: predictions of models fitted on permuted targets, against permuted truth."""
-    res = LR.learn(spark, sf, "ridgecv")
+    res = LR.learn(spark, sf, "ridgecv", permuted=True)
     return res["predictions_permuted"]
 
 
@@ -233,11 +234,11 @@ FROM __d d JOIN __st s ON d.split = s.split JOIN __st2 s2 ON d.split = s2.split
 def q_permuted_one(spark, sf):
     """ML12 checkable in SQL: one-feature ridge (alpha 1) fitted on md5-permuted train targets,
     predictions on test rows against the permuted test targets."""
-    members = _members(spark, sf).persist()
+    members = stored(_members(spark, sf))
     perm = SP.permute_within(members, V.targets(spark, sf), ["total_price"], seed=SEED)
     py = perm.select("split", "subject", "role", F.array(F.col("total_price").cast("double")).alias("y"))
     xa = V.learn_x(spark, sf).select("subject", F.array(F.col("n_O").cast("double")).alias("x"))
-    rows = py.join(xa, "subject").persist()
+    rows = stored(py.join(xa, "subject"))
     coef = L.ridge_cv(rows.filter("role = 'train'"), [1.0])
     pred = L.predict_linear(rows.filter("role = 'test'"), coef, 1, ["total_price"])
     truth = perm.filter("role = 'test'").select("split", "subject", "total_price")

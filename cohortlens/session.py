@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -53,6 +53,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written below the checkpoint folder and read back: for a table that several
+    later jobs read.  It survives lost executors and leaves nothing in the cache."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)

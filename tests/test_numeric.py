@@ -93,7 +93,7 @@ def test_exact_percentiles(spark):
     rng = np.random.default_rng(11)
     v = np.r_[rng.normal(size=3000), np.zeros(500), np.ones(200)]
     df = spark.createDataFrame([(float(a),) for a in v], "z double")
-    got = SP.exact_percentiles(df, "z", SP.QUANTILE_PROBS, accuracy=500)
+    got = SP.exact_percentiles(df, "z", SP.QUANTILE_PROBS)
     assert np.allclose(got, np.percentile(v, np.array(SP.QUANTILE_PROBS) * 100), rtol=0, atol=1e-12)
 
 
@@ -169,7 +169,7 @@ def test_regress_confounds_matches_lstsq(spark):
 def test_exact_percentiles_heavy_tie(spark):
     v = np.r_[np.full(4000, 7.0), np.arange(2000, dtype=float)]
     df = spark.createDataFrame([(float(a),) for a in v], "z double")
-    got = SP.exact_percentiles(df, "z", SP.QUANTILE_PROBS, accuracy=200, max_bracket=50)
+    got = SP.exact_percentiles(df, "z", SP.QUANTILE_PROBS)
     assert np.allclose(got, np.percentile(v, np.array(SP.QUANTILE_PROBS) * 100), rtol=0, atol=1e-12)
 
 
