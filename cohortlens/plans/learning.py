@@ -56,8 +56,7 @@ def learn(spark: SparkSession, sf: str, model_type: str = "ridgecv", n_splits: i
     rows, names = ML.prepare(rows, pca_block, n_pca, LEARN_FEATURES, imputer="iterative")
     wcol = None
     if weighted:
-        z = SP.zscore(SP.align_polarity(y, T), T)
-        rows = rows.join(D.density_weights(z, T), "subject", "left")
+        rows = rows.join(D.density_weights(y, T), "subject", "left")
         wcol = "weight"
     rows = stored(rows)
 

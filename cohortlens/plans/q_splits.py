@@ -151,3 +151,15 @@ def q_density(spark, sf):
     """AGG13: -log Gaussian KDE (bandwidth 1) of the z-scored targets, self included."""
     z = SP.zscore(SP.align_polarity(V.targets(spark, sf), T), T)
     return D.density_weights(z, T)
+
+
+_DENS_RAW = """SELECT a.subject, -(ln(sum(exp(-0.5 * ((a.acctbal - b.acctbal) * (a.acctbal - b.acctbal)
+                                    + (a.total_price - b.total_price) * (a.total_price - b.total_price)))))
+                  - ln(count(*)) - ln(2 * pi())) AS weight
+FROM targets a, targets b GROUP BY a.subject"""
+
+
+@register("agg_density_weights_raw", rounded(with_views(_DENS_RAW, "targets"), ["weight"]))
+def q_density_raw(spark, sf):
+    """AGG13 as the weighted fits use it: kernel density (bandwidth 1) of the targets as they are."""
+    return D.density_weights(V.targets(spark, sf), T)

@@ -67,6 +67,24 @@ def test_density_weights_brute_force(spark):
     assert all(math.isclose(one[f"s{i}"], w1[i], rel_tol=1e-12) for i in range(len(Y)))
 
 
+@pytest.mark.parametrize("d,scale", [(1, 0.2), (2, 0.3), (2, 500.0), (4, 2.0)])
+def test_density_weights_any_spread(spark, d, scale):
+    """Dense cells (moments), lone points, four targets, repeated points, gaps."""
+    rng = np.random.default_rng(d)
+    Y = np.r_[rng.normal(size=(700, d)) * scale, np.tile(rng.normal(size=d) * scale, (40, 1)), -np.ones((1, d)) * 7]
+    names = [f"t{k}" for k in range(d)]
+    rows = [(f"s{i}", *map(float, v)) for i, v in enumerate(Y)] + [("gap", None, *[1.0] * (d - 1)), ("nan", *[math.nan] * d)]
+    df = spark.createDataFrame(rows, "subject string, " + ", ".join(f"{t} double" for t in names))
+    got = {r.subject: r.weight for r in D.density_weights(df, names).collect()}
+    assert len(got) == len(rows) and got.pop("gap") is None and got.pop("nan") is None
+    dens = np.exp(-0.5 * ((Y[:, None, :] - Y[None, :, :]) ** 2).sum(-1)).sum(1) / len(Y) / (2 * math.pi) ** (d / 2)
+    assert all(math.isclose(got[f"s{i}"], w, rel_tol=1e-11, abs_tol=1e-11) for i, w in enumerate(-np.log(dens)))
+
+
+def test_density_weights_empty(spark):
+    assert D.density_weights(spark.createDataFrame([], "subject string, a double"), ["a"]).count() == 0
+
+
 def test_ledoit_wolf_formula(spark):
     rng = np.random.default_rng(7)
     T, p = 30, 6
