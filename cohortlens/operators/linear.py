@@ -338,9 +338,10 @@ def iterative_impute(rows: DataFrame, k: int, max_iter: int = 10, tol: float = 1
     """ML2: round-robin imputation fitted on each split's train rows.
 
     Start from train means; then per round and per column with gaps (fewest
-    missing first) fit a Bayesian ridge of the column on the other columns
-    over train rows where it is observed, and replace its missing entries in
-    train and test rows.  Stops when the largest row-wise absolute change of
+    missing first among the train rows) fit a Bayesian ridge of the column on
+    the other columns over train rows where it is observed, and replace its
+    missing entries in train and test rows; a column with gaps in test rows only
+    keeps the train mean there.  Stops when the largest row-wise absolute change of
     the train rows falls below tol·max|observed|.  ``n_nearest`` fits on that
     many most correlated columns only (a cheaper model with other values);
     None takes all.  Every step is one job for all splits, solved on the
@@ -350,11 +351,11 @@ def iterative_impute(rows: DataFrame, k: int, max_iter: int = 10, tol: float = 1
     means = column_means(rows.filter("role = 'train'"), x_col).select("split", F.col("mean").alias("__mean"))
     base = join_by_split(rows, means, x_col=x_col).withColumn("__orig", F.col(x_col)).withColumn(
         x_col, F.zip_with(F.col(x_col), F.col("__mean"), lambda a, b: F.coalesce(a, b, F.lit(0.0)))).drop("__mean")
-    stats = rows.select(*[F.count(F.when(F.get(F.col(x_col), j).isNull(), 1)).alias(f"m{j}") for j in range(k)],
+    stats = rows.filter("role = 'train'").select(*[F.count(F.when(F.get(F.col(x_col), j).isNull(), 1)).alias(f"m{j}") for j in range(k)],
                         F.max(F.array_max(F.transform(F.col(x_col), lambda v: F.abs(v)))).alias("amax")).first()
     gaps = sorted([j for j in range(k) if stats[f"m{j}"] > 0], key=lambda j: (stats[f"m{j}"], j))
     if not gaps:
-        return rows
+        return base.drop("__orig")
     norm_tol = tol * (stats["amax"] or 0.0)
     cur = base.checkpoint()
     for _ in range(max_iter):

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators import linear as L
 from cohortlens.operators import splits as SP
+from cohortlens.operators import tidy as TD
 from cohortlens.session import stored
 
 # fixed values: forest search grid (depth None = unlimited maps to Spark's maximum 30)
@@ -105,11 +106,12 @@ def learn_ridge(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Se
         # one md5-ordered shuffle of the targets within train and within test
         perm = SP.permute_within(members, y, list(targets), seed=seed)
         perm_y = perm.select("split", "subject", F.array(*[F.col(t).cast("double") for t in targets]).alias("y"))
-        rows_p = rows.drop("y").join(perm_y, ["split", "subject"])
+        # every member has features and permuted targets (``design_rows`` checks it): the outer align adds no gaps
+        rows_p = TD.outer_align(rows.drop("y"), perm_y, ["split", "subject"])
         coef_p = L.ridge_cv(rows_p.filter("role = 'train'"), alphas)
         pred_p = L.predict_linear(rows_p.filter("role = 'test'"), coef_p, len(targets), targets)
         truth_p = perm.filter("role = 'test'").select("split", "subject", *targets)
-        out["predictions_permuted"] = pred_p.join(truth_p, ["split", "subject"], "full")
+        out["predictions_permuted"] = TD.outer_align(pred_p, truth_p, ["split", "subject"])
     return out
 
 
@@ -189,12 +191,17 @@ def grid_search(train: DataFrame, targets: Sequence[str], kind: str = "basic", s
                 n_folds: int = 5, n_trees: int = FOREST_TREES, weight_col: str | None = None,
                 parallelism: int = 4) -> tuple[dict, list[dict]]:
     """ML9: exhaustive search over criteria × depths with contiguous k folds
-    (WIN10) of the split's train rows; score = mean R² over targets.
+    (WIN10) of the split's train rows, for classifiers within each class of the
+    first target; score = mean R² over targets.
 
     Returns (best params, one result dict per candidate with mean train and
     validation scores)."""
     criteria = list(criteria or (CLASSIFIER_CRITERIA if kind == "rfc" else REGRESSION_CRITERIA))
-    folds = stored(SP.kfold(train, n_folds, group=["split"]))
+    if kind == "rfc":
+        by_class = train.withColumn("__class", F.get("y", 0))
+        folds = stored(SP.kfold(by_class, n_folds, group=["split", "__class"]).drop("__class"))
+    else:
+        folds = stored(SP.kfold(train, n_folds, group=["split"]))
     cands = [{"criterion": c, "max_depth": d, "n_estimators": n_trees, "max_features": "sqrt"}
              for c in criteria for d in depths]
 

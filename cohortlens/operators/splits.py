@@ -207,8 +207,9 @@ def kfold(members: DataFrame, k: int = 5, key: str = "subject", group: Sequence[
     q = F.floor(F.col("__n") / k)
     rr = F.col("__n") % k
     big = rr * (q + 1)
+    # a group of fewer than k rows has q = 0: all its rows are below ``big``
     fold = F.when(F.col("__p") < big, F.floor(F.col("__p") / (q + 1))).otherwise(
-        rr + F.floor((F.col("__p") - big) / q))
+        rr + F.floor((F.col("__p") - big) / F.greatest(q, F.lit(1))))
     return r.withColumn(out, fold.cast("int")).drop("__n", "__p")
 
 

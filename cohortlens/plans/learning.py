@@ -1,7 +1,7 @@
-"""Learning jobs (ML13, ML14, ML15, ML6/ML9 drivers) on the recast tables.
+"""Learning jobs (ML13, ML14, ML15, ML6/ML9 drivers).
 
-``learn`` is the group-level entry point: stratify the targets, draw the
-splits, prepare features, fit per split, predict test / train / permuted.
+``learn``, ``learning_curve`` and ``permutation_importance`` take any subject
+tables; ``learn_customers`` and the jobs at the end apply them to the recast tables.
 Linear models run all splits in one job; forests submit one pyspark.ml fit
 per split through a bounded thread pool.
 """
@@ -9,18 +9,22 @@ per split through a bounded thread pool.
 from __future__ import annotations
 
 import os
+import time
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlens.operators import checks as C
 from cohortlens.operators import density as D
 from cohortlens.operators import linear as L
 from cohortlens.operators import models as ML
 from cohortlens.operators import splits as SP
 from cohortlens.operators import tidy as TD
 from cohortlens.session import stored
+from cohortlens.sources import sinks as SNK
 from cohortlens.sources import tables as V
 from cohortlens.sources.tables import LEARN_FEATURES
 
@@ -34,83 +38,199 @@ SEARCH_DEPTHS = [3, 5, 7, 10]
 SEARCH_TREES = 64
 
 
-def _members(spark, sf, n_splits):
-    return SP.stratified_shuffle_splits(SP.stratify(V.targets(spark, sf), T), n_splits, seed=SEED)
-
-
-def learn(spark: SparkSession, sf: str, model_type: str = "ridgecv", n_splits: int = N_SPLITS,
-          weighted: bool = False, permuted: bool = False, parallelism: int = 4, depth: int | None = None,
-          n_trees: int = ML.FOREST_TREES, out_path: str | None = None) -> dict:
-    """Group-level learning.  Forests with ``out_path``: every split's outputs
-    are written to ``{out_path}/{output}`` (partition ``split``) as soon as the
-    split is done, and splits already stored are skipped on a re-run — a long
-    run that loses executors or the driver resumes instead of restarting."""
+def prepare_x_y(x: DataFrame, features: Sequence[str], y: DataFrame, modality: str = "",
+                allowed_missing: Sequence[str] | None = None) -> DataFrame:
+    """V7, recoding and V1: X and y must hold the same subjects once each; in
+    modalities with assessments sex and diagnosis become numbers; gaps are an
+    error outside ``allowed_missing`` (None: no column is checked)."""
+    C.assert_none(C.duplicate_keys(x, ["subject"]), "subjects occur more than once in X")
+    C.assert_none(C.unaligned_keys(x, y), "X and y hold different subjects")
+    x = x.select("subject", *features)
+    if "clinical" in modality:
+        for c, recode in (("clin__risk__demo_sex", TD.recode_sex), ("clin__assess__diag", TD.recode_diagnosis)):
+            x = recode(x, c) if c in features else x
+    if allowed_missing is not None:
+        C.check_missings(x, allowed_missing)
+    return x
+
+
+def learn(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Sequence[str], model_type: str = "ridgecv",
+          n_splits: int = N_SPLITS, seed: int = SEED, modality: str = "", allowed_missing: Sequence[str] | None = None,
+          pca_features: Sequence[str] = (), weights: bool | DataFrame = False, permuted: bool = False,
+          search: dict | None = None, depth: int | None = None, n_trees: int = ML.FOREST_TREES, parallelism: int = 4,
+          out_path: str | None = None) -> dict:
+    """ML13: check X and y, stratify, split, prepare, fit, predict test / train / permuted.
+
+    ``weights``: True (kernel density of the targets) or a table (subject,
+    weight), left-aligned to the subjects.  ``search``: options of
+    ``models.grid_search``; each split's forests are searched on its own train
+    rows and fitted again with the best candidate.  Without it forests take
+    ``depth``.  With ``out_path`` all results are written below it, with the
+    split members, the input tables and the models; a forest split is written
+    as soon as it is done, and splits with a completion mark are skipped, so a
+    run that loses executors or the driver resumes.  A split that fails is
+    reported in ``failures`` and the others go on; if all fail the first error is
+    raised.
+    """
     base, n_pca = ML.parse_model_type(model_type)
-    x, y = V.learn_x(spark, sf), V.targets(spark, sf)
-    members = _members(spark, sf, n_splits)
-    pca_block = [LEARN_FEATURES.index(c) for c in ("n_F", "n_O", "n_P")] if n_pca else None
+    pca_block = [features.index(c) for c in pca_features] if n_pca else None
+    x = prepare_x_y(x, features, y, modality, allowed_missing)
+    spark = x.sparkSession
+    members = stored(SP.stratified_shuffle_splits(SP.stratify(y, list(targets)), n_splits, seed=seed))
+    if out_path:
+        for name, df in (("x", x), ("y", y)):
+            df.write.mode("overwrite").parquet(os.path.join(out_path, "input", name))
+        SNK.write_split_members(members, os.path.join(out_path, "members"))
     if base == "ridgecv":
-        return ML.learn_ridge(x, LEARN_FEATURES, y, T, members, SEED, pca_block=pca_block, n_components=n_pca,
-                              permuted=permuted)
-    rows = L.design_rows(x, LEARN_FEATURES, y, T, members)
-    rows, names = ML.prepare(rows, pca_block, n_pca, LEARN_FEATURES, imputer="iterative")
+        res = ML.learn_ridge(x, features, y, targets, members, seed, pca_block=pca_block, n_components=n_pca, permuted=permuted)
+        if out_path:
+            for name in ("predictions", "predictions_training", "coefficients", *["predictions_permuted"] * permuted):
+                res[name].write.mode("overwrite").parquet(os.path.join(out_path, name))
+        return res
+    rows = L.design_rows(x, features, y, targets, members)
+    rows, names = ML.prepare(rows, pca_block, n_pca, features, imputer="iterative")
     wcol = None
-    if weighted:
-        rows = rows.join(D.density_weights(y, T), "subject", "left")
+    if weights is not False:
+        table = D.density_weights(y, targets) if weights is True else weights.select("subject", "weight")
+        rows = TD.left_align(rows, table)
         wcol = "weight"
     rows = stored(rows)
 
-    def one(split: int):
+    def one(split: int) -> dict:
+        began = time.time()
         tr = rows.filter((F.col("split") == split) & (F.col("role") == "train"))
         te = rows.filter((F.col("split") == split) & (F.col("role") == "test"))
-        ms = ML.fit_forests(tr, T, base, depth, None, SEED, n_trees, wcol)
-        out = {"predictions": ML.predict_forests(ms, te, T).drop("weight"),
-               "predictions_training": ML.predict_forests(ms, tr, T).drop("weight"),
-               "importances": ML.feature_importances(ms, names, spark, split)}
+        best = {"max_depth": depth, "criterion": None, "n_estimators": n_trees}
+        out = {}
+        if search is not None:
+            best, found = ML.grid_search(tr, targets, base, seed + split, weight_col=wcol, parallelism=1,
+                                         **{"n_trees": n_trees, **search})
+            out["search"] = search_table(spark, split, found)
+        fit = lambda train: ML.fit_forests(
+            train, targets, base, best["max_depth"], best["criterion"], seed, best["n_estimators"], wcol)
+        ms = fit(tr)
+        out["predictions"] = ML.predict_forests(ms, te, targets).drop("weight")
+        out["predictions_training"] = ML.predict_forests(ms, tr, targets).drop("weight")
+        out["importances"] = ML.feature_importances(ms, names, spark, split)
         if permuted:
-            perm = SP.permute_within(members.filter(F.col("split") == split), y, T, seed=SEED)
-            py = perm.select("split", "subject", "role", F.array(*[F.col(t).cast("double") for t in T]).alias("y"))
-            trp = tr.drop("y").join(py.filter("role = 'train'").drop("role"), ["split", "subject"])
-            msp = ML.fit_forests(trp, T, base, depth, None, SEED, n_trees, wcol)
-            p = ML.predict_forests(msp, te, T).drop("weight")
-            truth = perm.filter("role = 'test'").select("split", "subject", *T)
-            out["predictions_permuted"] = p.join(truth, ["split", "subject"], "full")
+            perm = SP.permute_within(members.filter(F.col("split") == split), y, targets, seed=seed)
+            py = perm.select("split", "subject", "role", F.array(*[F.col(t).cast("double") for t in targets]).alias("y"))
+            trp = TD.outer_align(tr.drop("y"), py.filter("role = 'train'").drop("role"), ["split", "subject"])
+            p = ML.predict_forests(fit(trp), te, targets).drop("weight")
+            truth = perm.filter("role = 'test'").select("split", "subject", *targets)
+            out["predictions_permuted"] = TD.outer_align(p, truth, ["split", "subject"])
+        if out_path:
+            for t, m in zip(targets, ms):
+                SNK.save_model(m, os.path.join(out_path, "models", f"split={split}", f"target={t}"))
+        out["split_info"] = spark.createDataFrame(
+            [(split, time.time() - began, list(features), list(names))],
+            "split int, seconds double, input_features array<string>, model_features array<string>")
         return out
 
-    if out_path:
-        return _learn_to_store(spark, one, n_splits, out_path, parallelism, y, names, permuted)
+    done = _stored_splits(spark, os.path.join(out_path, "done")) if out_path else set()
+    failures, parts = [], []
+
+    def run(split: int) -> None:
+        try:
+            out = one(split)
+            if out_path:
+                _store_split(spark, split, out, out_path)
+            parts.append((split, out))
+        except Exception as e:  # a split's fit: recorded, the other splits go on
+            failures.append((split, e))
+
+    todo = [s for s in range(n_splits) if s not in done]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        parts = list(ex.map(one, range(n_splits)))
-    res = {}
-    for key in parts[0]:
-        res[key] = TD.stack([p[key] for p in parts], sort_columns=False)
-    truth = y.select("subject", *T)
-    res["predictions"] = res["predictions"].join(truth, "subject", "left")
-    res["predictions_training"] = res["predictions_training"].join(truth, "subject", "left")
-    res["feature_names"] = names
+        list(ex.map(run, todo))
+    if failures and len(failures) == n_splits:
+        raise failures[0][1]
+    wanted = ["predictions", "predictions_training", "importances", "split_info"]
+    wanted += ["predictions_permuted"] * permuted + ["search"] * (search is not None)
+    if out_path:
+        # outputs of a split without a mark (its run ended or failed half-way) are left out
+        marks = spark.read.schema("split int").parquet(os.path.join(out_path, "done")).distinct()
+        res = {k: spark.read.parquet(os.path.join(out_path, k)).join(marks, "split", "left_semi") for k in wanted}
+    else:
+        ordered = [out for _, out in sorted(parts, key=lambda p: p[0])]
+        res = {k: TD.stack([out[k] for out in ordered], sort_columns=False) for k in wanted}
+    truth = y.select("subject", *targets)
+    for key in ("predictions", "predictions_training"):
+        res[key] = TD.left_align(res[key], truth)
+    res["failures"] = spark.createDataFrame([(s, str(e)) for s, e in sorted(failures, key=lambda f: f[0])],
+                                            "split int, error string")
+    res["feature_names"], res["skipped_splits"] = names, sorted(done)
     return res
 
 
+def search_table(spark: SparkSession, split: int, found: Sequence[dict]) -> DataFrame:
+    """RSH5: one row per candidate of a search, its parameters as columns (one fit's result list, bounded by the grid)."""
+    recs = [(split, r["mean_train_score_gs"], r["mean_test_score_gs"], {k: str(v) for k, v in r["params"].items()})
+            for r in found]
+    gs = spark.createDataFrame(recs, "split int, mean_train_score_gs double, mean_test_score_gs double, "
+                                     "params map<string,string>")
+    return TD.params_to_columns(gs, ["criterion", "max_depth", "n_estimators", "max_features"])
+
+
+def _stored_splits(spark, path: str) -> set[int]:
+    try:
+        return {r[0] for r in spark.read.schema("split int").parquet(path).select("split").distinct().collect()}
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return set()                                     # no store yet
+
+
+def _store_split(spark, split: int, outs: dict, out_path: str) -> None:
+    """All outputs of a split (dynamic overwrite replaces what an ended run left), then its completion mark."""
+    for key, df in outs.items():
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("split").parquet(os.path.join(out_path, key)))
+    spark.range(1).select(F.lit(split).alias("split")).write.mode("append").parquet(os.path.join(out_path, "done"))
+
+
+def _members(spark, sf, n_splits):
+    return SP.stratified_shuffle_splits(SP.stratify(V.targets(spark, sf), T), n_splits, seed=SEED)
+
+
+def learn_customers(spark: SparkSession, sf: str, model_type: str = "ridgecv", **options) -> dict:
+    """``learn`` on the customers' order features (price columns have gaps) and both targets."""
+    return learn(V.learn_x(spark, sf), LEARN_FEATURES, V.targets(spark, sf), T, model_type, modality="orders",
+                 allowed_missing=["price_F", "price_O", "price_P"], pca_features=["n_F", "n_O", "n_P"], **options)
+
+
 # ---------------------------------------------------------------- ML14
 
-def learning_curve(spark: SparkSession, sf: str, modality: str = "orders") -> DataFrame:
-    """Ridge learning curve: (size, fold) fits in one job; R² (mean over
-    targets) on the train part and the held-out fold -> long scores."""
-    y = V.targets(spark, sf)
-    members = ML.learning_curve_members(y.select("subject"))
-    rows = L.design_rows(V.learn_x(spark, sf), LEARN_FEATURES, y, T, members.drop("size_idx", "fold"))
-    rows, _ = ML.prepare(rows, feature_names=LEARN_FEATURES, imputer="iterative")
+def learning_curve(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Sequence[str], modality: str = "orders",
+                   model_type: str = "ridgecv", alphas=L.RIDGE_ALPHAS, best: dict | None = None, n_folds: int = 5,
+                   parallelism: int = 4) -> DataFrame:
+    """ML14: scores (R², mean over targets) of (size, fold) fits on their train part and
+    held-out fold, long.  Ridge fits all of them in one job; forests take the
+    parameters ``best`` (max_depth, criterion, n_estimators), one fit per (size, fold)."""
+    base, _ = ML.parse_model_type(model_type)
+    members = stored(ML.learning_curve_members(y.select("subject"), n_folds))
+    rows = L.design_rows(x, features, y, targets, members.drop("size_idx", "fold"))
+    rows, _ = ML.prepare(rows, feature_names=features, imputer="iterative")
     rows = stored(rows)
-    coef = L.ridge_cv(rows.filter("role = 'train'"))
-    pred = L.predict_linear(rows, coef, len(T), T).join(y.select("subject", *T), "subject")
-    sizes = members.filter("role = 'train'").groupBy("split").agg(F.count(F.lit(1)).alias("train_size"))
-    ids = members.select("split", "fold").distinct()
-    sc = _r2_by_group(pred, ["split", "role"], T).join(ids, "split").join(sizes, "split")
-    sc = sc.withColumn("kind", F.when(F.col("role") == "train", F.lit("train")).otherwise(F.lit("validation")))
-    wide = sc.groupBy("train_size", "kind").pivot("fold", list(range(5))).agg(F.first("score"))
-    wide = wide.select("train_size", "kind", *[F.col(str(f)).alias(f"cv_{f}") for f in range(5)])
+    if base == "ridgecv":
+        pred = L.predict_linear(rows, L.ridge_cv(rows.filter("role = 'train'"), alphas), len(targets), targets)
+    else:
+        best = best or {}
+
+        def one(split):
+            own = rows.filter(F.col("split") == split)
+            ms = ML.fit_forests(own.filter("role = 'train'"), targets, base, best.get("max_depth"), best.get("criterion"),
+                                SEED, best.get("n_estimators", ML.FOREST_TREES))
+            return ML.predict_forests(ms, own, targets)
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+            pred = TD.stack(list(ex.map(one, range(n_folds * len(ML.TRAIN_SIZES)))), sort_columns=False)
+    pred = pred.join(y.select("subject", *targets), "subject")
+    sizes = members.filter("role = 'train'").groupBy("split", "fold").agg(F.count(F.lit(1)).alias("train_size"))
+    by_role = _r2_by_group(pred, ["split", "role"], targets).join(sizes, "split")
+    sc = TD.concat_labelled({"train": by_role.filter("role = 'train'"), "validation": by_role.filter("role = 'test'")})
+    wide = sc.groupBy("train_size", "kind").pivot("fold", list(range(n_folds))).agg(F.first("score"))
+    wide = wide.select("train_size", "kind", *[F.col(str(f)).alias(f"cv_{f}") for f in range(n_folds)])
     wide = wide.withColumn("modality", F.lit(modality))
-    return TD.unpivot_scores(wide, ["modality", "train_size", "kind"], [f"cv_{f}" for f in range(5)])
+    return TD.unpivot_scores(wide, ["modality", "train_size", "kind"], [f"cv_{f}" for f in range(n_folds)])
 
 
 def _r2_by_group(pred: DataFrame, group, targets) -> DataFrame:
@@ -129,41 +249,60 @@ def _r2_by_group(pred: DataFrame, group, targets) -> DataFrame:
 
 # ---------------------------------------------------------------- ML15
 
-def permutation_importance(spark: SparkSession, sf: str, n_repeats: int = 5, modality: str = "orders") -> DataFrame:
-    """Linear model: baseline test R² minus R² with one feature shuffled
-    (md5 order within the split's test rows), averaged over repeats."""
-    res = ML.learn_ridge(V.learn_x(spark, sf), LEARN_FEATURES, V.targets(spark, sf), T,
-                         _members(spark, sf, N_SPLITS), SEED)
-    names = res["feature_names"]
-    coef = res["coefficients"]
-    k, t = len(names), len(T)
-    test = res["rows"].filter("role = 'test'")     # exactly the prepared rows the model saw
-    pred = L.predict_linear(test.select("split", "subject", "role", "x", "y"), coef, t, T)
-    base = test.select("split", "subject", "x", *[F.get(F.col("y"), i).alias(n) for i, n in enumerate(T)]).join(
-        pred.select("split", "subject", *[f"{n}_pred" for n in T]), ["split", "subject"])
-    base = stored(base)
-    long = base.select("split", "subject", *T, *[f"{n}_pred" for n in T], F.posexplode("x").alias("j", "xj"))
-    long = long.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))))
+def permuted_copies(test: DataFrame, k: int, n_repeats: int = 5, seed: int = SEED) -> DataFrame:
+    """Test rows repeated for every (feature j, repeat r) with x[j] replaced by
+    the x[j] of the row at the same md5-order position (one shuffle of the
+    column, gaps included, within the split's test rows).  Adds columns j, r."""
+    base = test.select("split", "subject", "x", "y")
+    long = base.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).withColumn(
+        "r", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))))
     g = ["split", "j", "r"]
     left = SP.rank_within(long, g, [F.col("subject")], "__rk")
-    right = SP.rank_within(long.select(*g, "subject", F.col("xj").alias("xp")), g,
-                           [SP.md5_key(F.lit(SEED), "split", "j", "r", "subject"), F.col("subject")],
+    right = SP.rank_within(long.select(*g, "subject", F.get(F.col("x"), F.col("j")).alias("__xp")), g,
+                           [SP.md5_key(F.lit(seed), "split", "j", "r", "subject"), F.col("subject")],
                            "__rk").drop("subject")
-    perm = left.join(right, g + ["__rk"])
-    wl = coef.select("split", F.posexplode("w").alias("idx", "w")).select(
-        "split", F.floor(F.col("idx") / t).cast("int").alias("j"), (F.col("idx") % t).cast("int").alias("ti"), "w")
-    wl = wl.groupBy("split", "j").pivot("ti", list(range(t))).agg(F.first("w"))
-    wl = wl.select("split", "j", *[F.col(str(i)).alias(f"__w{i}") for i in range(t)])
-    perm = perm.join(wl, ["split", "j"])
-    for i, n in enumerate(T):
-        perm = perm.withColumn(f"{n}_pred", F.col(f"{n}_pred") + F.col(f"__w{i}") * (F.col("xp") - F.col("xj")))
-    permuted = _r2_by_group(perm, g, T).groupBy("split", "j").agg(F.avg("score").alias("perm_score"))
-    baseline = _r2_by_group(base, ["split"], T).withColumnRenamed("score", "base_score")
-    nm = F.array(*[F.lit(n) for n in names])
-    return (permuted.join(baseline, "split")
-            .select(F.lit(modality).alias("modality"), "split",
-                    F.element_at(nm, F.col("j") + 1).alias("feature"),
-                    (F.col("base_score") - F.col("perm_score")).alias("permutation_importance")))
+    pair = left.join(right, g + ["__rk"])
+    return pair.withColumn("x", F.transform("x", lambda v, i: F.when(i == F.col("j"), F.col("__xp")).otherwise(v))
+                           ).drop("__rk", "__xp")
+
+
+def permutation_importance(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Sequence[str], members: DataFrame,
+                           fit_predict, n_repeats: int = 5, modality: str = "orders") -> DataFrame:
+    """ML15: test R² minus the R² with one input feature shuffled, averaged over repeats.
+
+    The shuffled columns are those that enter the pipeline: every shuffled copy
+    of a test row goes through the imputation fitted on the split's train rows, in
+    the same job as the plain test rows.  ``fit_predict(train, test)`` gets
+    prepared rows and adds ``{t}_pred`` to the test rows."""
+    rows = stored(L.design_rows(x, features, y, targets, members))
+    copies = permuted_copies(rows.filter("role = 'test'"), len(features), n_repeats).withColumn("role", F.lit("test"))
+    plain = rows.withColumn("j", F.lit(-1)).withColumn("r", F.lit(-1))
+    ready, _ = ML.prepare(plain.unionByName(copies), feature_names=features, imputer="iterative")
+    ready = stored(ready)
+    test = ready.filter("role = 'test'").select("*", *[F.get(F.col("y"), i).alias(t) for i, t in enumerate(targets)])
+    scores = _r2_by_group(fit_predict(ready.filter("role = 'train'").drop("j", "r"), test), ["split", "j", "r"], targets)
+    per = scores.groupBy("split", "j").agg(F.avg("score").alias("score"))
+    base = per.filter("j = -1").select("split", F.col("score").alias("base_score"))
+    nm = F.array(*[F.lit(n) for n in features])
+    return per.filter("j >= 0").join(base, "split").select(
+        F.lit(modality).alias("modality"), "split", F.element_at(nm, F.col("j") + 1).alias("feature"),
+        (F.col("base_score") - F.col("score")).alias("permutation_importance"))
+
+
+def ridge_fit_predict(targets: Sequence[str], alphas=L.RIDGE_ALPHAS):
+    """For ``permutation_importance``: ridge, all splits in one job."""
+    return lambda train, test: L.predict_linear(test, L.ridge_cv(train, alphas), len(targets), targets)
+
+
+def forest_fit_predict(targets: Sequence[str], n_splits: int, depth: int | None, n_trees: int = ML.FOREST_TREES):
+    """For ``permutation_importance``: random forests, one fit per split and target."""
+    def run(train, test):
+        parts = []
+        for s in range(n_splits):
+            ms = ML.fit_forests(train.filter(F.col("split") == s), targets, "basic", depth, None, SEED, n_trees)
+            parts.append(ML.predict_forests(ms, test.filter(F.col("split") == s), targets))
+        return TD.stack(parts, sort_columns=False)
+    return run
 
 
 # ---------------------------------------------------------------- ML6, ML9
@@ -206,99 +345,4 @@ def grid_search_table(spark: SparkSession, sf: str) -> DataFrame:
     train = stored(rows.filter("role = 'train'"))
     _, results = ML.grid_search(train, ["total_price"], "basic", SEED, depths=SEARCH_DEPTHS,
                                 n_trees=SEARCH_TREES, parallelism=2)
-    recs = [(0, r["mean_train_score_gs"], r["mean_test_score_gs"], {k: str(v) for k, v in r["params"].items()})
-            for r in results]
-    gs = spark.createDataFrame(recs, "split int, mean_train_score_gs double, mean_test_score_gs double, "
-                                     "params map<string,string>")
-    return TD.params_to_columns(gs, ["criterion", "max_depth", "n_estimators", "max_features"])
-
-
-# ---------------------------------------------------------------- ML15, any model
-
-def permuted_copies(test: DataFrame, k: int, n_repeats: int = 5, seed: int = SEED) -> DataFrame:
-    """Test rows repeated for every (feature j, repeat r) with x[j] replaced by
-    the x[j] of the row at the same md5-order position (one shuffle of the
-    column within the split's test rows).  Adds columns j, r."""
-    base = test.select("split", "subject", "x", "y")
-    long = base.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).withColumn(
-        "r", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))))
-    g = ["split", "j", "r"]
-    left = SP.rank_within(long, g, [F.col("subject")], "__rk")
-    right = SP.rank_within(long.select(*g, "subject", F.get(F.col("x"), F.col("j")).alias("__xp")), g,
-                           [SP.md5_key(F.lit(seed), "split", "j", "r", "subject"), F.col("subject")],
-                           "__rk").drop("subject")
-    pair = left.join(right, g + ["__rk"])
-    return pair.withColumn("x", F.transform("x", lambda v, i: F.when(i == F.col("j"), F.col("__xp")).otherwise(v))
-                           ).drop("__rk", "__xp")
-
-
-def permutation_importance_any(test: DataFrame, predict, names, targets, n_repeats: int = 5,
-                               modality: str = "orders") -> DataFrame:
-    """ML15 for any fitted model: ``predict(df) -> df + {t}_pred`` is applied
-    once to the baseline rows and once to all permuted copies (one job, no
-    per-feature loop); importance = baseline R² - mean permuted R²."""
-    truth = lambda d: d.select("*", *[F.get(F.col("y"), i).alias(t) for i, t in enumerate(targets)])
-    base = predict(truth(test.select("split", "subject", "x", "y")))
-    perm = predict(truth(permuted_copies(test, len(names), n_repeats)))
-    b = _r2_by_group(base, ["split"], targets).withColumnRenamed("score", "base_score")
-    p = _r2_by_group(perm, ["split", "j", "r"], targets).groupBy("split", "j").agg(F.avg("score").alias("perm_score"))
-    nm = F.array(*[F.lit(n) for n in names])
-    return p.join(b, "split").select(F.lit(modality).alias("modality"), "split",
-                                     F.element_at(nm, F.col("j") + 1).alias("feature"),
-                                     (F.col("base_score") - F.col("perm_score")).alias("permutation_importance"))
-
-
-def forest_permutation_importance(spark: SparkSession, sf: str, n_splits: int = 1, n_repeats: int = 5) -> DataFrame:
-    """ML15 on random forests (the reference's use): per split the fitted
-    forests predict the baseline and all permuted copies of its test rows."""
-    x, y = V.learn_x(spark, sf), V.targets(spark, sf)
-    members = _members(spark, sf, n_splits)
-    rows = L.design_rows(x, LEARN_FEATURES, y, T, members)
-    rows, names = ML.prepare(rows, None, None, LEARN_FEATURES, imputer="iterative")
-    rows = stored(rows)
-    models = {}
-    for s in range(n_splits):
-        tr = rows.filter((F.col("split") == s) & (F.col("role") == "train"))
-        models[s] = ML.fit_forests(tr, T, "basic", FOREST_DEPTH, None, SEED)
-
-    def predict(df):
-        parts = [ML.predict_forests(models[s], df.filter(F.col("split") == s), T) for s in range(n_splits)]
-        return TD.stack(parts, sort_columns=False)
-
-    return permutation_importance_any(rows.filter("role = 'test'"), predict, names, T, n_repeats)
-
-
-def _stored_splits(spark, path: str) -> set[int]:
-    try:
-        return {r[0] for r in spark.read.schema("split int").parquet(path).select("split").distinct().collect()}
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return set()                                     # no store yet
-
-
-def _learn_to_store(spark, fit_split, n_splits, out_path, parallelism, y, names, permuted) -> dict:
-    """Fit the splits that have no completion mark.  The mark is written after
-    all outputs of a split, so a run that ends between two outputs fits the
-    split again; dynamic overwrite replaces what it had left."""
-    done_path = os.path.join(out_path, "done")
-    done = _stored_splits(spark, done_path)
-    todo = [s for s in range(n_splits) if s not in done]
-
-    def run(split):
-        outs = fit_split(split)
-        for key, df in outs.items():
-            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("split").parquet(os.path.join(out_path, key)))
-        spark.range(1).select(F.lit(split).alias("split")).write.mode("append").parquet(done_path)
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        list(ex.map(run, todo))
-    wanted = ["predictions", "predictions_training", "importances"] + ["predictions_permuted"] * permuted
-    truth = y.select("subject", *T)
-    res = {key: spark.read.parquet(os.path.join(out_path, key)) for key in wanted}
-    res["predictions"] = res["predictions"].join(truth, "subject", "left")
-    res["predictions_training"] = res["predictions_training"].join(truth, "subject", "left")
-    res["feature_names"] = names
-    res["skipped_splits"] = sorted(done)
-    return res
+    return search_table(spark, 0, results)

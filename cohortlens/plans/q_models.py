@@ -111,21 +111,21 @@ def q_ridge_cv(spark, sf):
 @register("ml_learn_ridge")
 def q_learn_ridge(spark, sf):
     """ML13: impute -> scale -> ridge for every split in one job; test predictions with truth."""
-    res = LR.learn(spark, sf, "ridgecv")
+    res = LR.learn_customers(spark, sf, "ridgecv")
     return res["predictions"]
 
 
 @register("ml_permuted_ridge")
 def q_permuted(spark, sf):
     """ML12: predictions of models fitted on permuted targets, against permuted truth."""
-    res = LR.learn(spark, sf, "ridgecv", permuted=True)
+    res = LR.learn_customers(spark, sf, "ridgecv", permuted=True)
     return res["predictions_permuted"]
 
 
 @register("ml_evaluate_ridge")
 def q_evaluate(spark, sf):
     """End to end: ridge per split -> R², MAE, r² per split -> long -> box summary."""
-    res = LR.learn(spark, sf, "ridgecv")
+    res = LR.learn_customers(spark, sf, "ridgecv")
     pred = res["predictions"].withColumn("modality", F.lit("orders"))
     wide = M.calc_metrics(pred, T, ["r2", "pearsonr2", "mae"], kind="test", return_average=True)
     return M.box_summary(M.metrics_to_long(wide, "r2", T, includes_average=True), "r2")
@@ -153,13 +153,73 @@ def q_pca(spark, sf):
 @register("ml_learning_curve")
 def q_learning_curve(spark, sf):
     """ML14+SET5+RSH3: ridge learning curve, 5 sizes x 5 folds in one job, long scores."""
-    return LR.learning_curve(spark, sf)
+    return LR.learning_curve(V.learn_x(spark, sf), FX, V.targets(spark, sf), T)
 
 
 @register("ml_permutation_importance")
 def q_perm_importance(spark, sf):
-    """ML15: mean R² drop over 5 md5-ordered shuffles of each feature on test rows."""
-    return LR.permutation_importance(spark, sf)
+    """ML15: mean R² drop over 5 md5-ordered shuffles of each pipeline input on test rows."""
+    return LR.permutation_importance(V.learn_x(spark, sf), FX, V.targets(spark, sf), T, stored(_members(spark, sf)),
+                                     LR.ridge_fit_predict(T))
+
+
+_CURVE_ONE_SQL = rounded(with_views("""WITH __t AS (
+  SELECT t.subject, x.n_O AS x, t.total_price AS y, row_number() OVER (ORDER BY t.subject) - 1 AS p, count(*) OVER () AS n
+  FROM targets t JOIN learn_x x ON t.subject = x.subject),
+__f AS (SELECT *, CASE WHEN p < (n % 5) * (n // 5 + 1) THEN p // (n // 5 + 1)
+                       ELSE (n % 5) + (p - (n % 5) * (n // 5 + 1)) // (n // 5) END AS own FROM __t),
+__n0 AS (SELECT count(*) AS n0 FROM __f WHERE own <> 0),
+__g AS (SELECT s.frac, f.fold FROM (SELECT unnest([0.2, 0.4, 0.6, 0.8, 1.0]) AS frac) s,
+                                   (SELECT unnest(generate_series(0, 4)) AS fold) f),
+__r AS (SELECT g.frac, g.fold, f.x, f.y, f.own = g.fold AS held,
+               row_number() OVER (PARTITION BY g.frac, g.fold, f.own = g.fold ORDER BY f.subject) AS rk FROM __g g, __f f),
+__d AS (SELECT r.*, CASE WHEN held THEN 'validation' ELSE 'train' END AS kind FROM __r r, __n0
+        WHERE held OR rk <= floor(CAST(n0 AS DOUBLE) * CAST(frac AS DOUBLE))),
+__st AS (SELECT frac, fold, count(*) AS train_size, avg(x) AS mx, avg(y) AS my,
+                CASE WHEN stddev_pop(x) > 0 THEN stddev_pop(x) ELSE 1.0 END AS sx
+         FROM __d WHERE kind = 'train' GROUP BY frac, fold),
+__w AS (SELECT d.frac, d.fold, sum((d.x - s.mx) / s.sx * (d.y - s.my)) / (sum((d.x - s.mx) / s.sx * ((d.x - s.mx) / s.sx)) + 1.0) AS w
+        FROM __d d JOIN __st s ON d.frac = s.frac AND d.fold = s.fold WHERE d.kind = 'train' GROUP BY d.frac, d.fold)
+SELECT 'orders' AS modality, s.train_size, d.kind, CAST(d.fold AS VARCHAR) AS cv_split,
+       1.0 - sum((d.y - s.my - w.w * (d.x - s.mx) / s.sx) * (d.y - s.my - w.w * (d.x - s.mx) / s.sx))
+             / (var_pop(d.y) * count(*)) AS score
+FROM __d d JOIN __st s ON d.frac = s.frac AND d.fold = s.fold JOIN __w w ON d.frac = w.frac AND d.fold = w.fold
+GROUP BY s.train_size, d.kind, d.fold, d.frac""", "learn_x", "targets"), ["score"])
+
+
+@register("ml_learning_curve_one_feature", _CURVE_ONE_SQL)
+def q_learning_curve_one(spark, sf):
+    """ML14+SET5 checkable in SQL: one-feature ridge (alpha 1), 5 sizes x 5 folds, train and validation scores."""
+    return LR.learning_curve(V.learn_x(spark, sf), ["n_O"], V.targets(spark, sf), ["total_price"], alphas=[1.0])
+
+
+_IMPORTANCE_ONE_SQL = rounded(with_views(f"""WITH {_SPLIT_CTES},
+__d AS (SELECT sp.split, sp.subject, sp.role, x.n_O AS x, t.total_price AS y
+        FROM __sp sp JOIN learn_x x ON sp.subject = x.subject JOIN targets t ON sp.subject = t.subject),
+__st AS (SELECT split, avg(x) AS mx, CASE WHEN stddev_pop(x) > 0 THEN stddev_pop(x) ELSE 1.0 END AS sx, avg(y) AS my
+         FROM __d WHERE role = 'train' GROUP BY split),
+__w AS (SELECT d.split, sum((d.x - s.mx) / s.sx * (d.y - s.my)) / (sum((d.x - s.mx) / s.sx * ((d.x - s.mx) / s.sx)) + 1.0) AS w
+        FROM __d d JOIN __st s ON d.split = s.split WHERE d.role = 'train' GROUP BY d.split),
+__te AS (SELECT d.*, CAST(r.r AS INTEGER) AS r FROM __d d, (SELECT unnest(generate_series(-1, 4)) AS r) r WHERE d.role = 'test'),
+__ll AS (SELECT *, row_number() OVER (PARTITION BY split, r ORDER BY subject) AS rk FROM __te),
+__rr AS (SELECT split, r, x AS xp, row_number() OVER (PARTITION BY split, r ORDER BY
+           CASE WHEN r < 0 THEN subject
+                ELSE md5('{SEED}:' || CAST(split AS VARCHAR) || ':0:' || CAST(r AS VARCHAR) || ':' || subject) END, subject) AS rk
+         FROM __te),
+__sc AS (SELECT l.split, l.r, 1.0 - sum((l.y - s.my - w.w * (q.xp - s.mx) / s.sx) * (l.y - s.my - w.w * (q.xp - s.mx) / s.sx))
+                                    / (var_pop(l.y) * count(*)) AS score
+         FROM __ll l JOIN __rr q ON l.split = q.split AND l.r = q.r AND l.rk = q.rk
+              JOIN __st s ON l.split = s.split JOIN __w w ON l.split = w.split GROUP BY l.split, l.r)
+SELECT 'orders' AS modality, split, 'n_O' AS feature,
+       avg(score) FILTER (WHERE r < 0) - avg(score) FILTER (WHERE r >= 0) AS permutation_importance
+FROM __sc GROUP BY split""", "learn_x", "targets"), ["permutation_importance"])
+
+
+@register("ml_importance_one_feature", _IMPORTANCE_ONE_SQL)
+def q_importance_one(spark, sf):
+    """ML15 checkable in SQL: one-feature ridge (alpha 1), R² drop over 5 md5-ordered shuffles."""
+    return LR.permutation_importance(V.learn_x(spark, sf), ["n_O"], V.targets(spark, sf), ["total_price"],
+                                     stored(_members(spark, sf)), LR.ridge_fit_predict(["total_price"], [1.0]))
 
 
 # ---------------------------------------------------------------- forests (rows-only)
@@ -167,13 +227,13 @@ def q_perm_importance(spark, sf):
 @register("ml_forest_regress")
 def q_forest(spark, sf):
     """ML5+ML10+ML11: weighted random forests (256 trees) per split, test predictions."""
-    return LR.learn(spark, sf, "basic", n_splits=2, weighted=True, depth=LR.FOREST_DEPTH)["predictions"]
+    return LR.learn_customers(spark, sf, "basic", n_splits=2, weights=True, depth=LR.FOREST_DEPTH)["predictions"]
 
 
 @register("ml_feature_importances")
 def q_importances(spark, sf):
     """ML16: forest feature importances per split and target."""
-    return LR.learn(spark, sf, "basic", n_splits=2, depth=LR.FOREST_DEPTH)["importances"]
+    return LR.learn_customers(spark, sf, "basic", n_splits=2, depth=LR.FOREST_DEPTH)["importances"]
 
 
 @register("ml_forest_classify")
@@ -248,4 +308,5 @@ def q_permuted_one(spark, sf):
 @register("ml_forest_permutation_importance")
 def q_forest_perm_importance(spark, sf):
     """ML15 on forests: R² drop per feature over 5 md5-ordered shuffles of the test rows (one split)."""
-    return LR.forest_permutation_importance(spark, sf)
+    return LR.permutation_importance(V.learn_x(spark, sf), FX, V.targets(spark, sf), T, stored(_members(spark, sf, 1)),
+                                     LR.forest_fit_predict(T, 1, LR.FOREST_DEPTH))

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cohortlens.operators import signal as S
@@ -104,18 +105,88 @@ def test_forest_learning_resumes_from_store(spark, tmp_path):
     from cohortlens.plans import learning as LR
     sf = "/root/testdata/sf0.001"
     out = str(tmp_path / "store")
-    first = LR.learn(spark, sf, "basic", n_splits=2, depth=3, n_trees=8, out_path=out)
+    first = LR.learn_customers(spark, sf, "basic", n_splits=2, depth=3, n_trees=8, out_path=out)
     n1 = first["predictions"].count()
-    again = LR.learn(spark, sf, "basic", n_splits=2, depth=3, n_trees=8, out_path=out)
+    again = LR.learn_customers(spark, sf, "basic", n_splits=2, depth=3, n_trees=8, out_path=out)
     assert again["skipped_splits"] == [0, 1]
     assert again["predictions"].count() == n1 > 0
     # a split without a completion mark (the run ended between two outputs) is fitted again
     spark.range(1).select(F.lit(0).alias("split")).write.mode("overwrite").parquet(out + "/done")
-    third = LR.learn(spark, sf, "basic", n_splits=2, depth=3, n_trees=8, out_path=out)
+    third = LR.learn_customers(spark, sf, "basic", n_splits=2, depth=3, n_trees=8, out_path=out)
     assert third["skipped_splits"] == [0]
     assert third["predictions"].count() == n1
 
 
+def _study(spark, n=120):
+    rng = np.random.default_rng(8)
+    X = rng.normal(size=(n, 2))
+    x = spark.createDataFrame([(f"s{i:03d}", float(X[i, 0]), None if i % 10 == 0 else float(X[i, 1])) for i in range(n)],
+                              "subject string, a double, b double")
+    y = spark.createDataFrame([(f"s{i:03d}", float(X[i, 0] * 2 + rng.normal() * 0.1)) for i in range(n)], "subject string, t double")
+    return x, y
+
+
+def test_learn_searches_per_split_and_stores(spark, tmp_path):
+    from pyspark.ml.regression import RandomForestRegressionModel
+
+    from cohortlens.plans import learning as LR
+    x, y = _study(spark)
+    out = str(tmp_path / "study")
+    weights = y.select("subject", F.lit(1.0).alias("weight"))
+    res = LR.learn(x, ["a", "b"], y, ["t"], "basic", n_splits=2, allowed_missing=["b"], weights=weights, permuted=True,
+                   search={"depths": [1, 4], "n_folds": 2}, n_trees=6, out_path=out)
+    assert res["failures"].count() == 0
+    assert sorted((r.split, r.max_depth) for r in res["search"].collect()) == [(s, d) for s in (0, 1) for d in "14"]
+    pred = res["predictions"].toPandas()
+    assert len(pred) == 2 * 24 and pred["t_pred"].between(*y.selectExpr("min(t)", "max(t)").first()).all()
+    assert len(res["predictions_training"].toPandas()) == 2 * 96 and res["predictions_permuted"].count() == 2 * 24
+    imp = res["importances"].groupBy("split", "target").agg(F.sum("fi").alias("s"), F.min("fi").alias("low")).collect()
+    assert len(imp) == 2 and all(abs(r.s - 1) < 1e-9 and r.low >= 0 for r in imp)
+    info = res["split_info"].collect()
+    assert [r.input_features for r in info] == [["a", "b"]] * 2 and info[0].model_features == ["a", "b", "b_missing"]
+    assert spark.read.parquet(out + "/members").count() == 240 and spark.read.parquet(out + "/input/x").count() == 120
+    assert RandomForestRegressionModel.load(out + "/models/split=1/target=t").getNumTrees == 6
+
+
+def test_learn_checks_its_input(spark):
+    from cohortlens.operators.checks import BASIC_ALLOWED_MISSING, CheckFailed
+    from cohortlens.plans import learning as LR
+    x, y = _study(spark, 30)
+    with pytest.raises(CheckFailed, match="contain missings"):
+        LR.prepare_x_y(x, ["a", "b"], y, allowed_missing=[])
+    with pytest.raises(CheckFailed, match="different subjects"):
+        LR.prepare_x_y(x.filter("subject <> 's003'"), ["a"], y)
+    with pytest.raises(CheckFailed, match="more than once"):
+        LR.prepare_x_y(x.unionByName(x.limit(1)), ["a"], y)
+    clinical = x.select("subject", F.lit("F").alias("clin__risk__demo_sex"), F.lit(None).cast("string").alias("clin__assess__diag"))
+    got = LR.prepare_x_y(clinical, clinical.columns[1:], y, "clinical", BASIC_ALLOWED_MISSING)
+    assert {tuple(r)[1:] for r in got.collect()} == {(0, None)}
+
+
+def test_failed_split_is_reported(spark, monkeypatch, tmp_path):
+    from cohortlens.plans import learning as LR
+    x, y = _study(spark, 60)
+    fit = LR.ML.fit_forests
+
+    def broken(train, *rest):
+        if train.select("split").first()[0] == 1:
+            raise RuntimeError("no fit")
+        return fit(train, *rest)
+    monkeypatch.setattr(LR.ML, "fit_forests", broken)
+    out = str(tmp_path / "study")
+    res = LR.learn(x, ["a", "b"], y, ["t"], "basic", n_splits=2, depth=2, n_trees=3, out_path=out)
+    assert [(r.split, r.error) for r in res["failures"].collect()] == [(1, "no fit")]
+    assert {r.split for r in res["predictions"].select("split").distinct().collect()} == {0}
+
+
+def test_folds_within_classes(spark):
+    from cohortlens.operators import splits as SP
+    rows = spark.createDataFrame([(0, i % 3 == 0, f"s{i:02d}") for i in range(31)] + [(0, None, "z1"), (0, None, "z2")],
+                                 "split int, c boolean, subject string")
+    got = SP.kfold(rows, 5, group=["split", "c"]).groupBy("c", "fold").count().collect()
+    assert {r["count"] for r in got if r.c} == {2, 3} and {r["count"] for r in got if r.c is False} == {4}
+
+
 def test_distributed_rank_and_lag_equal_windows(spark):
     from pyspark.sql import Window
     from cohortlens.operators import ranking as RK

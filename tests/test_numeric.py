@@ -234,8 +234,8 @@ def test_iterative_impute_matches_numpy(spark):
     # numpy version of the same algorithm
     tr = role == "train"
     F_ = np.where(np.isnan(Xm), np.nanmean(Xm[tr], axis=0), Xm)
-    gaps = sorted([j for j in range(k) if np.isnan(Xm[:, j]).any()], key=lambda j: (np.isnan(Xm[:, j]).sum(), j))
-    tol = 1e-3 * np.nanmax(np.abs(Xm))
+    gaps = sorted([j for j in range(k) if np.isnan(Xm[tr, j]).any()], key=lambda j: (np.isnan(Xm[tr, j]).sum(), j))
+    tol = 1e-3 * np.nanmax(np.abs(Xm[tr]))
     for _ in range(10):
         prev = F_.copy()
         for c in gaps:
@@ -265,19 +265,23 @@ def test_fused_detrend_standardize(spark):
             assert math.isclose(a[k], b[k], rel_tol=1e-9, abs_tol=1e-9)
 
 
-def test_generic_permutation_importance_equals_linear_shortcut(spark):
+def test_permutation_importance_of_input_columns(spark):
     from cohortlens.plans import learning as LR
     rng = np.random.default_rng(37)
     n, k = 50, 3
     X = rng.normal(size=(n, k))
     Y = np.c_[X @ [1.0, 0.2, 0.0] + rng.normal(size=n) * 0.1, X @ [0.0, 1.0, 0.5]]
-    rows = spark.createDataFrame([(0, f"s{i:02d}", "test", X[i].tolist(), Y[i].tolist()) for i in range(n)],
-                                 "split int, subject string, role string, x array<double>, y array<double>")
+    names = ["f0", "f1", "f2"]
+    x = spark.createDataFrame([(f"s{i:02d}", *X[i].tolist()) for i in range(n)] + [("t0", 0.0, 0.0, 0.0), ("t1", 1.0, 1.0, 1.0)],
+                              "subject string, f0 double, f1 double, f2 double")
+    y = spark.createDataFrame([(f"s{i:02d}", *Y[i].tolist()) for i in range(n)] + [("t0", 0.0, 0.0), ("t1", 1.0, 1.0)],
+                              "subject string, ta double, tb double")
+    members = x.select(F.lit(0).alias("split"), "subject", F.when(F.col("subject") < "t", "test").otherwise("train").alias("role"))
     coef = spark.createDataFrame([(0, 1.0, [1.0, 0.0, 0.2, 1.0, 0.0, 0.5], [0.0, 0.0])],
                                  "split int, alpha double, w array<double>, b array<double>")
-    pred = lambda d: L.predict_linear(d, coef, 2, ["ta", "tb"])
+    pred = lambda train, test: L.predict_linear(test, coef, 2, ["ta", "tb"])
     got = {r.feature: r.permutation_importance for r in
-           LR.permutation_importance_any(rows, pred, ["f0", "f1", "f2"], ["ta", "tb"]).collect()}
+           LR.permutation_importance(x, names, y, ["ta", "tb"], members, pred).collect()}
     # brute force with the same md5 pairing
     import hashlib
     subj = [f"s{i:02d}" for i in range(n)]
