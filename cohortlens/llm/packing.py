@@ -15,7 +15,9 @@ histogram of lengths.
 Tokens are cached by word and part of a word for this tokenizer: its normalizer
 maps single characters and runs of white space, its splitter never joins over
 white space and cuts between letters and punctuation, so a text's ids are those
-of its parts, one after the other (tested against whole texts).
+of its parts, one after the other (tested against whole texts).  Words with a
+letter that the normalizer turns into letter and mark are not cut: the splitter
+joins a mark with the punctuation behind it.
 
 Edge cases: NULL and empty texts are one piece with the end id only; very long
 texts give many full pieces; repeated rows are packed like any other; empty
@@ -74,6 +76,19 @@ _PRINTABLE = bytes(range(33, 127))
 _EDGES = bytes(set(_PRINTABLE) - set(b"'") - set(b"abcdefghijklmnopqrstuvwxyz0123456789"))
 
 
+class _Letters(dict):
+    """Is a character's normalized form all letters to the splitter?  (Letters only join with
+    each other in NFC, so a word of such characters is all letters in its normalized form too.)"""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+
+    def __missing__(self, character: str) -> bool:
+        form = self.tokenizer.normalizer.normalize_str(character)
+        safe = self[character] = character.isalpha() and len(self.tokenizer.pre_tokenizer.pre_tokenize_str("a" + form)) == 1
+        return safe
+
+
 class WordTokens:
     """The ids of texts, word by word.
 
@@ -86,6 +101,7 @@ class WordTokens:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = self.tokenizer.model
+        self.letter = _Letters(self.tokenizer).__getitem__
         self._clear()
 
     def _clear(self) -> None:
@@ -105,7 +121,7 @@ class WordTokens:
         if not word.translate(None, _PRINTABLE):
             return _PARTS.findall(word)
         core = word.strip(_EDGES)
-        if core != word and core.decode("utf-8", "replace").isalpha():
+        if core != word and all(map(self.letter, core.decode("utf-8", "replace"))):
             at = word.index(core)
             return [x for x in (word[:at], core, word[at + len(core):]) if x]
         return [word]

@@ -138,3 +138,17 @@ def test_word_tokens_equal_whole_texts():
     ids, edges = packing.WordTokens(packing.tokenizer_path()).encode([t.encode() for t in texts], 1)
     for i, t in enumerate(texts):
         assert ids[edges[i]:edges[i + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [1], t
+
+
+def test_word_tokens_where_a_letter_becomes_letter_and_mark():
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    words = ["\u09b9\u09df,", "\u092a\u095d)", "vakt\u0130.", "(\u09df", "\u095dx\u00e9!", "\u1112\u1161\u11ab.", "-\u0130-"]
+    letters = [chr(c) for c in range(128, 0x110000) if chr(c).isalpha()]
+    words += [f",{c}," for c in letters] + [f"x{c}." for c in letters]
+    rng = random.Random(5)
+    odd = [c for c in letters if len(tokenizer.normalizer.normalize_str(c)) > 1]
+    words += ["(" + "".join(rng.choice(rng.choice([letters, odd])) for _ in range(3)) + ")" for _ in range(20_000)]
+    ids, edges = packing.WordTokens(packing.tokenizer_path()).encode([w.encode() for w in words], 1)
+    whole = tokenizer.encode_batch(words, add_special_tokens=False)
+    wrong = [w for i, w in enumerate(words) if ids[edges[i]:edges[i + 1]].tolist() != whole[i].ids + [1]]
+    assert len(odd) > 50 and not wrong, (len(wrong), wrong[:5])
