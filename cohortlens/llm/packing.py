@@ -6,8 +6,9 @@ histogram of lengths.
    its length in the task.  The pieces are stored once, no row is shuffled.
 2. The histogram has at most ``longest`` rows whatever the size of the corpus.
    Lengths are placed from the longest to the shortest, each into the packs with
-   the fewest ids so far; packs with equal contents are one pattern with a count,
-   so the work depends on the number of lengths, not of pieces.
+   the fewest ids so far; when none has room, new packs are filled one after the
+   other.  Packs with equal contents are one pattern with a count, so the work
+   depends on the number of lengths, not of pieces.
 3. A piece's rank over all tasks (its rank in the task plus the pieces of that
    length in earlier tasks) gives the pattern, the copy of the pattern and the
    slot that hold it.
@@ -215,8 +216,11 @@ def packing_patterns(histogram: dict[int, int], longest: int = LONGEST) -> list[
         while waiting:
             while room >= length and not packs.get(room):
                 room -= 1
-            if room < length:                                             # no pack has room: new ones
-                packs[longest - length].append((waiting, [length]))
+            if room < length:                                             # no pack has room: new ones, one after the other
+                each = longest // length
+                for count, pieces in ((waiting // each, each), (1, waiting % each)):
+                    if count and pieces:
+                        packs[longest - pieces * length].append((count, pieces * [length]))
                 break
             if room == longest:
                 room -= 1

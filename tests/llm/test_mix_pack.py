@@ -152,3 +152,26 @@ def test_word_tokens_where_a_letter_becomes_letter_and_mark():
     whole = tokenizer.encode_batch(words, add_special_tokens=False)
     wrong = [w for i, w in enumerate(words) if ids[edges[i]:edges[i + 1]].tolist() != whole[i].ids + [1]]
     assert len(odd) > 50 and not wrong, (len(wrong), wrong[:5])
+
+
+@pytest.mark.parametrize("hot", [40, 150, 300])
+def test_patterns_fill_with_a_hot_length(hot):
+    rng, histogram = random.Random(hot), defaultdict(int)
+    for _ in range(20_000):
+        histogram[min(2048, 1 + int(rng.lognormvariate(5.5, 1)))] += 1
+    histogram[hot] += 10_000
+    patterns = packing.packing_patterns(histogram)
+    assert sum(k * n for k, n in histogram.items()) > 0.99 * 2048 * sum(count for count, _ in patterns)
+    assert sum(count for count, _ in packing.packing_patterns({hot: 1000})) == -(-1000 // (2048 // hot))
+
+
+def test_slots_of_equal_lengths_hold_every_rank_once():
+    patterns = packing.packing_patterns({300: 1000, 40: 777, 9: 5})
+    places = packing.slots(patterns)
+    taken = set()
+    for length, n in ((300, 1000), (40, 777), (9, 5)):
+        rows, ranks = places[length], np.arange(n)
+        row = np.searchsorted(rows[:, 0], ranks, side="right") - 1
+        at = zip((rows[row, 1] + ranks - rows[row, 0]).tolist(), rows[row, 2].tolist())
+        taken |= {(s, b) for s, a in at for b in range(a, a + length)}
+    assert len(taken) == 300 * 1000 + 40 * 777 + 9 * 5 and max(b for _, b in taken) < 2048
