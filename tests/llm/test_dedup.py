@@ -50,6 +50,40 @@ def test_suffix_dedup_documents(spark):
         [(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
+def hot_rows(n=300):
+    """A phrase of 30 bytes in ever different surroundings, some of them twice."""
+    rng, phrase = random.Random(8), " all rights reserved, see page "
+    side = lambda: "".join(rng.choice("abcdefgh ") for _ in range(70))
+    texts = [side() + phrase + side() for _ in range(n)]
+    texts += [side() + t[40:130] + side() for t in texts[::10]] + [side() + t[60:115] for t in texts[::15]]
+    texts += ["-" * rng.randrange(60, 90) + side() for _ in range(n)]
+    return [(i, t, "en", "s", len(t), "c", "f", "n", "i") for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("bucket,shard", [(8_000, 4_000), (1 << 20, 4_000), (8_000, 400)])
+def test_suffix_dedup_hot_anchor(spark, bucket, shard):
+    rows = hot_rows() + awkward()
+    got = suffix_dedup.suffix_dedup(frame(spark, rows), bucket_bytes=bucket, shard_bytes=shard)
+    assert sorted((tuple(r)[:5] for r in got.collect()), key=repr) == brute_suffix([(r[0], r[1]) for r in rows])
+
+
+def test_suffix_dedup_spreads_a_hot_anchor(spark, monkeypatch, tmp_path):
+    original = suffix_dedup._sort_shard
+
+    def watched(length):
+        run = original(length)
+
+        def measured(key, group):
+            (tmp_path / str(key[0].as_py())).write_text(str(sum(map(len, group.column("bytes").to_pylist()))))
+            return run(key, group)
+        return measured
+    monkeypatch.setattr(suffix_dedup, "_sort_shard", watched)
+    rows = [r for r in hot_rows(3000) if "-" not in r[1]]
+    suffix_dedup.suffix_dedup(frame(spark, rows), bucket_bytes=100_000, shard_bytes=20_000).collect()
+    sizes = sorted(int(f.read_text()) for f in tmp_path.iterdir())
+    assert len(sizes) > 8 and sizes[-1] < 4 * sum(sizes) / len(sizes), sizes
+
+
 def test_suffix_dedup_empty(spark):
     assert suffix_dedup.suffix_dedup(empty(spark)).count() == 0
 
