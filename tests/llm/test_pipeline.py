@@ -46,6 +46,6 @@ def test_stages_take_awkward_and_empty_tables(spark):
 
 def test_registered():
     names = list(E.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names
