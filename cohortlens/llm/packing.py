@@ -13,12 +13,12 @@ histogram of lengths.
    length in earlier tasks) gives the pattern, the copy of the pattern and the
    slot that hold it.
 
-Tokens are cached by word and part of a word for this tokenizer: its normalizer
-maps single characters and runs of white space, its splitter never joins over
-white space and cuts between letters and punctuation, so a text's ids are those
-of its parts, one after the other (tested against whole texts).  Words with a
-letter that the normalizer turns into letter and mark are not cut: the splitter
-joins a mark with the punctuation behind it.
+Tokens are cached by part of a word for this tokenizer: its normalizer maps single
+characters and runs of white space, its splitter never joins over white space and
+cuts between letters and punctuation, so a text's ids are those of its parts, one
+after the other (tested against whole texts).  Words with a letter that the
+normalizer turns into letter and mark are not cut: the splitter joins a mark with
+the punctuation behind it.  What a worker keeps is bounded (``_HELD``).
 
 Edge cases: NULL and empty texts are one piece with the end id only; very long
 texts give many full pieces; repeated rows are packed like any other; empty
@@ -29,13 +29,16 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count, filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -45,7 +48,8 @@ from .common import expand, small_batches, stored
 
 LONGEST = 2048
 END = 1
-_CACHE = 1_000_000
+#: Parts of texts kept in a Python worker: some 100 MB.
+_HELD = 400_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json", folder: str | None = None) -> str:
@@ -59,110 +63,116 @@ def tokenizer_path(name: str = "word_bpe_49k.json", folder: str | None = None) -
     return public_tokenizers.path(name)
 
 
-class _Numbers(dict):
-    """Numbers words in the order in which they are first asked for."""
-
-    def __init__(self):
-        self.new: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        self.new.append(word)
-        return number
-
-
-#: The parts that the tokenizer's splitter makes of a lower-case word of printable ASCII.
-_PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-_PRINTABLE = bytes(range(33, 127))
-_EDGES = bytes(set(_PRINTABLE) - set(b"'") - set(b"abcdefghijklmnopqrstuvwxyz0123456789"))
+_PRINTABLE = bytes(range(33, 127)) + b"\n"
+#: The parts that the tokenizer's splitter makes of lower-case words of printable ASCII, each with a line feed behind it.
+_PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9\n]+|\n")
+_SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 
 
 class _Letters(dict):
-    """Is a character's normalized form all letters to the splitter?  (Letters only join with
-    each other in NFC, so a word of such characters is all letters in its normalized form too.)"""
+    """What a character is to the vocabulary's merges, or None unless its normalized form is all letters
+    to the splitter.  (Of letters only Hangul jamo join with each other in NFC.)"""
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
 
-    def __missing__(self, character: str) -> bool:
+    def __missing__(self, character: str) -> str | None:
         form = self.tokenizer.normalizer.normalize_str(character)
-        safe = self[character] = character.isalpha() and len(self.tokenizer.pre_tokenizer.pre_tokenize_str("a" + form)) == 1
-        return safe
+        cut = self.tokenizer.pre_tokenizer.pre_tokenize_str("a" + form)
+        alone = character.isalpha() and len(cut) == 1 and not unicodedata.name(character, "").startswith("HANGUL ")
+        found = self[character] = cut[0][0][1:] if alone else None
+        return found
+
+
+def _lists(ids: np.ndarray, lengths: np.ndarray, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The picked ones of adjacent lists, one after the other, and their lengths."""
+    starts, own = np.cumsum(lengths) - lengths, lengths[pick]
+    return ids[expand(starts[pick], own)], own
 
 
 class WordTokens:
-    """The ids of texts, word by word.
+    """The ids of texts, part by part.
 
-    Words seen lately are kept, and so are the parts of words (letters, punctuation),
-    as the splitter cuts between them; both are emptied when full.  Parts of printable
-    ASCII go to the vocabulary's merges directly, all others through the whole
-    tokenizer."""
+    Arrow cuts the texts at white space and numbers their distinct words.  Only these are cut on,
+    where the splitter cuts: between letters, digits and other signs of printable ASCII; words with
+    other characters stay whole.  The ids of parts are kept, and when they are more than ``held`` (at some
+    two hundred bytes each), those of the last words alone.  A part of letters goes to the vocabulary's
+    merges directly, what is neither that nor signs through the whole tokenizer."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, held: int = _HELD):
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.held = Tokenizer.from_file(path), held
         self.merges = self.tokenizer.model
         self.letter = _Letters(self.tokenizer).__getitem__
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known, self.parts = _Numbers(), {}
-        self.ids, self.starts = array("I"), array("q", [0])
-
-    def _whole(self, texts: list[bytes]) -> list[list[int]]:
-        plain = [t.decode("utf-8", "replace") for t in texts]
-        return [x.ids for i in range(0, len(plain), 10_000)
-                for x in self.tokenizer.encode_batch_fast(plain[i:i + 10_000], add_special_tokens=False)]
-
-    def _split(self, word: bytes) -> list[bytes]:
-        """Parts of a word (A-Z in lower case) whose ids are independent of each other."""
-        if b"<|" in word:                                   # may hold a special token
-            return [word]
-        word = word.lower()
-        if not word.translate(None, _PRINTABLE):
-            return _PARTS.findall(word)
-        core = word.strip(_EDGES)
-        if core != word and all(map(self.letter, core.decode("utf-8", "replace"))):
-            at = word.index(core)
-            return [x for x in (word[:at], core, word[at + len(core):]) if x]
-        return [word]
-
-    def _learn(self, words: list[bytes]) -> None:
-        split, parts = [self._split(w) for w in words], self.parts
-        new = list({p for x in split for p in x if p not in parts})
-        direct = [p for p in new if b"<|" not in p and not p.translate(None, _PRINTABLE) and len(_PARTS.findall(p)) == 1]
-        for p in direct:
-            parts[p] = array("I", [t.id for t in self.merges.tokenize(p.decode())])
-        rest = [p for p in new if p not in parts]
-        parts.update((p, array("I", ids)) for p, ids in zip(rest, self._whole(rest)))
-        for x in split:
-            for p in x:
-                self.ids.extend(parts[p])
-            self.starts.append(len(self.ids))
-
-    def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of all texts, each with ``end`` behind it, and the n + 1 text offsets."""
-        if len(self.known) > _CACHE:
-            self._clear()
-        numbers, counts, number = array("I"), [], self.known.__getitem__
-        end_number = number(b"")                                # stands for the end id
-        if len(self.starts) == 1:
-            self.known.new.clear()
-            self.ids.append(end)
-            self.starts.append(1)
-        for text in texts:
-            words = text.split()                                # bytes: exactly space and U+0009 to U+000D
-            numbers.extend(map(number, words))
-            numbers.append(end_number)
-            counts.append(len(words) + 1)
-        self._learn(self.known.new)
-        self.known.new.clear()
-        numbers = np.frombuffer(numbers, np.uint32).astype(np.int64)
-        ids, starts = np.array(self.ids, np.uint32), np.array(self.starts)
-        lengths = np.diff(starts)[numbers]
-        out = ids[expand(starts[:-1][numbers], lengths)]
-        edges = np.concatenate([[0], np.cumsum(lengths)])
-        return out, edges[np.concatenate([[0], np.cumsum(counts)])]
+        self.known, self.ids, self.lengths = {}, array("I"), array("I")
+
+    def _plain(self, part: bytes) -> list[int]:
+        return [t.id for t in self.merges.tokenize(part.decode())] if part != b"\n" else []
+
+    def _other(self, word: bytes) -> list[int]:
+        """A word with characters beyond printable ASCII, or with what may begin a special token."""
+        text = word.decode("utf-8", "replace")
+        if b"<|" not in word:
+            core = word.strip(_SIGNS)
+            letters = list(map(self.letter, core.decode("utf-8", "replace")))
+            if None not in letters:
+                at = word.index(core)
+                return [t.id for x in (word[:at].decode(), "".join(letters), word[at + len(core):].decode()) if x
+                        for t in self.merges.tokenize(x)]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _parts(self, found: list[bytes], learn) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The numbers, the ids one after the other and the number of ids of some parts."""
+        new = list(filterfalse(self.known.__contains__, dict.fromkeys(found)))
+        self.known.update(zip(new, count(len(self.lengths))))
+        for part in new:
+            ids = learn(part)
+            self.ids.extend(ids)
+            self.lengths.append(len(ids))
+        numbers = np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
+        return numbers, *_lists(*self._held(), numbers)
+
+    def _held(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.array(self.ids, np.uint32), np.array(self.lengths, np.int64)
+
+    def _keep(self, numbers: np.ndarray) -> None:
+        """Only these parts stay."""
+        numbers, parts = np.unique(numbers), list(self.known)
+        ids, lengths = _lists(*self._held(), numbers)
+        self.known = {parts[n]: i for i, n in enumerate(numbers.tolist())}
+        self.ids, self.lengths = array("I", ids.tobytes()), array("I", lengths.astype(np.uint32).tobytes())
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of each word, one after the other, and how many each has."""
+        plain = pc.string_is_ascii(words)
+        text = b"\n".join(words.filter(plain).cast(pa.large_binary()).to_pylist())
+        if b"<|" in text or text.translate(None, _PRINTABLE):
+            plain = pc.and_not(pc.match_substring_regex(words, "^[!-~]*$"), pc.match_substring(words, "<|"))
+            text = b"\n".join(words.filter(plain).cast(pa.large_binary()).to_pylist())
+        other = words.filter(pc.invert(plain)).cast(pa.large_binary()).to_pylist()
+        found = _PARTS.findall(text.lower() + b"\n") if len(other) < len(words) else []
+        numbers, ids, own = self._parts(found, self._plain)
+        between = numbers == self.known.get(b"\n", -1)
+        rest, more, lengths = self._parts(other, self._other)
+        if len(self.lengths) > self.held:
+            self._keep(np.concatenate([numbers, rest]))
+        lengths = np.concatenate([np.diff(np.cumsum(own)[between], prepend=0), lengths])
+        place = np.empty(len(words), np.int64)                  # plain words first
+        place[np.argsort(~plain.to_numpy(zero_copy_only=False), kind="stable")] = np.arange(len(words))
+        return _lists(np.concatenate([ids, more]), lengths, place)
+
+    def encode(self, texts: pa.Array, end: int, together: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of all texts (strings without nulls), each with ``end`` behind it, and the n + 1 text offsets."""
+        lists = pc.ascii_split_whitespace(texts)
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
+        words = lists.flatten().dictionary_encode()
+        found = [self._words(words.dictionary.slice(i, together)) for i in range(0, len(words.dictionary), together)]
+        ids, lengths = (np.concatenate([x[k] for x in found] + [np.array([last], np.int64)]) for k, last in ((0, end), (1, 1)))
+        numbers = np.insert(words.indices.to_numpy().astype(np.int64), offsets[1:], len(lengths) - 1)
+        out, own = _lists(ids.astype(np.uint32), lengths, numbers)
+        edges = np.concatenate([[0], np.cumsum(own)])
+        return out, edges[offsets + np.arange(len(offsets))]
 
 
 #: One for each vocabulary in a Python worker, so that later tasks find the words of earlier ones.
@@ -180,8 +190,8 @@ def _pieces(path: str, longest: int, end: int, with_ids: bool):
         tokens, task = _IN_WORKER[path, end], TaskContext.get().partitionId()
         places = np.zeros(longest + 1, np.int64)
         for whole in batches:
-            for batch in small_batches([whole], "text", 4 << 20):
-                ids, edges = tokens.encode(batch.column("text").to_pylist(), end)
+            for batch in small_batches([whole], "text", 8 << 20):
+                ids, edges = tokens.encode(batch.column("text"), end)
                 total = np.diff(edges)
                 n = -(-total // longest)
                 doc = np.arange(len(total)).repeat(n)
@@ -268,7 +278,7 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
          with_ids: bool = True) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (NULL unless ``with_ids``), ids_crc32,
     doc_tokens, sequence_id and offset."""
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     pieces = stored(rows.mapInArrow(_pieces(path, longest, end, with_ids), _PIECES), "pack-pieces")
     counts = stored(pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")), "pack-counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # <= longest rows
@@ -276,6 +286,7 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
     earlier = W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
     before = counts.select("length", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     kept = ["doc_id", "start", "length", *(["ids"] if with_ids else []), "ids_crc32", "doc_tokens"]
-    found = pieces.join(before, ["length", "task"]).select(*kept, "place", "before")
+    # the counts grow with the tasks, so they are never broadcast; a key has at most the rows of its task
+    found = pieces.join(before.hint("merge"), ["length", "task"]).select(*kept, "place", "before")
     schema = ", ".join(f"{c} {t}" for c, t in found.select(*kept).dtypes) + ", sequence_id long, offset long"
     return found.mapInArrow(_placed(places), schema.replace("bigint", "long"))

@@ -84,7 +84,7 @@ def _count(held: int):
 
 
 def term_counts(df: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text",
-                held: int = 200_000) -> DataFrame:
+                held: int = 500_000) -> DataFrame:
     """lang, source, term, n (occurrences), documents; a row without term for groups that have none."""
     rows = df.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(name) for c, name in ((lang_col, "lang"), (source_col, "source"))),
                      F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("bytes"))
@@ -152,7 +152,7 @@ def pair_sums(shared: DataFrame, groups: DataFrame, tile: int, block_terms: int)
 
 def source_divergence(df: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text",
                       least_documents: int = 30, top: int = 50, tile: int = 128, block_terms: int = 1024,
-                      held: int = 200_000) -> DataFrame:
+                      held: int = 500_000) -> DataFrame:
     """lang, source, part, item, value, rank as in the module's text."""
     counted = stored(term_counts(df, lang_col, source_col, text_col, held), "audit-terms")
     found = counted.where("term is not null")

@@ -6,6 +6,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -132,10 +133,10 @@ def test_patterns_hold_the_histogram():
 
 def test_word_tokens_equal_whole_texts():
     tokenizer = Tokenizer.from_file(packing.tokenizer_path())
-    texts = ["It's 3.14 o'clock now x", "é ́a\ń", "ÀÉ ΣΑΣ İstanbul ǅ", "<|endoftext|> a<|startoftext|>b", "a\x1cb\x85c　d",
+    texts = ["<|ENDOFTEXT|> x<|x|>. <|", "J\u030c T\u0308x h\u0331. (W\u030a)", "\x7f \x1fa", "a" * 70_000, "It's 3.14 o'clock now x", "é ́a\ń", "ÀÉ ΣΑΣ İstanbul ǅ", "<|endoftext|> a<|startoftext|>b", "a\x1cb\x85c　d",
              "I'LL we're 'S 'T", "漢字 かな 12345", "", " ", "\x00 a\x00",
              "Don't 's-it,we'll. A1b22C «Là», (éa) é'a ÉTÉ. -é- a.b,c ...x É\u0301. \u0301x. ª² x'S, x<|endoftext|>y ß."]
-    ids, edges = packing.WordTokens(packing.tokenizer_path()).encode([t.encode() for t in texts], 1)
+    ids, edges = packing.WordTokens(packing.tokenizer_path()).encode(pa.array(texts), 1)
     for i, t in enumerate(texts):
         assert ids[edges[i]:edges[i + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [1], t
 
@@ -148,12 +149,23 @@ def test_word_tokens_where_a_letter_becomes_letter_and_mark():
     rng = random.Random(5)
     odd = [c for c in letters if len(tokenizer.normalizer.normalize_str(c)) > 1]
     words += ["(" + "".join(rng.choice(rng.choice([letters, odd])) for _ in range(3)) + ")" for _ in range(20_000)]
-    ids, edges = packing.WordTokens(packing.tokenizer_path()).encode([w.encode() for w in words], 1)
+    ids, edges = packing.WordTokens(packing.tokenizer_path()).encode(pa.array(words), 1)
     whole = tokenizer.encode_batch(words, add_special_tokens=False)
     wrong = [w for i, w in enumerate(words) if ids[edges[i]:edges[i + 1]].tolist() != whole[i].ids + [1]]
     assert len(odd) > 50 and not wrong, (len(wrong), wrong[:5])
 
 
+def test_word_tokens_with_few_parts_kept():
+    tokenizer, rng = Tokenizer.from_file(packing.tokenizer_path()), random.Random(8)
+    tokens = packing.WordTokens(packing.tokenizer_path(), held=50)
+    for _ in range(30):
+        texts = [" ".join(rng.choice(["hot", "The,", "für.", f"w{rng.randrange(40)}é", f"x-{rng.randrange(400)}"]) for _ in range(40)) for _ in range(3)]
+        ids, edges = tokens.encode(pa.array(texts), 1, together=16)
+        for i, t in enumerate(texts):
+            assert ids[edges[i]:edges[i + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [1]
+        assert len(tokens.known) == len(tokens.lengths) < 50 + 60
+
+
 @pytest.mark.parametrize("hot", [40, 150, 300])
 def test_patterns_fill_with_a_hot_length(hot):
     rng, histogram = random.Random(hot), defaultdict(int)
