@@ -18,10 +18,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.session import ensure_checkpoint_dir
+from cohortlens.session import ensure_checkpoint_dir, stored_table
 
 # fixed values: 100 ridge penalties, log-spaced from 1e-3 to 1e5
 RIDGE_ALPHAS = np.logspace(-3, 5, 100)
@@ -333,75 +335,257 @@ def bayesian_ridge(n: float, cxx: np.ndarray, cxy: np.ndarray, cyy: float, max_i
     return V @ (xty / (eig + lam / alpha))
 
 
+COEF_SCHEMA = "split int, round int, place int, c int, w array<double>, b double, settled boolean"
+
+
 def iterative_impute(rows: DataFrame, k: int, max_iter: int = 10, tol: float = 1e-3, n_nearest: int | None = None,
-                     x_col: str = "x") -> DataFrame:
+                     x_col: str = "x", state_bytes: int = 256 << 20) -> DataFrame:
     """ML2: round-robin imputation fitted on each split's train rows.
 
     Start from train means; then per round and per column with gaps (fewest
-    missing first among the train rows) fit a Bayesian ridge of the column on
+    missing first among the split's train rows) fit a Bayesian ridge of the column on
     the other columns over train rows where it is observed, and replace its
     missing entries in train and test rows; a column with gaps in test rows only
-    keeps the train mean there.  Stops when the largest row-wise absolute change of
-    the train rows falls below tol·max|observed|.  ``n_nearest`` fits on that
+    keeps the train mean there.  A split stops when the largest row-wise absolute change of
+    its train rows falls below tol·max|observed|.  ``n_nearest`` fits on that
     many most correlated columns only (a cheaper model with other values);
-    None takes all.  Every step is one job for all splits, solved on the
-    executors and checkpointed, so no step replays an earlier one.
-    """
-    ensure_checkpoint_dir(rows.sparkSession)
+    None takes all.
+
+    All steps are affine in a row's values, so rows with the same gaps can be replaced by
+    any rows with the same moments: of each (split, gap pattern) at most k + 1 rows of a
+    triangular factor stay, taken once, map-side.  One task per split runs all
+    columns and rounds on them; a step updates the moments by the rows with a gap in its column.
+    The rows themselves are read again only to replay the fitted steps, and
+    of them only those with gaps.  Where a split's factors exceed ``state_bytes``
+    (very many different patterns) every step is a job over all rows instead, with the
+    same result."""
+    train = rows.filter("role = 'train'")
+    pieces = train.withColumn("__piece", _piece(train, F.lit(PIECES), x_col)).repartition("split", "__piece")
+    pseudo = stored_table(pieces.select("split", F.col(x_col).alias("x")).mapInArrow(
+        _compressed(k), "split int, u double, x array<double>, is_row boolean, amax double"), "impute-factors")
+    most = pseudo.groupBy("split").count().agg(F.max("count")).first()[0] or 0
+    if most * (k + 1) * 8 > state_bytes:
+        return _impute_by_steps(rows, k, max_iter, tol, n_nearest, x_col)
+    coefs = stored_table(pseudo.groupBy("split").applyInArrow(_solve(k, max_iter, tol, n_nearest), COEF_SCHEMA), "impute-steps")
+
+    has_gap = F.exists(x_col, lambda v: v.isNull())
+    gaps = rows.filter(has_gap)
+    n_pieces = gaps.groupBy("split").agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_PIECE).cast("int").alias("__n"))
+    gaps = gaps.join(n_pieces, "split").withColumn("__piece", _piece(gaps, F.col("__n"), x_col)).drop("__n")
+    if coefs.filter("not settled").limit(1).count():
+        # some change of these splits is known for factors only: their last round is found on the rows
+        open_steps = coefs.filter("not settled")
+        amax = pseudo.groupBy("split").agg(F.max("amax").alias("amax"))
+        change = _replayed(gaps.filter("role = 'train'").select("split", "__piece", F.col(x_col).alias("x")), open_steps, n_pieces,
+                           _changes(k), "split int, round int, change double")
+        last = change.groupBy("split", "round").agg(F.max("change").alias("change")).join(amax, "split").groupBy("split").agg(
+            F.min(F.when(F.col("change") < tol * F.col("amax"), F.col("round"))).alias("last"))
+        coefs = coefs.join(last, "split", "left").filter("last is null or round <= last").drop("last")
+    filled = _replayed(gaps, coefs, n_pieces, _fill(k, x_col), gaps.schema).select(*rows.columns)
+    return rows.filter(~F.coalesce(has_gap, F.lit(False))).unionByName(filled)
+
+
+def _dense(column: pa.ChunkedArray | pa.Array, k: int) -> np.ndarray:
+    """Rows of an array column, gaps as NaN."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), k)
+
+
+def _compressed(k: int, held: int = 64 << 20):
+    """(1, x) of the rows of each (split, gap pattern), replaced by their triangular factor where
+    they are many; ``is_row``: still the rows themselves."""
+
+    def reduced(group: list, most: int) -> None:
+        if sum(map(len, group[0])) > most:
+            group[0], group[1] = [np.linalg.qr(np.vstack(group[0]), mode="r")], False
+
+    def emit(groups: dict) -> Iterator[pa.RecordBatch]:
+        for (split, gap), group in groups.items():
+            gap = np.unpackbits(np.frombuffer(gap, np.uint8), count=k).astype(bool)
+            reduced(group, k + 1 if not gap.any() else 4 * (k + 1))
+            factor = np.vstack(group[0])
+            x = np.full((len(factor), k), np.nan)
+            x[:, ~gap] = factor[:, 1:]
+            flat = pa.array(x.ravel(), pa.float64(), from_pandas=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(x), split), pa.int32()), pa.array(factor[:, 0]),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * k, pa.int32()), flat),
+                 pa.array(np.full(len(x), group[1])), pa.array(np.full(len(x), group[2]))], ["split", "u", "x", "is_row", "amax"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: dict[tuple[int, bytes], list] = {}
+        for batch in batches:
+            x, splits = _dense(batch.column("x"), k), batch.column("split").to_numpy()
+            patterns = np.packbits(np.isnan(x), axis=1)
+            of = np.unique(np.column_stack([splits.astype(np.int64).view(np.uint8).reshape(-1, 8), patterns]), axis=0, return_inverse=True)[1]
+            order = np.argsort(of.ravel(), kind="stable")
+            for own in np.split(order, np.cumsum(np.bincount(of.ravel()))[:-1]):
+                group = groups.setdefault((int(splits[own[0]]), patterns[own[0]].tobytes()), [[], True, 0.0])
+                values = x[own][:, ~np.isnan(x[own[0]])]
+                group[0].append(np.column_stack([np.ones(len(own)), values]))
+                group[2] = max(group[2], np.abs(values).max(initial=0.0))
+                reduced(group, 4 * (k + 1))
+            if sum(len(a) for g in groups.values() for a in g[0]) * (k + 1) * 8 > held:
+                yield from emit(groups)
+                groups = {}
+        yield from emit(groups)
+
+    return run
+
+
+def _solve(k: int, max_iter: int, tol: float, n_nearest: int | None):
+    """All rounds of one split on its factors: round 0 has the means, then one row per step."""
+    schema = pa.schema([("split", pa.int32()), ("round", pa.int32()), ("place", pa.int32()), ("c", pa.int32()),
+                        ("w", pa.list_(pa.float64())), ("b", pa.float64()), ("settled", pa.bool_())])
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        x, u = _dense(table.column("x"), k), table.column("u").to_numpy()
+        is_row, amax = table.column("is_row").to_numpy(), table.column("amax").to_numpy().max()
+        whole = ~np.isnan(x).any(1)
+        factor = np.linalg.qr(np.column_stack([u, x])[whole], mode="r") if whole.any() else np.zeros((0, k + 1))
+        u, x, is_row = np.append(factor[:, 0], u[~whole]), np.vstack([factor[:, 1:], x[~whole]]), is_row[~whole]
+        gap, weight = np.isnan(x), u * u
+        seen = weight @ ~gap
+        means = np.divide(np.where(gap, 0.0, u[:, None] * x).sum(0), seen, out=np.zeros(k), where=seen > 0)
+        # centred by the first means, which are 0 then; the column before them is the constant
+        a = np.column_stack([u, np.where(gap, 0.0, x - u[:, None] * means)])
+        gram, missing = a.T @ a, weight @ gap
+        todo = [c for c in np.lexsort((np.arange(k), np.rint(missing))) if missing[c] > 0.5 and seen[c] > 0.5]
+        steps, settled = [(0, 0, -1, means, 0.0)], not todo
+        for r in range(1, max_iter + 1 if todo else 1):
+            before = a[len(factor):].copy()
+            for place, c in enumerate(todo):
+                m, others = gap[:, c], np.delete(np.arange(k), c)
+                s = gram - a[m].T @ a[m]
+                n, mean = s[0, 0], s[0, 1:] / s[0, 0]
+                cov = s[1:, 1:] - n * np.outer(mean, mean)
+                w = np.zeros(k)
+                w[others] = _nearest_ridge(n, cov[np.ix_(others, others)], cov[others, c], max(cov[c, c], 0.0), n_nearest)
+                b = mean[c] - mean @ w
+                a[m, c + 1] = u[m] * b + a[m, 1:] @ w
+                gram[c + 1] = gram[:, c + 1] = a.T @ a[:, c + 1]
+                steps.append((r, place, c, w, means[c] + b - means @ w))
+            if is_row.all() and np.abs(a[len(factor):] - before).sum(1).max() < tol * amax:
+                settled = True
+                break
+        settled = settled or bool(is_row.all())
+        split = key[0].as_py()
+        return pa.Table.from_pylist([dict(zip(schema.names, (split, r, place, int(c), w.tolist(), float(b), settled)))
+                                     for r, place, c, w, b in steps], schema=schema)
+
+    return run
+
+
+def _replayed(gaps: DataFrame, coefs: DataFrame, n_pieces: DataFrame, step, schema) -> DataFrame:
+    """``step`` on the rows of each (split, piece) with the split's steps."""
+    steps = coefs.drop("settled").join(n_pieces, "split").withColumn(
+        "__piece", F.explode(F.sequence(F.lit(0), F.col("__n") - 1))).drop("__n")
+    return gaps.groupBy("split", "__piece").cogroup(steps.groupBy("split", "__piece")).applyInArrow(step, schema)
+
+
+def _rounds(x: np.ndarray, steps: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """The rows after each round, filled in place."""
+    gap, steps = np.isnan(x), steps.sort_by([("round", "ascending"), ("place", "ascending")]).to_pylist()
+    x[gap] = np.broadcast_to(steps[0]["w"], x.shape)[gap]
+    for r in range(1, steps[-1]["round"] + 1):
+        for step in steps:
+            if step["round"] == r:
+                m = gap[:, step["c"]]
+                x[m, step["c"]] = step["b"] + x[m] @ np.asarray(step["w"])
+        yield r, x
+
+
+def _changes(k: int):
+    def run(rows: pa.Table, steps: pa.Table) -> pa.Table:
+        out = []
+        if rows.num_rows and steps.num_rows:
+            x = _dense(rows.column("x"), k)
+            means = np.asarray(steps.filter(pc.equal(steps.column("round"), 0)).column("w")[0].as_py())
+            before = np.where(np.isnan(x), means, x)
+            for r, after in _rounds(x, steps):
+                out.append((r, float(np.abs(after - before).sum(1).max())))
+                before = after.copy()
+        split = rows.column("split")[0].as_py() if out else 0
+        return pa.table({"split": pa.array([split] * len(out), pa.int32()), "round": pa.array([r for r, _ in out], pa.int32()),
+                         "change": pa.array([d for _, d in out], pa.float64())})
+
+    return run
+
+
+def _fill(k: int, x_col: str):
+    def run(rows: pa.Table, steps: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return rows
+        x = _dense(rows.column(x_col), k)
+        if steps.num_rows:
+            for _ in _rounds(x, steps):
+                pass
+        else:
+            x[np.isnan(x)] = 0.0                            # a split without train rows
+        filled = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * k, pa.int32()), pa.array(x.ravel()))
+        at = rows.schema.get_field_index(x_col)
+        return rows.set_column(at, pa.field(x_col, filled.type), filled)
+
+    return run
+
+
+def _nearest_ridge(n: float, cxx: np.ndarray, cxy: np.ndarray, cyy: float, n_nearest: int | None) -> np.ndarray:
+    use = np.arange(len(cxy))
+    if n_nearest is not None and len(use) > n_nearest:
+        sd = np.sqrt(np.maximum(np.diag(cxx), 1e-300))
+        corr = np.abs(cxy / sd / np.sqrt(max(cyy, 1e-300)))
+        use = np.sort(np.argsort(-corr, kind="stable")[:n_nearest])
+    w = np.zeros(len(cxy))
+    w[use] = bayesian_ridge(float(n), cxx[np.ix_(use, use)], cxy[use], float(cyy))
+    return w
+
+
+def _impute_by_steps(rows: DataFrame, k: int, max_iter: int, tol: float, n_nearest: int | None, x_col: str) -> DataFrame:
+    """The same steps, each a job over all rows; written and read again with the schema, since a
+    checkpoint keeps size estimates that joins multiply.  A split that has stopped takes no further step."""
     means = column_means(rows.filter("role = 'train'"), x_col).select("split", F.col("mean").alias("__mean"))
-    base = join_by_split(rows, means, x_col=x_col).withColumn("__orig", F.col(x_col)).withColumn(
-        x_col, F.zip_with(F.col(x_col), F.col("__mean"), lambda a, b: F.coalesce(a, b, F.lit(0.0)))).drop("__mean")
-    stats = rows.filter("role = 'train'").select(*[F.count(F.when(F.get(F.col(x_col), j).isNull(), 1)).alias(f"m{j}") for j in range(k)],
-                        F.max(F.array_max(F.transform(F.col(x_col), lambda v: F.abs(v)))).alias("amax")).first()
-    gaps = sorted([j for j in range(k) if stats[f"m{j}"] > 0], key=lambda j: (stats[f"m{j}"], j))
-    if not gaps:
-        return base.drop("__orig")
-    norm_tol = tol * (stats["amax"] or 0.0)
-    cur = base.checkpoint()
+    base = join_by_split(rows, means, "left", x_col).withColumn("__orig", F.col(x_col)).withColumn(
+        x_col, F.transform(x_col, lambda v, i: F.coalesce(v, F.get("__mean", i), F.lit(0.0)))).drop("__mean")
+    cur = stored_table(base, "impute-rows")
+    train = rows.filter("role = 'train'")
+    missing = train.select("split", F.posexplode(F.transform(x_col, lambda v: v.isNull().cast("int"))).alias("c", "m")).groupBy(
+        "split", "c").agg(F.sum("m").alias("m"), F.count(F.lit(1)).alias("n")).filter("m > 0 and m < n")
+    amax = train.groupBy("split").agg(F.max(F.array_max(F.transform(x_col, lambda v: F.abs(v)))).alias("amax"))
+    order = F.row_number().over(Window.partitionBy("split").orderBy("m", "c"))
+    going = stored_table(missing.withColumn("place", order).select("split", "c", "place"), "impute-order")
     for _ in range(max_iter):
         prev = cur
-        for c in gaps:
-            others = [j for j in range(k) if j != c]
-            fit_rows = cur.filter((F.col("role") == "train") & F.get(F.col("__orig"), c).isNotNull()).select(
-                "split", "subject", F.array(*[F.get(F.col(x_col), j) for j in others]).alias("__xo"),
-                F.array(F.get(F.col(x_col), c)).alias("__yc"))
-            coef = moments(fit_rows, "__xo", "__yc").mapInPandas(_column_fit(others, k, n_nearest),
-                                                                 "split int, __w array<double>, __b double")
-            dot = F.aggregate(F.zip_with(F.col(x_col), F.col("__w"), lambda a, b: a * b), F.lit(0.0),
-                              lambda acc, v: acc + v)
-            gap = F.get(F.col("__orig"), c).isNull() & F.col("__b").isNotNull()
-            cur = join_by_split(cur, coef, "left", x_col).withColumn(
-                x_col, F.transform(F.col(x_col), lambda v, i: F.when(
-                    (i == c) & gap, F.col("__b") + dot).otherwise(v))).drop("__w", "__b").checkpoint()
-        delta = (cur.filter("role = 'train'").select("split", "subject", F.col(x_col).alias("__new"))
-                 .join(prev.filter("role = 'train'").select("split", "subject", F.col(x_col).alias("__old")),
-                       ["split", "subject"])
-                 .select(F.aggregate(F.zip_with("__new", "__old", lambda a, b: F.abs(a - b)), F.lit(0.0),
-                                     lambda acc, v: acc + v).alias("d"))
-                 .agg(F.max("d")).first()[0])
-        if delta is not None and delta < norm_tol:
+        for place in range(1, (going.agg(F.max("place")).first()[0] or 0) + 1):
+            now = going.filter(F.col("place") == place).select("split", "c")
+            fit = cur.filter("role = 'train'").join(now, "split").filter(F.get("__orig", F.col("c")).isNotNull())
+            fit = fit.select("split", "subject", F.filter(x_col, lambda v, i: i != F.col("c")).alias("__xo"),
+                             F.array(F.get(F.col(x_col), F.col("c"))).alias("__yc"))
+            coef = moments(fit, "__xo", "__yc").mapInPandas(_column_fit(k - 1, n_nearest), "split int, __w array<double>, __b double")
+            coef = stored_table(coef.join(now, "split").withColumn("__w", F.concat(
+                F.slice("__w", F.lit(1), F.col("c")), F.array(F.lit(0.0)), F.slice("__w", F.col("c") + 1, F.lit(k)))), "impute-coef")
+            dot = F.aggregate(F.zip_with(x_col, "__w", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+            gap = F.get("__orig", F.col("c")).isNull() & F.col("__b").isNotNull()
+            cur = stored_table(join_by_split(cur, coef, "left", x_col).withColumn(
+                x_col, F.transform(x_col, lambda v, i: F.when((i == F.col("c")) & gap, F.col("__b") + dot).otherwise(v))).drop(
+                    "__w", "__b", "c"), "impute-rows")
+        old = prev.filter("role = 'train'").select("split", "subject", F.col(x_col).alias("__old"))
+        change = cur.filter("role = 'train'").join(old, ["split", "subject"]).groupBy("split").agg(F.max(F.aggregate(
+            F.zip_with(x_col, "__old", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda acc, v: acc + v)).alias("change"))
+        settled = change.join(amax, "split").filter(F.col("change") < tol * F.col("amax"))
+        going = stored_table(going.join(settled, "split", "left_anti"), "impute-order")
+        if not going.limit(1).count():
             break
-    return cur.drop("__orig")
+    return cur.select(*rows.columns)
 
 
-def _column_fit(others: Sequence[int], k: int, n_nearest: int | None):
-    """Moments of one column on the ``others`` -> weights over all k columns and intercept."""
+def _column_fit(kk: int, n_nearest: int | None):
+    """Moments of one column on the others -> weights and intercept."""
 
     def fit(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kk = len(others)
         for pdf in it:
             for r in pdf.itertuples(index=False):
-                cxx, cxy = np.asarray(r.cxx).reshape(kk, kk), np.asarray(r.cxy).reshape(kk)
-                use = np.arange(kk)
-                if n_nearest is not None and kk > n_nearest:
-                    sd = np.sqrt(np.maximum(np.diag(cxx), 1e-300))
-                    corr = np.abs(cxy / sd / np.sqrt(max(r.cyy[0], 1e-300)))
-                    use = np.sort(np.argsort(-corr, kind="stable")[:n_nearest])
-                w = np.zeros(kk)
-                w[use] = bayesian_ridge(float(r.n), cxx[np.ix_(use, use)], cxy[use], float(r.cyy[0]))
-                full = np.zeros(k)
-                full[list(others)] = w
-                yield pd.DataFrame([(int(r.split), full.tolist(), float(r.my[0] - np.asarray(r.mx) @ w))],
+                w = _nearest_ridge(r.n, np.asarray(r.cxx).reshape(kk, kk), np.asarray(r.cxy).reshape(kk), r.cyy[0], n_nearest)
+                yield pd.DataFrame([(int(r.split), w.tolist(), float(r.my[0] - np.asarray(r.mx) @ w))],
                                    columns=["split", "__w", "__b"])
 
     return fit

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +61,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet below the checkpoint folder and read back with its schema.  For loops:
+    a checkpoint keeps the size estimate of its plan, which joins multiply from step to step."""
+    path = os.path.join(ensure_checkpoint_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
