@@ -112,6 +112,7 @@ def learn_ridge(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Se
         pred_p = L.predict_linear(rows_p.filter("role = 'test'"), coef_p, len(targets), targets)
         truth_p = perm.filter("role = 'test'").select("split", "subject", *targets)
         out["predictions_permuted"] = TD.outer_align(pred_p, truth_p, ["split", "subject"])
+        out["coefficients_permuted"] = coef_p
     return out
 
 

@@ -58,34 +58,44 @@ def learn(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Sequence
           n_splits: int = N_SPLITS, seed: int = SEED, modality: str = "", allowed_missing: Sequence[str] | None = None,
           pca_features: Sequence[str] = (), weights: bool | DataFrame = False, permuted: bool = False,
           search: dict | None = None, depth: int | None = None, n_trees: int = ML.FOREST_TREES, parallelism: int = 4,
-          out_path: str | None = None) -> dict:
+          out_path: str | None = None, alphas: Sequence[float] = L.RIDGE_ALPHAS,
+          strata: Sequence[str] | None = None) -> dict:
     """ML13: check X and y, stratify, split, prepare, fit, predict test / train / permuted.
 
+    ``strata``: the columns of y that splits are stratified by, the targets if not given.
     ``weights``: True (kernel density of the targets) or a table (subject,
     weight), left-aligned to the subjects.  ``search``: options of
     ``models.grid_search``; each split's forests are searched on its own train
     rows and fitted again with the best candidate.  Without it forests take
     ``depth``.  With ``out_path`` all results are written below it, with the
-    split members, the input tables and the models; a forest split is written
-    as soon as it is done, and splits with a completion mark are skipped, so a
-    run that loses executors or the driver resumes.  A split that fails is
-    reported in ``failures`` and the others go on; if all fail the first error is
-    raised.
+    split members, the input tables and the models.  A forest split is written
+    as soon as it is done, each output to a folder of that split alone and then a
+    completion mark; only splits with a mark are read, and they are skipped by a
+    later run, so a run that loses executors or the driver resumes.  A split whose
+    fit fails is reported in ``failures`` and the others go on; if all fail the
+    first error is raised.  An error while a split is written is raised after the
+    other splits have ended: the store may be incomplete.  Ridge predictions
+    (test, train and permuted, by column ``kind``) and coefficients are stored by
+    model and modality, so other models may use the same path.
     """
     base, n_pca = ML.parse_model_type(model_type)
     pca_block = [features.index(c) for c in pca_features] if n_pca else None
     x = prepare_x_y(x, features, y, modality, allowed_missing)
     spark = x.sparkSession
-    members = stored(SP.stratified_shuffle_splits(SP.stratify(y, list(targets)), n_splits, seed=seed))
+    members = stored(SP.stratified_shuffle_splits(SP.stratify(y, list(strata or targets)), n_splits, seed=seed))
     if out_path:
         for name, df in (("x", x), ("y", y)):
             df.write.mode("overwrite").parquet(os.path.join(out_path, "input", name))
         SNK.write_split_members(members, os.path.join(out_path, "members"))
     if base == "ridgecv":
-        res = ML.learn_ridge(x, features, y, targets, members, seed, pca_block=pca_block, n_components=n_pca, permuted=permuted)
+        res = ML.learn_ridge(x, features, y, targets, members, seed, alphas, pca_block=pca_block, n_components=n_pca,
+                             permuted=permuted)
         if out_path:
-            for name in ("predictions", "predictions_training", "coefficients", *["predictions_permuted"] * permuted):
-                res[name].write.mode("overwrite").parquet(os.path.join(out_path, name))
+            of = {"model": F.lit(model_type), "modality": F.lit(modality or "all")}
+            SNK.write_predictions(SNK.marked_predictions(res).withColumns(of), os.path.join(out_path, "predictions"))
+            fits = [res[name].withColumn("kind", F.lit(kind)) for name, kind in (("coefficients", "test"), ("coefficients_permuted", "permuted"))
+                    if name in res]
+            SNK.write_coefficients(TD.stack(fits, sort_columns=False).withColumns(of), os.path.join(out_path, "coefficients"))
         return res
     rows = L.design_rows(x, features, y, targets, members)
     rows, names = ML.prepare(rows, pca_block, n_pca, features, imputer="iterative")
@@ -96,7 +106,7 @@ def learn(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Sequence
         wcol = "weight"
     rows = stored(rows)
 
-    def one(split: int) -> dict:
+    def one(split: int) -> tuple[dict, dict]:
         began = time.time()
         tr = rows.filter((F.col("split") == split) & (F.col("role") == "train"))
         te = rows.filter((F.col("split") == split) & (F.col("role") == "test"))
@@ -119,37 +129,39 @@ def learn(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Sequence
             p = ML.predict_forests(fit(trp), te, targets).drop("weight")
             truth = perm.filter("role = 'test'").select("split", "subject", *targets)
             out["predictions_permuted"] = TD.outer_align(p, truth, ["split", "subject"])
-        if out_path:
-            for t, m in zip(targets, ms):
-                SNK.save_model(m, os.path.join(out_path, "models", f"split={split}", f"target={t}"))
         out["split_info"] = spark.createDataFrame(
             [(split, time.time() - began, list(features), list(names))],
             "split int, seconds double, input_features array<string>, model_features array<string>")
-        return out
+        return out, dict(zip(targets, ms))
 
-    done = _stored_splits(spark, os.path.join(out_path, "done")) if out_path else set()
-    failures, parts = [], []
+    store = SplitStore(spark, out_path) if out_path else None
+    done = store.splits() if store else set()
+    failures, parts, unwritten = [], [], []
 
     def run(split: int) -> None:
         try:
-            out = one(split)
-            if out_path:
-                _store_split(spark, split, out, out_path)
-            parts.append((split, out))
+            out, models = one(split)
         except Exception as e:  # a split's fit: recorded, the other splits go on
             failures.append((split, e))
+            return
+        parts.append((split, out))
+        if store:
+            try:
+                store.write(split, out, models)
+            except Exception as e:
+                unwritten.append(e)
 
     todo = [s for s in range(n_splits) if s not in done]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         list(ex.map(run, todo))
+    if unwritten:
+        raise unwritten[0]
     if failures and len(failures) == n_splits:
         raise failures[0][1]
     wanted = ["predictions", "predictions_training", "importances", "split_info"]
     wanted += ["predictions_permuted"] * permuted + ["search"] * (search is not None)
-    if out_path:
-        # outputs of a split without a mark (its run ended or failed half-way) are left out
-        marks = spark.read.schema("split int").parquet(os.path.join(out_path, "done")).distinct()
-        res = {k: spark.read.parquet(os.path.join(out_path, k)).join(marks, "split", "left_semi") for k in wanted}
+    if store:
+        res = {k: store.read(k) for k in wanted}
     else:
         ordered = [out for _, out in sorted(parts, key=lambda p: p[0])]
         res = {k: TD.stack([out[k] for out in ordered], sort_columns=False) for k in wanted}
@@ -171,21 +183,39 @@ def search_table(spark: SparkSession, split: int, found: Sequence[dict]) -> Data
     return TD.params_to_columns(gs, ["criterion", "max_depth", "n_estimators", "max_features"])
 
 
-def _stored_splits(spark, path: str) -> set[int]:
-    try:
-        return {r[0] for r in spark.read.schema("split int").parquet(path).select("split").distinct().collect()}
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return set()                                     # no store yet
+class SplitStore:
+    """Results of splits below one path, visible only with the split's completion mark.
+
+    Every output of a split has a folder of its own, ``<output>/split=<k>``, so writers of other
+    splits, in threads or other drivers, share no folder that a commit cleans up.
+    What an ended run left without a mark is replaced."""
 
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
 
-def _store_split(spark, split: int, outs: dict, out_path: str) -> None:
-    """All outputs of a split (dynamic overwrite replaces what an ended run left), then its completion mark."""
-    for key, df in outs.items():
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("split").parquet(os.path.join(out_path, key)))
-    spark.range(1).select(F.lit(split).alias("split")).write.mode("append").parquet(os.path.join(out_path, "done"))
+    def _folder(self, output: str, split: int) -> str:
+        return os.path.join(self.path, output, f"split={split}")
+
+    def write(self, split: int, outputs: dict[str, DataFrame], models: dict | None = None) -> None:
+        for target, model in (models or {}).items():
+            SNK.save_model(model, os.path.join(self._folder("models", split), f"target={target}"))
+        for name, df in outputs.items():
+            df.drop("split").write.mode("overwrite").parquet(self._folder(name, split))
+        self.spark.range(1).write.mode("overwrite").parquet(self._folder("done", split))
+
+    def splits(self) -> set[int]:
+        try:
+            marks = self.spark.read.schema("split int").parquet(os.path.join(self.path, "done"))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return set()                                 # no store yet
+        return {r[0] for r in marks.distinct().collect()}
+
+    def read(self, output: str) -> DataFrame:
+        """The rows of all splits with a mark."""
+        folders = [self._folder(output, k) for k in sorted(self.splits())]
+        return self.spark.read.option("basePath", os.path.join(self.path, output)).parquet(*folders)
 
 
 def _members(spark, sf, n_splits):

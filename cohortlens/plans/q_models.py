@@ -57,19 +57,21 @@ def q_impute(spark, sf):
 _SCALE_SQL = rounded(with_views(_D + "\n" + "\nUNION ALL ".join(
     f"SELECT d.split, '{c}' AS feature, max(m.m_{c}) AS mean, "
     f"sqrt(avg((coalesce(d.{c}, m.m_{c}) - m.m_{c}) * (coalesce(d.{c}, m.m_{c}) - m.m_{c}))) AS sd "
-    f"FROM __d d JOIN __m m ON d.split = m.split WHERE d.role = 'train' GROUP BY d.split" for c in FX),
+    f"FROM __d d JOIN __m m ON d.split = m.split WHERE d.role = 'train' GROUP BY d.split" for c in FX)
+    + "".join(f"\nUNION ALL SELECT split, '{c}_missing' AS feature, avg(CAST({c} IS NULL AS INTEGER)) AS mean, "
+              f"stddev_pop(CAST({c} IS NULL AS INTEGER)) AS sd FROM __d WHERE role = 'train' GROUP BY split" for c in GAPS),
     "learn_x", "targets"), ["mean", "sd"])
 
 
 @register("ml_standard_scale", _SCALE_SQL)
 def q_scale(spark, sf):
-    """ML3: per split train mean and population sd of every (imputed) feature."""
+    """ML3: per split train mean and population sd of every (imputed) feature and indicator."""
     rows, names = ML.prepare(_rows(spark, sf), feature_names=FX)
     mo = L.moments(rows.filter("role = 'train'"))
     k = len(names)
     nm = F.array(*[F.lit(n) for n in names])
     ex = mo.select("split", "n", "cxx", F.posexplode("mx").alias("j", "mean"))
-    return ex.filter(F.col("j") < len(FX)).select(
+    return ex.select(
         "split", F.element_at(nm, F.col("j") + 1).alias("feature"), "mean",
         F.sqrt(F.get(F.col("cxx"), F.col("j") * (k + 1)) / F.col("n")).alias("sd"))
 
@@ -305,6 +307,59 @@ def q_permuted_one(spark, sf):
     return pred.join(truth, ["split", "subject"]).select("split", "subject", "total_price_pred", "total_price")
 
 
+#: Two features, three penalties: the leave-one-out errors have a closed form.
+_ALPHAS = (0.1, 10.0, 1000.0)
+_STORE_SQL = with_views(f"""WITH {_SPLIT_CTES},
+__m0 AS (SELECT sp.split, sp.role, sp.subject, t.total_price FROM __sp sp JOIN targets t ON sp.subject = t.subject),
+__ll AS (SELECT split, role, subject, row_number() OVER (PARTITION BY split, role ORDER BY subject) AS rk FROM __m0),
+__rr AS (SELECT split, role, total_price, row_number() OVER (
+          PARTITION BY split, role ORDER BY md5('{SEED}:' || CAST(split AS VARCHAR) || ':' || role || ':' || subject),
+                                             subject) AS rk FROM __m0),
+__y AS (SELECT 'test' AS kind, split, role, subject, total_price AS y FROM __m0
+        UNION ALL SELECT 'permuted', l.split, l.role, l.subject, r.total_price FROM __ll l JOIN __rr r
+           ON l.split = r.split AND l.role = r.role AND l.rk = r.rk),
+__d AS (SELECT y.kind, y.split, y.role, y.subject, CAST(x.n_O AS DOUBLE) AS a, CAST(x.n_F AS DOUBLE) AS b, y.y
+        FROM __y y JOIN learn_x x ON y.subject = x.subject),
+__st AS (SELECT kind, split, count(*) AS n, avg(a) AS ma, CASE WHEN stddev_pop(a) > 0 THEN stddev_pop(a) ELSE 1.0 END AS sa,
+                avg(b) AS mb, CASE WHEN stddev_pop(b) > 0 THEN stddev_pop(b) ELSE 1.0 END AS sb, avg(y) AS my
+         FROM __d WHERE role = 'train' GROUP BY kind, split),
+__z AS (SELECT d.kind, d.split, d.role, d.subject, n, (a - ma) / sa AS u, (b - mb) / sb AS v, d.y - my AS e, my, d.y
+        FROM __d d JOIN __st s ON d.kind = s.kind AND d.split = s.split),
+__sq AS (SELECT kind, split, sum(u * u) AS uu, sum(u * v) AS uv, sum(v * v) AS vv, sum(u * e) AS ue, sum(v * e) AS ve
+        FROM __z WHERE role = 'train' GROUP BY kind, split),
+__a AS (SELECT *, (uu + alpha) * (vv + alpha) - uv * uv AS det FROM __sq, (SELECT unnest([{", ".join(map(str, _ALPHAS))}]) AS alpha) q),
+__w AS (SELECT *, ((vv + alpha) * ue - uv * ve) / det AS wu, ((uu + alpha) * ve - uv * ue) / det AS wv FROM __a),
+__loo AS (SELECT w.kind, w.split, w.alpha, sum(power((z.e - wu * z.u - wv * z.v) / (1 - 1.0 / z.n
+                 - (z.u * z.u * (vv + w.alpha) - 2 * z.u * z.v * uv + z.v * z.v * (uu + w.alpha)) / det), 2)) AS sse
+          FROM __w w JOIN __z z ON w.kind = z.kind AND w.split = z.split WHERE z.role = 'train' GROUP BY w.kind, w.split, w.alpha),
+__best AS (SELECT kind, split, alpha FROM __loo QUALIFY row_number() OVER (PARTITION BY kind, split ORDER BY sse, alpha) = 1)
+SELECT z.kind, z.split, z.subject, w.alpha, round(z.my + w.wu * z.u + w.wv * z.v, 3) AS total_price_pred,
+       round(CAST(z.y AS DOUBLE), 3) AS total_price
+FROM __z z JOIN __best b ON z.kind = b.kind AND z.split = b.split
+     JOIN __w w ON w.kind = b.kind AND w.split = b.split AND w.alpha = b.alpha
+WHERE z.role = 'test'""", "learn_x", "targets")
+
+
+@register("ml_learn_ridge_store", _STORE_SQL)
+def q_learn_ridge_store(spark, sf):
+    """ML7+ML12+ML13+SNK4+SNK6+SRC10: ``learn`` with a choice of three penalties by leave-one-out error, stored, and the
+    predictions of the fits on true and permuted targets read back by kind, with the penalty of the true fit or
+    that of the permuted one."""
+    import os
+    import uuid
+
+    from cohortlens.session import scratch_path
+    from cohortlens.sources import files as SRC
+    out = scratch_path(spark, f"study-{uuid.uuid4().hex[:12]}")
+    LR.learn(V.learn_x(spark, sf), ["n_O", "n_F"], V.targets(spark, sf).select("subject", "acctbal", "total_price"), ["total_price"],
+             modality="orders", permuted=True, out_path=out, alphas=_ALPHAS, strata=T)
+    both = [SRC.load_predictions(spark, os.path.join(out, "predictions"), "ridgecv", ["orders"], permuted=p) for p in (False, True)]
+    coef = spark.read.parquet(os.path.join(out, "coefficients")).select("kind", "split", "alpha")
+    return both[0].unionByName(both[1]).join(coef, ["kind", "split"]).select(
+        "kind", "split", "subject", "alpha", F.round("total_price_pred", 3).alias("total_price_pred"),
+        F.round(F.col("total_price").cast("double"), 3).alias("total_price"))
+
+
 @register("ml_forest_permutation_importance")
 def q_forest_perm_importance(spark, sf):
     """ML15 on forests: R² drop per feature over 5 md5-ordered shuffles of the test rows (one split)."""

@@ -334,10 +334,10 @@ def q_predictions_roundtrip(spark, sf):
 
 @register("chk_prediction_nulls", rounded(with_views(
     "SELECT subject, split, CASE WHEN price > 100000 THEN NULL ELSE price_pred END AS price_pred, price "
-    "FROM pred WHERE modality = 'N' AND price > 100000", "pred"), ["price_pred", "price"]))
+    "FROM pred WHERE price > 100000", "pred"), ["price_pred", "price"]))
 def q_prediction_nulls(spark, sf):
     """V3: loaded predictions with a missing value (planted where price > 100000)."""
-    p = SRC.load_predictions(spark, _pred_store(spark, sf), "m1", ["N"])
+    p = SRC.load_predictions(spark, _pred_store(spark, sf), "m1", ["A", "N", "R"])
     p = p.select("subject", "split", F.when(F.col("price") > 100000, F.lit(None)).otherwise(
         F.col("price_pred")).alias("price_pred"), "price")
     return C.rows_with_null(p)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortlens.operators import checks as C
 from cohortlens.operators.tidy import session_map
 
 # fixed values: path entity patterns (BIDS-style names)
@@ -174,23 +175,34 @@ def file_inventory(spark: SparkSession, root: str, glob: str = "*") -> DataFrame
 FEATURE_SCHEMA = "subject string, name string, value double, kind string, session string"
 
 
-def load_features(spark: SparkSession, base: str, kind: str, subjects: DataFrame | None = None) -> DataFrame:
+def load_features(spark: SparkSession, base: str, kind: str, subjects: DataFrame | None = None,
+                  one_per_key: bool = False) -> DataFrame:
     """SRC7: long features of one kind from a store partitioned by kind/session.
 
     Explicit schema (a session folder like 'ses-0129' must not become an
     integer); partition pruning on ``kind``; optional left-semi join on the
-    requested subjects."""
+    requested subjects.  ``one_per_key``: a (subject, session, name) with several
+    rows (several files, or a file with several rows) is an error, and so is
+    a requested subject without any."""
     df = spark.read.schema(FEATURE_SCHEMA).parquet(base).filter(F.col("kind") == kind)
     if subjects is not None:
         df = df.join(subjects.select("subject"), "subject", "left_semi")
+    if one_per_key:
+        C.assert_none(C.duplicate_keys(df, ["subject", "session", "name"]), f"several values for a subject in the features {kind}")
+        if subjects is not None:
+            C.assert_none(C.missing_keys(subjects, df), f"requested subjects without features {kind}")
     return df
 
 
-def load_table(spark: SparkSession, path: str, subjects: DataFrame | None = None) -> DataFrame:
-    """SRC8: a subject table (clinical, targets) restricted to requested subjects."""
+def load_table(spark: SparkSession, path: str, subjects: DataFrame | None = None, complete: bool = False) -> DataFrame:
+    """SRC8: a subject table (clinical, targets) restricted to requested subjects; ``complete``:
+    each of them must be in it, once."""
     df = spark.read.parquet(path)
     if subjects is not None:
         df = df.join(subjects.select("subject"), "subject", "left_semi")
+        if complete:
+            C.assert_none(C.missing_keys(subjects, df), f"requested subjects missing in {path}")
+            C.assert_none(C.duplicate_keys(df, ["subject"]), f"subjects occur more than once in {path}")
     return df
 
 
@@ -201,13 +213,14 @@ def read_sample_weights(spark: SparkSession, path: str, y: DataFrame) -> DataFra
 
 
 def load_predictions(spark: SparkSession, base: str, model: str, modalities: Sequence[str],
-                     permuted: bool = False) -> DataFrame:
-    """SRC10: predictions of one model for some modalities (partition pruning)."""
+                     permuted: bool = False, kind: str | None = None) -> DataFrame:
+    """SRC10: predictions of one model for some modalities (partition pruning).  In a store with kinds
+    those of the test rows, with ``permuted`` those fitted on permuted targets, or those of ``kind``."""
     df = spark.read.parquet(base).filter((F.col("model") == model) & F.col("modality").isin(list(modalities)))
-    if "permuted" in df.columns:
-        return df.filter(F.col("permuted") == F.lit(permuted))
-    if permuted:
-        raise ValueError(f"{base} has no column 'permuted', so no permuted predictions")
+    if "kind" in df.columns:
+        return df.filter(F.col("kind") == (kind or ("permuted" if permuted else "test")))
+    if permuted or kind not in (None, "test"):
+        raise ValueError(f"{base} has no column 'kind', so no permuted predictions or those of train rows")
     return df
 
 

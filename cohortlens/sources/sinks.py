@@ -46,9 +46,19 @@ def write_excluded_rois(excluded: DataFrame, path: str) -> None:
     nested.write.mode("overwrite").json(path)
 
 
+def marked_predictions(results: dict[str, DataFrame]) -> DataFrame:
+    """SNK4: the predictions of a learning run in one table; ``kind`` is test, train or permuted."""
+    kinds = {"predictions": "test", "predictions_training": "train", "predictions_permuted": "permuted"}
+    marked = [results[name].withColumn("kind", F.lit(kind)) for name, kind in kinds.items() if name in results]
+    out = marked[0]
+    for df in marked[1:]:
+        out = out.unionByName(df, allowMissingColumns=True)
+    return out
+
+
 def write_predictions(pred: DataFrame, path: str) -> None:
-    """SNK4: predictions (test, train, permuted) by model and modality."""
-    _writer(pred, ["model", "modality"]).parquet(path)
+    """SNK4: predictions by model and modality, and by kind (test, train, permuted) if they have it."""
+    _writer(pred, ["model", "modality", *_own(pred, ["kind"])]).parquet(path)
 
 
 def write_split_members(members: DataFrame, path: str) -> None:

@@ -111,7 +111,7 @@ def test_forest_learning_resumes_from_store(spark, tmp_path):
     assert again["skipped_splits"] == [0, 1]
     assert again["predictions"].count() == n1 > 0
     # a split without a completion mark (the run ended between two outputs) is fitted again
-    spark.range(1).select(F.lit(0).alias("split")).write.mode("overwrite").parquet(out + "/done")
+    spark.range(1).withColumn("split", F.lit(0)).write.mode("overwrite").partitionBy("split").parquet(out + "/done")
     third = LR.learn_customers(spark, sf, "basic", n_splits=2, depth=3, n_trees=8, out_path=out)
     assert third["skipped_splits"] == [0]
     assert third["predictions"].count() == n1
