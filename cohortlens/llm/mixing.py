@@ -138,10 +138,19 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
 def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The rows of ``df``, each as often as the mix takes it, all columns as they are.
 
-    Rows equal in id and text share their copies evenly (rounded down)."""
-    mid, mcontent, copies = (unused(df, x) for x in ("mixed_id", "mixed_content", "copies"))
+    Rows equal in id and text share their copies: each has the sum divided by their number, and
+    the first of them, in an order by all their columns, one of what is left."""
+    mid, mcontent, copies, left, place = (unused(df, x) for x in ("mixed_id", "mixed_content", "copies", "left_over", "place"))
     each = mix(df, id_col, text_col, source_col, **options).groupBy(F.col("id").alias(mid), F.col("content").alias(mcontent)).agg(
-        F.floor(F.sum("copies") / F.count(F.lit(1))).cast("int").alias(copies)).where(F.col(copies) > 0)
+        F.sum("copies").alias("sum"), F.count(F.lit(1)).alias("n"))
+    each = each.where("sum > 0").select(mid, mcontent, F.expr("sum div n").cast("int").alias(copies), F.expr("sum % n").alias(left))
     same = F.col(id_col).cast("long").eqNullSafe(F.col(mid)) & (
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(mcontent))
-    return df.join(each, same).withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*df.columns)
+    out = df.join(each.where(F.col(copies) > 0), same).withColumn(
+        copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*df.columns)
+    rest = each.where(F.col(left) > 0)
+    if not rest.limit(1).count():
+        return out
+    order = W.partitionBy(mid, mcontent).orderBy(F.xxhash64(*df.columns))
+    more = df.join(rest, same).withColumn(place, F.row_number().over(order)).where(F.col(place) <= F.col(left))
+    return out.unionByName(more.select(*df.columns))

@@ -6,7 +6,9 @@ stratum: a cutoff may be used only if the false rejections among the good
 documents of the stratum show, by an exact binomial test, that the rate is below
 ``risk`` (shared evenly by the rules); the level ``delta`` is divided by the
 number of all (stratum, rule, cutoff) tests, so that all choices hold together
-with probability 1 - delta (Bonferroni).  Of the cutoffs that pass, a rule takes
+with probability 1 - delta (Bonferroni).  Rows with the same text in a stratum count
+once, as the bound takes observations as independent; near copies count each, so where many
+labelled documents are near copies the bound is too hopeful.  Of the cutoffs that pass, a rule takes
 the strictest; without one (few labels) it rejects nothing.
 
 The features of a text are computed inside its row; nothing is exploded or
@@ -129,7 +131,8 @@ def cutoffs(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_co
             risk: float = 0.01, delta: float = 0.05) -> DataFrame:
     """Per stratum one column for each rule: its cutoff, or NULL where no cutoff passes."""
     good = labels.where(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("id")).distinct()
-    held = rows.where(~F.col("base_failed")).join(good, "id")
+    # copies of a text are one observation: the bound takes the rows as independent
+    held = rows.where(~F.col("base_failed")).join(good, "id").dropDuplicates(["stratum", "content"])
     counts = [F.sum(_rejects(r, F.lit(c)).cast("long")).alias(f"k{i}_{j}")
               for i, r in enumerate(rules) for j, c in enumerate(r.cutoffs)]
     each = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *counts)

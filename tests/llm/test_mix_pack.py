@@ -67,6 +67,22 @@ def test_mixed_documents(spark):
     assert mixing.mixed_documents(empty(spark)).count() == 0
 
 
+def test_equal_rows_share_all_their_copies(spark):
+    rows = [(i, "a " * 50, "en", "A", 0, "c", "f", "n", "i") for i in range(3, 12)]
+    rows += [(1, "b " * 11, "en", "B", k, "c", "f", "n", "i") for k in (0, 0, 1, 2, 3)]
+    for seed in (1, 2, 3):
+        df = frame(spark, rows)
+        copies = defaultdict(int)
+        for r in mixing.mix(df, seed=seed).collect():
+            copies[r["id"], r["content"]] += r["copies"]
+        out = mixing.mixed_documents(df, seed=seed)
+        got = defaultdict(int)
+        for r in out.collect():
+            got[r["doc_id"]] += 1
+        assert out.columns == df.columns and sum(got.values()) == sum(copies.values())
+        assert got[1] == sum(n for (i, _), n in copies.items() if i == 1)
+
+
 def test_pivotal_is_unbiased_and_keeps_the_sum():
     rng, size = np.random.default_rng(1), [9, 4, 4, 7, 2, 30, 1]
     mean = np.zeros(len(size))
