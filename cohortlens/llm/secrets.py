@@ -138,7 +138,8 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "hash", F.explode(F.sequence(F.lit(0), F.lit(_DEALT - 1))).alias("dealt"))
     each = each.withColumn("dealt", F.pmod(F.xxhash64("task", "row"), F.lit(_DEALT)).cast("int"))
     span = F.struct("start", F.lit(KINDS.index("live")).alias("kind"), "end")
-    added = each.join(live, ["hash", "dealt"]).groupBy("task", "row").agg(F.collect_list(span).alias("live"))
+    # however many candidates are live, they are never broadcast
+    added = each.join(live.hint("merge"), ["hash", "dealt"]).groupBy("task", "row").agg(F.collect_list(span).alias("live"))
     none = F.array().cast("array<struct<start:long,kind:int,end:long>>")
     out = rows.join(added, ["task", "row"], "left").withColumn("found", F.sort_array(F.concat("base", F.coalesce("live", none))))
 
