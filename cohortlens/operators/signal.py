@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import fisher_z, safe_div
+from cohortlens.operators.pieces import (NEGLIGIBLE, PIECE_POINTS, ROUNDING, by_series, correlation, regress,
+                                         shrunk_correlation)
 
 # fixed values: the nine base confound columns of the 36-parameter model
 CONFOUNDS_9P = ["csf", "white_matter", "global_signal",
@@ -84,13 +86,15 @@ def standardize(df: DataFrame, series_keys: Sequence[str], value: str = "value")
     return df.join(st, list(series_keys)).withColumn(value, z).drop("__m", "__s")
 
 
-def detrend_standardize(df: DataFrame, series_keys: Sequence[str], t: str = "t", value: str = "value") -> DataFrame:
+def detrend_standardize(df: DataFrame, series_keys: Sequence[str], t: str = "t", value: str = "value",
+                        negligible: float = ROUNDING) -> DataFrame:
     """SIG1 then SIG2 with one aggregate and one join per series.
 
     The residual of the least-squares line has mean 0 and population variance
     (Syy − Sxy²/Sxx)/n, so the z-scored residual needs only the built-in
     regression aggregates (``regr_sxx``/``regr_syy``/``regr_sxy``, merged
-    stably); a series whose residual is constant becomes 0."""
+    stably); a series whose residual is constant (its sum of squares at most
+    ``negligible`` of the series') becomes 0."""
     tt = F.col(t).cast("double")
     v = F.col(value)
     fit = df.groupBy(*series_keys).agg(
@@ -101,7 +105,7 @@ def detrend_standardize(df: DataFrame, series_keys: Sequence[str], t: str = "t",
     sd = F.sqrt(F.greatest(ssr, F.lit(0.0)) / F.col("__n"))
     res = v - (F.coalesce("__a", F.lit(0.0)) + F.coalesce("__b", F.lit(0.0)) * F.col(t))
     return (df.join(fit, list(series_keys))
-            .withColumn(value, F.when(sd > 1e-12 * F.sqrt(F.col("__syy") / F.col("__n") + 1e-300), res / sd)
+            .withColumn(value, F.when(sd > math.sqrt(negligible) * F.sqrt(F.col("__syy") / F.col("__n") + 1e-300), res / sd)
                         .otherwise(F.lit(0.0)))
             .drop("__a", "__b", "__syy", "__sxy", "__sxx", "__n"))
 
@@ -138,16 +142,11 @@ def band_pass(df: DataFrame, series_keys: Sequence[str], tr: float, low: float =
               value: str = "value", t: str = "t") -> DataFrame:
     """SIG5: keep only the cosine (DCT) components with frequency in [low, high] Hz.
 
-    Projection form of a band-pass filter: one transform per series in a grouped
-    step, T·log T and no basis table.  The time points of a series are taken as
+    Projection form of a band-pass filter: one transform per series, T·log T and
+    no basis table.  The time points of a series are taken as
     equally spaced in the order of ``t``; a missing value counts as 0."""
-
-    def run(pdf):
-        pdf = pdf.sort_values(t)
-        x = np.nan_to_num(pdf[value].to_numpy(dtype=float))
-        return pdf.assign(**{value: _in_band(x[:, None], tr, low, high)[:, 0]})
-
-    return df.groupBy(*series_keys).applyInPandas(run, df.schema)
+    return by_series(df, series_keys, t, value,
+                     lambda x: _in_band(np.nan_to_num(x)[:, None], tr, low, high)[:, 0])
 
 
 # ---------------------------------------------------------------- correlation
@@ -369,151 +368,47 @@ def weighted_roi_signal(weights: DataFrame, voxels: DataFrame, keys: Sequence[st
 
 # ---------------------------------------------------------------- confound regression (SIG3)
 
-NEGLIGIBLE = 1e-10   # share of a column's sum of squares that counts as rounding
-
-
-def _standard_confounds(x: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """Columns without their least-squares line, divided by their sd (constant: 0)."""
-    t = times - times.mean()
-    x = x - x.mean(axis=0)
-    total = (x * x).sum(axis=0)
-    if t.any():
-        x = x - np.outer(t, t @ x) / (t @ t)
-    ss = (x * x).sum(axis=0)
-    sd = np.where(ss > NEGLIGIBLE * total, np.sqrt(ss / len(x)), np.inf)
-    return x / sd
-
-
-def _residuals(y: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """y - ȳ without its least-squares part in x; confounds are made orthogonal one
-    after another, and one that adds nothing but rounding is left out."""
-    y = y - y.mean(axis=0)
-    total = (y * y).sum(axis=0)
-    used = []
-    for c in (x - x.mean(axis=0)).T:
-        before = c @ c
-        for _ in range(2):                              # twice is enough for rounding
-            for q in used:
-                c = c - q * (q @ c)
-        if c @ c > NEGLIGIBLE * before:
-            used.append(c / np.sqrt(c @ c))
-    for q in used:
-        y = y - np.outer(q, q @ y)
-    return np.where((y * y).sum(axis=0) > NEGLIGIBLE * total, y, 0.0)
-
-
 def regress_confounds(signal: DataFrame, confounds: DataFrame, run_keys: Sequence[str],
                       confound_cols: Sequence[str], t: str = "t", roi: str = "roi",
-                      value: str = "value", band: tuple[float, float, float] | None = None) -> DataFrame:
+                      value: str = "value", band: tuple[float, float, float] | None = None,
+                      piece_points: int = PIECE_POINTS) -> DataFrame:
     """SIG3: residual of every ROI series after least squares on the run's
-    confounds (with intercept), all runs in one job.
+    confounds (with intercept), all runs in one job, a run in pieces of time.
 
     Confounds are detrended and standardised per run first and, with ``band``
-    = (tr, low, high), limited to the band their signal was limited to.  The
-    rows of a run meet its confounds by the run's keys; a run (time points x
-    atlas) is the unit of work.  A time point without confounds and a gap in
-    either table are errors."""
-    keys = list(run_keys)
-    cols = list(confound_cols)
-
-    def residual(key, g, c):
-        import pandas as pd
-        if g.empty:
-            return pd.DataFrame(columns=keys + [t, roi, value])
-        times, at = np.unique(g[t].to_numpy(), return_inverse=True)
-        rois, of = np.unique(g[roi].to_numpy(), return_inverse=True)
-        y = np.full((len(times), len(rois)), np.nan)
-        y[at, of] = g[value].to_numpy(dtype=float)
-        x = np.full((len(times), len(cols)), np.nan)
-        if len(c):
-            x = c.set_index("__t")[cols].reindex(times).to_numpy(dtype=float)
-        if np.isnan(y).any() or np.isnan(x).any():
-            raise ValueError(f"run {key}: signal and confounds need a value at every time point")
-        x = _standard_confounds(x, times.astype(float))
-        if band is not None:
-            x = _in_band(x, *band)
-        e = _residuals(y, x)
-        out = g[keys + [t, roi]].copy()
-        out[value] = e[at, of]
-        return out
-
-    kinds = dict(signal.dtypes)
-    schema = ", ".join([f"`{k}` {kinds[k]}" for k in keys + [t, roi]] + [f"`{value}` double"])
-    left = signal.select(*keys, t, roi, F.col(value).cast("double").alias(value)).groupBy(*keys)
-    # names of their own: both tables may come from one and the same signal
-    right = confounds.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(t).alias("__t"),
-                             *[F.col(c).cast("double").alias(c) for c in cols]).groupBy(*[f"__{k}" for k in keys])
-    return left.cogroup(right).applyInPandas(residual, schema)
+    = (tr, low, high), limited to the band their signal was limited to.  A
+    confound that adds nothing but rounding to those before it is left out.  A
+    time point without confounds and a gap in either table are errors."""
+    if band is not None:
+        confounds = _band_limited(signal, confounds, run_keys, confound_cols, t, band)
+    return regress(signal, confounds, run_keys, confound_cols, t, roi, value, band is None, piece_points)
 
 
-# ---------------------------------------------------------------- Gram path (AGG1, AGG2)
-
-def _correlations(x: np.ndarray) -> np.ndarray:
-    """Pearson r of all column pairs over the rows where both have a value."""
-    mask = ~np.isnan(x)
-    filled = np.where(mask, x - np.nanmean(np.where(mask.any(0), x, 0.0), axis=0), 0.0)
-    m = mask.astype(float)
-    n, sxy = m.T @ m, filled.T @ filled
-    sx, sxx = filled.T @ m, (filled * filled).T @ m        # of column i over the rows that j has
-    with np.errstate(divide="ignore", invalid="ignore"):
-        var = sxx - sx * sx / n
-        var[var <= 1e-12 * sxx] = 0.0                      # constant up to rounding
-        return (sxy - sx * sx.T / n) / np.sqrt(var * var.T)
-
-
-def _shrunk_correlations(x: np.ndarray) -> np.ndarray:
-    """Ledoit-Wolf shrunk covariance as correlations; needs complete rows."""
-    if np.isnan(x).any():
-        raise ValueError("shrunk correlation needs a value of every region at every time point")
-    x = x - x.mean(axis=0)
-    n, p = x.shape
-    cov = x.T @ x / n
-    mu, squares, q = np.trace(cov) / p, (cov * cov).sum(), (x * x).sum(axis=1)
-    beta = ((q * q).sum() / n - squares) / (p * n)
-    delta = (squares - 2.0 * mu * np.trace(cov) + p * mu * mu) / p
-    beta = min(beta, delta)
-    s = 0.0 if beta == 0 else beta / delta
-    cov = (1.0 - s) * cov + s * mu * np.eye(p)
-    d = np.sqrt(np.diag(cov))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return cov / np.outer(d, d)
-
-
-def _gram_edges(signal: DataFrame, run_keys: Sequence[str], shrink: bool, t: str, roi: str,
-                value: str) -> DataFrame:
-    """One Gram matrix per run: its rows meet by the run's keys in one exchange and are
-    laid out by time point and region id, absent cells as gaps.  A run is one
-    recording (time points x atlas), the unit of work of the operator."""
+def _band_limited(signal: DataFrame, confounds: DataFrame, run_keys: Sequence[str], cols: Sequence[str], t: str,
+                  band: tuple[float, float, float]) -> DataFrame:
+    """The confounds at the signal's time points, detrended, standardised and limited to the band."""
     keys = list(run_keys)
+    times = signal.select(*keys, t).distinct()
+    pairs = F.array(*[F.struct(F.lit(n).alias("c"), F.col(c).cast("double").alias("value")) for n, c in enumerate(cols)])
+    long = (confounds.join(times, [*keys, t], "left_semi").select(*keys, t, F.explode(pairs).alias("__p"))
+            .select(*keys, t, "__p.c", "__p.value"))
+    limited = band_pass(detrend_standardize(long, [*keys, "c"], t, negligible=NEGLIGIBLE), [*keys, "c"], *band, t=t)
+    return limited.groupBy(*keys, t).agg(*[F.max(F.when(F.col("c") == n, F.col("value"))).alias(c)
+                                           for n, c in enumerate(cols)])
 
-    def edges(key, pdf):
-        import pandas as pd
-        times, at = np.unique(pdf[t].to_numpy(), return_inverse=True)
-        rois, of = np.unique(pdf[roi].to_numpy(), return_inverse=True)
-        x = np.full((len(times), len(rois)), np.nan)
-        x[at, of] = pdf[value].to_numpy(dtype=float)
-        r = _shrunk_correlations(x) if shrink else _correlations(x)
-        i, j = np.triu_indices(len(rois), 1)
-        found = np.where(np.isfinite(r[i, j]), r[i, j], np.nan)
-        return pd.DataFrame({**{k: [v] * len(i) for k, v in zip(keys, key)}, "i": rois[i], "j": rois[j], "r": found})
-
-    kinds = dict(signal.dtypes)
-    schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), f"i {kinds[roi]}", f"j {kinds[roi]}", "r double"])
-    rows = signal.select(*keys, t, roi, F.col(value).cast("double").alias(value))
-    out = rows.groupBy(*keys).applyInPandas(edges, schema)
-    return out.withColumn("r", F.when(~F.isnan("r"), F.col("r")))
 
+# ---------------------------------------------------------------- Gram path (AGG1, AGG2)
 
 def correlation_edges_gram(signal: DataFrame, run_keys: Sequence[str], t: str = "t", roi: str = "roi",
-                           value: str = "value") -> DataFrame:
-    """AGG1 from one Gram matrix per run: T·R values per run are read once instead
+                           value: str = "value", piece_points: int = PIECE_POINTS) -> DataFrame:
+    """AGG1 from moments of pieces of a run: T·R values per run are read once instead
     of T·R²/2 joined pairs.  Gaps are left out pair by pair.  Edges i < j;
     constant ROI -> NULL."""
-    return _gram_edges(signal, run_keys, False, t, roi, value)
+    return correlation(signal, run_keys, t, roi, value, piece_points)
 
 
 def shrunk_correlation_edges_gram(signal: DataFrame, run_keys: Sequence[str], t: str = "t", roi: str = "roi",
-                                  value: str = "value") -> DataFrame:
-    """AGG2 (Ledoit–Wolf) on the Gram path: the same three aggregates as
+                                  value: str = "value", piece_points: int = PIECE_POINTS) -> DataFrame:
+    """AGG2 (Ledoit–Wolf) from moments of pieces of a run: the same three aggregates as
     ``shrunk_correlation_edges`` (S, Σ_t(Σ_i x²)², trace); gaps are an error."""
-    return _gram_edges(signal, run_keys, True, t, roi, value)
+    return shrunk_correlation(signal, run_keys, t, roi, value, piece_points)
