@@ -114,52 +114,82 @@ FROM ({det}) d JOIN (SELECT subject, run, roi, avg(value) AS m, stddev_pop(value
   ON d.subject = f.subject AND d.run = f.run AND d.roi = f.roi"""
 
 
-def regress_sql(src: str, band: bool = False) -> str:
-    """SIG3 on the global-signal confounds of ``signal``: the four confounds are
-    detrended, standardised (and limited to the band), then made orthogonal one
-    after another; residuals are taken on the rows of ``src``."""
-    dot = "sum({a} * {b}) OVER (PARTITION BY subject, run)"
-    ctes = ["""__gs AS (SELECT subject, run, t, avg(value) AS gs FROM signal GROUP BY subject, run, t)""",
-            """__d AS (SELECT subject, run, t, gs, coalesce(gs - lag(gs) OVER (PARTITION BY subject, run ORDER BY t), 0.0)
-           AS gd FROM __gs)""",
-            """__long AS (SELECT subject, run, t, unnest([0, 1, 2, 3]) AS c,
-              unnest([gs, gd, gs * gs, gd * gd]) AS value FROM __d)""",
-            """__fit AS (SELECT subject, run, c, regr_slope(value, CAST(t AS DOUBLE)) AS b,
-             regr_intercept(value, CAST(t AS DOUBLE)) AS a, var_pop(value) AS v FROM __long GROUP BY subject, run, c)""",
-            """__det AS (SELECT l.subject, l.run, l.c, l.t, f.v,
+def regress_sql(src: str, band: bool = False, keys: tuple[str, ...] = ("subject", "run"),
+                confounds: tuple[list[str], list[str]] | None = None) -> str:
+    """SIG3 of the series (keys, roi) of ``src``: the confounds are detrended,
+    standardised (and limited to the band), then made orthogonal one after
+    another; residuals are taken on the rows of ``src``.  ``confounds`` are CTEs,
+    the last one ``__d`` (keys, t, ...), and the columns to use; by default the
+    four of the global signal."""
+    ks = ", ".join(keys)
+    on = lambda x, y: " AND ".join(f"{x}.{k} = {y}.{k}" for k in keys)
+    of = lambda x: ", ".join(f"{x}.{k}" for k in keys)
+    if confounds is None:
+        confounds = ([f"__gs AS (SELECT {ks}, t, avg(value) AS gs FROM signal GROUP BY {ks}, t)",
+                      f"""__d AS (SELECT {ks}, t, gs,
+             coalesce(gs - lag(gs) OVER (PARTITION BY {ks} ORDER BY t), 0.0) AS gd FROM __gs)"""],
+                     ["gs", "gd", "gs * gs", "gd * gd"])
+    ctes, cols = list(confounds[0]), confounds[1]
+    n = len(cols)
+    dot = f"sum({{a}} * {{b}}) OVER (PARTITION BY {ks})"
+    ctes += [f"""__long AS (SELECT {ks}, t, unnest([{', '.join(map(str, range(n)))}]) AS c,
+              unnest([{', '.join(cols)}]) AS value FROM __d)""",
+             f"""__fit AS (SELECT {ks}, c, regr_slope(value, CAST(t AS DOUBLE)) AS b,
+             regr_intercept(value, CAST(t AS DOUBLE)) AS a, var_pop(value) AS v FROM __long GROUP BY {ks}, c)""",
+             f"""__det AS (SELECT {of('l')}, l.c, l.t, f.v,
              l.value - (coalesce(f.a, 0.0) + coalesce(f.b, 0.0) * l.t) AS value
-           FROM __long l JOIN __fit f ON l.subject = f.subject AND l.run = f.run AND l.c = f.c)""",
-            """__z0 AS (SELECT subject, run, c, t, CASE WHEN s2 > 1e-10 * v THEN (value - m) / sqrt(s2) ELSE 0.0 END AS value
+           FROM __long l JOIN __fit f ON {on('l', 'f')} AND l.c = f.c)""",
+             f"""__z0 AS (SELECT {ks}, c, t, CASE WHEN s2 > 1e-10 * v THEN (value - m) / sqrt(s2) ELSE 0.0 END AS value
           FROM (SELECT *, avg(value) OVER w AS m, var_pop(value) OVER w AS s2 FROM __det
-                WINDOW w AS (PARTITION BY subject, run, c)) x)"""]
+                WINDOW w AS (PARTITION BY {ks}, c)) x)"""]
     last = "__z0"
     if band:
         ctes.append(f"__z1 AS ({band_sql('__z0', 'c')})")
         last = "__z1"
-    wide = ", ".join(f"max(CASE WHEN c = {k} THEN value END) AS x{k}" for k in range(4))
-    ctes.append(f"__w AS (SELECT subject, run, t, {wide} FROM {last} GROUP BY subject, run, t)")
-    cent = ", ".join(f"x{k} - avg(x{k}) OVER (PARTITION BY subject, run) AS x{k}" for k in range(4))
-    ctes.append(f"__o0 AS (SELECT subject, run, t, {cent} FROM __w)")
+    wide = ", ".join(f"max(CASE WHEN c = {k} THEN value END) AS x{k}" for k in range(n))
+    ctes.append(f"__w AS (SELECT {ks}, t, {wide} FROM {last} GROUP BY {ks}, t)")
+    cent = ", ".join(f"x{k} - avg(x{k}) OVER (PARTITION BY {ks}) AS x{k}" for k in range(n))
+    ctes.append(f"__o0 AS (SELECT {ks}, t, {cent} FROM __w)")
     # step k keeps column k as it is (0 if only rounding is left of it) and takes its part out of the later ones
-    ss = ", ".join(f"{dot.format(a=f'x{k}', b=f'x{k}')} AS t{k}" for k in range(4))
+    ss = ", ".join(f"{dot.format(a=f'x{k}', b=f'x{k}')} AS t{k}" for k in range(n))
     ctes.append(f"__p0 AS (SELECT *, {ss} FROM __o0)")
-    for k in range(4):
+    for k in range(n):
         qk = f"CASE WHEN {dot.format(a=f'x{k}', b=f'x{k}')} > 1e-10 * t{k} THEN x{k} ELSE 0.0 END"
         ctes.append(f"__q{k} AS (SELECT * REPLACE ({qk} AS x{k}) FROM __p{k})")
         rest = [f"x{j} - x{k} * coalesce({dot.format(a=f'x{k}', b=f'x{j}')} / "
-                f"nullif({dot.format(a=f'x{k}', b=f'x{k}')}, 0), 0.0) AS x{j}" for j in range(k + 1, 4)]
+                f"nullif({dot.format(a=f'x{k}', b=f'x{k}')}, 0), 0.0) AS x{j}" for j in range(k + 1, n)]
         ctes.append(f"__p{k + 1} AS (SELECT * " + (f"REPLACE ({', '.join(rest)}) " if rest else "") + f"FROM __q{k})")
-    sums = ", ".join(f"sum(y * x{k}) OVER w / nullif(sum(x{k} * x{k}) OVER w, 0) AS b{k}" for k in range(4))
-    fit = " - ".join(f"x{k} * coalesce(b{k}, 0.0)" for k in range(4))
+    sums = ", ".join(f"sum(y * x{k}) OVER w / nullif(sum(x{k} * x{k}) OVER w, 0) AS b{k}" for k in range(n))
+    fit = " - ".join(f"x{k} * coalesce(b{k}, 0.0)" for k in range(n))
+    parts = ", ".join(f"p.x{k}" for k in range(n))
     return f"""WITH {", ".join(ctes)},
-__y AS (SELECT s.subject, s.run, s.t, s.roi, s.value - avg(s.value) OVER (PARTITION BY s.subject, s.run, s.roi) AS y,
-               p.x0, p.x1, p.x2, p.x3
-        FROM {src} s JOIN __p4 p ON s.subject = p.subject AND s.run = p.run AND s.t = p.t),
-__e AS (SELECT subject, run, t, roi, y, y - {fit} AS e
-        FROM (SELECT *, {sums} FROM __y WINDOW w AS (PARTITION BY subject, run, roi)) x)
-SELECT subject, run, t, roi,
+__y AS (SELECT {of('s')}, s.t, s.roi, s.value - avg(s.value) OVER (PARTITION BY {of('s')}, s.roi) AS y, {parts}
+        FROM {src} s JOIN __p{n} p ON {on('s', 'p')} AND s.t = p.t),
+__e AS (SELECT {ks}, t, roi, y, y - {fit} AS e
+        FROM (SELECT *, {sums} FROM __y WINDOW w AS (PARTITION BY {ks}, roi)) x)
+SELECT {ks}, t, roi,
        CASE WHEN sum(e * e) OVER w > 1e-10 * sum(y * y) OVER w THEN e ELSE 0.0 END AS value
-FROM __e WINDOW w AS (PARTITION BY subject, run, roi)"""
+FROM __e WINDOW w AS (PARTITION BY {ks}, roi)"""
+
+
+BLOCKS = [f"b{k}" for k in range(9)]
+
+
+def block_confounds(signal: DataFrame) -> DataFrame:
+    """36 confounds of each long run: the means of nine blocks of regions (roi mod 9), their
+    differences and the squares of both."""
+    base = signal.groupBy("run", "t").agg(*[F.avg(F.when(F.col("roi") % 9 == k, F.col("value"))).alias(b)
+                                            for k, b in enumerate(BLOCKS)])
+    return S.confounds_36p(base, ["run"], ["t"], base_cols=BLOCKS)
+
+
+def regress_blocks_sql() -> str:
+    base = ", ".join(f"avg(CASE WHEN roi % 9 = {k} THEN value END) AS {b}" for k, b in enumerate(BLOCKS))
+    der = ", ".join(f"coalesce({b} - lag({b}) OVER (PARTITION BY run ORDER BY t), 0.0) AS {b}_der" for b in BLOCKS)
+    cols = BLOCKS + [f"{b}_der" for b in BLOCKS]
+    return regress_sql("signal", keys=("run",), confounds=(
+        [f"__gs AS (SELECT run, t, {base} FROM signal GROUP BY run, t)", f"__d AS (SELECT run, t, {', '.join(BLOCKS)}, {der} FROM __gs)"],
+        cols + [f"{c} * {c}" for c in cols]))
 
 
 def band_sql(src: str, col: str) -> str:

@@ -184,6 +184,15 @@ def q_regress_confounds(spark, sf):
     return S.regress_confounds(sig, CN.global_signal_confounds(sig), ["subject", "run"], CN.CONFOUNDS)
 
 
+@register("sig_regress_36_confounds", rounded(with_views(CN.regress_blocks_sql(), "signal"), ["value"]))
+def q_regress_36(spark, sf):
+    """WIN2 -> SIG3: two long runs (run = vec_id mod 2) residualised on 36 confounds of their own."""
+    sig = V.signal(spark, sf)
+    conf = CN.block_confounds(sig)
+    cols = [c for c in conf.columns if c not in ("run", "t")]
+    return S.regress_confounds(sig.select("run", "t", "roi", "value"), conf, ["run"], cols)
+
+
 _SIG3_ONE_SQL = rounded(with_views("""
 WITH __gs AS (SELECT subject, run, t, avg(value) AS gs FROM signal GROUP BY subject, run, t),
 __fit AS (SELECT subject, run, regr_slope(gs, CAST(t AS DOUBLE)) AS b, regr_intercept(gs, CAST(t AS DOUBLE)) AS a
