@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from cohortlens.operators import linear as L
 from cohortlens.operators import splits as SP
 from cohortlens.operators import tidy as TD
+from cohortlens.operators.wide_pca import pca_scores
 from cohortlens.session import stored
 
 # fixed values: forest search grid (depth None = unlimited maps to Spark's maximum 30)
@@ -44,6 +45,24 @@ def spark_depth(d: int | None) -> int:
 
 # ---------------------------------------------------------------- preprocessing
 
+WIDE_BLOCK = 2000            # columns up to which the k x k form is always taken
+
+
+def _is_wide(train: DataFrame, k: int) -> bool:
+    """Whether the block has more columns than the largest split has train rows (one number read)."""
+    if k <= WIDE_BLOCK:
+        return False
+    most = train.groupBy("split").count().agg(F.max("count").alias("n")).first()["n"]
+    return most is not None and most < k
+
+
+def _elements(col: str, idx: Sequence[int]):
+    """Elements of an array column; a run of neighbours is one slice."""
+    cuts = [k for k in range(len(idx)) if k == 0 or idx[k] != idx[k - 1] + 1] + [len(idx)]
+    runs = [F.slice(col, idx[a] + 1, b - a) for a, b in zip(cuts, cuts[1:])]
+    return F.concat(*runs) if runs else F.array().cast("array<double>")
+
+
 def prepare(rows: DataFrame, pca_block: Sequence[int] | None = None, n_components: int | None = None,
             feature_names: Sequence[str] = (), imputer: str = "mean") -> tuple[DataFrame, list[str]]:
     """PCA on a column block (ML4), then imputation with missing indicators
@@ -57,10 +76,13 @@ def prepare(rows: DataFrame, pca_block: Sequence[int] | None = None, n_component
         train = rows.filter("role = 'train'")
         blk = [i for i in pca_block]
         rest = [i for i in range(len(names)) if i not in blk]
-        sel = lambda idx: F.array(*[F.get(F.col("x"), i) for i in idx])
-        # block columns must be gap-free: a NULL in the train part raises in ``moments``
-        fitted = L.pca_fit(train.withColumn("x", sel(blk)), n_components)
-        proj = L.pca_transform(rows.withColumn("__blk", sel(blk)), fitted, "__blk", "__pc")
+        sel = lambda idx: _elements("x", idx)
+        # block columns must be gap-free: a NULL in the train part raises
+        if _is_wide(train, len(blk)):
+            proj = pca_scores(rows.withColumn("__blk", sel(blk)), n_components, "__blk", "__pc")
+        else:
+            fitted = L.pca_fit(train.withColumn("x", sel(blk)), n_components)
+            proj = L.pca_transform(rows.withColumn("__blk", sel(blk)), fitted, "__blk", "__pc")
         rows = proj.withColumn("x", F.concat(F.col("__pc"), sel(rest))).drop("__blk", "__pc")
         names = [f"fmri__pca_{i}" for i in range(n_components)] + [names[i] for i in rest]
     means = L.column_means(rows.filter("role = 'train'"))

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from cohortlens.operators import linear as L
 from cohortlens.operators import metrics as M
 from cohortlens.operators import models as ML
+from cohortlens.operators import signal as S
 from cohortlens.operators import splits as SP
+from cohortlens.operators.wide_pca import pca_scores
 from cohortlens.plans import learning as LR
 from cohortlens.plans.q_splits import N_SPLITS, SEED, T, _SPLIT_CTES
 from cohortlens.plans.registry import register, rounded
@@ -152,6 +154,20 @@ def q_pca(spark, sf):
         "split", "subject", F.element_at(nm, F.col("j") + 1).alias("feature"), "value")
 
 
+@register("ml_pca_wide")
+def q_pca_wide(spark, sf):
+    """ML4 on a block wider than its rows: PCA(3) of all connectivity edges, rows = (subject, run), two
+    splits that train on one run each."""
+    edges = S.correlation_edges_gram(V.signal(spark, sf), ["subject", "run"])
+    cells = F.sort_array(F.collect_list(F.struct("i", "j", F.coalesce("r", F.lit(0.0)).alias("r"))))
+    rows = edges.groupBy("subject", "run").agg(cells.getField("r").alias("x"))
+    rows = stored(rows.select(F.concat_ws("_", "subject", "run").alias("subject"), "run", "x"))
+    rows = rows.withColumn("split", F.explode(F.array(F.lit(0), F.lit(1))))
+    rows = rows.withColumn("role", F.when(F.col("run") == F.col("split"), "train").otherwise("test"))
+    out = pca_scores(rows, 3, column_block=512)
+    return out.select("split", "subject", "role", F.posexplode("pc").alias("component", "value"))
+
+
 @register("ml_learning_curve")
 def q_learning_curve(spark, sf):
     """ML14+SET5+RSH3: ridge learning curve, 5 sizes x 5 folds in one job, long scores."""
