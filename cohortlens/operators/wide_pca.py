@@ -61,7 +61,7 @@ def pca_scores(rows: DataFrame, n_components: int, x_col: str = "x", out_col: st
     share_schema, axis_schema, score_schema = (_arrow(spark, d) for d in (share_ddl, axis_ddl, score_ddl))
     n_blocks = F.ceil(F.size(x_col) / F.lit(column_block)).cast("int")
     cut = rows.select(F.col("split").cast("int").alias("split"), F.col(id_col).alias("__id"),
-                      (F.col("role") != "train").alias("__test"), F.col(x_col).alias("__all"),
+                      (F.col("role") != "train").alias("__test"), F.col(x_col).cast("array<double>").alias("__all"),
                       F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("block"))
     cut = cut.select("split", "block", "__id", "__test",
                      F.slice("__all", F.col("block") * column_block + 1, column_block).alias("__x"))
