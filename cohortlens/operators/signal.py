@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from cohortlens.functions import fisher_z, safe_div
 from cohortlens.operators.pieces import (NEGLIGIBLE, PIECE_POINTS, ROUNDING, by_series, correlation, regress,
                                          shrunk_correlation)
+from cohortlens.session import stored
 
 # fixed values: the nine base confound columns of the 36-parameter model
 CONFOUNDS_9P = ["csf", "white_matter", "global_signal",
@@ -328,33 +329,39 @@ def check_empty_rois(empty: DataFrame, max_empty: int = 10) -> int:
     return n
 
 
-def zero_rows_for(empty: DataFrame, times: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """SIG6: series of value 0 for the empty ROIs of each run at all its time points."""
-    return (times.select(*keys, "t").join(empty.select(*keys, "roi"), list(keys))
-            .withColumn("value", F.lit(0.0)))
+def smoothing_kernel(fwhm: float, voxel_size: float = 1.0, truncate: float = 4.0) -> list[tuple[int, float]]:
+    """(offset, weight) of the normalised Gaussian along one axis, cut at ``truncate`` sigma."""
+    sigma = fwhm / FWHM_TO_SIGMA / voxel_size
+    rad = int(truncate * sigma + 0.5)
+    ks = [math.exp(-0.5 * (d / sigma) ** 2) for d in range(-rad, rad + 1)]
+    return [(d, k / sum(ks)) for d, k in zip(range(-rad, rad + 1), ks)]
 
 
 def smoothing_weights(members: DataFrame, fwhm: float, voxel_size: float = 1.0,
-                      coords: Sequence[str] = ("x", "y", "z"), truncate: float = 4.0) -> DataFrame:
+                      coords: Sequence[str] = ("x", "y", "z"), truncate: float = 4.0,
+                      box: Sequence[tuple[int, int]] | None = None) -> DataFrame:
     """SIG4 folded into AGG17: weight of each source voxel u for ROI r,
     W(r,u) = mean over sphere voxels v of G(v−u), G the separable normalised
     Gaussian (sigma = fwhm/2.3548, truncated at ``truncate`` sigma).
 
     Linear operators compose, so smoothing-then-sphere-mean equals one weighted
     sum with W; no smoothed volume is materialised.  Applied axis by axis
-    (three small joins with a 1-D kernel) instead of a 3-D kernel.
+    (three small steps with a 1-D kernel) instead of a 3-D kernel.  With ``box``
+    = (first, last) per axis the image is mirrored at its border (the border
+    voxel repeated), without it everything outside counts as 0.
     """
-    sigma = fwhm / FWHM_TO_SIGMA / voxel_size
-    rad = int(truncate * sigma + 0.5)
-    ks = [math.exp(-0.5 * (d / sigma) ** 2) for d in range(-rad, rad + 1)]
-    tot = sum(ks)
-    kern = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(k / tot).alias("k"))
-                     for d, k in zip(range(-rad, rad + 1), ks)])
+    kern = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(k).alias("k"))
+                     for d, k in smoothing_kernel(fwhm, voxel_size, truncate)])
     n = members.groupBy("roi").agg(F.count(F.lit(1)).alias("__n"))
     w = members.join(n, "roi").select("roi", *coords, (F.lit(1.0) / F.col("__n")).alias("w"))
-    for c in coords:
+    for axis, c in enumerate(coords):
+        at = F.col(c) + F.col("__g.d")
+        if box is not None:
+            first, size = box[axis][0], box[axis][1] - box[axis][0] + 1
+            at = F.pmod(at - first, F.lit(2 * size))
+            at = F.when(at < size, at).otherwise(2 * size - 1 - at) + first
         w = (w.withColumn("__g", F.explode(kern))
-             .withColumn(c, (F.col(c) + F.col("__g.d")).cast("int"))
+             .withColumn(c, at.cast("int"))
              .groupBy("roi", *coords).agg(F.sum(F.col("w") * F.col("__g.k")).alias("w")))
     return w
 
@@ -366,6 +373,43 @@ def weighted_roi_signal(weights: DataFrame, voxels: DataFrame, keys: Sequence[st
     return j.groupBy(*keys, "roi").agg(F.sum(F.col("w") * F.col(value)).alias(value))
 
 
+def region_series(roi: DataFrame, voxels: DataFrame, radius: float, fwhm: float, keys: Sequence[str],
+                  box: Sequence[tuple[int, int]], mask: DataFrame | None = None, t: str = "t",
+                  coords: Sequence[str] = ("x", "y", "z"), value: str = "value", voxel_size: float = 1.0,
+                  max_empty: int = 10) -> DataFrame:
+    """SIG4 + AGG17 + SIG6: series (keys, t, roi, value) of the smoothed volumes, and
+    whether the region is empty.
+
+    ``voxels`` is (keys, t, coords, value), one row per voxel of a volume; an absent
+    one counts as 0.  A region is the mean over the voxels of ``mask`` (default: all
+    coordinates that occur) in its sphere.  Smoothing and mean are one table of
+    weights (region, voxel), which depends on the atlas and grid alone; each volume
+    meets it once, by coordinates, and sums are combined before the exchange.
+
+    A region without a voxel has the value 0 at every time point; more than
+    ``max_empty`` of them stop the job with an error, in the plan itself."""
+    geo = (voxels if mask is None else mask).select(*coords).distinct()
+    members = stored(sphere_members(roi.select("roi", *coords), geo, radius, coords))
+    weights = smoothing_weights(members, fwhm, voxel_size, coords, box=box)
+    found = weighted_roi_signal(weights, voxels.select(*keys, t, *coords, F.col(value).cast("double").alias(value)),
+                                [*keys, t], coords, value)
+    # every region at every time point, also where a volume has no voxel near it; the list has the atlas' size
+    here = members.select("roi").distinct().withColumn("__full", F.lit(True))
+    marks = F.sort_array(F.collect_list(F.struct("roi", F.col("__full").isNull().alias("empty"))))
+    listed = roi.select("roi").distinct().join(here, "roi", "left").agg(marks.alias("__all"))
+    n_empty = F.size(F.filter("__all", lambda m: m["empty"]))
+    listed = listed.select(F.lit(1).alias("__one"), F.when(n_empty > max_empty, F.raise_error(F.concat(
+        n_empty.cast("string"), F.lit(f" regions hold no voxel; at most {max_empty} are allowed"))).cast(
+            listed.schema["__all"].dataType)).otherwise(F.col("__all")).alias("__all"))
+    times = voxels.select(*keys, t).distinct().withColumn("__one", F.lit(1))
+    cells = times.join(F.broadcast(listed), "__one").select(*keys, t, F.explode("__all").alias("__m"))
+    cells = cells.select(*keys, t, F.col("__m.roi").alias("roi"), F.col("__m.empty").alias("empty"))
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"f.{k}")) for k in [*keys, t, "roi"]]
+    return cells.alias("c").join(found.alias("f"), same, "left").select(
+        *[F.col(f"c.{k}").alias(k) for k in [*keys, t, "roi"]],
+        F.coalesce(F.col(f"f.{value}"), F.lit(0.0)).alias(value), F.col("c.empty").alias("empty"))
+
+
 # ---------------------------------------------------------------- confound regression (SIG3)
 
 def regress_confounds(signal: DataFrame, confounds: DataFrame, run_keys: Sequence[str],

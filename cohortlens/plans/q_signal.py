@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cohortlens.operators import signal as S
 from cohortlens.plans import connectome as CN
 from cohortlens.plans.registry import register, rounded
+from cohortlens.session import stored
 from cohortlens.sources import tables as V
 from cohortlens.sources.tables import with_views
 
@@ -175,6 +176,79 @@ def q_empty_rois(spark, sf):
     return S.empty_rois(V.roi(spark, sf), V.voxel(spark, sf), R)
 
 
+# ---------------------------------------------------------------- volumes to region series and connectivity
+
+BOX = ((1, 7), (1, 50), (0, 10))      # the grid of the view ``voxel``
+FWHM = 2.0
+
+
+def _volumes(spark, sf):
+    """Volumes per return flag and month: mean price (thousands) per coordinate."""
+    li = V.table(spark, sf, "lineitem")
+    month = (F.year("l_shipdate") * 12 + F.month("l_shipdate")).cast("long")
+    return li.groupBy(
+        F.col("l_returnflag").alias("subject"), month.alias("t"), F.col("l_linenumber").cast("int").alias("x"),
+        F.col("l_quantity").cast("int").alias("y"), F.round(F.col("l_discount") * 100).cast("int").alias("z")).agg(
+        (F.avg(F.col("l_extendedprice").cast("double")) / 1000.0).alias("value"))
+
+
+def _atlas(spark, sf):
+    """One region per part size; the last ones lie outside the grid and are empty."""
+    size = F.col("p_size").cast("int")
+    return V.table(spark, sf, "part").select(size.cast("long").alias("roi"), (size % 7 + 1).alias("x"), (size + 8).alias("y"),
+                                             (size % 11).alias("z")).distinct()
+
+
+def _series_sql() -> str:
+    """The plain way: every volume smoothed axis by axis on the whole grid, then the mean in each sphere."""
+    kernel = "(VALUES " + ", ".join(f"({d}, CAST({k!r} AS DOUBLE))" for d, k in S.smoothing_kernel(FWHM)) + ") kern(d, k)"
+    grid = " CROSS JOIN ".join(f"(SELECT unnest(generate_series({a}, {b})) AS {c}) g{c}" for (a, b), c in zip(BOX, "xyz"))
+    ctes = [f"""__vol AS (SELECT l_returnflag AS subject, CAST(year(l_shipdate) * 12 + month(l_shipdate) AS BIGINT) AS t,
+  CAST(l_linenumber AS INTEGER) AS x, CAST(l_quantity AS INTEGER) AS y, CAST(round(l_discount * 100) AS INTEGER) AS z,
+  avg(CAST(l_extendedprice AS DOUBLE)) / 1000.0 AS value FROM lineitem GROUP BY ALL)""",
+            "__atlas AS (SELECT DISTINCT CAST(p_size AS BIGINT) AS roi, p_size % 7 + 1 AS x, p_size + 8 AS y, p_size % 11 AS z FROM part)",
+            "__times AS (SELECT DISTINCT subject, t FROM __vol)",
+            f"""__s0 AS MATERIALIZED (SELECT q.subject, q.t, q.x, q.y, q.z, coalesce(v.value, 0.0) AS value
+  FROM (SELECT subject, t, x, y, z FROM __times CROSS JOIN (SELECT * FROM {grid}) gg) q
+  LEFT JOIN __vol v ON q.subject = v.subject AND q.t = v.t AND q.x = v.x AND q.y = v.y AND q.z = v.z)"""]
+    for n, ((a, b), c) in enumerate(zip(BOX, "xyz")):
+        m, size = f"(((g.{c} + kern.d - {a}) % {2 * (b - a + 1)} + {2 * (b - a + 1)}) % {2 * (b - a + 1)})", b - a + 1
+        at = f"CASE WHEN {m} < {size} THEN {m} ELSE {2 * size - 1} - {m} END + {a}"
+        rest = [o for o in "xyz" if o != c]
+        ctes.append(f"""__s{n + 1} AS MATERIALIZED (SELECT s.subject, s.t, {', '.join(f's.{o}' for o in rest)}, w.{c}, sum(w.k * s.value) AS value
+  FROM __s{n} s JOIN (SELECT g.{c}, {at} AS src, kern.k FROM (SELECT unnest(generate_series({a}, {b})) AS {c}) g, {kernel}) w
+    ON s.{c} = w.src GROUP BY s.subject, s.t, {', '.join(f's.{o}' for o in rest)}, w.{c})""")
+    ctes += ["""__mem AS (SELECT r.roi, g.x, g.y, g.z FROM __atlas r JOIN (SELECT DISTINCT x, y, z FROM __vol) g
+  ON (g.x - r.x) * (g.x - r.x) + (g.y - r.y) * (g.y - r.y) + (g.z - r.z) * (g.z - r.z) <= """ + f"{R * R})",
+             """series3 AS MATERIALIZED (SELECT s.subject, s.t, m.roi, avg(s.value) AS value, false AS empty
+  FROM __s3 s JOIN __mem m ON s.x = m.x AND s.y = m.y AND s.z = m.z GROUP BY s.subject, s.t, m.roi
+  UNION ALL SELECT subject, t, roi, 0.0, true FROM __times CROSS JOIN
+    (SELECT roi FROM __atlas WHERE roi NOT IN (SELECT roi FROM __mem)) e)"""]
+    return "WITH " + ",\n".join(ctes)
+
+
+def _region_series(spark, sf):
+    return S.region_series(_atlas(spark, sf), _volumes(spark, sf), R, FWHM, ["subject"], BOX)
+
+
+@register("sig_region_series", rounded(_series_sql() + "\nSELECT * FROM series3", ["value"]))
+def q_region_series(spark, sf):
+    """SIG4+AGG17+SIG6: smoothed volumes to region series, empty regions as 0."""
+    return _region_series(spark, sf)
+
+
+@register("sig_volume_connectivity", rounded(_series_sql() + f""",
+__in AS (SELECT subject, 0 AS run, t, roi, value FROM series3),
+__e AS ({CN.shrunk_sql('__in')})
+SELECT subject, i, j, CASE WHEN i IN (SELECT roi FROM series3 WHERE empty) OR j IN (SELECT roi FROM series3 WHERE empty)
+                           THEN NULL ELSE r END AS r FROM __e""", ["r"]))
+def q_volume_connectivity(spark, sf):
+    """SIG7 from the volumes: SIG4 -> SIG6 -> AGG2 -> RSH7 (rows and columns of empty regions NULL)."""
+    series = stored(_region_series(spark, sf))
+    edges = S.shrunk_correlation_edges_gram(series, ["subject"])
+    return S.exclude_rois(edges, series.filter("empty").select("roi").distinct())
+
+
 # ---------------------------------------------------------------- SIG3
 
 @register("sig_regress_confounds", rounded(with_views(CN.regress_sql("signal"), "signal"), ["value"]))
