@@ -41,7 +41,6 @@ def _group_means(df: DataFrame, group_cols: Sequence[str], y_cols: Sequence[str]
     aggs = [F.sum(w).alias("__sw")]
     for y in y_cols:
         aggs.append(safe_div(F.sum(w * F.col(y)), F.sum(w)).alias(f"__wm_{y}"))
-        aggs.append(F.avg(F.col(y)).alias(f"__m_{y}"))
     return df.groupBy(*group_cols).agg(*aggs)
 
 
@@ -68,7 +67,7 @@ def calc_metrics(df: DataFrame, y_cols: Sequence[str], metric_names: Sequence[st
     do_avg = return_average and len(y_cols) > 1
     w = _w(weight_col)
     need_r2 = "r2" in metric_names
-    if need_r2:
+    if need_r2 and weight_col is not None:      # without weights the variance is an aggregate of the same scan
         base = df.join(_group_means(df, group_cols, y_cols, weight_col), group_cols)
     else:
         base = df
@@ -77,10 +76,12 @@ def calc_metrics(df: DataFrame, y_cols: Sequence[str], metric_names: Sequence[st
         yc, pc = F.col(y), F.col(f"{y}_pred")
         if need_r2:
             aggs.append(F.sum(w * (yc - pc) * (yc - pc)).alias(f"__ssr_{y}"))
-            aggs.append(F.sum(w * (yc - F.col(f"__wm_{y}")) * (yc - F.col(f"__wm_{y}"))).alias(f"__sst_{y}"))
+            spread = F.var_pop(yc) * F.count(yc)
+            aggs.append((spread if weight_col is None else F.sum(
+                w * (yc - F.col(f"__wm_{y}")) * (yc - F.col(f"__wm_{y}")))).alias(f"__sst_{y}"))
             if do_avg:
                 aggs.append(F.sum((yc - pc) * (yc - pc)).alias(f"__ussr_{y}"))
-                aggs.append(F.sum((yc - F.col(f"__m_{y}")) * (yc - F.col(f"__m_{y}"))).alias(f"__usst_{y}"))
+                aggs.append(spread.alias(f"__usst_{y}"))
         if "pearsonr2" in metric_names:
             aggs.append(F.pow(safe_corr(yc, pc), 2).alias(f"pearsonr2_{y}"))
         if "mae" in metric_names:

@@ -385,29 +385,34 @@ def region_series(roi: DataFrame, voxels: DataFrame, radius: float, fwhm: float,
     coordinates that occur) in its sphere.  Smoothing and mean are one table of
     weights (region, voxel), which depends on the atlas and grid alone; each volume
     meets it once, by coordinates, and sums are combined before the exchange.
+    ``voxels`` is read for the volumes, their time points and the default mask.
 
     A region without a voxel has the value 0 at every time point; more than
     ``max_empty`` of them stop the job with an error, in the plan itself."""
-    geo = (voxels if mask is None else mask).select(*coords).distinct()
+    inside = F.lit(True)
+    for c, (first, last) in zip(coords, box):
+        inside = inside & F.col(c).between(first, last)
+    geo = (voxels if mask is None else mask).where(inside).select(*coords).distinct()
     members = stored(sphere_members(roi.select("roi", *coords), geo, radius, coords))
-    weights = smoothing_weights(members, fwhm, voxel_size, coords, box=box)
-    found = weighted_roi_signal(weights, voxels.select(*keys, t, *coords, F.col(value).cast("double").alias(value)),
-                                [*keys, t], coords, value)
-    # every region at every time point, also where a volume has no voxel near it; the list has the atlas' size
+    weights = smoothing_weights(members, fwhm, voxel_size, coords, box=box).select(
+        "roi", *coords, "w", F.lit(None).cast("boolean").alias("empty"))
+    # one more voxel per volume, outside the box and of value 0, which every region has with weight 0: so each
+    # region, also an empty one, has a value at each time point; the list of regions has the atlas' size
     here = members.select("roi").distinct().withColumn("__full", F.lit(True))
-    marks = F.sort_array(F.collect_list(F.struct("roi", F.col("__full").isNull().alias("empty"))))
+    marks = F.collect_list(F.struct("roi", F.col("__full").isNull().alias("empty")))
     listed = roi.select("roi").distinct().join(here, "roi", "left").agg(marks.alias("__all"))
     n_empty = F.size(F.filter("__all", lambda m: m["empty"]))
-    listed = listed.select(F.lit(1).alias("__one"), F.when(n_empty > max_empty, F.raise_error(F.concat(
+    allowed = F.when(n_empty > max_empty, F.raise_error(F.concat(
         n_empty.cast("string"), F.lit(f" regions hold no voxel; at most {max_empty} are allowed"))).cast(
-            listed.schema["__all"].dataType)).otherwise(F.col("__all")).alias("__all"))
-    times = voxels.select(*keys, t).distinct().withColumn("__one", F.lit(1))
-    cells = times.join(F.broadcast(listed), "__one").select(*keys, t, F.explode("__all").alias("__m"))
-    cells = cells.select(*keys, t, F.col("__m.roi").alias("roi"), F.col("__m.empty").alias("empty"))
-    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"f.{k}")) for k in [*keys, t, "roi"]]
-    return cells.alias("c").join(found.alias("f"), same, "left").select(
-        *[F.col(f"c.{k}").alias(k) for k in [*keys, t, "roi"]],
-        F.coalesce(F.col(f"f.{value}"), F.lit(0.0)).alias(value), F.col("c.empty").alias("empty"))
+            listed.schema["__all"].dataType)).otherwise(F.col("__all"))
+    kinds = dict(voxels.dtypes)
+    marker = [F.lit(first - 1).cast(kinds[c]).alias(c) for c, (first, _) in zip(coords, box)]
+    weights = weights.unionByName(listed.select(F.explode(allowed).alias("__m")).select(
+        F.col("__m.roi").alias("roi"), *marker, F.lit(0.0).alias("w"), F.col("__m.empty").alias("empty")))
+    rows = voxels.where(inside).select(*keys, t, *coords, F.col(value).cast("double").alias(value))
+    rows = rows.unionByName(voxels.select(*keys, t).distinct().select(*keys, t, *marker, F.lit(0.0).alias(value)))
+    return rows.join(weights, list(coords)).groupBy(*keys, t, "roi").agg(
+        F.coalesce(F.sum(F.col("w") * F.col(value)), F.lit(0.0)).alias(value), F.max("empty").alias("empty"))
 
 
 # ---------------------------------------------------------------- confound regression (SIG3)

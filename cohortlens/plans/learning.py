@@ -265,13 +265,11 @@ def learning_curve(x: DataFrame, features: Sequence[str], y: DataFrame, targets:
 
 def _r2_by_group(pred: DataFrame, group, targets) -> DataFrame:
     """Mean over targets of (unweighted) R² per group — the search/curve score."""
-    means = pred.groupBy(*group).agg(*[F.avg(t).alias(f"__m_{t}") for t in targets])
-    j = pred.join(means, list(group))
     aggs = []
     for t in targets:
-        yv, p, m = F.col(t), F.col(f"{t}_pred"), F.col(f"__m_{t}")
-        aggs += [F.sum((yv - p) * (yv - p)).alias(f"r_{t}"), F.sum((yv - m) * (yv - m)).alias(f"s_{t}")]
-    g = j.groupBy(*group).agg(*aggs)
+        yv, p = F.col(t), F.col(f"{t}_pred")
+        aggs += [F.sum((yv - p) * (yv - p)).alias(f"r_{t}"), (F.var_pop(yv) * F.count(yv)).alias(f"s_{t}")]
+    g = pred.groupBy(*group).agg(*aggs)
     r2s = [F.when(F.col(f"s_{t}") == 0, F.when(F.col(f"r_{t}") == 0, 1.0).otherwise(0.0))
            .otherwise(1.0 - F.col(f"r_{t}") / F.col(f"s_{t}")) for t in targets]
     return g.select(*group, (sum(r2s[1:], r2s[0]) / float(len(r2s))).alias("score"))

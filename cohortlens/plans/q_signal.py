@@ -228,7 +228,7 @@ def _series_sql() -> str:
 
 
 def _region_series(spark, sf):
-    return S.region_series(_atlas(spark, sf), _volumes(spark, sf), R, FWHM, ["subject"], BOX)
+    return S.region_series(_atlas(spark, sf), stored(_volumes(spark, sf)), R, FWHM, ["subject"], BOX)
 
 
 @register("sig_region_series", rounded(_series_sql() + "\nSELECT * FROM series3", ["value"]))
