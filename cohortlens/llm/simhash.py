@@ -1,17 +1,20 @@
 """SimHash near-deduplication with BK-trees.
 
-The distinct fingerprints are dealt into shards: their 64 bits form four
-blocks, and two fingerprints that differ in at most two bits agree in at least
-two blocks, so each of the six pairs of blocks is a table and the 32 bits of a
-pair are the shard key.  A shard is a BK-tree: every node is a fingerprint, its
-children are keyed by their Hamming distance to it.  Trees and queries go to the
-task of their key instead of being broadcast, as no bound on all trees together
-holds at any scale.  A query at distance d of a node follows only the edges from
-d - radius to d + radius.  All trees of a task are built and searched together,
-level by level, in numpy; the links found are reduced at once to spanning stars,
-so a group of many near copies never becomes all its pairs.  Components come
-from alternating large-star and small-star steps on Spark; neither links nor
-fingerprints go to the driver.
+The distinct fingerprints are dealt into shards.  Two that differ in at most r
+bits agree in one of r + 1 blocks of bits, so each block is a table, sorted by
+the block's value and cut into ranges of some ten thousand rows that never part
+equal values.  Every range is one BK-tree: a node is a fingerprint, its
+children are keyed by their Hamming distance to it.  A query at distance d of a
+node follows only the edges from d - radius to d + radius, so it meets a small
+part of its tree; the tree of its own range in each table holds all that can be
+within the radius.  Trees and queries meet in the task of their range instead
+of being broadcast, as no bound on all trees together holds at any scale.  A
+block value with more rows than a tree should have is dealt again by the
+blocks of its other bits.  Trees are built and searched level by level in
+numpy; the links found are reduced at once to spanning stars, so a group of
+many near copies never becomes all its pairs.  Components come from alternating
+large-star and small-star steps on Spark; neither links nor fingerprints go to
+the driver.
 
 Edge cases: NULL text is empty; a text without words has fingerprint zero and
 is linked like any other; exact copies and repeated rows share a fingerprint;
@@ -22,7 +25,6 @@ empty results.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -83,7 +85,8 @@ class BKForest:
     """BK-trees over distinct values, one for each group; node i is value i."""
 
     def __init__(self, values: np.ndarray, group: np.ndarray):
-        """``group`` is sorted and numbered from 0."""
+        """``group`` is sorted and numbered from 0; ``visited`` counts the nodes that queries meet."""
+        self.visited = 0
         self.values = values = np.ascontiguousarray(values).view(np.uint64)      # bits of a signed number count by its absolute value
         parent, edge = np.full(len(values), -1, np.int64), np.zeros(len(values), np.int64)
         items, cell = np.arange(len(values)), group
@@ -113,6 +116,7 @@ class BKForest:
                 if len(query) > block:
                     waiting.append((query[block:], node[block:]))
                     query, node = query[:block], node[:block]
+                self.visited += len(query)
                 d = np.bitwise_count(self.values[query] ^ self.values[node]).astype(np.int64)
                 near = (d <= radius) & (query != node)
                 if near.any():
@@ -140,34 +144,45 @@ def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _shard_links(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
-        if not rows:
+        found = [b.column("fp").to_numpy(zero_copy_only=False) for b in batches if b.num_rows]
+        if not found:
             return
-        table, key, fp = (np.concatenate(c) for c in zip(*rows))
-        by = np.lexsort((fp, key, table))
-        table, key, fp = table[by], key[by], fp[by]
-        new = np.ones(len(fp), bool)
-        new[1:] = (table[1:] != table[:-1]) | (key[1:] != key[:-1])
-        group = np.cumsum(new) - 1
-        forest, label = BKForest(fp, group), np.arange(len(fp))
-        for a, b in forest.links(group, radius):
+        fp = np.unique(np.concatenate(found))
+        one = np.zeros(len(fp), np.int64)
+        forest, label = BKForest(fp, one), np.arange(len(fp))
+        for a, b in forest.links(one, radius):
             label = _merge(label, a, b)
         linked = np.flatnonzero(label != np.arange(len(fp)))
         yield pa.RecordBatch.from_arrays([pa.array(fp[linked]), pa.array(fp[label[linked]])], ["u", "v"])
     return run
 
 
-def fingerprint_links(distinct: DataFrame, radius: int, part_rows: int = 500_000) -> DataFrame:
+def _masks(bits: list[int], parts: int) -> list[int]:
+    """``bits`` dealt into neighbouring blocks, as signed 64-bit masks."""
+    cuts = [len(bits) * i // parts for i in range(parts + 1)]
+    masks = [sum(1 << b for b in bits[x:y]) for x, y in zip(cuts, cuts[1:])]
+    return [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
+
+
+def fingerprint_links(distinct: DataFrame, radius: int, part_rows: int = 32_768) -> DataFrame:
     """Spanning links (u, v) between the distinct values of column ``fp`` within the radius."""
-    blocks = radius + 2
-    edges = [64 * i // blocks for i in range(blocks + 1)]
-    masks = [sum(((1 << (edges[b + 1] - edges[b])) - 1) << edges[b] for b in pair) for pair in combinations(range(blocks), 2)]
-    signed = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
-    keys = F.array(*(F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k")) for t, m in enumerate(signed)))
-    rows = distinct.select("fp", F.explode(keys).alias("x")).select("x.t", "x.k", "fp")
-    n = max(1, -(-distinct.count() * len(masks) // part_rows))
+    parts = radius + 1
+    first = _masks(list(range(64)), parts)
+    second = [_masks([b for b in range(64) if not (m >> b) & 1], parts) for m in first]
+
+    def values(masks):
+        return F.array(*(F.struct(F.lit(n).alias("n"), F.col("fp").bitwiseAND(F.lit(m)).alias("v")) for n, m in enumerate(masks)))
+
+    rows = distinct.select("fp", F.explode(values(first)).alias("x")).select("fp", F.col("x.n").alias("t"), F.col("x.v").alias("k"))
+    hot = rows.groupBy(F.col("t").alias("ht"), F.col("k").alias("hk")).count().where(F.col("count") > part_rows)
+    rows = rows.join(hot, (F.col("t") == F.col("ht")) & (F.col("k") == F.col("hk")), "left")
+    again = F.coalesce(*(F.when(F.col("t") == t, values(masks)) for t, masks in enumerate(second)))
+    whole = F.array(F.struct(F.lit(-1).alias("n"), F.lit(0).cast("long").alias("v")))
+    keyed = rows.select("fp", "t", "k", F.explode(F.when(F.col("count").isNull(), whole).otherwise(again)).alias("x"))
+    n = max(1, -(-distinct.count() * parts // part_rows))
     n = max(n, min(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), 64))
-    return rows.repartition(n, "t", "k").mapInArrow(_shard_links(radius), "u long, v long")
+    ranges = keyed.select("fp", "t", F.col("x.n").alias("n"), "k", F.col("x.v").alias("v")).repartitionByRange(n, "t", "n", "k", "v")
+    return ranges.select("fp").mapInArrow(_shard_links(radius), "u long, v long")
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:

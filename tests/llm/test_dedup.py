@@ -231,3 +231,48 @@ def test_bk_links_and_components(spark):
     chain = spark.createDataFrame([(i + 1, i) for i in range(200)] + [(900, 901)], "u long, v long")
     got = {r["node"]: r["root"] for r in simhash.components(chain).collect()}
     assert got == {**{i: 0 for i in range(201)}, 900: 900, 901: 900}
+
+
+def _clusters(found):
+    root = {}
+
+    def top(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+    for u, v in found:
+        a, b = top(u), top(v)
+        root[max(a, b)] = min(a, b)
+    return {x: top(x) for x in list(root)}
+
+
+@pytest.mark.parametrize("part_rows,radius", [(32_768, 2), (40, 2), (40, 1), (40, 3)])
+def test_fingerprint_links_with_small_and_large_trees(spark, part_rows, radius):
+    """Also block values with more rows than a tree should have: a group that shares most of its bits."""
+    from cohortlens.llm.simhash import fingerprint_links
+    rng = np.random.default_rng(3)
+    far = rng.integers(-2**63, 2**63 - 1, 300)
+    middle = rng.integers(-2**63, 2**63 - 1)
+    near = [int(middle)]
+    for _ in range(250):
+        flip = 0
+        for b in rng.choice(64, rng.integers(1, 5), replace=False):
+            flip |= 1 << int(b)
+        near.append(int(np.uint64(near[rng.integers(len(near))] & (2**64 - 1)) ^ np.uint64(flip)))
+    fp = np.unique(np.array([*far.tolist(), *(v - 2**64 if v >= 2**63 else v for v in near)], np.int64))
+    df = spark.createDataFrame([(int(v),) for v in fp], "fp long")
+    got = _clusters((r.u, r.v) for r in fingerprint_links(df, radius, part_rows).collect())
+    u = fp.view(np.uint64)
+    d = np.bitwise_count(u[:, None] ^ u[None, :])
+    a, b = np.nonzero(np.triu(d <= radius, 1))
+    want = _clusters(zip(fp[a].tolist(), fp[b].tolist()))
+    assert got == want and len(want) > 20
+
+
+def test_a_query_meets_a_small_part_of_its_tree():
+    from cohortlens.llm.simhash import BKForest
+    fp = np.unique(np.random.default_rng(4).integers(-2**63, 2**63 - 1, 20_000))
+    one = np.zeros(len(fp), np.int64)
+    forest = BKForest(fp, one)
+    list(forest.links(one, 2))
+    assert forest.visited < 0.1 * len(fp) ** 2
