@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import fisher_z, safe_div
+from cohortlens.operators.long_series import BLOCK_POINTS, band_pass_long, split_by_length
 from cohortlens.operators.pieces import (NEGLIGIBLE, PIECE_POINTS, ROUNDING, by_series, correlation, regress,
                                          shrunk_correlation)
 from cohortlens.session import stored
@@ -140,14 +141,17 @@ def _in_band(x: np.ndarray, tr: float, low: float, high: float) -> np.ndarray:
 
 
 def band_pass(df: DataFrame, series_keys: Sequence[str], tr: float, low: float = 0.01, high: float = 0.1,
-              value: str = "value", t: str = "t") -> DataFrame:
+              value: str = "value", t: str = "t", whole_points: int = BLOCK_POINTS) -> DataFrame:
     """SIG5: keep only the cosine (DCT) components with frequency in [low, high] Hz.
 
     Projection form of a band-pass filter: one transform per series, T·log T and
     no basis table.  The time points of a series are taken as
-    equally spaced in the order of ``t``; a missing value counts as 0."""
-    return by_series(df, series_keys, t, value,
-                     lambda x: _in_band(np.nan_to_num(x)[:, None], tr, low, high)[:, 0])
+    equally spaced in the order of ``t``; a missing value counts as 0.  A series of
+    more than ``whole_points`` is transformed in blocks over several tasks."""
+    df, long = split_by_length(df, series_keys, whole_points)
+    out = by_series(df, series_keys, t, value,
+                    lambda x: _in_band(np.nan_to_num(x)[:, None], tr, low, high)[:, 0])
+    return out if long is None else out.unionByName(band_pass_long(long, series_keys, tr, low, high, value, t))
 
 
 # ---------------------------------------------------------------- correlation

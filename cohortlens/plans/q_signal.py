@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cohortlens.operators import long_series as LS
 from cohortlens.operators import signal as S
 from cohortlens.plans import connectome as CN
 from cohortlens.plans.registry import register, rounded
@@ -91,6 +92,12 @@ def q_band_pass(spark, sf):
     return S.band_pass(_series_t(spark, sf), ["subject"], TR).select("subject", "event_id", "t", "value")
 
 
+@register("sig_band_pass_blocks", _BP_SQL)
+def q_band_pass_blocks(spark, sf):
+    """SIG5 by the transform of long series: every series in blocks of at most 256 numbers."""
+    return LS.band_pass_long(_series_t(spark, sf), ["subject"], TR, block_points=256).select("subject", "event_id", "t", "value")
+
+
 # ---------------------------------------------------------------- connectivity
 
 @register("agg_correlation", rounded(with_views(CN.corr_sql("signal"), "signal"), ["r"]))
