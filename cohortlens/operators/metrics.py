@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions import safe_corr, safe_div
+from cohortlens.operators.ranking import join_slices, range_slices
 
 # fixed values: metric names accepted in the long form, in the order their
 # prefixes are removed from column names ("pearsonr2_" before "r2_")
@@ -190,35 +191,66 @@ def compare_distributions(df: DataFrame, m1_col: str, m2_col: str,
     return g.agg(*aggs)
 
 
+def ranked_values(df: DataFrame, value_col: str, group_cols: Sequence[str]) -> DataFrame:
+    """The distinct values of each group with their number ``__n``, the number of values up to
+    and with them ``__upto`` and the group's number of values ``n``.
+
+    Equal values are counted first (map-side); the distinct ones are range-partitioned, so a
+    group of any size is spread over the partitions.  NULL values count 0."""
+    group = list(group_cols)
+    v = F.col(value_col)
+    counts = df.select(*group, v.alias("__v")).groupBy(*group, "__v").agg(F.count("__v").alias("__n"))
+    parts = range_slices(counts, group, ["__v"])
+    slices = parts.groupBy("__pid", *group).agg(F.sum("__n").alias("__c"))
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.select("__pid", *group, F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__off"),
+                           F.sum("__c").over(whole).alias("n"))
+    running = F.sum("__n").over(Window.partitionBy("__pid", *group).orderBy("__v"))
+    return join_slices(parts.withColumn("__run", running), slices, group).select(
+        *group, "__v", "__n", (F.col("__off") + F.col("__run")).alias("__upto"), "n")
+
+
+def percentiles_by_group(ranked: DataFrame, group_cols: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    """Exact percentiles (linear interpolation) of all groups of ``ranked_values`` in one aggregate."""
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((rank < F.col("__upto")) & (rank >= F.col("__upto") - F.col("__n")), F.col("__v")))
+
+    def place(p: float) -> Column:
+        return F.lit(p) * (F.col("n") - 1)
+
+    both = [c for name, p in probs.items() for c in (value_at(F.floor(place(p))).alias(f"__lo_{name}"),
+                                                     value_at(F.ceil(place(p))).alias(f"__hi_{name}"))]
+    found = ranked.groupBy(*group_cols, "n").agg(*both)
+
+    def between(name: str, p: float) -> Column:
+        lo, hi = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
+        return F.when(lo == hi, lo).otherwise((F.ceil(place(p)) - place(p)) * lo + (place(p) - F.floor(place(p))) * hi)
+
+    return found.select(*group_cols, "n", *[between(name, p).alias(name) for name, p in probs.items()])
+
+
 def box_summary(df: DataFrame, value_col: str, group_cols: Sequence[str] = ("target", "modality"),
-                max_over: Sequence[str] = ("target",), whisker: float = 1.5,
-                approx: bool = False) -> DataFrame:
+                max_over: Sequence[str] = ("target",), whisker: float = 1.5) -> DataFrame:
     """Box-plot numbers per group: quartiles (linear interpolation), whiskers at
     the most extreme values within ``whisker``·IQR of the box, outlier count,
     the median label rounded to 2 and the largest median within ``max_over``.
 
-    Exact percentiles keep a group's distinct values in memory; metric tables
-    hold one row per fitted model so that is bounded.  ``approx=True`` uses
-    ``percentile_approx`` for unbounded inputs.
+    ``df`` is read once; a group may have any number of values.  A group without
+    values has n = 0 and NULL numbers; groups with a NULL key are left out.
     """
     group_cols = list(group_cols)
-    v = F.col(value_col)
-    if approx:
-        q = F.percentile_approx(v, [0.25, 0.5, 0.75], 10000)
-    else:
-        q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    quart = df.groupBy(*group_cols).agg(q.alias("__q"), F.count(v).alias("n")).select(
-        *group_cols, "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
-        F.col("__q")[2].alias("q3"))
+    ranked = ranked_values(df, value_col, group_cols)
+    quart = percentiles_by_group(ranked, group_cols, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     quart = quart.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_f = F.col("q1") - whisker * F.col("iqr")
     hi_f = F.col("q3") + whisker * F.col("iqr")
-    joined = df.select(*group_cols, v.alias("__v")).join(quart, group_cols)
+    joined = ranked.drop("n").join(quart, group_cols)
     x = F.col("__v")
     wk = joined.groupBy(*group_cols).agg(
         F.min(F.when(x >= lo_f, x)).alias("whisker_lo"),
         F.max(F.when(x <= hi_f, x)).alias("whisker_hi"),
-        F.sum(F.when((x < lo_f) | (x > hi_f), 1).otherwise(0)).cast("bigint").alias("n_outliers"))
+        F.sum(F.when((x < lo_f) | (x > hi_f), F.col("__n")).otherwise(0)).cast("bigint").alias("n_outliers"))
     res = quart.join(wk, group_cols)
     mx = res.groupBy(*max_over).agg(F.max("median").alias("max_median"))
     return res.join(mx, list(max_over)).select(

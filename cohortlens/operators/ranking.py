@@ -33,7 +33,7 @@ def range_slices(df: DataFrame, group: Sequence[str], order: Sequence[str | Colu
     return r.checkpoint()
 
 
-def _join_slices(rows: DataFrame, per_slice: DataFrame, group: Sequence[str], how: str = "inner") -> DataFrame:
+def join_slices(rows: DataFrame, per_slice: DataFrame, group: Sequence[str], how: str = "inner") -> DataFrame:
     """Join the table of slices to the rows; a NULL in a group column equals NULL."""
     names = {g: f"__g{i}" for i, g in enumerate(group)}
     other = per_slice.withColumnsRenamed({"__pid": "__p", **names})
@@ -53,7 +53,7 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Colum
     cnt = r.groupBy("__pid", *group).agg(F.max("__lr").alias("__c"))
     prev = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     off = cnt.withColumn("__off", F.coalesce(F.sum("__c").over(prev), F.lit(0))).drop("__c")
-    return (_join_slices(r, off, group).withColumn(name, F.col("__off") + F.col("__lr"))
+    return (join_slices(r, off, group).withColumn(name, F.col("__off") + F.col("__lr"))
             .drop("__pid", "__lr", "__off"))
 
 
@@ -70,7 +70,7 @@ def lag_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Column
                                                                              for v in values]))
     prev = Window.partitionBy(*group).orderBy("__pid")
     carry = last.select("__pid", *group, *[F.lag(f"__last_{v}").over(prev).alias(f"__carry_{v}") for v in values])
-    out = _join_slices(r, carry, group, "left")
+    out = join_slices(r, carry, group, "left")
     for v in values:
         out = out.withColumn(v + suffix, F.when(F.col("__lr") == 1, F.col(f"__carry_{v}")).otherwise(
             F.col(v + suffix)))
