@@ -31,6 +31,8 @@ from cohortlens.session import stored
 CONFOUNDS_9P = ["csf", "white_matter", "global_signal",
                 "trans_x", "trans_y", "trans_z", "rot_x", "rot_y", "rot_z"]
 
+POINTS_HELD = 100_000        # points up to which a sphere join broadcasts them
+
 FWHM_TO_SIGMA = 2.0 * math.sqrt(2.0 * math.log(2.0))  # 2.3548...
 
 
@@ -280,26 +282,35 @@ def symmetry_violations(edges: DataFrame, keys: Sequence[str], value: str = "r",
 # ---------------------------------------------------------------- spheres (geometry)
 
 def sphere_members(roi: DataFrame, points: DataFrame, radius: float, coords: Sequence[str] = ("x", "y", "z"),
-                   point_keys: Sequence[str] = ()) -> DataFrame:
-    """JOIN10: (roi, point) pairs with squared distance <= radius².
+                   how: str = "inner") -> DataFrame:
+    """JOIN10: (roi, point) pairs with squared distance <= radius²; with ``how`` 'left_semi' the regions
+    with a point (possibly repeated).
 
     Grid-cell equi-join instead of a nested loop: points are bucketed into
     cubes of side ``radius``; each ROI centre looks at its 27 neighbouring cubes.
     Every candidate pair is checked exactly, so the result equals the range join.
+    The planner's estimate leaves out the 27 copies of a centre, so the join is fixed here: the points are
+    broadcast if they are few, else both sides are shuffled; the centres are never broadcast.
     """
-    cx, cy, cz = coords
+    points = stored(points)             # counted, then joined
     cell = [F.floor(F.col(c) / radius).cast("bigint") for c in coords]
     pts = points.select("*", *[c.alias(f"__c{k}") for k, c in enumerate(cell)])
+    few = points.limit(POINTS_HELD + 1).count() <= POINTS_HELD
+    pts = F.broadcast(pts) if few else pts.hint("merge")
     offs = F.array(*[F.lit(d) for d in (-1, 0, 1)])
     r = roi.select(F.col("roi"), *[F.col(c).alias(f"__r{c}") for c in coords],
                    *[c.alias(f"__rc{k}") for k, c in enumerate(cell)])
+    if few:                             # a small file of centres is one task, its pairs are not small
+        r = r.repartition(max(int(roi.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1))
     r = (r.withColumn("__d0", F.explode(offs)).withColumn("__d1", F.explode(offs))
          .withColumn("__d2", F.explode(offs)))
     r = r.select("roi", *[f"__r{c}" for c in coords],
-                 *[(F.col(f"__rc{k}") + F.col(f"__d{k}")).alias(f"__c{k}") for k in range(3)])
-    j = r.join(pts, ["__c0", "__c1", "__c2"])
+                 *[(F.col(f"__rc{k}") + F.col(f"__d{k}")).alias(f"__n{k}") for k in range(3)])
     d2 = sum(((F.col(c) - F.col(f"__r{c}")) * (F.col(c) - F.col(f"__r{c}")) for c in coords), F.lit(0.0))
-    return j.filter(d2 <= radius * radius).drop("__c0", "__c1", "__c2", *[f"__r{c}" for c in coords])
+    near = d2 <= radius * radius
+    for k in range(3):
+        near = near & (F.col(f"__n{k}") == F.col(f"__c{k}"))
+    return r.join(pts, near, how).select("roi", *(points.columns if how == "inner" else []))
 
 
 def roi_means(roi: DataFrame, voxels: DataFrame, radius: float, value: str = "value",
@@ -307,12 +318,16 @@ def roi_means(roi: DataFrame, voxels: DataFrame, radius: float, value: str = "va
     """AGG17: mean value over the voxels inside each ROI sphere (per keys).
 
     Voxels are first reduced to one row per (keys, coordinate) with sum and
-    count, so the sphere join touches distinct coordinates only.
+    count, so the sphere join touches distinct coordinates only; without keys
+    these rows are the points of the join.
     """
     pre = voxels.groupBy(*keys, *coords).agg(F.sum(value).alias("__s"), F.count(value).alias("__n"))
-    geo = pre.select(*coords).distinct()
-    mem = sphere_members(roi, geo, radius, coords)
-    j = pre.join(mem, list(coords))
+    if keys:
+        pre = stored(pre)
+        mem = sphere_members(roi, pre.select(*coords).distinct(), radius, coords)
+        j = pre.join(mem, list(coords))
+    else:
+        j = sphere_members(roi, pre, radius, coords)
     return j.groupBy(*keys, "roi").agg(F.sum("__n").cast("bigint").alias("n_voxels"),
                                       safe_div(F.sum("__s"), F.sum("__n").cast("double")).alias(value))
 
@@ -321,7 +336,7 @@ def empty_rois(roi: DataFrame, voxels: DataFrame, radius: float,
                coords: Sequence[str] = ("x", "y", "z")) -> DataFrame:
     """SIG6: ROIs whose sphere holds no voxel (left anti join with JOIN10)."""
     geo = voxels.select(*coords).distinct()
-    mem = sphere_members(roi, geo, radius, coords).select("roi").distinct()
+    mem = sphere_members(roi, geo, radius, coords, "left_semi").distinct()
     return roi.join(mem, "roi", "left_anti")
 
 
