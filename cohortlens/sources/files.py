@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from cohortlens.operators import checks as C
 from cohortlens.operators.tidy import session_map
+from cohortlens.sources.sinks import FILE_START
 
 # fixed values: path entity patterns (BIDS-style names)
 ENTITY_PATTERNS = {
@@ -33,6 +34,14 @@ def path_col() -> Column:
     return F.col("_metadata.file_path")
 
 
+def bundled_files(records: DataFrame) -> DataFrame:
+    """(path, value) of the files in a bundle, from rows read with ``lineSep`` FILE_START.  Further columns are passed through."""
+    name = F.substring_index("value", "\n", 1)
+    further = [c for c in records.columns if c != "value"]
+    return records.filter(F.length("value") > 0).select(
+        *further, name.alias("path"), F.substring("value", F.length(name) + 2, F.length("value")).alias("value"))
+
+
 def parse_entities(path: Column, default_run: int = 1) -> list[Column]:
     """SRC6: subject, session, task, run (missing -> default), suffix, ext from a path.
 
@@ -84,16 +93,22 @@ def read_selected_sessions(spark: SparkSession, path: str) -> DataFrame:
 # ---------------------------------------------------------------- SRC3
 
 def read_confounds(spark: SparkSession, path: str, columns: Sequence[str], null_value: str = "n/a",
-                   key_cols: Sequence[str] = ("subject", "session", "task", "run")) -> DataFrame:
-    """SRC3: tab-separated confound tables, one file per run, header line first.
+                   key_cols: Sequence[str] = ("subject", "session", "task", "run"), bundled: bool = False) -> DataFrame:
+    """SRC3: tab-separated confound tables, one file per run, header line first; ``bundled``: many
+    such files in each text file below ``path``.
 
     Row order matters (it is time), and Spark rows have none, so each file is
     read whole (a run's table is small) and its lines are numbered: ``t`` is
     the 0-based line index after the header.  ``null_value`` and NaN -> NULL.
     """
-    files = spark.read.text(path, wholetext=True).select(path_col().alias("path"), "value")
-    rows = files.select("path", F.split(F.regexp_replace("value", r"\r", ""), "\n").alias("ls"))
-    body = rows.select("path", F.split(F.get("ls", 0), "\t").alias("hdr"), F.posexplode("ls").alias("ln", "line"))
+    if bundled:
+        files = bundled_files(spark.read.text(path, lineSep=FILE_START))
+    else:
+        files = spark.read.text(path, wholetext=True).select(path_col().alias("path"), "value")
+    # the path is looked at once per file, not per line
+    rows = files.select(*parse_entities(F.col("path")), F.split(F.regexp_replace("value", r"\r", ""), "\n").alias("ls"))
+    ents = [c for c in rows.columns if c != "ls"]
+    body = rows.select(*ents, F.split(F.get("ls", 0), "\t").alias("hdr"), F.posexplode("ls").alias("ln", "line"))
     body = body.filter((F.col("ln") > 0) & (F.length("line") > 0))
     cells = F.split("line", "\t")
     cols = []
@@ -102,9 +117,7 @@ def read_confounds(spark: SparkSession, path: str, columns: Sequence[str], null_
         raw = F.when(pos > 0, F.element_at(cells, pos.cast("int")))
         v = F.when(raw == F.lit(null_value), F.lit(None)).otherwise(raw).cast("double")
         cols.append(F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v).alias(c))
-    ents = parse_entities(F.col("path"))
-    out = body.select("path", *ents, (F.col("ln") - 1).cast("bigint").alias("t"), *cols)
-    return out.select(*key_cols, "t", *columns)
+    return body.select(*key_cols, (F.col("ln") - 1).cast("bigint").alias("t"), *cols)
 
 
 # ---------------------------------------------------------------- SRC4, SRC5
@@ -114,7 +127,7 @@ ASEG_COLUMNS = {"struct": 4, "Volume_mm3": 3}
 APARC_COLUMNS = {"struct": 0, "GrayVol": 3, "ThickAvg": 4}
 
 
-def read_stats_text(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
+def read_stats_text(spark: SparkSession, path: str, kind: str | None = None, bundled: bool = False) -> DataFrame:
     """SRC4/SRC5: segmentation statistics text files -> long
     (subject, hemi, kind, struct, measure, value).
 
@@ -123,9 +136,12 @@ def read_stats_text(spark: SparkSession, path: str, kind: str | None = None) ->
     * table rows (non-comment) are split on whitespace; aseg files give
       Volume_mm3 per structure, aparc files GrayVol and ThickAvg.
     ``kind`` is 'aseg' or 'aparc' from the file name unless given, ``hemi``
-    lh/rh (or NULL).
+    lh/rh (or NULL).  ``bundled``: many such files in each text file below ``path``.
     """
-    lines = spark.read.text(path).select(path_col().alias("path"), F.col("value").alias("line"))
+    if bundled:
+        lines = bundled_files(spark.read.text(path, lineSep=FILE_START)).select("path", F.explode(F.split("value", "\n")).alias("line"))
+    else:
+        lines = spark.read.text(path).select(path_col().alias("path"), F.col("value").alias("line"))
     return parse_stats_lines(lines, kind)
 
 

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+FILE_START = "\x1e"          # the record separator: begins a file in a bundle of text files
+
 
 def _writer(df: DataFrame, partition_by: Sequence[str]):
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -36,6 +38,32 @@ def write_edges(edges: DataFrame, path: str) -> None:
     _writer(edges, ["subject"]).parquet(path)
 
 
+def _file_start(file) -> Column:
+    return F.concat(F.lit(FILE_START), F.coalesce(file, F.lit("")))
+
+
+def _file_line(line) -> Column:
+    return F.when(F.contains(line, F.lit(FILE_START)), F.raise_error(F.lit("a line holds the mark of a file"))).otherwise(line)
+
+
+def write_bundled_files(files: DataFrame, path: str) -> None:
+    """Text files (file, lines array), many in one part file: the mark ``FILE_START`` and the
+    name, then the lines.  A tree of a folder per subject costs several file operations each,
+    most of them on the driver; ``sources.files`` reads both forms."""
+    body = F.array_join("lines", "\n")
+    files.select(F.concat(_file_start(F.col("file")), F.lit("\n"), _file_line(body))).write.mode("overwrite").text(path)
+
+
+def write_bundled_lines(lines: DataFrame, path: str, header: str | None = None) -> None:
+    """``write_bundled_files`` from rows (file, o, line): each file's lines by ``o``, never held together."""
+    rows = lines.select(F.coalesce("file", F.lit("")).alias("file"), F.col("o").cast("long").alias("o"), _file_line(F.col("line")).alias("line"))
+    start = _file_start(F.col("file"))
+    heads = rows.select("file").distinct().select("file", F.lit(None).cast("long").alias("o"), (
+        F.concat(start, F.lit("\n" + header)) if header is not None else start).alias("line"))
+    (rows.unionByName(heads).repartition("file").sortWithinPartitions("file", F.asc_nulls_first("o")).select("line")
+     .write.mode("overwrite").text(path))
+
+
 def write_excluded_rois(excluded: DataFrame, path: str) -> None:
     """SNK3: {run: {roi: [x, y, z]}} per (subject, session) as JSON lines."""
     per_run = excluded.groupBy("subject", "session", "run").agg(

@@ -19,22 +19,28 @@ from pyspark.sql import functions as F
 from cohortlens.operators import structural as ST
 from cohortlens.session import scratch_path
 from cohortlens.sources import files as SRC
+from cohortlens.sources.sinks import FILE_START
 
 STORE_SCHEMA = ("subject string, session string, modified timestamp, path string, hemi string, kind string, "
                 "struct string, measure string, value double, batch string")
 
 
 def run_incremental_features(spark: SparkSession, stats_glob: str, out_path: str, checkpoint: str | None = None,
-                             kind: str | None = None, max_files_per_trigger: int = 1000) -> int:
-    """Parse every statistics file not seen before into the store; returns the number of batches."""
+                             kind: str | None = None, max_files_per_trigger: int = 1000, bundled: bool = False) -> int:
+    """Parse every statistics file not seen before into the store; returns the number of batches.
+    ``bundled``: each text file holds many statistics files, which are picked up with it."""
     checkpoint = checkpoint or scratch_path(spark, "incremental-features-ckpt")
-    path = F.col("_metadata.file_path")
-    session = F.nullif(F.regexp_extract(path, SRC.ENTITY_PATTERNS["session"], 1), F.lit(""))
-    lines = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
-             .load(stats_glob)
-             .select(path.alias("path"), path.alias("file"), F.col("value").alias("line"),
-                     F.coalesce(session, F.lit("s1")).alias("session"),
-                     F.col("_metadata.file_modification_time").alias("modified")))
+    texts = spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
+    texts = (texts.option("lineSep", FILE_START) if bundled else texts).load(stats_glob).select(
+        "value", SRC.path_col().alias("file"), F.col("_metadata.file_modification_time").alias("modified"))
+    if bundled:
+        files = SRC.bundled_files(texts)
+        lines = files.select("path", F.concat_ws("!/", "file", "path").alias("file"), "modified",
+                             F.explode(F.split("value", "\n")).alias("line"))
+    else:
+        lines = texts.select(F.col("file").alias("path"), "file", "modified", F.col("value").alias("line"))
+    session = F.nullif(F.regexp_extract("path", SRC.ENTITY_PATTERNS["session"], 1), F.lit(""))
+    lines = lines.withColumn("session", F.coalesce(session, F.lit("s1")))
     batches = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
