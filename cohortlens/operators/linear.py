@@ -15,6 +15,7 @@ driver nor a broadcast holds the parameters of all splits.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -23,13 +24,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.session import ensure_checkpoint_dir, stored_table
+from cohortlens.session import stored_table
 
 # fixed values: 100 ridge penalties, log-spaced from 1e-3 to 1e5
 RIDGE_ALPHAS = np.logspace(-3, 5, 100)
 
 PIECES = 32                 # pieces of a split that are summarised or joined apart
 ROWS_PER_PIECE = 20_000     # rows of a split in one grouped step of the leave-one-out errors
+LOO_ROWS = 4096             # of them at a time
 
 MOMENTS_SCHEMA = ("split int, n long, mx array<double>, my array<double>, cxx array<double>, "
                   "cxy array<double>, cyy array<double>")
@@ -64,28 +66,54 @@ def _stack(col: pd.Series) -> np.ndarray:
     return np.array([np.asarray(v, dtype=float) if v is not None else np.array([], dtype=float) for v in col])
 
 
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Rows of an array column of any width, gaps as NaN."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return _dense(column, len(column.flatten()) // len(column)) if len(column) else np.zeros((0, 0))
+
+
+def _by_split(batch: pa.RecordBatch, *columns: str) -> Iterator[tuple]:
+    """(split, matrix of each column) of the splits in a batch."""
+    splits, values = batch.column("split").to_numpy(), [_matrix(batch.column(c)) for c in columns]
+    for s in np.unique(splits):
+        yield int(s), *[v[splits == s] for v in values]
+
+
 # ---------------------------------------------------------------- imputation (ML2)
 
+def gap_columns(rows: DataFrame, x_col: str = "x") -> list[int]:
+    """Positions of the x columns with a gap, at most one number per column and partition."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(0, bool)
+        for batch in batches:
+            gap = np.isnan(_matrix(batch.column(0))).any(0)
+            seen = gap | seen if len(seen) else gap
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen), pa.int32())], ["j"])
+
+    return sorted(r["j"] for r in rows.select(x_col).mapInArrow(part, "j int").distinct().collect())
+
+
 def column_means(rows: DataFrame, x_col: str = "x") -> DataFrame:
     """Per split: mean of every x column over non-NULL entries, and whether
     the column had any NULL (split, mean array, any_missing array)."""
 
-    def part(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc: dict[int, list] = {}
-        for pdf in it:
-            for s, g in pdf.groupby("split"):
-                X = np.array([[np.nan if v is None else v for v in row] for row in g[x_col]], dtype=float)
+        for batch in batches:
+            for s, X in _by_split(batch, x_col):
                 ok = ~np.isnan(X)
-                a = acc.setdefault(int(s), [np.zeros(X.shape[1]), np.zeros(X.shape[1]), 0])
+                a = acc.setdefault(s, [np.zeros(X.shape[1]), np.zeros(X.shape[1]), 0])
                 a[0] += np.where(ok, X, 0.0).sum(0)
                 a[1] += ok.sum(0)
                 a[2] += X.shape[0]
         if acc:
-            yield pd.DataFrame({"split": list(acc), "s": [v[0].tolist() for v in acc.values()],
-                                "c": [v[1].tolist() for v in acc.values()], "n": [v[2] for v in acc.values()]})
+            yield pa.RecordBatch.from_pydict({
+                "split": pa.array(list(acc), pa.int32()), "s": [v[0].tolist() for v in acc.values()],
+                "c": [v[1].tolist() for v in acc.values()], "n": pa.array([v[2] for v in acc.values()], pa.int64())})
 
     pieces = rows.withColumn("__piece", _piece(rows, F.lit(PIECES), x_col)).repartition("split", "__piece")
-    parts = pieces.select("split", x_col).mapInPandas(part, "split int, s array<double>, c array<double>, n long")
+    parts = pieces.select("split", x_col).mapInArrow(part, "split int, s array<double>, c array<double>, n long")
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         s = _stack(pdf["s"]).sum(0)
@@ -117,26 +145,25 @@ def moments(rows: DataFrame, x_col: str = "x", y_col: str = "y") -> DataFrame:
     """Per split: n, means of x and y, centred Xᵀ X, Xᵀ y, yᵀ y (flattened).
     A gap in x or y is an error: it would spread over the whole split."""
 
-    def part(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc: dict[int, tuple] = {}
-        for pdf in it:
-            for s, g in pdf.groupby("split"):
-                X, Y = _stack(g[x_col]), _stack(g[y_col])
+        for batch in batches:
+            for s, X, Y in _by_split(batch, x_col, y_col):
                 if np.isnan(X).any() or np.isnan(Y).any():
                     raise ValueError(f"split {s}: missing values, impute the columns first")
                 n = X.shape[0]
                 mx, my = X.mean(0), Y.mean(0)
                 Xc, Yc = X - mx, Y - my
                 cur = (n, mx, my, Xc.T @ Xc, Xc.T @ Yc, (Yc * Yc).sum(0))
-                acc[int(s)] = _chan(acc[int(s)], cur) if int(s) in acc else cur
-        out = []
-        for s, (n, mx, my, cxx, cxy, cyy) in acc.items():
-            out.append((s, n, mx.tolist(), my.tolist(), cxx.ravel().tolist(), cxy.ravel().tolist(), cyy.tolist()))
-        if out:   # an empty partition yields nothing
-            yield pd.DataFrame(out, columns=["split", "n", "mx", "my", "cxx", "cxy", "cyy"])
+                acc[s] = _chan(acc[s], cur) if s in acc else cur
+        if acc:   # an empty partition yields nothing
+            arrays = [[v[i].ravel() for v in acc.values()] for i in range(1, 6)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(acc), pa.int32()), pa.array([v[0] for v in acc.values()], pa.int64()),
+                 *[pa.array(a, pa.list_(pa.float64())) for a in arrays]], ["split", "n", "mx", "my", "cxx", "cxy", "cyy"])
 
     pieces = rows.withColumn("__piece", _piece(rows, F.lit(PIECES), x_col)).repartition("split", "__piece")
-    parts = pieces.select("split", x_col, y_col).mapInPandas(part, MOMENTS_SCHEMA)
+    parts = pieces.select("split", x_col, y_col).mapInArrow(part, MOMENTS_SCHEMA)
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         acc = None
@@ -219,11 +246,11 @@ def ridge_cv(train_rows: DataFrame, alphas: Sequence[float] = RIDGE_ALPHAS, x_co
     Returns the coefficients (split, alpha, w array (k·t, row-major), b array
     (t)).  The errors are summed over pieces of at most about
     ``ROWS_PER_PIECE`` rows, each next to its split's parameters; ties of the
-    error take the smaller alpha.  Parameters and coefficients are checkpointed
-    because later steps read them several times."""
-    ensure_checkpoint_dir(train_rows.sparkSession)
+    error take the smaller alpha.  Parameters and coefficients are stored because
+    later steps read them several times, as tables of known size: joins broadcast
+    them only where they are small."""
     alphas = np.asarray(alphas, dtype=float)
-    params = solve_splits(moments(train_rows, x_col, y_col)).checkpoint()
+    params = stored_table(solve_splits(moments(train_rows, x_col, y_col)), "ridge-params")
     counts = F.broadcast(params.select("split", F.ceil(F.col("n") / ROWS_PER_PIECE).alias("__pieces")))  # ints per split
     rows = train_rows.select("split", *(["subject"] if "subject" in train_rows.columns else []), x_col, y_col)
     rows = rows.join(counts, "split")
@@ -231,23 +258,25 @@ def ridge_cv(train_rows: DataFrame, alphas: Sequence[float] = RIDGE_ALPHAS, x_co
     pieces = params.withColumn("piece", F.explode(F.sequence(
         F.lit(0), (F.ceil(F.col("n") / ROWS_PER_PIECE) - 1).cast("int"))))
 
-    def loo(g: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        if g.empty or p.empty:
-            return pd.DataFrame({"split": [], "a": [], "sse": []})
-        n = int(p["n"].iloc[0])
-        mx, my, sd, lam, V, q = _unpack(p.iloc[0])
-        X, Y = _stack(g[x_col]), _stack(g[y_col])
-        U = ((X - mx) / sd) @ V                         # rows x k
-        sse = np.empty(len(alphas))
-        for i, alpha in enumerate(alphas):              # rows x t at a time
-            den = lam + alpha
-            h = 1.0 / n + (U * U) @ (1.0 / den)
-            e = (Y - my - (U / den) @ q) / (1.0 - h)[:, None]
-            sse[i] = (e * e).sum()
-        return pd.DataFrame({"split": int(p["split"].iloc[0]), "a": np.arange(len(alphas)), "sse": sse})
+    def loo(g: pa.Table, p: pa.Table) -> pa.Table:
+        if not g.num_rows or not p.num_rows:
+            return pa.table({"split": pa.array([], pa.int32()), "a": pa.array([], pa.int32()), "sse": pa.array([], pa.float64())})
+        own = SimpleNamespace(**p.slice(0, 1).to_pylist()[0])
+        mx, my, sd, lam, V, q = _unpack(own)
+        X, Y = _matrix(g.column(x_col)), _matrix(g.column(y_col))
+        shrink = 1.0 / (lam[:, None] + alphas)          # k x alphas
+        sse = np.zeros(len(alphas))
+        for at in range(0, len(X), LOO_ROWS):           # rows x alphas, target by target
+            U = ((X[at:at + LOO_ROWS] - mx) / sd) @ V
+            left = 1.0 - (1.0 / own.n + (U * U) @ shrink)
+            for t in range(Y.shape[1]):
+                e = ((Y[at:at + LOO_ROWS, t] - my[t])[:, None] - U @ (q[:, t][:, None] * shrink)) / left
+                sse += (e * e).sum(0)
+        return pa.table({"split": pa.array([own.split] * len(alphas), pa.int32()),
+                         "a": pa.array(np.arange(len(alphas)), pa.int32()), "sse": pa.array(sse)})
 
     sse = (rows.groupBy("split", "piece").cogroup(pieces.groupBy("split", "piece"))
-           .applyInPandas(loo, "split int, a int, sse double").groupBy("split", "a").agg(F.sum("sse").alias("sse")))
+           .applyInArrow(loo, "split int, a int, sse double").groupBy("split", "a").agg(F.sum("sse").alias("sse")))
     best = sse.groupBy("split").agg(F.min(F.struct("sse", "a")).alias("m")).select("split", F.col("m.a").alias("a"))
 
     def weights(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -259,8 +288,13 @@ def ridge_cv(train_rows: DataFrame, alphas: Sequence[float] = RIDGE_ALPHAS, x_co
                 yield pd.DataFrame([(int(r.split), alpha, w.ravel().tolist(), (my - mx @ w).tolist())],
                                    columns=["split", "alpha", "w", "b"])
 
-    return params.join(best, "split").mapInPandas(
-        weights, "split int, alpha double, w array<double>, b array<double>").checkpoint()
+    return stored_table(params.join(best, "split").mapInPandas(
+        weights, "split int, alpha double, w array<double>, b array<double>"), "ridge-weights")
+
+
+def _every(first: int, step: int):
+    """The elements first, first + step, ... of the weights."""
+    return F.filter("w", lambda v, i: (i % step) == first)
 
 
 def predict_linear(rows: DataFrame, coef: DataFrame, n_targets: int, target_names: Sequence[str],
@@ -268,11 +302,11 @@ def predict_linear(rows: DataFrame, coef: DataFrame, n_targets: int, target_name
     """ML11: ŷ_t = b_t + Σ_j x_j·w_jt per row, with the split's coefficients.
 
     The dot products are JVM-side array expressions."""
-    j = join_by_split(rows, coef.select("split", "w", "b"), x_col=x_col)
+    own = [_every(ti, n_targets).alias(f"__w{ti}") for ti in range(n_targets)]
+    j = join_by_split(rows, coef.select("split", "b", *own), x_col=x_col)
     preds = []
     for ti, name in enumerate(target_names):
-        wt = F.filter(F.col("w"), lambda v, i: (i % n_targets) == ti)
-        dot = F.aggregate(F.zip_with(F.col(x_col), wt, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+        dot = F.aggregate(F.zip_with(F.col(x_col), F.col(f"__w{ti}"), lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
         preds.append((F.get(F.col("b"), ti) + dot).alias(f"{name}_pred"))
     return j.select(*[c for c in rows.columns if c not in (x_col, "y")], *preds)
 

@@ -85,10 +85,8 @@ def prepare(rows: DataFrame, pca_block: Sequence[int] | None = None, n_component
             proj = L.pca_transform(rows.withColumn("__blk", sel(blk)), fitted, "__blk", "__pc")
         rows = proj.withColumn("x", F.concat(F.col("__pc"), sel(rest))).drop("__blk", "__pc")
         names = [f"fmri__pca_{i}" for i in range(n_components)] + [names[i] for i in rest]
-    means = L.column_means(rows.filter("role = 'train'"))
-    # positions of the columns with gaps: at most one number per column
-    ind = sorted(r["j"] for r in means.select(F.posexplode("any_missing").alias("j", "gap"))
-                 .filter("gap").select("j").distinct().collect())
+    train = rows.filter("role = 'train'")
+    ind = L.gap_columns(train)
     indicators = [F.when(F.get(F.col("x"), i).isNull(), F.lit(1.0)).otherwise(F.lit(0.0)) for i in ind]
     if imputer == "iterative":
         rows = rows.withColumn("__ind", F.array(*indicators)) if ind else rows
@@ -96,7 +94,7 @@ def prepare(rows: DataFrame, pca_block: Sequence[int] | None = None, n_component
         if ind:
             rows = rows.withColumn("x", F.concat("x", "__ind")).drop("__ind")
     elif imputer == "mean":
-        rows = L.impute_with_indicators(rows, means, ind)
+        rows = L.impute_with_indicators(rows, L.column_means(train), ind)
     else:
         raise ValueError(imputer)
     return rows, names + [f"{names[i]}_missing" for i in ind]
@@ -113,8 +111,8 @@ def learn_ridge(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Se
     Returns DataFrames ``predictions`` (test), ``predictions_training``,
     ``coefficients`` and, if asked for, ``predictions_permuted`` (fit on
     md5-permuted train targets, evaluated against md5-permuted test targets).
+    ``members`` and ``y`` are read several times.
     """
-    members = stored(members)          # read by the design rows and the permutation
     rows = stored(L.design_rows(x, features, y, targets, members))
     rows, names = prepare(rows, pca_block, n_components, features, imputer=imputer)
     rows = stored(rows)
@@ -126,10 +124,10 @@ def learn_ridge(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Se
            "coefficients": coef, "feature_names": names, "rows": rows}
     if permuted:
         # one md5-ordered shuffle of the targets within train and within test
-        perm = SP.permute_within(members, y, list(targets), seed=seed)
+        perm = stored(SP.permute_within(members, y, list(targets), seed=seed))
         perm_y = perm.select("split", "subject", F.array(*[F.col(t).cast("double") for t in targets]).alias("y"))
         # every member has features and permuted targets (``design_rows`` checks it): the outer align adds no gaps
-        rows_p = TD.outer_align(rows.drop("y"), perm_y, ["split", "subject"])
+        rows_p = stored(TD.outer_align(rows.drop("y"), perm_y, ["split", "subject"]))
         coef_p = L.ridge_cv(rows_p.filter("role = 'train'"), alphas)
         pred_p = L.predict_linear(rows_p.filter("role = 'test'"), coef_p, len(targets), targets)
         truth_p = perm.filter("role = 'test'").select("split", "subject", *targets)
@@ -268,20 +266,21 @@ def learning_curve_members(subjects: DataFrame, n_folds: int = 5, sizes: Sequenc
     first int(size·n_train) subjects (subject order) of the fold's train part,
     test = the fold.  Returns (split, size_idx, fold, subject, role).
 
-    One k-fold assignment, one explode over the size × fold grid and one
-    window per synthetic split."""
+    One k-fold assignment and one explode over the size × fold grid: folds are
+    contiguous in subject order, so a row's rank in a fold's train part is its
+    position less the fold, if that lies before it."""
     base = subjects.select(key).withColumn("split", F.lit(0))
-    folded = SP.kfold(base, n_folds, key=key, group=["split"]).select(key, F.col("fold").alias("__own"))
+    folded = SP.kfold(base, n_folds, key=key, group=["split"], place="__p", total="__n").withColumnRenamed("fold", "__own")
     grid = F.array(*[F.struct(F.lit(si).alias("size_idx"), F.lit(f).alias("fold"), F.lit(float(fr)).alias("frac"))
                      for si, fr in enumerate(sizes) for f in range(n_folds)])
     g = folded.withColumn("__g", F.explode(grid)).select(
-        key, "__own", "__g.size_idx", "__g.fold", "__g.frac")
+        key, "__own", "__p", "__n", "__g.size_idx", "__g.fold", "__g.frac")
     g = g.withColumn("split", (F.col("size_idx") * n_folds + F.col("fold")).cast("int"))
     test = g.filter(F.col("__own") == F.col("fold")).withColumn("role", F.lit("test"))
-    tr = g.filter(F.col("__own") != F.col("fold"))
+    size = lambda fold: F.floor(F.col("__n") / n_folds) + F.when(fold < F.col("__n") % n_folds, 1).otherwise(0)
+    rank = F.col("__p") + 1 - F.when(F.col("__own") > F.col("fold"), size(F.col("fold"))).otherwise(0)
     # sizes are fractions of the first fold's training rows, the same for all folds
-    n = tr.filter(F.col("fold") == 0).groupBy("size_idx").agg(F.count(F.lit(1)).alias("__n"))
-    tr = (SP.rank_within(tr.join(n, "size_idx"), ["split"], [F.col(key)], "__p")
-          .filter(F.col("__p") <= F.floor(F.col("__n") * F.col("frac"))).withColumn("role", F.lit("train")))
+    wanted = F.floor((F.col("__n") - size(F.lit(0))) * F.col("frac"))
+    tr = g.filter((F.col("__own") != F.col("fold")) & (rank <= wanted)).withColumn("role", F.lit("train"))
     cols = ["split", "size_idx", "fold", key, "role"]
     return tr.select(*cols).unionByName(test.select(*cols))

@@ -8,7 +8,10 @@ in one task, which a group with a third of all rows does not survive.  So:
    a stage is recomputed after an executor loss;
 2. rank / lag inside each (partition, group) slice (bounded by partition size);
 3. a small table (partition, group, count, last value) gives each slice its
-   offset (sum of earlier slices of the group) and its predecessor value.
+   offset (sum of earlier slices of the group) and its predecessor value.  Only
+   the first slice of a partition continues a group, so at most one row per
+   partition differs from the default: these few rows are broadcast and the
+   rows themselves are not shuffled for them.
 """
 
 from __future__ import annotations
@@ -52,8 +55,8 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Colum
     r = r.withColumn("__lr", F.row_number().over(Window.partitionBy("__pid", *group).orderBy(*_cols(order))))
     cnt = r.groupBy("__pid", *group).agg(F.max("__lr").alias("__c"))
     prev = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    off = cnt.withColumn("__off", F.coalesce(F.sum("__c").over(prev), F.lit(0))).drop("__c")
-    return (join_slices(r, off, group).withColumn(name, F.col("__off") + F.col("__lr"))
+    off = cnt.withColumn("__off", F.sum("__c").over(prev)).drop("__c").filter("__off is not null")
+    return (join_slices(r, F.broadcast(off), group, "left").withColumn(name, F.coalesce("__off", F.lit(0)) + F.col("__lr"))
             .drop("__pid", "__lr", "__off"))
 
 
@@ -69,8 +72,9 @@ def lag_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Column
             .filter(F.col("__lr") == F.col("__mx")).select("__pid", *group, *[F.col(v).alias(f"__last_{v}")
                                                                              for v in values]))
     prev = Window.partitionBy(*group).orderBy("__pid")
-    carry = last.select("__pid", *group, *[F.lag(f"__last_{v}").over(prev).alias(f"__carry_{v}") for v in values])
-    out = join_slices(r, carry, group, "left")
+    carry = last.select("__pid", *group, *[F.lag(f"__last_{v}").over(prev).alias(f"__carry_{v}") for v in values],
+                        F.row_number().over(prev).alias("__k")).filter("__k > 1").drop("__k")
+    out = join_slices(r, F.broadcast(carry), group, "left")
     for v in values:
         out = out.withColumn(v + suffix, F.when(F.col("__lr") == 1, F.col(f"__carry_{v}")).otherwise(
             F.col(v + suffix)))

@@ -197,9 +197,10 @@ def permute_within(members: DataFrame, values: DataFrame, value_cols: Sequence[s
 
 
 def kfold(members: DataFrame, k: int = 5, key: str = "subject", group: Sequence[str] = ("split",),
-          out: str = "fold") -> DataFrame:
+          out: str = "fold", place: str | None = None, total: str | None = None) -> DataFrame:
     """WIN10: contiguous k-fold over subject order within each group; the
-    first n % k folds hold one extra row."""
+    first n % k folds hold one extra row.  ``place`` and ``total`` name columns for the
+    0-based position and the number of rows of the group."""
     group = list(group)
     n = members.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
     r = rank_within(members.join(n, group), group, [F.col(key)], "__p1").withColumn("__p", F.col("__p1") - 1)
@@ -210,7 +211,8 @@ def kfold(members: DataFrame, k: int = 5, key: str = "subject", group: Sequence[
     # a group of fewer than k rows has q = 0: all its rows are below ``big``
     fold = F.when(F.col("__p") < big, F.floor(F.col("__p") / (q + 1))).otherwise(
         rr + F.floor((F.col("__p") - big) / F.greatest(q, F.lit(1))))
-    return r.withColumn(out, fold.cast("int")).drop("__n", "__p")
+    further = [F.col(c).alias(name) for c, name in (("__p", place), ("__n", total)) if name]
+    return r.select(*members.columns, fold.cast("int").alias(out), *further)
 
 
 def first_fraction(members: DataFrame, fraction: float, key: str = "subject",

@@ -23,7 +23,7 @@ from cohortlens.operators import linear as L
 from cohortlens.operators import models as ML
 from cohortlens.operators import splits as SP
 from cohortlens.operators import tidy as TD
-from cohortlens.session import stored
+from cohortlens.session import stored, stored_table
 from cohortlens.sources import sinks as SNK
 from cohortlens.sources import tables as V
 from cohortlens.sources.tables import LEARN_FEATURES
@@ -80,6 +80,7 @@ def learn(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Sequence
     """
     base, n_pca = ML.parse_model_type(model_type)
     pca_block = [features.index(c) for c in pca_features] if n_pca else None
+    x, y = stored(x.select("subject", *features)), stored(y)      # read by the checks, the splits and the results
     x = prepare_x_y(x, features, y, modality, allowed_missing)
     spark = x.sparkSession
     members = stored(SP.stratified_shuffle_splits(SP.stratify(y, list(strata or targets)), n_splits, seed=seed))
@@ -97,7 +98,7 @@ def learn(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Sequence
                     if name in res]
             SNK.write_coefficients(TD.stack(fits, sort_columns=False).withColumns(of), os.path.join(out_path, "coefficients"))
         return res
-    rows = L.design_rows(x, features, y, targets, members)
+    rows = stored(L.design_rows(x, features, y, targets, members))
     rows, names = ML.prepare(rows, pca_block, n_pca, features, imputer="iterative")
     wcol = None
     if weights is not False:
@@ -237,8 +238,9 @@ def learning_curve(x: DataFrame, features: Sequence[str], y: DataFrame, targets:
     held-out fold, long.  Ridge fits all of them in one job; forests take the
     parameters ``best`` (max_depth, criterion, n_estimators), one fit per (size, fold)."""
     base, _ = ML.parse_model_type(model_type)
+    y = stored(y.select("subject", *targets))
     members = stored(ML.learning_curve_members(y.select("subject"), n_folds))
-    rows = L.design_rows(x, features, y, targets, members.drop("size_idx", "fold"))
+    rows = stored(L.design_rows(x, features, y, targets, members.drop("size_idx", "fold")))
     rows, _ = ML.prepare(rows, feature_names=features, imputer="iterative")
     rows = stored(rows)
     if base == "ridgecv":
@@ -282,16 +284,16 @@ def permuted_copies(test: DataFrame, k: int, n_repeats: int = 5, seed: int = SEE
     the x[j] of the row at the same md5-order position (one shuffle of the
     column, gaps included, within the split's test rows).  Adds columns j, r."""
     base = test.select("split", "subject", "x", "y")
-    long = base.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).withColumn(
+    left = SP.rank_within(base, ["split"], [F.col("subject")], "__rk")     # the same for every copy
+    long = base.select("split", "subject", "x").withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).withColumn(
         "r", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))))
     g = ["split", "j", "r"]
-    left = SP.rank_within(long, g, [F.col("subject")], "__rk")
     right = SP.rank_within(long.select(*g, "subject", F.get(F.col("x"), F.col("j")).alias("__xp")), g,
-                           [SP.md5_key(F.lit(seed), "split", "j", "r", "subject"), F.col("subject")],
-                           "__rk").drop("subject")
-    pair = left.join(right, g + ["__rk"])
-    return pair.withColumn("x", F.transform("x", lambda v, i: F.when(i == F.col("j"), F.col("__xp")).otherwise(v))
-                           ).drop("__rk", "__xp")
+                           [SP.md5_key(F.lit(seed), "split", "j", "r", "subject"), F.col("subject")], "__rk")
+    # the k·n_repeats new values of a place meet its row at once
+    new = right.groupBy("split", "__rk").agg(F.collect_list(F.struct("j", "r", "__xp")).alias("__new"))
+    pair = left.join(new, ["split", "__rk"]).select(*base.columns, F.explode("__new").alias("__c")).select(*base.columns, "__c.*")
+    return pair.withColumn("x", F.transform("x", lambda v, i: F.when(i == F.col("j"), F.col("__xp")).otherwise(v))).drop("__xp")
 
 
 def permutation_importance(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Sequence[str], members: DataFrame,
@@ -303,12 +305,13 @@ def permutation_importance(x: DataFrame, features: Sequence[str], y: DataFrame,
     the same job as the plain test rows.  ``fit_predict(train, test)`` gets
     prepared rows and adds ``{t}_pred`` to the test rows."""
     rows = stored(L.design_rows(x, features, y, targets, members))
-    copies = permuted_copies(rows.filter("role = 'test'"), len(features), n_repeats).withColumn("role", F.lit("test"))
+    copies = stored_table(permuted_copies(rows.filter("role = 'test'"), len(features), n_repeats), "permuted-copies").withColumn(
+        "role", F.lit("test"))
     plain = rows.withColumn("j", F.lit(-1)).withColumn("r", F.lit(-1))
     ready, _ = ML.prepare(plain.unionByName(copies), feature_names=features, imputer="iterative")
-    ready = stored(ready)
+    train = stored(ready.filter("role = 'train'").drop("j", "r"))
     test = ready.filter("role = 'test'").select("*", *[F.get(F.col("y"), i).alias(t) for i, t in enumerate(targets)])
-    scores = _r2_by_group(fit_predict(ready.filter("role = 'train'").drop("j", "r"), test), ["split", "j", "r"], targets)
+    scores = stored(_r2_by_group(fit_predict(train, test), ["split", "j", "r"], targets))      # copies are scored in one pass
     per = scores.groupBy("split", "j").agg(F.avg("score").alias("score"))
     base = per.filter("j = -1").select("split", F.col("score").alias("base_score"))
     nm = F.array(*[F.lit(n) for n in features])
@@ -368,7 +371,7 @@ def classify_documents(spark: SparkSession, sf: str, n_splits: int = 2) -> DataF
 def grid_search_table(spark: SparkSession, sf: str) -> DataFrame:
     y = V.targets(spark, sf)
     members = _members(spark, sf, 1)
-    rows = L.design_rows(V.learn_x(spark, sf), LEARN_FEATURES, y, ["total_price"], members)
+    rows = stored(L.design_rows(V.learn_x(spark, sf), LEARN_FEATURES, y, ["total_price"], members))
     rows, _ = ML.prepare(rows, feature_names=LEARN_FEATURES, imputer="iterative")
     train = stored(rows.filter("role = 'train'"))
     _, results = ML.grid_search(train, ["total_price"], "basic", SEED, depths=SEARCH_DEPTHS,
