@@ -152,7 +152,7 @@ def _forest(kind: str, depth: int | None, criterion: str, seed: int, n_trees: in
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.regression import RandomForestRegressor
     common = dict(featuresCol="features", labelCol=label, numTrees=n_trees, maxDepth=spark_depth(depth),
-                  featureSubsetStrategy="sqrt", seed=seed)
+                  featureSubsetStrategy="sqrt", seed=seed, cacheNodeIds=True)
     if weight_col:
         common["weightCol"] = weight_col
     if kind == "rfc":
@@ -165,11 +165,15 @@ def _forest(kind: str, depth: int | None, criterion: str, seed: int, n_trees: in
 def fit_forests(train: DataFrame, targets: Sequence[str], kind: str = "basic", depth: int | None = None,
                 criterion: str | None = None, seed: int = 1234, n_trees: int = FOREST_TREES,
                 weight_col: str | None = None) -> list:
-    """ML5/ML6 (+ML10 weights): one forest per target on prepared rows."""
+    """ML5/ML6 (+ML10 weights): one forest per target on prepared rows.
+
+    Every partition sends the bin statistics of all open nodes in each level, however few rows
+    it has, so there are no more partitions than cores; rows keep the node they have reached."""
     criterion = criterion or ("gini" if kind == "rfc" else "mse")
     data = _vectors(train)
     data = data.select("features", *([weight_col] if weight_col else []),
                        *[F.get(F.col("y"), i).alias(f"__y{i}") for i in range(len(targets))])
+    data = data.coalesce(max(1, train.sparkSession.sparkContext.defaultParallelism))
     return [_forest(kind, depth, criterion, seed, n_trees, f"__y{i}", weight_col).fit(data)
             for i in range(len(targets))]
 
