@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import time
+import warnings
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -54,12 +55,16 @@ def prepare_x_y(x: DataFrame, features: Sequence[str], y: DataFrame, modality: s
     return x
 
 
+class SplitsFailed(RuntimeError):
+    """Some splits of a learning run could not be fitted."""
+
+
 def learn(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Sequence[str], model_type: str = "ridgecv",
           n_splits: int = N_SPLITS, seed: int = SEED, modality: str = "", allowed_missing: Sequence[str] | None = None,
           pca_features: Sequence[str] = (), weights: bool | DataFrame = False, permuted: bool = False,
           search: dict | None = None, depth: int | None = None, n_trees: int = ML.FOREST_TREES, parallelism: int = 4,
           out_path: str | None = None, alphas: Sequence[float] = L.RIDGE_ALPHAS,
-          strata: Sequence[str] | None = None) -> dict:
+          strata: Sequence[str] | None = None, report_failures: bool | None = None) -> dict:
     """ML13: check X and y, stratify, split, prepare, fit, predict test / train / permuted.
 
     ``strata``: the columns of y that splits are stratified by, the targets if not given.
@@ -72,9 +77,11 @@ def learn(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Sequence
     as soon as it is done, each output to a folder of that split alone and then a
     completion mark; only splits with a mark are read, and they are skipped by a
     later run, so a run that loses executors or the driver resumes.  A split whose
-    fit fails is reported in ``failures`` and the others go on; if all fail the
-    first error is raised.  An error while a split is written is raised after the
-    other splits have ended: the store may be incomplete.  Ridge predictions
+    fit fails lets the others go on, then raises ``SplitsFailed``: results without it
+    would look like whole ones.  Only with ``report_failures`` (None: with ``out_path``,
+    where a later run fits what is missing) it is a row of ``failures`` and a warning
+    instead; if all fail the first error is raised.  An error while a split is written is
+    raised after the other splits have ended: the store may be incomplete.  Ridge predictions
     (test, train and permuted, by column ``kind``) and coefficients are stored by
     model and modality, so other models may use the same path.
     """
@@ -157,8 +164,14 @@ def learn(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Sequence
         list(ex.map(run, todo))
     if unwritten:
         raise unwritten[0]
+    failures.sort(key=lambda f: f[0])
     if failures and len(failures) == n_splits:
         raise failures[0][1]
+    if failures:
+        lost = SplitsFailed(f"splits {[k for k, _ in failures]} of {n_splits} have no results: {failures[0][1]}")
+        if not (bool(out_path) if report_failures is None else report_failures):
+            raise lost from failures[0][1]
+        warnings.warn(str(lost), stacklevel=2)
     wanted = ["predictions", "predictions_training", "importances", "split_info"]
     wanted += ["predictions_permuted"] * permuted + ["search"] * (search is not None)
     if store:
@@ -169,8 +182,7 @@ def learn(x: DataFrame, features: Sequence[str], y: DataFrame, targets: Sequence
     truth = y.select("subject", *targets)
     for key in ("predictions", "predictions_training"):
         res[key] = TD.left_align(res[key], truth)
-    res["failures"] = spark.createDataFrame([(s, str(e)) for s, e in sorted(failures, key=lambda f: f[0])],
-                                            "split int, error string")
+    res["failures"] = spark.createDataFrame([(s, str(e)) for s, e in failures], "split int, error string")
     res["feature_names"], res["skipped_splits"] = names, sorted(done)
     return res
 

@@ -63,6 +63,28 @@ def test_an_error_of_the_store_is_raised(spark, tmp_path, monkeypatch):
     assert again["skipped_splits"] == [0] and again["predictions"].select("split").distinct().count() == 2
 
 
+def test_a_failed_split_is_no_result(spark, tmp_path, monkeypatch):
+    x, y = _study(spark)
+    fit = LR.ML.fit_forests
+
+    def broken(train, *rest):
+        if train.select("split").first()[0] == 1:
+            raise ValueError("no fit")
+        return fit(train, *rest)
+    monkeypatch.setattr(LR.ML, "fit_forests", broken)
+    options = dict(n_splits=2, depth=2, n_trees=2)
+    with pytest.raises(LR.SplitsFailed, match=r"\[1\] of 2.*no fit"):
+        LR.learn(x, ["a"], y, ["t"], "basic", **options)
+    with pytest.raises(LR.SplitsFailed):
+        LR.learn(x, ["a"], y, ["t"], "basic", out_path=str(tmp_path / "a"), report_failures=False, **options)
+    with pytest.warns(UserWarning, match="have no results"):
+        part = LR.learn(x, ["a"], y, ["t"], "basic", out_path=str(tmp_path / "b"), **options)
+    assert [r.split for r in part["failures"].collect()] == [1]
+    monkeypatch.undo()
+    whole = LR.learn(x, ["a"], y, ["t"], "basic", out_path=str(tmp_path / "a"), **options)
+    assert whole["skipped_splits"] == [0] and whole["predictions"].select("split").distinct().count() == 2
+
+
 def test_ridge_models_share_a_store(spark, tmp_path):
     x, y = _study(spark)
     out = str(tmp_path / "study")
