@@ -5,6 +5,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 
@@ -84,6 +86,33 @@ def test_suffix_dedup_spreads_a_hot_anchor(spark, monkeypatch, tmp_path):
     assert len(sizes) > 8 and sizes[-1] < 4 * sum(sizes) / len(sizes), sizes
 
 
+def test_suffix_dedup_rows_grow_with_the_corpus(spark):
+    """A bucket has a row for each lane and not for each shard, and its texts and segments go compressed."""
+    rng, shards = random.Random(5), 9000
+    texts = [" ".join(f"word{rng.randrange(300)}" for _ in range(400)).encode() for _ in range(60)]
+    batch = pa.record_batch({"bucket": [4] * 120, "id": list(range(120)), "bytes": texts * 2})
+    docs = pa.Table.from_batches(list(suffix_dedup._squeeze([batch])))
+    keys = suffix_dedup._emit_keys(shards, 50)((pa.scalar(4),), docs)
+    answers = []
+    for lane in keys.column("lane").unique():
+        answers.append(suffix_dedup._repeated_keys(50, 1 << 20)((lane,), keys.filter(pc.equal(keys.column("lane"), lane))))
+    sent = suffix_dedup._emit_segments(shards, 50)((pa.scalar(4),), docs, pa.concat_tables(answers))
+    assert 500 < len(keys) == len(set(keys.column("lane").to_pylist())) <= 1024 and len(sent) <= 1024
+    size = lambda t: sum(map(len, t.column("bytes").to_pylist()))
+    raw = sum(len(x) for value in sent.column("bytes").to_pylist() for r in suffix_dedup._unpacked(value) for x in r[1:] if x)
+    assert size(docs) < 0.6 * 2 * sum(map(len, texts)) and size(sent) < 0.7 * raw
+    rows = [r for r in hot_rows(100) if r[1][0] != "-"] + awkward()
+    got = suffix_dedup.suffix_dedup(frame(spark, rows), bucket_bytes=40_000, shard_bytes=80)
+    assert sum(len((r[1] or "").encode()) for r in rows) > 1024 * 80
+    assert sorted((tuple(r)[:5] for r in got.collect()), key=repr) == brute_suffix([(r[0], r[1]) for r in rows])
+
+
+@pytest.mark.parametrize("values", [[], [0], [7, 7, 300], [0, 1, 1 << 16, (1 << 32) - 1]])
+def test_planes(values):
+    x = np.array(values, np.uint32)
+    assert suffix_dedup._from_planes(suffix_dedup._planes(x)).tolist() == values
+
+
 def test_suffix_dedup_empty(spark):
     assert suffix_dedup.suffix_dedup(empty(spark)).count() == 0
 
