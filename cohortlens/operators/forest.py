@@ -104,16 +104,18 @@ def _slots(batches, k: int, t: int, means: Sequence[float]) -> Iterator[tuple[in
             held.setdefault(r["slot"], []).append(r)
     for slot in sorted(held):
         chunks = held.pop(slot)
-        key = np.concatenate([np.frombuffer(c["key"], np.uint64) for c in chunks])
+        whole = lambda c, kind, width: np.frombuffer(b"".join([x.pop(c) for x in chunks]), kind).reshape(-1, width)
+        weighted = chunks[0]["w"] is not None
+        key = whole("key", np.uint64, 1).ravel()
         by = np.argsort(key, kind="stable")
-        bins = np.concatenate([np.frombuffer(c["bins"], np.uint8).reshape(-1, k) for c in chunks])[by]
-        y = np.concatenate([np.frombuffer(c["y"], np.float64).reshape(-1, t) for c in chunks])[by]
-        w = None if chunks[0]["w"] is None else np.concatenate([np.frombuffer(c["w"], np.float64) for c in chunks])[by]
-        del chunks
+        bins, y = whole("bins", np.uint8, k)[by], whole("y", np.float64, t)
+        y = [y[by, i] - means[i] for i in range(t)]
+        w = whole("w", np.float64, 1).ravel()[by] if weighted else None
         key, at = key[by], np.arange(len(key))
         first = np.maximum.accumulate(np.where(np.append(True, key[1:] != key[:-1]), at, 0))
         key = key + (at - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)          # equal rows draw each for itself
-        yield slot, SimpleNamespace(bins=bins.ravel(), y=[y[:, i] - means[i] for i in range(t)], w=w, key=key, k=k)
+        del by, at, first
+        yield slot, SimpleNamespace(bins=bins.ravel(), y=y, w=w, key=key, k=k)
 
 
 def _new_tree() -> SimpleNamespace:
@@ -125,8 +127,10 @@ def _new_tree() -> SimpleNamespace:
 
 def _drawn(rows: SimpleNamespace, seed: int, number: int) -> SimpleNamespace:
     """The rows that a tree draws, with their counts: the same for every target."""
-    h = (_mixed(rows.key, (seed << 20) + number + 1) >> np.uint64(32)).astype(np.uint32)
-    count = np.searchsorted(_POISSON, h, side="right")
+    count = np.empty(len(rows.key), np.uint8)
+    for a in range(0, len(count), AT_ONCE):
+        h = _mixed(rows.key[a:a + AT_ONCE], (seed << 20) + number + 1) >> np.uint64(32)
+        count[a:a + AT_ONCE] = np.searchsorted(_POISSON, h.astype(np.uint32), side="right")
     at = np.flatnonzero(count)
     weight = count[at].astype(np.float64)
     return SimpleNamespace(at=at, base=at * rows.k, count=weight, weight=weight if rows.w is None else weight * rows.w[at])
@@ -215,10 +219,11 @@ def _grown(rows: SimpleNamespace, drawn: SimpleNamespace, y: np.ndarray, o: Simp
         split = None if subset is None else _best(total, sums, subset)
         child = _extend(tree, total, split)
         if split is not None:
-            below = child[place]
-            right = rows.bins[base + split[0][place]] > split[1][place]
-            stay = below >= 0
-            place = below + right
+            for a in range(0, len(place), AT_ONCE):
+                here = place[a:a + AT_ONCE]
+                below = child[here] + (rows.bins[base[a:a + AT_ONCE] + split[0][here]] > split[1][here])
+                place[a:a + AT_ONCE] = np.where(child[here] < 0, -1, below)
+            stay = place >= 0
             if not stay.all():
                 base, count, weight, y, place = base[stay], count[stay], weight[stay], y[stay], place[stay]
     return tree
