@@ -403,6 +403,15 @@ def predict(models: list, rows: DataFrame, targets: Sequence[str]) -> DataFrame:
     return rows.select("x", *kept).mapInArrow(run, schema)
 
 
+def _dealt(slots: DataFrame, n: int) -> DataFrame:
+    """Each of the ``n`` slots in a partition of its own: by numbers that hash to different partitions."""
+    own = slots.sparkSession.range(0, 64 * n, 1, 1).select(F.col("id").cast("int").alias("place")).groupBy(
+        F.pmod(F.hash("place"), F.lit(n)).alias("at")).agg(F.min("place").alias("place")).collect()
+    of = {r["at"]: r["place"] for r in own}
+    places = F.array(*[F.lit(of.get(i, i)) for i in range(n)])
+    return slots.withColumn("place", F.get(places, F.col("slot"))).repartition(n, "place").drop("place")
+
+
 def fit(rows: DataFrame, n_rows: int, n_targets: int, estimators: list, weight_col: str | None = None) -> list:
     """One forest per target, with the settings of the ``pyspark.ml`` estimators (the same but for the label) on
     prepared rows (x, y, further columns), which are read several times."""
@@ -423,7 +432,7 @@ def fit(rows: DataFrame, n_rows: int, n_targets: int, estimators: list, weight_c
     binned = stored(data.mapInArrow(_binned(o.cuts, n_targets, parts), _CHUNK))
     slots = binned.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(o.groups - 1)))).withColumn(
         "slot", (F.col("part") * o.groups + F.col("g")).cast("int")).drop("part", "g")
-    slots = slots.repartitionByRange(parts * o.groups, "slot")
+    slots = _dealt(slots, parts * o.groups)
     if parts == 1:
         nodes = slots.mapInArrow(_grow_whole(o), f"target int, {_NODE}")
     else:

@@ -105,6 +105,12 @@ def test_equal_rows_draw_each_for_itself():
     assert 0.5 < len(FO._drawn(rows, 4, 0).at) / 400 < 0.75
 
 
+def test_slots_have_a_partition_each(spark):
+    df = spark.range(4000).select((F.col("id") % 12).cast("int").alias("slot"), "id").repartition(5)
+    got = FO._dealt(df, 12).groupBy(F.spark_partition_id()).agg(F.countDistinct("slot").alias("slots"), F.count("id").alias("n")).collect()
+    assert len(got) == 12 and {r["slots"] for r in got} == {1} and sum(r["n"] for r in got) == 4000
+
+
 def test_thresholds():
     assert FO.thresholds(np.array([3.0, 1.0, 1.0, 2.0])).tolist() == [1.5, 2.5] and FO.thresholds(np.ones(9)).tolist() == []
     values = np.random.default_rng(1).random(10_000)
